@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,33 @@ def partitions(df: DataFrame, column: str, bytes_each: int, least: int = 8) -> i
     the number of tasks only."""
     total = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
     return max(least, -(-int(total) // bytes_each))
+
+
+_SLICE = 1 << 16
+
+
+def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A map of 2**bits bits, packed, with those of the low bits of a long column set:
+    of one size for any number of rows. Executors make it, in parts of 8 KB."""
+    bit = F.col(column).bitwiseAND((1 << bits) - 1)
+    parts = df.select(bit.alias("bit")).distinct().groupBy((F.col("bit") / _SLICE).cast("int").alias("part")).agg(F.collect_list((F.col("bit") % _SLICE).cast("int")).alias("bits"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for held in b.column(1):
+                m = np.zeros(_SLICE, bool)
+                m[held.values.to_numpy()] = True
+                out.append(np.packbits(m, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["part", "bytes"])
+
+    found = np.zeros(max(1 << bits, _SLICE) // 8, np.uint8)
+    for part, raw in parts.mapInArrow(packed, "part int, bytes binary").toLocalIterator():
+        found[part * _SLICE // 8 : (part + 1) * _SLICE // 8] = np.frombuffer(raw, np.uint8)
+    return found[: max(1, (1 << bits) // 8)]
+
+
+def marked(found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of some 64-bit values have their bit set in a map of `bitmap`."""
+    bit = values.astype(np.uint64) & np.uint64(len(found) * 8 - 1)
+    return (found[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
