@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import op2_reputation, op3_extract, op5_warc, op6_substrings, op7_bpe, op8_language, op9_decontaminate, op10_repetition
+from lodestone.llm import op2_reputation, op3_extract, op4_neardup, op5_warc, op6_substrings, op7_bpe, op8_language, op9_decontaminate, op10_repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_reputation": op2_reputation.op2_reputation,
     "op3_extract": op3_extract.op3_extract,
+    "op4_neardup": op4_neardup.op4_neardup,
     "op5_warc": op5_warc.op5_warc,
     "op6_substrings": op6_substrings.op6_substrings,
     "op7_bpe": op7_bpe.op7_bpe,
@@ -18,4 +19,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_repetition": op10_repetition.op10_repetition,
 }
-SQL: dict[str, str] = {"op2_reputation": op2_reputation.SQL, "op6_substrings": op6_substrings.SQL, "op9_decontaminate": op9_decontaminate.SQL}
+SQL: dict[str, str] = {"op2_reputation": op2_reputation.SQL, "op4_neardup": op4_neardup.SQL, "op6_substrings": op6_substrings.SQL, "op9_decontaminate": op9_decontaminate.SQL}
