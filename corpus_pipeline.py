@@ -1,22 +1,66 @@
-"""The corpus pipeline: stages of the llm operators over `documents`."""
+"""The corpus pipeline: stages of the llm operators over `documents`.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of docs. All but the last
+return the columns of `documents`; texts that a stage changes get a new n_chars.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm import op7_bpe, op9_decontaminate
+from lodestone.llm import op4_neardup, op6_substrings, op7_bpe, op8_language, op9_decontaminate
 from lodestone.llm.shared import written
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Least share of a text's n-grams that its language must account for.
+MIN_SCORE = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told go on; those without a letter, or of which no
+    language accounts for MIN_SCORE of the n-grams, are rejected."""
+    filters = op8_language.fitted(docs, ~op8_language.held_out())
+    told = op8_language.identified(docs.select(*COLUMNS), filters)
+    return told.where((F.col("lang_pred") != op8_language.UND) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that with the smallest id,
+    and one of rows that are equal in id and text; shingles are of five words."""
+    kept = op4_neardup.neighbours(docs.select("doc_id", "text"), words=5).where("kept").select("row_key").distinct()
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*COLUMNS)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that an earlier document holds are cut; a text
+    that loses nothing stays as it is, one that loses all words goes."""
+    out = op6_substrings.deduplicated(docs.select(*COLUMNS))
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    n = F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return out.where("n_removed = 0 or n_removed < n_words").select("doc_id", text.alias("text"), "lang", "source", n.alias("n_chars"))
+
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op9_decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Spans of benchmark items are cut; documents that are mostly such spans go."""
+    return op9_decontaminate.decontaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of each document's ids and of the text they decode to."""
     return op7_bpe.digests(op7_bpe.encoded(docs, op7_bpe.default_path()))
 
 
-STAGES = [("benchmark decontamination", decontaminate), ("BPE encoding", encode)]
+STAGES = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("substring dedup", cut_repeated_passages),
+    ("benchmark decontamination", decontaminate),
+    ("BPE encoding and decoding", encode),
+]
+#: SQL cannot express the language filters nor the encoding.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,6 @@
 """Near-duplicates by MinHash bands, odd sketches and exact sets.
 
-A document's set is that of its two-word shingles (A-Z lower-cased). Documents with the
+A document's set is that of its shingles of `words` words (A-Z lower-cased). Documents with the
 same set are one class at once: its smallest doc_id stands for it. Each class has
 `BANDS * ROWS` MinHash samples. Bands of `ROWS` samples give candidates: two sets with a
 Jaccard similarity of 0.8 miss all bands with a probability of 3e-6, the more similar
@@ -21,10 +21,10 @@ Hot classes meet in sums and in joins that split when skewed. A set is shipped o
 each pair to confirm, never gathered by bucket.
 
 Null, empty and wordless texts have no shingles: they are linked with nothing, and are
-their own component. One word is one shingle. Rows with the same doc_id are rows of their
+their own component. A text of fewer words than a shingle is one shingle. Rows with the same doc_id are rows of their
 own with their own sets; rows with a null doc_id have the component of their class's
-smallest id (null if there is none). Other columns stay; n_shingles, component_id and
-kept replace columns of those names. An empty table gives an empty result.
+smallest id (null if there is none). Other columns are ignored. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -58,16 +58,17 @@ def sketch_limit(percent: int) -> int:
     return int(SKETCH_BITS * p + 6 * (SKETCH_BITS * p * (1 - p)) ** 0.5)
 
 
-def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct shingle hashes of each text, and where each text's begin."""
+def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text, and where each text's begin. A
+    text of fewer words is one shingle; without words it has none."""
     low = tv.LOWER[data]
     starts, ends, firsts = tv.spans(low, offs, tv.NOT_SPACE)
     h = tv.hash_spans(low, starts, ends)
-    own = tv.owner(firsts, len(h))
-    pair = np.flatnonzero(own[:-1] == own[1:])
-    lone = firsts[:-1][np.diff(firsts) == 1]
-    code = np.concatenate((tv.pair_hash(h[pair], h[pair + 1]), tv.mix(h[lone])))
-    who = np.concatenate((own[pair], own[lone]))
+    own, size = tv.owner(firsts, len(h)), np.diff(firsts)
+    full = np.flatnonzero(own[: len(h) - words + 1] == own[words - 1 :]) if len(h) >= words else np.zeros(0, np.int64)
+    at = [(full, words)] + [(firsts[:-1][size == k], k) for k in range(1, words)]
+    code = np.concatenate([tv.window_hash(h, k)[p] for p, k in at if len(p)] or [np.zeros(0, np.uint64)])
+    who = np.concatenate([own[p] for p, _ in at])
     order = np.lexsort((code, who))
     code, who = code[order], who[order]
     one = np.ones(len(code), bool)
@@ -98,16 +99,16 @@ def odd_sketch(drawn: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, class long, bands array<long>, sketch array<long>"
+SIGNED = "doc_id long, row_key long, n_shingles long, class long, bands array<long>, sketch array<long>"
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, words: int) -> DataFrame:
     """SIGNED rows of all documents; class, bands and sketch are null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, data, offs in tv.text_slices(b.column(1)):
-                code, begin = shingle_sets(data, offs)
+            for i, j, data, offs in tv.text_slices(b.column(2)):
+                code, begin = shingle_sets(data, offs, words)
                 n, drawn = np.diff(begin), samples(code, begin)
                 band = np.zeros((BANDS, drawn.shape[1]), np.uint64)
                 for k in range(SAMPLES):
@@ -121,19 +122,19 @@ def signed(docs: DataFrame) -> DataFrame:
                     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(empty, 0, w)))).astype(np.int32)), pa.array(m.ravel()), mask=pa.array(empty))
 
                 cls = pa.array(set_id(code, begin).view(np.int64), mask=empty)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), cls, lists(np.ascontiguousarray(band.T).view(np.int64)), lists(odd_sketch(drawn))], names=["doc_id", "n_shingles", "class", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n), cls, lists(np.ascontiguousarray(band.T).view(np.int64)), lists(odd_sketch(drawn))], names=["doc_id", "row_key", "n_shingles", "class", "bands", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, SIGNED)
 
 
-def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
     """(class, set binary) of the classes marked in a bit map, once or more each."""
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, data, offs in tv.text_slices(b.column(0)):
-                code, begin = shingle_sets(data, offs)
+                code, begin = shingle_sets(data, offs, words)
                 ids = set_id(code, begin)
                 at = np.flatnonzero(marked(held.value, ids) & (np.diff(begin) > 0))
                 _, first = np.unique(ids[at], return_index=True)
@@ -170,7 +171,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
+def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to connect all that are linked."""
     sides = classes.select("class", "n_shingles", "sketch")
     keys = classes.select("class", F.explode("bands").alias("key"))
@@ -187,7 +188,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None
 
     stars = written(with_sides(stars), "stars")
     # sets of every class that stands in a bucket and could be asked for later
-    sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS)), "sets")
+    sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS), words), "sets")
     best = stars.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     found = written(confirmed(best, sets, percent), "links")
     tried = best
@@ -213,23 +214,23 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None
     return found
 
 
-def neighbours(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents with n_shingles, component_id and kept."""
-    docs = docs.drop("n_shingles", "component_id", "kept")
-    rows = written(signed(docs), "signed")
+def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataFrame:
+    """doc_id, row_key (xxhash64 of doc_id and text), n_shingles, component_id and kept of
+    each document."""
+    rows = written(signed(docs, words), "signed")
     one = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch"))
     classes = written(rows.where("class is not null").groupBy("class").agg(one.alias("c"), F.min("doc_id").alias("least")).select("class", "least", "c.n_shingles", "c.bands", "c.sketch"), "classes")
-    part = written(components(links(docs, classes, percent)), "components")
+    part = written(components(links(docs, classes, percent, words)), "components")
     of = classes.select("class", "least").join(part.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # two steps: the smallest doc_id of each component, then of each class
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
     by_class = written(of.join(smallest, "component").select("class", "component_id"), "by_class")
-    judged = rows.select("doc_id", "n_shingles", "class").join(by_class, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    judged = rows.select("doc_id", "row_key", "n_shingles", "class").join(by_class, "class", "left").select("doc_id", "row_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return neighbours(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("row_key")
 
 
 #: The same rows in DuckDB: all pairs that share a shingle, components by recursion.

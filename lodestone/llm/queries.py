@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import op2_reputation, op3_extract, op4_neardup, op5_warc, op6_substrings, op7_bpe, op8_language, op9_decontaminate, op10_repetition
+from lodestone.llm import op1_hpylm, op2_reputation, op3_extract, op4_neardup, op5_warc, op6_substrings, op7_bpe, op8_language, op9_decontaminate, op10_repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hpylm": op1_hpylm.op1_hpylm,
     "op2_reputation": op2_reputation.op2_reputation,
     "op3_extract": op3_extract.op3_extract,
     "op4_neardup": op4_neardup.op4_neardup,
