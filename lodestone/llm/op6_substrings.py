@@ -123,7 +123,7 @@ def _shared_anchors(docs: DataFrame, hot, width: int, anchor: int) -> np.ndarray
                 if len(w.begin):
                     yield pa.RecordBatch.from_arrays([pa.array(w.anchor.astype(np.int64)), pa.array(ids[i:j][w.who[w.begin]])], names=["anchor", "doc_id"])
 
-    pairs = docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
+    pairs = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
     two = pairs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
     return bitmap(two, "anchor", FILTER_BITS)
 
