@@ -13,8 +13,11 @@ Within a bucket of a band not all pairs are made:
 1. each class is paired with the bucket's centre, the class that shares most buckets
    with others; the best estimate of each class is confirmed first, and of the further
    pairs only those whose ends are not yet connected.
-2. what a bucket still holds in two or more components is paired across components only,
-   in the same way, so no link that would connect anything is left out.
+2. where a bucket still holds two or more components, classes with the same pivot (the
+   greatest centre that they meet) are compared by what differs from it, through an
+   index of their rarest differences (`same_pivot`): exact, and not all pairs.
+3. what then is left in two components or more, and has different pivots, is paired
+   within its bucket, so no link that would connect anything is left out.
 Links within a component that is already connected change no result and are not made.
 
 Hot classes meet in sums and in joins that split when skewed. A set is shipped once for
@@ -171,6 +174,60 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+DELTA = "class long, pivot long, of long, n long, n_pivot long, delta array<long>"
+
+
+def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """DELTA rows of members (class, pivot, of): the shingles in which a class and its pivot differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in b.column(k)] for k in (3, 4))
+            d = [np.setxor1d(p, q, assume_unique=True).view(np.int64) for p, q in zip(x, y)]
+            sizes = [pa.array([len(v) for v in side], pa.int64()) for side in (x, y)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *sizes, pa.array(d, pa.list_(pa.int64()))], names=["class", "pivot", "of", "n", "n_pivot", "delta"])
+
+    own = members.join(sets, "class").join(sets.select(F.col("class").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
+    return own.select("class", "pivot", "of", "set", "pivot_set").mapInArrow(run, DELTA)
+
+
+def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) between classes of one pivot that connect components (`of`), without
+    pairing the classes of a pivot.
+
+    With x and y at e_x and e_y shingles from the pivot and s of them in common, the sets
+    differ in e_x + e_y - 2 s; they are linked if that is at most g (n_x + n_y). With
+    h = e - g n, links without common differences need h_x + h_y <= 0 and are
+    certain; then both are linked to the class of the pivot with the least h, so a star
+    around it stands for them. All others have at least k = (h_x + h_y) / 2 common
+    differences: of the rarest e - k + 1 differences of each, one is common. Classes meet
+    on those, by bins of h, and are confirmed on their differences.
+    """
+    g = (100 - percent) / (100 + percent)
+    held = written(deltas(members, sets), "deltas")
+    e, width = F.size("delta"), F.col("n_pivot") * 0.06 + 1
+    held_h = held.withColumn("h", e - g * F.col("n")).withColumn("bin", F.least(F.floor((F.col("h") + g * F.col("n_pivot")) / width), F.lit(11)).cast("int"))
+    nearest = held_h.groupBy("pivot").agg(F.min(F.struct("h", "class")).alias("m"), F.collect_set("bin").alias("bins"))
+    stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("class") != F.col("m.class"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"))
+    each = held_h.select("class", "pivot", F.explode("delta").alias("part"))
+    common = each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    order = each.join(common, ["pivot", "part"]).groupBy("class").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared"))
+    # the first e - k + 1 differences, without those that no other class has: the rarest
+    x = held_h.join(order, "class").join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
+    low = F.col("other") * (F.col("n_pivot") * 0.06 + 1) - g * F.col("n_pivot")
+    k = F.greatest(F.ceil((F.col("h") + low) / 2 - 1e-6), F.lit(1))
+    take = F.least(F.size("shared"), F.col("e") - k + 1 - (F.col("e") - F.size("shared"))).cast("int")
+    x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s"))
+    x = x.select("class", "of", F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
+    a, b = (x.select("at", F.col("class").alias(v), F.col("of").alias(f"of_{v}")) for v in "ab")
+    pairs = a.join(b, "at").where("of_a < of_b").select("a", "b").distinct()
+    left, right = (held.select(F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
+    apart = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
+    both = F.col("n_a") + F.col("n_b")
+    met = pairs.join(left, "a").join(right, "b").where(100 * (both - apart) >= percent * (both + apart)).select("a", "b")
+    return stars.unionByName(met)
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to connect all that are linked."""
     sides = classes.select("class", "n_shingles", "sketch")
@@ -179,8 +236,10 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Data
     # only buckets of two or more, from here on
     buckets = written(keys.join(full, "key"), "buckets")
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
-    centre = buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")).select("key", F.col("c.class").alias("b"))
-    stars = buckets.join(centre, "key").select(F.col("class").alias("a"), "b").where("a <> b").distinct()
+    centre = buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c"))
+    named = written(buckets.join(centre, "key").select("key", "class", "c"), "centres")
+    pivot = named.groupBy("class").agg(F.max("c").alias("c")).select("class", F.col("c.class").alias("pivot"))
+    stars = named.select(F.col("class").alias("a"), F.col("c.class").alias("b")).where("a <> b").distinct()
 
     def with_sides(pairs: DataFrame) -> DataFrame:
         a, b = (sides.select(F.col("class").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
@@ -191,26 +250,31 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Data
     sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS), words), "sets")
     best = stars.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     found = written(confirmed(best, sets, percent), "links")
-    tried = best
-    for pairs in ("stars", "rest"):
+
+    def mixed(part: DataFrame) -> DataFrame:
+        """Bucket rows (key, class, of) of the buckets with two components or more."""
+        own = named.select("key", "class").join(part.withColumnRenamed("node", "class"), "class", "left").select("key", "class", F.coalesce("component", "class").alias("of"))
+        two = own.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key")
+        return own.join(two, "key")
+
+    for step in ("stars", "one pivot", "two pivots"):
         part = written(components(found), "components")
-        inside = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: B023, E731
-        own = lambda x: F.coalesce(f"of_{x}", x)
-        if pairs == "stars":
-            todo = stars.join(inside("a"), "a", "left").join(inside("b"), "b", "left").where(own("a") != own("b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+        if step == "stars":
+            of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: B023, E731
+            todo = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+            new = confirmed(todo.join(best, ["a", "b"], "left_anti"), sets, percent)
+        elif step == "one pivot":
+            members = mixed(part).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
+            new = same_pivot(members, sets, percent)
         else:
-            named = buckets.join(part.withColumnRenamed("node", "class"), "class", "left").select("key", "class", F.coalesce("component", "class").alias("of"))
-            mixed = named.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key")
-            left = written(named.join(mixed, "key").join(sides, "class"), "mixed")
-            a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-            across = a.join(b, "key").where("of_a < of_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
-            pair = across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-            known = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            todo = pair.join(known, ["a", "b"], "left_anti")
-        new = written(found.unionByName(confirmed(todo, sets, percent)), "links")
+            left = written(mixed(part).join(pivot, "class").join(sides, "class"), "mixed")
+            a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "pivot", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
+            across = a.join(b, "key").where("of_a < of_b and pivot_a <> pivot_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
+            new = confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent)
+        both = written(found.unionByName(new), "links")
         dropped(part, found)
-        found = new
-    dropped(buckets, stars, sets)
+        found = both
+    dropped(buckets, named, stars, sets)
     return found
 
 
