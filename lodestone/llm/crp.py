@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Tables drawn at a time for a customer that joins one.
+TRIES = 8
+
 
 def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: float, strength: float, copies: np.ndarray, burn: int, draws: int, seed: int) -> np.ndarray:
     """The mean number of tables of each (context, dish) pair over some Gibbs samples.
@@ -25,20 +28,22 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
     c = count[at]
     first = np.concatenate(([0], np.cumsum(c)))
     n = int(first[-1])
+    first = first.astype(np.int32 if n < 1 << 31 else np.int64)
     pair = np.repeat(np.arange(len(at)), c)
     table = first[pair]  # all at their pair's first table
-    size = np.zeros(n, np.int64)
+    size = np.zeros(n, np.int32)
     size[first[:-1]] = c
     tables = np.ones(len(at))
     of_context = np.bincount(context).astype(float)
     of_dish = np.bincount(dish).astype(float)
     u, w = context[at], dish[at]
+    c = c.astype(float)
     total = float(len(count))
     kinds = max(1, len(of_dish))
     # a customer's turn in a sweep: pairs of up to 64 customers one at a time
-    turn = (np.arange(n) - first[pair]) * np.minimum(64, c)[pair] // c[pair]
-    order = np.argsort(turn, kind="stable")
-    cuts = np.searchsorted(turn[order], np.arange(65))
+    turn = (np.arange(n) - first[pair]) * np.minimum(64, count[at])[pair] // count[at][pair]
+    order = np.argsort(turn.astype(np.int8), kind="stable").astype(first.dtype)
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(turn, minlength=64))))
     seen = np.zeros(len(at))
     for sweep in range(burn + draws):
         for a, z in zip(cuts[:-1], cuts[1:]):
@@ -46,7 +51,7 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
             if not len(i):
                 break
             p, t = pair[i], table[i]
-            np.subtract.at(size, t, 1)
+            np.subtract.at(size, t.astype(np.intp), 1)
             left = t[size[t] == 0]
             left = np.unique(left)
             np.subtract.at(tables, pair[left], 1)
@@ -61,28 +66,33 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
             # a table in proportion to size - discount: that of another customer, kept or drawn again
             todo = np.flatnonzero(~opens)
             while len(todo):
-                q = p[todo]
-                k = first[q] + (rng.random(len(todo)) * c[q]).astype(np.int64)
-                s = size[table[k]]
-                ok = rng.random(len(todo)) * s < s - discount
-                table[i[todo[ok]]] = table[k[ok]]
-                todo = todo[~ok]
-            np.add.at(size, table[i[~opens]], 1)
-            # a free place of the pair for each table that is opened
+                q = p[todo][:, None]
+                k = table[first[q] + (rng.random((len(todo), TRIES)) * c[q]).astype(first.dtype)]
+                held = size[k]
+                ok = rng.random(k.shape) * held < held - discount
+                found = ok.any(axis=1)
+                table[i[todo[found]]] = k[found, ok[found].argmax(axis=1)]
+                todo = todo[~found]
+            np.add.at(size, table[i[~opens]].astype(np.intp), 1)
+            # a free place of the pair for each table that is opened: that just left, the
+            # customer's own, or any
             todo = i[opens]
+            k = np.stack((t[opens], todo), axis=1)
             while len(todo):
-                q = pair[todo]
-                k = first[q] + (rng.random(len(todo)) * c[q]).astype(np.int64)
                 free = size[k] == 0
-                k, one = np.unique(k[free], return_index=True)
-                who = todo[np.flatnonzero(free)[one]]
+                some = np.flatnonzero(free.any(axis=1))
+                k, one = np.unique(k[some, free[some].argmax(axis=1)], return_index=True)
+                one = some[one]
+                who = todo[one]
                 table[who] = k
                 size[k] = 1
                 np.add.at(tables, pair[who], 1)
                 np.add.at(of_context, u[pair[who]], 1)
                 np.add.at(of_dish, w[pair[who]], 1)
                 total += len(who)
-                todo = np.setdiff1d(todo, who, assume_unique=True)
+                todo = np.delete(todo, one)
+                q = pair[todo][:, None]
+                k = first[q] + (rng.random((len(todo), TRIES)) * c[q]).astype(first.dtype)
         if sweep >= burn:
             seen += tables
     mean[at] = seen / draws

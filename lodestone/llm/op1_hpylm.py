@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.crp import seat
-from lodestone.llm.shared import partitions, written
+from lodestone.llm.shared import mapped, partitions, written
 
 BLOCK_BYTES = 4 << 20
 THETA, THETA0, DISCOUNT0 = 1.0, 1.0, 0.5
@@ -67,9 +67,9 @@ def unpack5(raw: bytes) -> np.ndarray:
 
 
 class Block:
-    """The tokens of some texts, with their distinct words and pairs."""
+    """The tokens of some texts, with their distinct words and, if asked for, pairs."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, ids: list[int | None]):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, ids: list[int | None], pairs: bool = True):
         low = tv.LOWER[data]
         starts, ends, firsts = tv.spans(low, offs, tv.NOT_SPACE)
         n = len(offs) - 1
@@ -85,6 +85,8 @@ class Block:
         learn = np.repeat(train, size)
         self.count = np.bincount(code[learn], minlength=len(self.word))
         self.code = code
+        if not pairs:
+            return
         before = np.empty(len(code), np.int64)
         before[1:] = code[:-1]
         before[self.first[:-1]] = end
@@ -121,18 +123,29 @@ class Block:
 
 def blocks(b: pa.RecordBatch) -> Iterator[tuple[int, int, Block]]:
     for i, j, data, offs in tv.text_slices(b.column(1), BLOCK_BYTES):
-        yield i, j, Block(data, offs, b.column(0).slice(i, j - i).to_pylist())
+        yield i, j, Block(data, offs, b.column(0).slice(i, j - i).to_pylist(), False)
 
 
 def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, int, int]]:
     """(block number, batch, first, end): the same for each scan of the same table."""
-    k = TaskContext.get().partitionId() << 32
-    for b in batches:
-        _, offs = tv.column_bytes(b.column(1))
-        for i, j in tv.slices(offs, BLOCK_BYTES):
+    k, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+    def cut() -> Iterator[tuple[int, pa.RecordBatch, int, int]]:
+        nonlocal k
+        b = pa.concat_batches(held)
+        for i, j in tv.slices(tv.column_bytes(b.column(1))[1], BLOCK_BYTES):
             yield k, b, i, j
             k += 1
 
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= BLOCK_BYTES:
+            yield from cut()
+            held, size = [], 0
+    if held:
+        yield from cut()
+
 
 def rows(out: list[tuple]) -> pa.RecordBatch:
     types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64())
@@ -140,9 +153,9 @@ def rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in _KINDS.split(", ")])
 
 
-def block_of(b: pa.RecordBatch, i: int, j: int) -> Block:
+def block_of(b: pa.RecordBatch, i: int, j: int, pairs: bool) -> Block:
     data, offs = tv.column_bytes(b.column(1).slice(i, j - i))
-    return Block(data, offs, b.column(0).slice(i, j - i).to_pylist())
+    return Block(data, offs, b.column(0).slice(i, j - i).to_pylist(), pairs)
 
 
 def frequent(docs: DataFrame, shards: int) -> dict[str, np.ndarray]:
@@ -158,7 +171,7 @@ def frequent(docs: DataFrame, shards: int) -> dict[str, np.ndarray]:
                 top = n > HOT_SHARE / 4 * len(b.code)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(b.word[top], np.uint64(0)).astype(np.int64)), pa.array(np.append(n[top], len(b.code)))], names=["word", "n"])
 
-    seen = sample.select("doc_id", "text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    seen = mapped(sample.select("doc_id", "text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     held = {r[0]: r[1] for r in seen.orderBy(F.desc("n")).limit(int(4 / HOT_SHARE)).collect()}  # a bounded number of words
     total = held.pop(0, 0)
     top = sorted((w % (1 << 64), n / total) for w, n in held.items() if n > HOT_SHARE * total)
@@ -170,7 +183,7 @@ def pair_keys(docs: DataFrame, hot, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch, i, j in numbered(batches):
-            b = block_of(batch, i, j)
+            b = block_of(batch, i, j, True)
             shard, word, parts, sizes, pairs = b.asked(hot.value, shards)
             cut = np.searchsorted(shard, np.arange(shards + 1))
             at = np.concatenate(([0], np.cumsum(sizes)))
@@ -183,7 +196,7 @@ def pair_keys(docs: DataFrame, hot, shards: int) -> DataFrame:
                     out.append((0, k, s, pack5(b.word[word[x:y]]), (sizes[x:y] | (parts[x:y] << 32)).tobytes(), pack5(b.word[b.right[p]]), b.pair_count[p].astype(np.uint32).tobytes(), None))
             yield rows(out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _KINDS)
+    return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
 
 def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFrame:
@@ -231,7 +244,7 @@ def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFram
             out.append((1, s, r["shard"][0], pack5(dish[m]), t[m].tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
-    return keys.groupBy("shard").applyInArrow(run, _KINDS)
+    return keys.repartition(word_shards, "shard").groupBy("shard").applyInArrow(run, _KINDS)
 
 
 def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
@@ -239,11 +252,11 @@ def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch, i, j in numbered(batches):
-            b = block_of(batch, i, j)
+            b = block_of(batch, i, j, False)
             order, cut = word_order(b, word_shards)
             yield rows([(2, s, 0, b.word[o].tobytes(), b.count[o].astype(np.uint32).tobytes(), k.to_bytes(8, "little"), None, None) for s in range(word_shards) if len(o := order[cut[s] : cut[s + 1]])])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _KINDS)
+    return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
 
 def word_order(b: Block, word_shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +265,7 @@ def word_order(b: Block, word_shards: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(dest[order], np.arange(word_shards + 1))
 
 
-def counted(keys: DataFrame, tables: DataFrame) -> DataFrame:
+def counted(keys: DataFrame, tables: DataFrame, word_shards: int) -> DataFrame:
     """Answers to the blocks (kind 2: customers and tables of words) and each shard's
     totals (kind 3: tokens, words, tables)."""
 
@@ -284,7 +297,7 @@ def counted(keys: DataFrame, tables: DataFrame) -> DataFrame:
             out.append((2, int.from_bytes(r["c"][k], "little"), s, c[at].astype(np.uint32).tobytes(), t[at].astype(np.uint32).tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
-    return keys.unionByName(tables).groupBy("dest").applyInArrow(run, _KINDS)
+    return keys.unionByName(tables).repartition(word_shards, "dest").groupBy("dest").applyInArrow(run, _KINDS)
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -298,7 +311,7 @@ def packed(docs: DataFrame) -> DataFrame:
             none = np.packbits(np.array(ids.is_null()).astype(bool)).tobytes()
             yield rows([(4, k, 0, press.compress(data.tobytes()), offs.tobytes(), ids.fill_null(0).to_numpy().tobytes(), none, None)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _KINDS)
+    return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -309,7 +322,7 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
     shards = partitions(docs, "text", BLOCK_BYTES)
     hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, shards))
     answers = written(seated(pair_keys(docs, hot, shards), shards, burn, draws), "seated")
-    words = written(counted(word_keys(docs, shards), answers.where("kind = 1")), "counted")
+    words = written(counted(word_keys(docs, shards), answers.where("kind = 1"), shards), "counted")
     total = {"n": 0, "v": 0, "t": 0}
     for r in words.where("kind = 3").select("a", "b", "c").toLocalIterator():  # a row for each shard
         for name, raw in zip(total, r):
@@ -346,7 +359,7 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
         return pa.table(cols, names=[x.split()[0] for x in SCORES.split(", ")])
 
     both = packed(docs).unionByName(answers.where("kind = 0")).unionByName(words.where("kind = 2"))
-    return both.groupBy("dest").applyInArrow(run, SCORES)
+    return both.repartition(shards, "dest").groupBy("dest").applyInArrow(run, SCORES)
 
 
 def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestone.llm.shared import mapped
+
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 #: comment, declaration, raw-text element, tag, or what the end of the page cuts off
 TOKEN = re.compile(
@@ -259,7 +261,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 texts = [main_text(x.as_py()) for x in part.column(2)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return mapped(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long")
 
 
 def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.components import components
-from lodestone.llm.shared import bitmap, dropped, marked, written
+from lodestone.llm.shared import bitmap, dropped, mapped, marked, written
 
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
@@ -127,7 +127,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                 cls = pa.array(set_id(code, begin).view(np.int64), mask=empty)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n), cls, lists(np.ascontiguousarray(band.T).view(np.int64)), lists(odd_sketch(drawn))], names=["doc_id", "row_key", "n_shingles", "class", "bands", "sketch"])
 
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, SIGNED)
+    return mapped(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text"), run, SIGNED)
 
 
 def sets_of(docs: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
@@ -144,7 +144,7 @@ def sets_of(docs: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
                 at = at[first]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at].view(np.int64)), pa.array([code[begin[k] : begin[k + 1]].tobytes() for k in at.tolist()], pa.binary())], names=["class", "set"])
 
-    return docs.select("text").mapInArrow(run, "class long, set binary").dropDuplicates(["class"])
+    return mapped(docs.select("text"), run, "class long, set binary").dropDuplicates(["class"])
 
 
 def estimate(a: str, b: str) -> Column:
@@ -171,7 +171,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     left, right = sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return mapped(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), run, "a long, b long")
 
 
 DELTA = "class long, pivot long, of long, n long, n_pivot long, delta array<long>"
@@ -188,7 +188,7 @@ def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *sizes, pa.array(d, pa.list_(pa.int64()))], names=["class", "pivot", "of", "n", "n_pivot", "delta"])
 
     own = members.join(sets, "class").join(sets.select(F.col("class").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
-    return own.select("class", "pivot", "of", "set", "pivot_set").mapInArrow(run, DELTA)
+    return mapped(own.select("class", "pivot", "of", "set", "pivot_set"), run, DELTA)
 
 
 def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

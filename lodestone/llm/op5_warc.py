@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.op3_extract import visible_text
+from lodestone.llm.shared import mapped
 
 VERSION = "WARC/1.1"
 CAPTURED = "2024-01-01T00:00:00Z"
@@ -140,7 +141,7 @@ def derived(records: DataFrame) -> DataFrame:
                         rows.append({"page_id": page.as_py(), "error": str(e) if isinstance(e, ValueError) else f"no {e.args[0]}"})
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], types[n]) for n in names], names=names)
 
-    return records.select("page_id", "record").mapInArrow(run, SCHEMA)
+    return mapped(records.select("page_id", "record"), run, SCHEMA)
 
 
 def responses(pages: DataFrame) -> DataFrame:
@@ -158,7 +159,7 @@ def responses(pages: DataFrame) -> DataFrame:
                     out.append(record(heads, block))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.binary())], names=["page_id", "record"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, record binary")
+    return mapped(pages.select("page_id", "url", "html"), run, "page_id long, record binary")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

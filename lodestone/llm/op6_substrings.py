@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.fm_index import FMIndex
-from lodestone.llm.shared import bitmap, marked, partitions, written
+from lodestone.llm.shared import bitmap, mapped, marked, partitions, written
 
 WINDOW, ANCHOR = 50, 10
 FILTER_BITS = 26
@@ -107,7 +107,7 @@ def _hot_runs(docs: DataFrame, anchor: int) -> np.ndarray:
                 value, count = np.unique(h[one], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(count.astype(np.int64))], names=["run", "n"])
 
-    counted = sample.select("text").mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    counted = mapped(sample.select("text"), run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
     common = counted.where(F.col("n") > max(HOT_LEAST, HOT_SHARE * min(n, SAMPLE)))
     return np.sort(np.array([r[0] for r in common.select("run").collect()], np.int64).astype(np.uint64))  # bounded by the sample
 
@@ -123,7 +123,7 @@ def _shared_anchors(docs: DataFrame, hot, width: int, anchor: int) -> np.ndarray
                 if len(w.begin):
                     yield pa.RecordBatch.from_arrays([pa.array(w.anchor.astype(np.int64)), pa.array(ids[i:j][w.who[w.begin]])], names=["anchor", "doc_id"])
 
-    pairs = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
+    pairs = mapped(docs.where("doc_id is not null").select("doc_id", "text"), run, "anchor long, doc_id long")
     two = pairs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
     return bitmap(two, "anchor", FILTER_BITS)
 
@@ -171,7 +171,7 @@ def _segments(docs: DataFrame, shared, hot, shards: int, width: int, anchor: int
                 yield rows(out)
         yield rows(list(once.values()))
 
-    return docs.where("doc_id is not null").select("doc_id", "row_key", "text").mapInArrow(run, SEGMENT)
+    return mapped(docs.where("doc_id is not null").select("doc_id", "row_key", "text"), run, SEGMENT)
 
 
 VERDICT = "segment long, hot boolean, row_key long, doc_id long, start int, size int, gone binary"
@@ -258,7 +258,7 @@ def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) ->
                 cols = [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return keyed.join(lost, "row_key", "left").select(*docs.columns, "lost").mapInArrow(run, schema)
+    return mapped(keyed.join(lost, "row_key", "left").select(*docs.columns, "lost"), run, schema)
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

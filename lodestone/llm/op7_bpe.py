@@ -12,7 +12,7 @@ edge of the right one in the order of their merges, they fit if no merge across
 before both edges' next one.
 
 Pieces are the vocabulary's own: special tokens first, then the byte-level pattern.
-Encoded pieces are kept for a worker's life, up to `CACHE_PIECES` of at most 64 bytes;
+Encoded pieces are kept for a worker's life, up to `CACHE_PIECES` of at most 64 characters;
 further ones are encoded anew each time.
 
 Null and empty texts give no ids and decode to the empty text. Texts of any length are
@@ -23,6 +23,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -32,7 +33,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 200_000
+from lodestone.llm.shared import mapped
+
+CACHE_PIECES, CACHE_PAIRS = 150_000, 300_000
 #: Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -95,9 +98,6 @@ class Vocabulary:
     def fits(self, a: int, b: int) -> bool:
         """Whether tokens a and b can stand side by side in an encoding. Of two equal
         merges that overlap, the left one comes first."""
-        key = a << 32 | b
-        if (known := self.fit.get(key)) is not None:
-            return known
         left, right, rank, never = self.edge(a, 1), self.edge(b, 0), self.rank, self.never
         i = j = 0
         while True:
@@ -113,26 +113,30 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.fit) < 2 * CACHE_PIECES:
-            self.fit[key] = ok
+        if len(self.fit) < CACHE_PAIRS:
+            self.fit[a << 20 | b] = ok
         return ok
 
     def piece(self, text: str) -> list[int]:
         """The ids of one piece."""
         s = text.encode().decode("latin-1")
-        last: list[tuple[int, int]] = [(-1, 0)] * (len(s) + 1)
-        done, fits = [True] + [False] * len(s), self.fits
-        for end, (t, n) in self.automaton.iter(s):
-            ends = end + 1
-            if not done[ends]:
-                j = ends - n
-                if j == 0 or fits(last[j][0], t):
-                    last[ends] = (t, j)
-                    done[ends] = True
-        ids, at = [], len(s)
+        n = len(s)
+        last, size = [-1] * (n + 1), [0] * (n + 1)
+        get, fits = self.fit.get, self.fits
+        for end, (t, length) in self.automaton.iter(s):
+            end += 1
+            if last[end] < 0:  # else the prefix has its token
+                j = end - length
+                if j:
+                    a = last[j]
+                    ok = get(a << 20 | t)
+                    if not (fits(a, t) if ok is None else ok):
+                        continue
+                last[end], size[end] = t, length
+        ids, at = [], n
         while at:
-            t, at = last[at]
-            ids.append(t)
+            ids.append(last[at])
+            at -= size[at]
         ids.reverse()
         return ids
 
@@ -160,7 +164,7 @@ class Pieces(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.vocabulary.piece(piece), np.int32).tobytes()
+        ids = array("i", self.vocabulary.piece(piece)).tobytes()
         if len(self) < CACHE_PIECES and len(piece) <= 64:
             self[piece] = ids
         return ids
@@ -195,7 +199,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offs), flat), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
                 i = j
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
+from lodestone.llm.shared import mapped
 
 HASHES = 3
 SIZES = (3, 4)
@@ -155,7 +156,7 @@ def fitted(docs: DataFrame, train: Column, train_docs: int = TRAIN_DOCS, min_sha
         for (lang, size), (code, count) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(np.full(len(code), size, np.int32)), pa.array(code.astype(np.int64)), pa.array(count.astype(np.int64))], names=["lang", "size", "code", "n"])
 
-    counts = sample.select("lang", "text").mapInArrow(run, "lang string, size int, code long, n long").groupBy("lang", "size", "code").agg(F.sum("n").alias("n"))
+    counts = mapped(sample.select("lang", "text"), run, "lang string, size int, code long, n long").groupBy("lang", "size", "code").agg(F.sum("n").alias("n"))
     held: dict[tuple[str, int], list[tuple[int, int]]] = defaultdict(list)
     for r in counts.where("n > 1").collect():  # bounded by the sample
         held[r[0], r[1]].append((r[2], r[3]))
@@ -178,7 +179,7 @@ def identified(docs: DataFrame, filters: Filters) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names)
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string, score double"])
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def held_out() -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
-from lodestone.llm.shared import written
+from lodestone.llm.shared import mapped, written
 
 WINDOW = 10
 #: Words of items in one automaton: near 100 MB in a Python worker at the most.
@@ -216,7 +216,7 @@ def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words:
                     cols += [pa.array(np.diff(firsts)), pa.array([[{"first": x, "last": y} for x, y in merged(s)] for s in spans], pa.list_(SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays(cols, names=names)
 
-        out = (written(out, "decontaminate") if k else out).mapInArrow(run, schema)
+        out = mapped((written(out, "decontaminate") if k else out), run, schema)
     return out
 
 
@@ -245,7 +245,7 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    out = hit.select(*names, "hits").mapInArrow(run, schema)
+    out = mapped(hit.select(*names, "hits"), run, schema)
     return out.withColumn("n_chars", F.length("text").cast(types["n_chars"])).select(*names) if "n_chars" in names else out
 
 

@@ -69,7 +69,7 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["part", "bytes"])
 
     found = np.zeros(max(1 << bits, _SLICE) // 8, np.uint8)
-    for part, raw in parts.mapInArrow(packed, "part int, bytes binary").toLocalIterator():
+    for part, raw in mapped(parts, packed, "part int, bytes binary").toLocalIterator():
         found[part * _SLICE // 8 : (part + 1) * _SLICE // 8] = np.frombuffer(raw, np.uint8)
     return found[: max(1, (1 << bits) // 8)]
 
@@ -78,3 +78,15 @@ def marked(found: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of some 64-bit values have their bit set in a map of `bitmap`."""
     bit = values.astype(np.uint64) & np.uint64(len(found) * 8 - 1)
     return (found[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+#: Rows of an Arrow batch: texts may be long, and a batch is held whole on both sides.
+BATCH_ROWS = 1000
+
+
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow in batches of at most BATCH_ROWS rows (a setting of the session)."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
