@@ -11,8 +11,7 @@ stop there. All others are confirmed on the full sets.
 
 Within a bucket of a band not all pairs are made:
 1. each class is paired with the bucket's centre, the class that shares most buckets
-   with others; the best estimate of each class is confirmed first, and of the further
-   pairs only those whose ends are not yet connected.
+   with others.
 2. where a bucket still holds two or more components, classes with the same pivot (the
    greatest centre that they meet) are compared by what differs from it, through an
    index of their rarest differences (`same_pivot`): exact, and not all pairs.
@@ -215,12 +214,13 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # the first e - k + 1 differences, without those that no other class has: the rarest
     x = held_h.join(order, "class").join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
     low = F.col("other") * (F.col("n_pivot") * 0.06 + 1) - g * F.col("n_pivot")
-    k = F.greatest(F.ceil((F.col("h") + low) / 2 - 1e-6), F.lit(1))
-    take = F.least(F.size("shared"), F.col("e") - k + 1 - (F.col("e") - F.size("shared"))).cast("int")
-    x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s"))
-    x = x.select("class", "of", F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
-    a, b = (x.select("at", F.col("class").alias(v), F.col("of").alias(f"of_{v}")) for v in "ab")
-    pairs = a.join(b, "at").where("of_a < of_b").select("a", "b").distinct()
+    lone = F.col("e") - F.size("shared")
+    take = F.least(F.size("shared"), F.col("e") - F.greatest(F.ceil((F.col("h") + low) / 2 - 1e-6), F.lit(1)) + 1 - lone).cast("int")
+    x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", "h", "e", lone.alias("lone"), F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("place", "s"))
+    # at the first common one of a pair, no more can be common than stand from there on in either
+    x = x.select("class", "of", "h", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"), F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
+    a, b = (x.select("at", F.col("class").alias(v), *(F.col(c).alias(f"{c}_{v}") for c in ("of", "h", "rest"))) for v in "ab")
+    pairs = a.join(b, "at").where("of_a < of_b and least(rest_a, rest_b) >= (h_a + h_b) / 2 - 1e-6").select("a", "b").distinct()
     left, right = (held.select(F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
     apart = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
     both = F.col("n_a") + F.col("n_b")
@@ -248,8 +248,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Data
     stars = written(with_sides(stars), "stars")
     # sets of every class that stands in a bucket and could be asked for later
     sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS), words), "sets")
-    best = stars.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    found = written(confirmed(best, sets, percent), "links")
+    found = written(confirmed(stars.select("a", "b"), sets, percent), "links")
 
     def mixed(part: DataFrame) -> DataFrame:
         """Bucket rows (key, class, of) of the buckets with two components or more."""
@@ -257,24 +256,14 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Data
         two = own.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key")
         return own.join(two, "key")
 
-    for step in ("stars", "one pivot", "two pivots"):
-        part = written(components(found), "components")
-        if step == "stars":
-            of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))  # noqa: B023, E731
-            todo = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-            new = confirmed(todo.join(best, ["a", "b"], "left_anti"), sets, percent)
-        elif step == "one pivot":
-            members = mixed(part).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
-            new = same_pivot(members, sets, percent)
-        else:
-            left = written(mixed(part).join(pivot, "class").join(sides, "class"), "mixed")
-            a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "pivot", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-            across = a.join(b, "key").where("of_a < of_b and pivot_a <> pivot_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
-            new = confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent)
-        both = written(found.unionByName(new), "links")
-        dropped(part, found)
-        found = both
-    dropped(buckets, named, stars, sets)
+    members = mixed(components(found)).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
+    found = written(found.unionByName(same_pivot(members, sets, percent)), "links")
+    left = written(mixed(components(found)).join(pivot, "class").join(sides, "class"), "mixed")
+    a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "pivot", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
+    across = a.join(b, "key").where("of_a < of_b and pivot_a <> pivot_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
+    new = confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent)
+    found = written(found.unionByName(new), "links")
+    dropped(buckets, named, stars, sets, left)
     return found
 
 
