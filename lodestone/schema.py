@@ -13,7 +13,5 @@ EMPTY_TEXT, EMPTY_SUMMARY = "[Empty document]", "Empty document"
 
 
 def names(ddl: str) -> list[str]:
-    """The column names of a flat DDL string."""
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl).names
+    """The column names of a flat DDL string, columns parted by a comma and a blank."""
+    return [c.split(" ", 1)[0] for c in ddl.split(", ")]

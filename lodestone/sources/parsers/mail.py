@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 from datetime import UTC, datetime, timedelta
@@ -56,7 +57,8 @@ def strip_html(t: str) -> str:
 def size_text(n: int | None) -> str:
     if not n:
         return "unknown size"
-    return f"{n} B" if n < 1024 else f"{n / 1024:.1f} KB" if n < 1 << 20 else f"{n / (1 << 20):.1f} MB"
+    one = lambda x: f"{math.floor(x * 10 + 0.5) / 10:.1f}"  # halves go up
+    return f"{n} B" if n < 1024 else f"{one(n / 1024)} KB" if n < 1 << 20 else f"{one(n / (1 << 20))} MB"
 
 
 def iso(d: datetime) -> str:
