@@ -6,6 +6,7 @@ import numpy as np
 
 #: Tables drawn at a time for a customer that joins one.
 TRIES = 8
+ONE = np.int32(1)
 
 
 def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: float, strength: float, copies: np.ndarray, burn: int, draws: int, seed: int) -> np.ndarray:
@@ -45,54 +46,69 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
     order = np.argsort(turn.astype(np.int8), kind="stable").astype(first.dtype)
     cuts = np.concatenate(([0], np.cumsum(np.bincount(turn, minlength=64))))
     seen = np.zeros(len(at))
+    mark = np.zeros(n, np.int32)
+
+    def one_each(keys: np.ndarray) -> np.ndarray:
+        """Places of one entry of each value."""
+        here = np.arange(len(keys), dtype=np.int32)
+        mark[keys] = here
+        return np.flatnonzero(mark[keys] == here)
+
+    def move(where: np.ndarray, by: float) -> None:
+        """Opens or closes one table for each entry: pairs of the tables."""
+        np.add.at(tables, where, by)
+        np.add.at(of_context, u[where], by)
+        np.add.at(of_dish, w[where], by)
+
     for sweep in range(burn + draws):
         for a, z in zip(cuts[:-1], cuts[1:]):
             i = order[a:z]
             if not len(i):
                 break
-            p, t = pair[i], table[i]
-            np.subtract.at(size, t.astype(np.intp), 1)
+            p, t = pair[i], table[i].astype(np.intp)
+            np.subtract.at(size, t, ONE)
             left = t[size[t] == 0]
-            left = np.unique(left)
-            np.subtract.at(tables, pair[left], 1)
-            np.subtract.at(of_context, u[pair[left]], 1)
-            np.subtract.at(of_dish, w[pair[left]], 1)
+            left = left[one_each(left)]
+            move(pair[left], -1.0)
             total -= len(left)
-            share = np.bincount(p, minlength=1)[p]
+            share = np.bincount(p)[p]
             old = np.maximum(c[p] - share - discount * tables[p], 0.0)
             base = (np.maximum(of_dish[w[p]] - discount, 0.0) + (strength + discount * kinds) / kinds) / (strength + total)
-            new = (strength + discount * of_context[u[p]] * copies[u[p]]) * base
+            context_ = u[p]
+            new = (strength + discount * of_context[context_] * copies[context_]) * base
             opens = rng.random(len(i)) * (old + new) >= old
             # a table in proportion to size - discount: that of another customer, kept or drawn again
-            todo = np.flatnonzero(~opens)
+            join = i[~opens]
+            todo, tries = np.arange(len(join)), 1
+            got = np.empty(len(join), np.intp)
+            q = p[~opens]
             while len(todo):
-                q = p[todo][:, None]
-                k = table[first[q] + (rng.random((len(todo), TRIES)) * c[q]).astype(first.dtype)]
+                k = table[first[q][:, None] + (rng.random((len(todo), tries)) * c[q][:, None]).astype(first.dtype)]
                 held = size[k]
-                ok = rng.random(k.shape) * held < held - discount
+                ok = rng.random(k.shape, np.float32) * held < held - discount
                 found = ok.any(axis=1)
-                table[i[todo[found]]] = k[found, ok[found].argmax(axis=1)]
-                todo = todo[~found]
-            np.add.at(size, table[i[~opens]].astype(np.intp), 1)
+                got[todo[found]] = k[found, ok[found].argmax(axis=1)]
+                todo, q, tries = todo[~found], q[~found], TRIES
+            table[join] = got
+            np.add.at(size, got, ONE)
             # a free place of the pair for each table that is opened: that just left, the
             # customer's own, or any
-            todo = i[opens]
-            k = np.stack((t[opens], todo), axis=1)
+            todo, k, q = i[opens], t[opens], p[opens]
+            k = np.where(size[k] == 0, k, todo)[:, None]
             while len(todo):
                 free = size[k] == 0
                 some = np.flatnonzero(free.any(axis=1))
-                k, one = np.unique(k[some, free[some].argmax(axis=1)], return_index=True)
-                one = some[one]
-                who = todo[one]
-                table[who] = k
+                k = k[some, free[some].argmax(axis=1)]
+                one = one_each(k)
+                k, done = k[one], some[one]
+                table[todo[done]] = k
                 size[k] = 1
-                np.add.at(tables, pair[who], 1)
-                np.add.at(of_context, u[pair[who]], 1)
-                np.add.at(of_dish, w[pair[who]], 1)
-                total += len(who)
-                todo = np.delete(todo, one)
-                q = pair[todo][:, None]
-                k = first[q] + (rng.random((len(todo), TRIES)) * c[q]).astype(first.dtype)
+                move(q[done], 1.0)
+                total += len(done)
+                rest = np.ones(len(todo), bool)
+                rest[done] = False
+                todo, q = todo[rest], q[rest]
+                k = first[q][:, None] + (rng.random((len(todo), TRIES)) * c[q][:, None]).astype(first.dtype)
         if sweep >= burn:
             seen += tables
     mean[at] = seen / draws

@@ -238,10 +238,13 @@ def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFram
             out.append((0, block, shard, of_ctx[0][at].astype(np.uint32).tobytes(), of_ctx[1][at].astype(np.uint32).tobytes(), c[p].astype(np.uint32).tobytes(), tables[p].astype(np.uint32).tobytes(), d))
             x, y = x + len(ids), y + len(right_)
         t = np.bincount(pw, tables[real], minlength=len(dish)).astype(np.int64)
-        dest = (tv.mix(dish) % np.uint64(word_shards)).astype(np.int64)
-        for s in np.unique(dest[t > 0]).tolist():
-            m = (dest == s) & (t > 0)
-            out.append((1, s, r["shard"][0], pack5(dish[m]), t[m].tobytes(), None, None, None))
+        some = np.flatnonzero(t)
+        dest = (tv.mix(dish[some]) % np.uint64(word_shards)).astype(np.int64)
+        order = np.argsort(dest, kind="stable")
+        some, dest = some[order], dest[order]
+        cut = np.flatnonzero(np.diff(dest, prepend=-1))
+        for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(dest)]):
+            out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), t[some[x:y]].tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
     return keys.repartition(word_shards, "shard").groupBy("shard").applyInArrow(run, _KINDS)
