@@ -49,6 +49,8 @@ SAMPLE, HOT_SHARE, HOT_LEAST = 20_000, 0.002, 20
 SHARD_BYTES = 4 << 20
 _LAST = np.uint64(1 << 63)
 _NEVER = np.iinfo(np.int64).max
+# columns of its own, beside any that the documents have
+_KEY, _LOST = "_lodestone_key", "_lodestone_lost"
 
 
 def least(x: np.ndarray, width: int) -> np.ndarray:
@@ -220,23 +222,24 @@ def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) ->
     """The documents with n_words, n_removed and kept_text (kept words joined by one space)."""
     docs = docs.drop("n_words", "n_removed", "kept_text")
     spark = docs.sparkSession
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
+    plain = keyed.select("doc_id", F.col(_KEY).alias("row_key"), "text")
     hot_runs = _hot_runs(docs, anchor)
     hot = spark.sparkContext.broadcast(hot_runs)
     shared = spark.sparkContext.broadcast(_shared_anchors(docs, hot, width, anchor))
     shards = partitions(docs, "text", SHARD_BYTES)
-    index = _segments(keyed, shared, hot, shards, width, anchor, False).repartition(shards, "shard")
+    index = _segments(plain, shared, hot, shards, width, anchor, False).repartition(shards, "shard")
     found = _verdicts(index, width)
     if len(hot_runs):
         found = written(found, "substrings")
-        places = _segments(keyed, shared, hot, shards, width, anchor, True).withColumnRenamed("doc_id", "own_id").withColumnRenamed("hot", "in_hot").drop("shard")
+        places = _segments(plain, shared, hot, shards, width, anchor, True).withColumnRenamed("doc_id", "own_id").withColumnRenamed("hot", "in_hot").drop("shard")
         verdict = found.where("hot").select("segment", "doc_id", "size", "gone")
         # a document above the smallest loses all windows of the segment: null stands for that
         met = places.join(verdict, "segment")
         hits = found.where("not hot").select("row_key", "start", "size", "gone").unionByName(met.select("row_key", "start", "size", F.when(F.col("own_id") > F.col("doc_id"), F.lit(None)).otherwise(F.col("gone")).alias("gone")))
     else:
         hits = found.select("row_key", "start", "size", "gone")
-    lost = hits.groupBy("row_key").agg(F.collect_list(F.struct("start", "size", "gone")).alias("lost"))
+    lost = hits.groupBy(F.col("row_key").alias(_KEY)).agg(F.collect_list(F.struct("start", "size", "gone")).alias(_LOST))
     names = [*docs.columns, "n_words", "n_removed", "kept_text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_words long, n_removed long, kept_text string"])
     at = docs.columns.index("text")
@@ -258,7 +261,7 @@ def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) ->
                 cols = [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return mapped(keyed.join(lost, "row_key", "left").select(*docs.columns, "lost"), run, schema)
+    return mapped(keyed.join(lost, _KEY, "left").select(*docs.columns, _LOST), run, schema)
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

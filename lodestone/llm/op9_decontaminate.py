@@ -223,7 +223,8 @@ def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words:
 def decontaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """The documents without test items: every span found is cut out of the text, from
     its first word to its last, and documents of which such spans are more than
-    `max_coverage` of the words go. n_chars follows the text; other columns stay."""
+    `max_coverage` of the words go. n_chars follows the text; other columns stay, but n_words, hits and items."""
+    docs = docs.drop("n_words", "hits", "items")
     names, types = docs.columns, {f.name: f.dataType.simpleString() for f in docs.schema}
     hit = found(docs, bench, window).where(F.aggregate("hits", F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1) <= max_coverage * F.col("n_words"))
     schema = ", ".join(f"`{n}` {types[n]}" for n in names)

@@ -50,7 +50,7 @@ def rows(spark, texts):
     data = [(k, t) for k, t in enumerate(texts)]
     random.Random(1).shuffle(data)
     data += [data[5], (None, texts[-1]), (None, "lone null id here")]
-    return spark.createDataFrame(data, "doc_id long, text string").withColumns({"n_words": F.lit("clash"), "class": F.lit(1)}).repartition(3), data
+    return spark.createDataFrame(data, "doc_id long, text string").withColumns({"n_words": F.lit("clash"), "class": F.lit(1), "row_key": F.lit(2), "lost": F.lit(3)}).repartition(3), data
 
 
 def test_fm_index():
