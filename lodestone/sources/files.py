@@ -8,8 +8,10 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lodestone.functions import text as T
 from lodestone.functions.text import DOC_TYPES, SCANNED
 from lodestone.schema import FILE
 
@@ -102,8 +104,22 @@ class DocumentSource(DataSource):
         return DocumentReader(find_documents(self.options["path"]))
 
 
+def read_store(spark: SparkSession, root: str) -> DataFrame:
+    """FILE rows of a folder in any store that Spark reads. Its reader passes over empty
+    files and names that begin with a dot or an underscore, and knows no time of creation."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    below = F.substring_index("path", root.rstrip("/").rsplit("://", 1)[-1], -1)
+    kept = raw.where(T.extension("path").isin(*SCANNED) & ~below.rlike(r"/(\.[^/]*|node_modules)/"))
+    return kept.select(
+        "path", T.filename("path").alias("file_name"), F.col("length").alias("file_size"), F.lit(None).cast("timestamp").alias("created_at"), F.col("modificationTime").alias("modified_at"),
+        T.doc_type("path").alias("doc_type"), "content", F.lit(None).cast("string").alias("error"),
+    )
+
+
 def read_directory(spark: SparkSession, root: str) -> DataFrame:
-    """FILE rows of all documents below a directory."""
+    """FILE rows of all documents below a directory; `scheme://` paths go by read_store."""
+    if "://" in root:
+        return read_store(spark, root)
     spark.dataSource.register(DocumentSource)
     return spark.read.format("documents").load(root)
 

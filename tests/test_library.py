@@ -67,6 +67,8 @@ def test_files(spark, tree):
     assert got["a.txt"]["full_text"] == "HEAD\n\nBody text." and got["a.txt"]["metadata"]["fileName"] == "a.txt" and got["a.txt"]["metadata"]["fileSize"] == "17"
     assert got["sub/f.txt"]["full_text"] == "[Empty document]" and got["sub/f.txt"]["metadata"]["isEmpty"] == "true"
     assert "not a PDF" in got["e.pdf"]["error"] and got["e.pdf"]["id"] is None
+    store = {os.path.basename(r["path"]): r["doc_type"] for r in read_directory(spark, f"file://{tree}").collect()}
+    assert store == {"a.txt": "txt", "e.pdf": "pdf", "link.txt": "txt"}
     given = {os.path.basename(r["path"]): r for r in read_files(spark, [str(tree / n) for n in ("d.htm", "none.txt", "sub", "sub/i.exe")]).collect()}
     assert given["d.htm"]["doc_type"] == "html" and given["none.txt"]["error"].startswith("File not found") and given["sub"]["error"].startswith("Not a file") and "extension: .exe" in given["i.exe"]["error"]
 
