@@ -228,8 +228,9 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stars.unionByName(met)
 
 
-def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough of them to connect all that are linked."""
+def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
+    """(node, component) of the classes with links, from confirmed links enough to connect
+    all that are linked."""
     sides = classes.select("class", "n_shingles", "sketch")
     keys = classes.select("class", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -258,13 +259,15 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Data
 
     members = mixed(components(found)).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
     found = written(found.unionByName(same_pivot(members, sets, percent)), "links")
-    left = written(mixed(components(found)).join(pivot, "class").join(sides, "class"), "mixed")
+    part = components(found)
+    left = written(mixed(part).join(pivot, "class").join(sides, "class"), "mixed")
     a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "pivot", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
     across = a.join(b, "key").where("of_a < of_b and pivot_a <> pivot_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
-    new = confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent)
-    found = written(found.unionByName(new), "links")
+    new = written(confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent), "links")
+    if new.limit(1).count():
+        part = components(found.unionByName(new))
     dropped(buckets, named, stars, sets, left)
-    return found
+    return part
 
 
 def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataFrame:
@@ -273,7 +276,7 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     rows = written(signed(docs, words), "signed")
     one = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch"))
     classes = written(rows.where("class is not null").groupBy("class").agg(one.alias("c"), F.min("doc_id").alias("least")).select("class", "least", "c.n_shingles", "c.bands", "c.sketch"), "classes")
-    part = written(components(links(docs, classes, percent, words)), "components")
+    part = linked(docs, classes, percent, words)
     of = classes.select("class", "least").join(part.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # two steps: the smallest doc_id of each component, then of each class
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
