@@ -8,8 +8,9 @@ import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from lodestone.functions.splitter import SPLIT_ABOVE, clean, split, summary, tokens, trim
 from lodestone.schema import CHUNK, EMPTY_SUMMARY, EMPTY_TEXT, names
@@ -147,3 +148,18 @@ def blocks_of(docs: DataFrame, doc_type: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *r.columns], names=["doc_id", *r.schema.names])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, {ddl}")
+
+
+@udtf(returnType="chunk_index int, full_text string, summary_text string, title_text string")
+class ChunkText:
+    """SQL: SELECT ... FROM docs, LATERAL chunk_text(text, 'md')."""
+
+    def eval(self, text: str | None, doc_type: str) -> Iterator[tuple]:
+        blocks, meta = parse((text or "").encode(), doc_type)
+        for c in chunks(blocks, "", doc_type, "", meta):
+            yield c["chunk_index"], c["full_text"], c["summary_text"], c["title_text"]
+
+
+def register(spark: SparkSession) -> None:
+    """Makes chunk_text known to SQL."""
+    spark.udtf.register("chunk_text", ChunkText)

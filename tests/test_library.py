@@ -197,3 +197,12 @@ def test_config(monkeypatch):
 def test_supported_types(spark):
     got = spark.createDataFrame([("/a.MD",), ("/b.xls",), ("/c.exe",)], "p string").select(T.doc_type("p")).collect()
     assert [r[0] for r in got] == ["md", "xlsx", None]
+
+
+def test_table_function(spark):
+    from lodestone.operators.documents import register
+
+    register(spark)
+    spark.createDataFrame([(1, "# A\n\none\n\n# B\n\ntwo"), (2, None)], "k int, t string").createOrReplaceTempView("texts_to_chunk")
+    got = spark.sql("SELECT k, c.* FROM texts_to_chunk, LATERAL chunk_text(t, 'md') c ORDER BY k, chunk_index").collect()
+    assert [(r["k"], r["full_text"]) for r in got] == [(1, "A\n\none"), (1, "B\n\ntwo"), (2, "[Empty document]")]
