@@ -5,7 +5,7 @@ sidebars, notices, adverts, forms and reader comments (by tag, role, class or id
 do scripts, styles, comments of the markup and the head.
 
 Pass 1 decides each remaining block. If the page marks an article (`article`, `main`,
-or a role or itemprop that says so), its blocks are the text and all others boilerplate;
+or a role, itemprop, class or id that says so), its blocks are the text and all others boilerplate;
 a list block in it that is nearly all links is a menu. On other pages link density, length
 and stop-word density decide: good, bad, or, for short blocks, undecided; headings are
 undecided. Pass 2 gives an undecided block the label of its nearest decided neighbours:
@@ -49,12 +49,14 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY = frozenset("head nav header footer aside form button select option datalist dialog menu fieldset object audio video canvas map".split())
 #: Words in a class or id that mark what is no part of an article.
 AWAY_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent cookie cookies disqus "
-    "discussion footer gdpr header infobar login masthead menu modal nav navbar navigation newsletter notice notices overlay paywall popup promo promoted promotion "
-    "reactions related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar".split()
+    "ad ads adsbygoogle adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent cookie cookies disqus "
+    "discussion footer gdpr header infobar login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination paywall popup promo promoted promotion "
+    "reactions related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar".split()
 )
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ARTICLE_WORDS = frozenset({"articlebody", "article", "main"})
+#: Pairs of words in a class or id that mark an article's text.
+ARTICLE_PAIRS = tuple(frozenset(x.split()) for x in ("article body", "article content", "article text", "entry content", "main content", "post body", "post content", "story body"))
 #: Frequent function words of five languages.
 STOP_WORDS = frozenset(
     "the of and to in a is that it for was with as on be by this are from or an at not have but which you "
@@ -88,6 +90,8 @@ def kind(tag: str, attrs: str) -> str:
             elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
                 if words & AWAY_WORDS or "header" in words and tag in ("div", "section", "table") and not words & {"article", "post", "entry"}:
                     return "away"
+                if any(pair <= words for pair in ARTICLE_PAIRS):
+                    out = "article"
     return out
 
 

@@ -137,6 +137,7 @@ def test_extraction(spark):
     plain = "<div><a href=x>a</a> <a href=y>menu</a></div><h2>Head</h2><p>" + "The cat is in the house and it was not for the dog that is on the mat " * 3 + "</p><p>short</p><p>" + "This is the end of it and that was all there is for you and me but not for them " * 2 + "</p><div class=comment>no</div>"
     text = op3.main_text(plain)
     assert text.startswith("Head The cat") and " short This" in text and text.endswith("for them") and "menu" not in text
+    assert op3.main_text("<div class='x'>menu text</div><div class='post-content'>Kept <p class=ad>no</p> text</div><div id=comments>no</div>") == "Kept text"
     odd = [None, "", "words only", "<p>cut <b", "<article>open <p>end", "<" * 5000, "</p>" * 5000, "<script>x", "<!-- x", "<div>" * 20000 + "deep"]
     pages = spark.createDataFrame([(k, None, h) for k, h in enumerate(odd)] + [(0, "u", "x")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = op3.extracted(pages).collect()
