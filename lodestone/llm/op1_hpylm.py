@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.crp import seat
-from lodestone.llm.shared import mapped, partitions, written
+from lodestone.llm.shared import grouped, mapped, partitions, written
 
 BLOCK_BYTES = 4 << 20
 THETA, THETA0, DISCOUNT0 = 1.0, 1.0, 0.5
@@ -247,7 +247,7 @@ def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFram
             out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), t[some[x:y]].tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
-    return keys.repartition(word_shards, "shard").groupBy("shard").applyInArrow(run, _KINDS)
+    return grouped(keys.repartition(word_shards, "shard").groupBy("shard"), run, _KINDS)
 
 
 def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
@@ -300,7 +300,7 @@ def counted(keys: DataFrame, tables: DataFrame, word_shards: int) -> DataFrame:
             out.append((2, int.from_bytes(r["c"][k], "little"), s, c[at].astype(np.uint32).tobytes(), t[at].astype(np.uint32).tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
-    return keys.unionByName(tables).repartition(word_shards, "dest").groupBy("dest").applyInArrow(run, _KINDS)
+    return grouped(keys.unionByName(tables).repartition(word_shards, "dest").groupBy("dest"), run, _KINDS)
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -362,7 +362,7 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
         return pa.table(cols, names=[x.split()[0] for x in SCORES.split(", ")])
 
     both = packed(docs).unionByName(answers.where("kind = 0")).unionByName(words.where("kind = 2"))
-    return both.repartition(shards, "dest").groupBy("dest").applyInArrow(run, SCORES)
+    return grouped(both.repartition(shards, "dest").groupBy("dest"), run, SCORES)
 
 
 def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.fm_index import FMIndex
-from lodestone.llm.shared import bitmap, mapped, marked, partitions, written
+from lodestone.llm.shared import bitmap, grouped, mapped, marked, partitions, written
 
 WINDOW, ANCHOR = 50, 10
 FILTER_BITS = 26
@@ -215,7 +215,7 @@ def _verdicts(segments: DataFrame, width: int) -> DataFrame:
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in VERDICT.split(", ")])
 
-    return segments.groupBy("shard").applyInArrow(run, VERDICT)
+    return grouped(segments.groupBy("shard"), run, VERDICT)
 
 
 def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

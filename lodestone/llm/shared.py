@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -84,9 +85,34 @@ def marked(found: np.ndarray, values: np.ndarray) -> np.ndarray:
 BATCH_ROWS = 1000
 
 
-def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can: a Python worker lives on
+    beside the tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow in batches of at most BATCH_ROWS rows (a setting of the session)."""
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def grouped(groups: GroupedData, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """applyInArrow of a function over groups of bounded size."""
+
+    def group(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return groups.applyInArrow(group, schema)
