@@ -106,24 +106,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, spans in order; equal bytes, equal hash,
-    wherever they stand."""
-    if len(data) > 2 * SLICE_BYTES and len(starts) > 1:
-        out = np.empty(len(starts), np.uint64)
-        i = 0
-        while i < len(starts):
-            j = max(int(np.searchsorted(starts, starts[i] + SLICE_BYTES)), i + 1)
-            a, z = starts[i], ends[j - 1]
-            out[i:j] = hash_spans(data[a:z], starts[i:j] - a, ends[i:j] - a)
-            i = j
-        return out
+def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     pw, inv = _power(len(data) + 1)
     c = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * pw[: len(data)], out=c[1:])
     return mix((c[ends] - c[starts]) * inv[starts])
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, spans in order; equal bytes, equal hash,
+    wherever they stand."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(int(np.searchsorted(starts, starts[i] + SLICE_BYTES)), i + 1)
+        a, z = starts[i], ends[j - 1]
+        out[i:j] = _hash(data[a:z], starts[i:j] - a, ends[i:j] - a)
+        i = j
+    return out
+
+
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A 64-bit hash of ordered pairs of hashes."""
     return mix(a * np.uint64(0xD1342543DE82EF95) + (b ^ np.uint64(0x2545F4914F6CDD1D)))

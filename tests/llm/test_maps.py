@@ -167,3 +167,13 @@ def test_warc(spark):
     assert "né" in bytes(by[3][1]["record"]).decode()
     assert all(by[k][0]["error"] and by[k][0]["record"] is None for k in (4, 5, 6, 8))
     assert bytes(by[9][1]["record"]).endswith(b"\r\n\r\nabc\r\n\r\n")
+
+
+def test_hashes_of_long_texts():
+    import numpy as np
+
+    from lodestone.llm import textvec as tv
+
+    raw = np.frombuffer(b"ab cd " * 1000 + b"x" * 3_000_000 + b" ab cd" * 300_000, np.uint8)
+    starts, ends, _ = tv.spans(raw, np.array([0, len(raw)]), tv.NOT_SPACE)
+    assert len(set(tv.hash_spans(raw, starts, ends).tolist())) == 3
