@@ -12,7 +12,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for each node of links (a, b), both long: the smallest node that
     it reaches. Rounds of two steps until only stars are left: each node hands its larger
     neighbours to the smallest one it sees, then its smaller ones. A node with very many
-    links meets them in a sum and a join, which splits when skewed, never in one list.
+    links meets them in a sum, which is written, and a join, which splits when skewed, as
+    its sides come straight from exchanges; never in one list.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
     while True:
@@ -23,12 +24,13 @@ def components(links: DataFrame) -> DataFrame:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large: neighbours above u go to the smallest of u and its neighbours
-        m = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small: u and its neighbours below go to the smallest of them
-        m = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = written(small.unionByName(m.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        dropped(edges)
+        large = written(large, "large")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        dropped(edges, low, large, least)
         edges = new
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -233,11 +233,12 @@ def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Dat
     all that are linked."""
     sides = classes.select("class", "n_shingles", "sketch")
     keys = classes.select("class", F.explode("bands").alias("key"))
-    full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
+    full = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
     # only buckets of two or more, from here on
     buckets = written(keys.join(full, "key"), "buckets")
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
-    centre = buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c"))
+    centre = written(buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")), "centre")
     named = written(buckets.join(centre, "key").select("key", "class", "c"), "centres")
     pivot = named.groupBy("class").agg(F.max("c").alias("c")).select("class", F.col("c.class").alias("pivot"))
     stars = named.select(F.col("class").alias("a"), F.col("c.class").alias("b")).where("a <> b").distinct()
@@ -254,7 +255,7 @@ def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Dat
     def mixed(part: DataFrame) -> DataFrame:
         """Bucket rows (key, class, of) of the buckets with two components or more."""
         own = named.select("key", "class").join(part.withColumnRenamed("node", "class"), "class", "left").select("key", "class", F.coalesce("component", "class").alias("of"))
-        two = own.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key")
+        two = written(own.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key"), "two")
         return own.join(two, "key")
 
     members = mixed(components(found)).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
@@ -279,7 +280,8 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     part = linked(docs, classes, percent, words)
     of = classes.select("class", "least").join(part.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # two steps: the smallest doc_id of each component, then of each class
-    smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = written(of, "of")
+    smallest = written(of.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     by_class = written(of.join(smallest, "component").select("class", "component_id"), "by_class")
     judged = rows.select("doc_id", "row_key", "n_shingles", "class").join(by_class, "class", "left").select("doc_id", "row_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
