@@ -46,7 +46,7 @@ from lodestone.llm.shared import bitmap, grouped, mapped, marked, partitions, wr
 WINDOW, ANCHOR = 50, 10
 FILTER_BITS = 26
 SAMPLE, HOT_SHARE, HOT_LEAST = 20_000, 0.002, 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 _LAST = np.uint64(1 << 63)
 _NEVER = np.iinfo(np.int64).max
 # columns of its own, beside any that the documents have

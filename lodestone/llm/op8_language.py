@@ -38,6 +38,8 @@ HASHES = 3
 SIZES = (3, 4)
 UND = "und"
 TRAIN_DOCS = 4000
+#: Bytes of text worked on at once: some forty bytes of arrays stand for each.
+SLICE = 1 << 18
 #: Letters, after lower-casing: a-z and the bytes of all non-ASCII characters.
 LETTER = (np.arange(256) >= 128) | ((np.arange(256) >= 97) & (np.arange(256) <= 122))
 
@@ -108,7 +110,7 @@ class Filters:
     def decide(self, col: pa.Array) -> tuple[list[str], list[float]]:
         """The language and score of each text of a column."""
         langs, scores = [], []
-        for i, j, data, offs in tv.text_slices(col):
+        for i, j, data, offs in tv.text_slices(col, SLICE):
             text, begins = padded(data, offs)
             n, hit = self.hits(text, begins)
             f = self.false_positive[:, None]

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is worked on alone, whole.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
