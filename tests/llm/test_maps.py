@@ -52,6 +52,20 @@ def test_repetition(spark, docs):
     assert op10.repetition(docs.limit(0)).collect() == []
 
 
+def test_long_repeats_fail_what_the_base_passes(spark):
+    w = [f"w{k}" for k in range(400)]
+    texts = {
+        0: w[:190] + w[:10] + w[190:200] + w[50:60] + w[200:210] + w[100:110],  # three runs of ten: a quarter covered, none long
+        1: w[:200] + w[:20],  # one passage of 9 %, 18 % covered
+        2: w[:200] + w[:12],  # one of 6 %, 11 % covered
+        3: w[:60] + w[:9],  # nothing of ten words
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in op10.repetition(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [(got[k]["covered_words"], got[k]["longest_repeat"], got[k]["kept"]) for k in range(4)] == [(60, 10, False), (40, 20, False), (24, 12, True), (0, 9, True)]
+
+
 def brute_hits(text, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     low = lambda t: [w.decode() for w in (x.encode() for x in word.findall((t or "").encode().lower().decode()))]
