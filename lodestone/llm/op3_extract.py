@@ -4,13 +4,19 @@ A page is cut into blocks at block-level tags. Blocks inside menus, headers, foo
 sidebars, notices, adverts, forms and reader comments (by tag, role, class or id) go, as
 do scripts, styles, comments of the markup and the head.
 
-Pass 1 decides each remaining block. If the page marks an article (`article`, `main`,
-or a role, itemprop, class or id that says so), its blocks are the text and all others boilerplate;
-a list block in it that is nearly all links is a menu. On other pages link density, length
-and stop-word density decide: good, bad, or, for short blocks, undecided; headings are
-undecided. Pass 2 gives an undecided block the label of its nearest decided neighbours:
-good if both sides are good; where they differ, that of the nearer one, a heading that of the
-one after. If no block of the page is decided, its undecided ones are the text.
+Pass 1 decides each remaining block by link density, length and stop-word density: good,
+bad, or, for short blocks, undecided; headings are undecided. Marks of an article
+(`article`, `main`, or a role, itemprop, class or id that says so) are evidence: they are
+believed where the marked part holds at least half of the words that pass 1 finds good (of
+the undecided ones, where none is good). Then a marked block without links is good, one
+with links goes up a level unless it is nearly all links, and one outside must be long to be
+good. Marks that are not believed, as of a teaser beside the text, count for nothing.
+
+Pass 2 gives an undecided block the label of its nearest decided neighbours: good if both
+sides are good; where they differ, that of the nearer one, a heading that of the one after.
+With believed marks, each run of blocks in or outside them is decided by itself; what its
+neighbours leave open is good if it is marked. If no block of another page is decided,
+its undecided ones are the text.
 
 Character references are decoded as browsers do, white space inside a block becomes one
 space, and blocks are joined by one space in page order. Nothing else is dropped or cut.
@@ -25,6 +31,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +74,7 @@ STOP_WORDS = frozenset(
 )
 _CLOSES_P = HEADINGS | frozenset("address article aside blockquote div dl fieldset footer form header hr main nav ol p pre section table ul".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-MIN_WORDS, LONG_WORDS, STOP_LOW, STOP_HIGH, LINKS = 10, 30, 0.10, 0.20, 0.33
+MIN_WORDS, LONG_WORDS, STOP_LOW, STOP_HIGH, LINKS, ALL_LINKS = 10, 30, 0.10, 0.20, 0.33, 0.8
 
 
 def kind(tag: str, attrs: str) -> str:
@@ -203,7 +210,7 @@ def blocks(page: str) -> list[Block]:
 
 
 def first_pass(b: Block) -> str:
-    """'good', 'bad' or '?' of a block of a page without a marked article."""
+    """'good', 'bad' or '?' of a block by its own text."""
     words = b.text.lower().split()
     links = b.linked / max(len(b.text), 1)
     stops = sum(w.strip(".,;:!?()") in STOP_WORDS for w in words) / len(words)
@@ -220,11 +227,30 @@ def first_pass(b: Block) -> str:
     return "bad" if len(words) < LONG_WORDS or b.linked else "?"
 
 
-def second_pass(labels: list[str], headings: list[bool]) -> list[str]:
-    """Undecided blocks take the label of their nearest decided neighbours."""
+def believed(found: list[Block], labels: list[str]) -> bool:
+    """Whether the marked blocks hold at least half of the words of the best label."""
+    for label in ("good", "?", "bad"):
+        words = [(len(b.text.split()), b.article) for b, x in zip(found, labels) if x == label]
+        if words:
+            return 2 * sum(n for n, marked in words if marked) >= sum(n for n, _ in words)
+    return False
+
+
+def with_mark(b: Block, label: str) -> str:
+    """The label of a block of a page whose marks are believed."""
+    if b.article:
+        if b.linked > ALL_LINKS * len(b.text) and not b.heading:
+            return "bad"
+        return "?" if b.heading or b.linked and label == "bad" else "good"
+    return "?" if label == "good" and len(b.text.split()) < LONG_WORDS else label
+
+
+def second_pass(labels: list[str], headings: list[bool], alone: str = "good", tied: str = "bad") -> list[str]:
+    """Undecided blocks take the label of their nearest decided neighbours; `alone` if no
+    block is decided, `tied` if two that differ are equally near."""
     n = len(labels)
     if all(x == "?" for x in labels):
-        return ["good"] * n
+        return [alone] * n
     before: list[tuple[str, int]] = []
     near = ("bad", n + 1)
     for x in labels:
@@ -235,7 +261,19 @@ def second_pass(labels: list[str], headings: list[bool]) -> list[str]:
         near = (labels[k], 0) if labels[k] != "?" else (near[0], near[1] + 1)
         if labels[k] == "?":
             a, z = before[k], near
-            out[k] = a[0] if a[0] == z[0] else z[0] if headings[k] and z[1] <= n else a[0] if a[1] < z[1] else z[0] if z[1] < a[1] else "bad"
+            out[k] = a[0] if a[0] == z[0] else z[0] if headings[k] and z[1] <= n else a[0] if a[1] < z[1] else z[0] if z[1] < a[1] else tied
+    return out
+
+
+def decided(found: list[Block]) -> list[str]:
+    """'good' or 'bad' of each block, by both passes."""
+    labels = [first_pass(b) for b in found]
+    if not any(b.article for b in found) or not believed(found, labels):
+        return second_pass(labels, [b.heading for b in found])
+    out: list[str] = []
+    for marked, run in groupby(zip(found, labels), lambda x: x[0].article):
+        part, prior = list(run), "good" if marked else "bad"
+        out += second_pass([with_mark(b, x) for b, x in part], [b.heading for b, _ in part], prior, prior)
     return out
 
 
@@ -244,10 +282,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = [b for b in blocks(page) if not b.away]
-    if any(b.article for b in found):
-        return " ".join(b.text for b in found if b.article and not (b.item and b.linked > 0.8 * len(b.text)))
-    labels = second_pass([first_pass(b) for b in found], [b.heading for b in found])
-    return " ".join(b.text for b, x in zip(found, labels) if x == "good")
+    return " ".join(b.text for b, x in zip(found, decided(found)) if x == "good")
 
 
 def visible_text(page: str | None) -> str:

@@ -160,6 +160,22 @@ def test_extraction(spark):
     assert op3.extracted(pages.limit(0)).collect() == []
 
 
+PROSE = "The cat is in the house and it was not for the dog that is on the mat. " * 4
+
+
+def test_article_marks_are_evidence():
+    card = "<article><h3><a href=r>Related story</a></h3><p>A teaser of a few words.</p></article>"
+    # text in a div beside a marked teaser
+    text = op3.main_text(f"<div><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p></div><div><a href=x>one</a> <a href=y>two</a></div>{card}")
+    assert text == f"Head {PROSE}{PROSE}".strip()
+    # long text beside a marked part stays; short blocks by themselves there go
+    text = op3.main_text(f"<div><p>We use it to see what you do on the site.</p><p>odd words</p></div><article><h1>Head</h1><p>{PROSE}{PROSE}</p><p>short</p></article><div><p>{PROSE}</p></div>")
+    assert text == f"Head {PROSE}{PROSE}short {PROSE}".strip()
+    # blocks in marks are judged by their links
+    text = op3.main_text(f"<article><p>{PROSE}</p><p>See <a href=x>a</a>.</p><pre>x = f(y) + g(z) * h(u) - k(v) / m(w)</pre><p><a href=a>Read more</a></p><h2>Links</h2><ul><li><a href=b>this and that</a></li></ul></article>")
+    assert text == f"{PROSE}See a. x = f(y) + g(z) * h(u) - k(v) / m(w)"
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", PAGE), (2, None, None), (3, "http://b.org", "<p>né</p>")], "page_id long, url string, html string")
     made = {r["page_id"]: bytes(r["record"]) for r in op5.responses(pages).collect()}
