@@ -2,7 +2,10 @@
 
 A page is cut into blocks at block-level tags. Blocks inside menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments (by tag, role, class or id) go, as
-do scripts, styles, comments of the markup and the head.
+do scripts, styles, comments of the markup and the head. Words of a class or id that follow
+`has`, `with`, `no` and the like do not count. Words for parts of a layout (sidebar, menu) do
+not drop an element with over half of the page's prose, or with its marked article if
+no other is outside; those for comments, adverts and notices do unless nothing else is text.
 
 Pass 1 decides each remaining block by link density, length and stop-word density: good,
 bad, or, for short blocks, undecided; headings are undecided. Marks of an article
@@ -30,8 +33,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +50,8 @@ TOKEN = re.compile(
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?:(?P<attrs>{_ATTRS})>|[^>]*+(?:>|\Z))|</?\Z",
     re.S | re.I,
 )
-ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: one attribute: its whole name and its value
+ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 # HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -60,6 +65,14 @@ AWAY_WORDS = frozenset(
     "discussion footer gdpr header infobar login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination paywall popup promo promoted promotion "
     "reactions related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar".split()
 )
+#: Those of AWAY_WORDS that mark reader comments, adverts and notices, which may be longer
+#: than the article; the others name parts of a layout.
+FOREIGN_WORDS = frozenset(
+    "ad ads adsbygoogle adv advert adverts advertisement advertising captcha comment comments commentlist consent cookie cookies disqus discussion gdpr newsletter "
+    "notice notices paywall promo promoted promotion reactions related replies reply respond sponsor sponsored".split()
+)
+#: What follows one of these in a name tells of a layout: has-sidebar, no-comments.
+MODIFIERS = frozenset("has with no non not without hide show enable enabled disable disabled".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ARTICLE_WORDS = frozenset({"articlebody", "article", "main"})
 #: Pairs of words in a class or id that mark an article's text.
@@ -78,37 +91,55 @@ MIN_WORDS, LONG_WORDS, STOP_LOW, STOP_HIGH, LINKS, ALL_LINKS = 10, 30, 0.10, 0.2
 
 
 def kind(tag: str, attrs: str) -> str:
-    """'away', 'article' or '' for an element."""
+    """'away', 'article' or '' for an element; 'named' or 'foreign' where only a class
+    or id says away."""
     if tag in AWAY:
         return "away"
-    out = "article" if tag in ("article", "main") else ""
-    if attrs:
-        for name, a, b, c in ATTR.findall(attrs):
-            name, value = name.lower(), (a or b or c).lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
+    out, seen = "article" if tag in ("article", "main") else "", set()
+    for name, a, b, c in ATTR.findall(attrs) if attrs else ():
+        name, value = name.lower(), (a or b or c).lower()
+        if name in seen:  # the first one counts
+            continue
+        seen.add(name)
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return "away"
+        if name == "role":
+            words = set(re.split(r"[^a-z0-9]+", value))
+            if words & AWAY_ROLES:
                 return "away"
+            out = "article" if words & ARTICLE_WORDS else out
+        elif name == "itemprop":
             words = set(re.split(r"[^a-z0-9]+", value))
-            if name == "role":
-                if words & AWAY_ROLES:
-                    return "away"
-                out = "article" if words & ARTICLE_WORDS else out
-            elif name == "itemprop":
-                out = "article" if "articlebody" in words else "away" if "comment" in words else out
-            elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-                if words & AWAY_WORDS or "header" in words and tag in ("div", "section", "table") and not words & {"article", "post", "entry"}:
-                    return "away"
-                if any(pair <= words for pair in ARTICLE_PAIRS):
-                    out = "article"
+            out = "article" if "articlebody" in words else "foreign" if "comment" in words else out
+        elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            out = named(tag, value) or out
     return out
 
 
+def named(tag: str, value: str) -> str:
+    """What a class or id says of its element."""
+    words: set[str] = set()
+    marked = False
+    for token in value.split():
+        own = list(takewhile(lambda w: w not in MODIFIERS, re.findall(r"[a-z0-9]+", token)))
+        marked |= any(pair <= set(own) for pair in ARTICLE_PAIRS) and not AWAY_WORDS & set(own)
+        words.update(own)
+    if marked:
+        return "article"
+    if words & AWAY_WORDS or "header" in words and tag in ("div", "section", "table") and not words & {"article", "post", "entry"}:
+        return "foreign" if words & FOREIGN_WORDS else "named"
+    return "article" if any(pair <= words for pair in ARTICLE_PAIRS) else ""
+
+
 class Block:
     """Text between two block-level tags, with what the rules look at."""
 
-    __slots__ = ("article", "away", "heading", "item", "linked", "text")
+    __slots__ = ("article", "away", "heading", "held", "item", "linked", "text")
 
-    def __init__(self, text: str, linked: int, away: bool, article: bool, heading: bool, item: bool):
+    def __init__(self, text: str, linked: int, away: bool, article: bool, heading: bool, item: bool, held: tuple[tuple[int, bool, bool], ...]):
         self.text, self.linked, self.away, self.article, self.heading, self.item = text, linked, away, article, heading, item
+        #: elements around it that a class or id names away: number, foreign, an article begins in it
+        self.held = held
 
 
 def blocks(page: str) -> list[Block]:
@@ -118,6 +149,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     away = article = heading = item = link = 0
     linked = at = 0
+    named_away: list[tuple[int, bool, int]] = []
+    n_named = 0
     has_link = False
 
     def flush() -> None:
@@ -126,12 +159,18 @@ def blocks(page: str) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(text, linked if has_link else 0, away > 0, article > 0, heading > 0, item > 0))
+                out.append(Block(text, linked if has_link else 0, away > 0, article > 0, heading > 0, item > 0, tuple((k, of, article > n) for k, of, n in named_away)))
             parts.clear()
         linked, has_link = 0, False
 
     def count(tag: str, what: str, by: int) -> None:
-        nonlocal away, article, heading, item, link
+        nonlocal away, article, heading, item, link, n_named
+        if what in ("named", "foreign"):
+            if by > 0:
+                n_named += 1
+                named_away.append((n_named, what == "foreign", article))
+            else:
+                named_away.pop()
         away += by * (what == "away")
         article += by * (what == "article")
         heading += by * (tag in HEADINGS)
@@ -227,13 +266,18 @@ def first_pass(b: Block) -> str:
     return "bad" if len(words) < LONG_WORDS or b.linked else "?"
 
 
-def believed(found: list[Block], labels: list[str]) -> bool:
-    """Whether the marked blocks hold at least half of the words of the best label."""
-    for label in ("good", "?", "bad"):
-        words = [(len(b.text.split()), b.article) for b, x in zip(found, labels) if x == label]
-        if words:
-            return 2 * sum(n for n, marked in words if marked) >= sum(n for n, _ in words)
-    return False
+def weights(found: list[Block]) -> list[int]:
+    """The words of each block with the best label there is, 0 of the others."""
+    labels = [first_pass(b) for b in found]
+    best = next((x for x in ("good", "?") if x in labels), "bad")
+    return [len(b.text.split()) if x == best else 0 for b, x in zip(found, labels)]
+
+
+def believed(found: list[Block]) -> bool:
+    """Whether marked blocks hold at least half of the words with the best label."""
+    words = weights(found)
+    marked = sum(n for n, b in zip(words, found) if b.article)
+    return marked > 0 and 2 * marked >= sum(words)
 
 
 def with_mark(b: Block, label: str) -> str:
@@ -265,10 +309,38 @@ def second_pass(labels: list[str], headings: list[bool], alone: str = "good", ti
     return out
 
 
+def shown(page: str) -> list[Block]:
+    """The blocks of a page that may be its text. What a class or id names away goes, but
+    not the element that holds the marked article or most of the page's text: such a name can
+    tell of its layout. Comments and adverts go if there is text elsewhere."""
+    found = [b for b in blocks(page) if not b.away]
+    if not any(b.held for b in found):
+        return found
+    clear = [b for b in found if not b.held]
+    marked = any(b.article for b in clear)
+    text = marked or any(first_pass(b) == "good" for b in clear)
+    # good and long undecided blocks tell where the text is; of all that is short, the words do
+    sizes = [len(b.text.split()) for b in found]
+    prose = [n * ((x := first_pass(b)) == "good" or x == "?" and n >= LONG_WORDS) for b, n in zip(found, sizes)]
+    short = not clear and not any(prose)
+    words: Counter[int] = Counter()
+    for b, n in zip(found, sizes if short else prose):
+        words.update({k: n for k, _, _ in b.held})
+    total = sum(sizes if short else prose)
+    with_article = {k for b in found for k, _, holds in b.held if holds}
+
+    def stays(k: int, foreign: bool) -> bool:
+        if foreign and (text or short):
+            return False
+        return not marked and k in with_article or 2 * words[k] > total
+
+    return [b for b in found if all(stays(k, foreign) for k, foreign, _ in b.held)]
+
+
 def decided(found: list[Block]) -> list[str]:
     """'good' or 'bad' of each block, by both passes."""
     labels = [first_pass(b) for b in found]
-    if not any(b.article for b in found) or not believed(found, labels):
+    if not any(b.article for b in found) or not believed(found):
         return second_pass(labels, [b.heading for b in found])
     out: list[str] = []
     for marked, run in groupby(zip(found, labels), lambda x: x[0].article):
@@ -281,7 +353,7 @@ def main_text(page: str | None) -> str:
     """The article of a page as one line."""
     if not page:
         return ""
-    found = [b for b in blocks(page) if not b.away]
+    found = shown(page)
     return " ".join(b.text for b, x in zip(found, decided(found)) if x == "good")
 
 

@@ -176,6 +176,30 @@ def test_article_marks_are_evidence():
     assert text == f"{PROSE}See a. x = f(y) + g(z) * h(u) - k(v) / m(w)"
 
 
+def test_exclusion_marks_are_narrow():
+    for open_, close in [
+        ('<article style="overflow:hidden">', "</article>"),
+        ('<div style="overflow:hidden" title="The hidden garden" data-id="sidebar" data-x=\'class="ad"\'>', "</div>"),
+        ('<div class="content has-sidebar"><article>', "</article></div>"),
+        ('<div class="no-comments layout--with-header">', "</div>"),
+        ('<div class="layout sidebar-right"><main>', "</main></div>"),
+        ('<div id="page-menu">', "</div>"),
+        ('<div class="post-content share">', "</div>"),
+    ]:
+        page = f"<nav>menu</nav>{open_}<p>{PROSE}</p><div class=ad>Buy</div><p>{PROSE}</p>{close}<div class=sidebar>{PROSE}</div>"
+        assert op3.main_text(page) == (PROSE * 2).strip(), open_
+    # an article within a short wrapper that a class names away, beside longer prose in another
+    assert op3.main_text(f"<div class=sidebar-layout><article><p>{PROSE}</p></article></div><div class=sidebar>{PROSE}{PROSE[:40]}</div>").startswith("The cat")
+    # what is hidden, or is comments longer than the article and marked, still goes
+    for gone in ("<div hidden>", "<div class=x HIDDEN=''>", "<p aria-hidden=true>", "<div id=comments><article>", "<section class='comments'>", "<div class=sidebar>"):
+        assert op3.main_text(f"<article><p>{PROSE}</p></article>{gone}{PROSE[:100]}") == PROSE.strip(), gone
+    assert op3.main_text(f"<article><p>{PROSE}</p></article><div id=comments><article>{PROSE * 3}</article></div>") == PROSE.strip()
+    assert op3.main_text(f"<div class=ad>{PROSE}</div><article><p>Few words.</p></article>") == "Few words."
+    assert op3.main_text("<div class=menu>Home About Us</div><h1>Title</h1><div class=ad>Buy it now</div>") == "Title"
+    assert op3.main_text("<div class=ad>Buy</div>") == "" and op3.main_text("<div class=sidebar-right>Short.</div>") == "Short."
+    assert op3.main_text(f"<p>{PROSE}</p><div id=comments>{PROSE * 3}</div>") == PROSE.strip()
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", PAGE), (2, None, None), (3, "http://b.org", "<p>né</p>")], "page_id long, url string, html string")
     made = {r["page_id"]: bytes(r["record"]) for r in op5.responses(pages).collect()}
