@@ -8,10 +8,13 @@ of unknown ones. With c customers and t tables of a pair (u, w), C and T of u:
     P(w | u) = (c - d t) / (theta + C) + (theta + d T) / (theta + C) * P(w)
     P(w) = (t_w - d0) / (theta0 + t) + (theta0 + d0 V) / (theta0 + t) / (V + 1)
 
-t_w counts the tables of w in all restaurants. Seatings are sampled by Gibbs (crp.py) and
-the predictive probabilities averaged over the samples: they are linear in c, t and T, so
-the means of t and T give the mean. At the root every dish has one table. d is
-n1 / (n1 + 2 n2) of each shard's pairs.
+t_w counts the tables of w in all restaurants. Seatings are sampled by Gibbs (crp.py); the
+formula takes the means of t, T and t_w over the samples. That is not quite the mean of the
+predictive probabilities, as T and P(w) are multiplied and vary together. The root is not
+sampled: every dish has one table there, d0 and theta0 are fixed. d is n1 / (n1 + 2 n2) of
+each shard's pairs. Each shard samples with a parent of its own dishes, so seatings and d
+shift a little with the number of shards (the README has figures). perplexity is
+10 ** (-score / n_tokens).
 
 How it is dealt out. A block is up to `BLOCK_BYTES` of texts of one input partition.
 1. Blocks send their distinct pairs, with training counts, to the shards of the first
@@ -317,7 +320,7 @@ def packed(docs: DataFrame) -> DataFrame:
     return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 
 
 def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
@@ -358,7 +361,8 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
         p = (own + (THETA + dt[b.left]) * single[b.right]) / (THETA + cu[b.left])
         log = np.log10(p)
         sums = lambda v: np.add.reduceat(v, b.first[:-1])
-        cols = [pa.array(ids, pa.int64()), pa.array(b.held_out), pa.array(np.diff(b.first)), pa.array(sums((c > 0)[b.code].astype(np.int64))), pa.array(np.full(len(ids), n_all)), pa.array(sums(base[b.code])), pa.array(sums(log[b.pair_of]))]
+        score, size = sums(log[b.pair_of]), np.diff(b.first)
+        cols = [pa.array(ids, pa.int64()), pa.array(b.held_out), pa.array(size), pa.array(sums((c > 0)[b.code].astype(np.int64))), pa.array(np.full(len(ids), n_all)), pa.array(sums(base[b.code])), pa.array(score), pa.array(10 ** (-score / size))]
         return pa.table(cols, names=[x.split()[0] for x in SCORES.split(", ")])
 
     both = packed(docs).unionByName(answers.where("kind = 0")).unionByName(words.where("kind = 2"))

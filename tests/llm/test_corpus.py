@@ -160,6 +160,18 @@ def test_language_model(spark):
     assert {r["score"] for r in op1.scored(docs.where("doc_id is null")).collect()} == {0.0}
 
 
+def test_scores_hold_over_shards(spark, monkeypatch):
+    """Perplexity by row; one shard and many, each with a parent of its own, score alike."""
+    docs, _ = rows(spark, corpus(13, 120))
+    total = []
+    for n in (1, 9):
+        monkeypatch.setattr(op1, "partitions", lambda *a, n=n: n)
+        got = op1.scored(docs).collect()
+        assert all(math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"]), rel_tol=1e-9) for r in got)
+        total.append(sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got))
+    assert abs(total[0] - total[1]) < 0.05, total
+
+
 def test_model_is_a_distribution(spark):
     """Texts of one word: the probabilities of all words, and of one unknown, add up to 1."""
     words = [f"k{k}" for k in range(30)]
