@@ -4,7 +4,10 @@ Input records are bytes (one WARC record each, without record compression). A re
 with a record id gives two records, in this order:
 
 - `metadata` (application/warc-fields): the source's content type, HTTP status and server,
-  length and digest of the payload, title and number of links of an HTML page;
+  length and digest of the payload, title and number of links of an HTML page, then the
+  source's own headers, in order and with repeats: each WARC header as
+  `source-warc-header-NAME`, the HTTP status line, each HTTP header as
+  `source-http-header-NAME`;
 - `conversion` (text/plain, UTF-8): all visible text of the page, one block a line.
 
 Both carry WARC-Refers-To (the response's id), its target URI, date, IP address and
@@ -53,24 +56,28 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def headers_of(data: bytes) -> tuple[str, dict[str, str], bytes]:
-    """First line, headers by lower-cased name (folded lines joined) and the rest."""
+def headers_in(data: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """First line, all headers in order (folded lines joined) and the rest."""
     head, mark, rest = data.partition(b"\r\n\r\n")
     if not mark:
         head, mark, rest = data.partition(b"\n\n")
     first, *lines = head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
-    out: dict[str, str] = {}
-    name = ""
+    out: list[tuple[str, str]] = []
     for line in lines:
-        if line[:1] in (" ", "\t") and name:
-            out[name] += " " + line.strip()
-        else:
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}".strip())
+        elif line.strip():
             name, _, value = line.partition(":")
-            name = name.strip().lower()
-            out[name] = value.strip()
+            out.append((name.strip(), value.strip()))
     return first, out, rest
 
 
+def headers_of(data: bytes) -> tuple[str, dict[str, str], bytes]:
+    """First line, headers by lower-cased name (the last of repeated ones) and the rest."""
+    first, headers, rest = headers_in(data)
+    return first, {k.lower(): v for k, v in headers}, rest
+
+
 def unchunked(body: bytes) -> bytes:
     """The bytes of a chunked HTTP body; as far as it is well formed."""
     out, at = [], 0
@@ -88,7 +95,8 @@ def unchunked(body: bytes) -> bytes:
 
 def derivatives(data: bytes) -> list[dict]:
     """The records derived from one WARC record."""
-    first, warc, rest = headers_of(data)
+    first, warc_all, rest = headers_in(data)
+    warc = {k.lower(): v for k, v in warc_all}
     if not first.startswith("WARC/"):
         raise ValueError("no WARC version line")
     if warc.get("warc-type") != "response":
@@ -97,7 +105,8 @@ def derivatives(data: bytes) -> list[dict]:
     block = rest[: int(warc["content-length"])]
     if len(block) < int(warc["content-length"]):
         raise ValueError("the block is cut off")
-    status, http, body = headers_of(block)
+    status, http_all, body = headers_in(block)
+    http = {k.lower(): v for k, v in http_all}
     if http.get("transfer-encoding", "").lower() == "chunked":
         body = unchunked(body)
     kind = http.get("content-type", "")
@@ -113,7 +122,10 @@ def derivatives(data: bytes) -> list[dict]:
     ids = {t: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, source + ' ' + t)}>" for t in ("metadata", "conversion")}
     plain = (visible_text(text) if is_html else text) if is_html or kind.lower().startswith("text/") else None
     fields = [("source-content-type", kind), ("source-http-status", " ".join(status.split()[1:2])), ("source-server", http.get("server", "")), ("source-length", str(len(body))), ("source-digest", payload), ("title", " ".join(title[1].split()) if title else ""), ("outlinks", str(links))]
-    blocks = [("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields if v).encode())]
+    # all headers of the source, in order and with repeats
+    sources = [(f"source-warc-header-{k}", v) for k, v in warc_all] + [("source-http-status-line", status.strip())] + [(f"source-http-header-{k}", v) for k, v in http_all]
+    lines = [f"{k}: {v}\r\n" for k, v in fields if v] + [f"{k}: {v}".rstrip() + "\r\n" for k, v in sources]
+    blocks = [("metadata", "application/warc-fields", "".join(lines).encode("utf-8", "replace"))]
     if plain is not None:
         blocks.append(("conversion", "text/plain; charset=utf-8", plain.encode("utf-8", "replace")))
     out = []

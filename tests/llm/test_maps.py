@@ -223,6 +223,20 @@ def test_warc(spark):
     assert bytes(by[9][1]["record"]).endswith(b"\r\n\r\nabc\r\n\r\n")
 
 
+def test_warc_headers_are_kept():
+    http = ["HTTP/1.1 200 All right", "Content-Type: text/html", "Set-Cookie: a=1", "Last-Modified: Mon, 01 Jan 2024 00:00:00 GMT", "ETag: \"x:y\"", "set-cookie: b=2", "X-Empty:", "X-Folded: one", "  two", "Content-Language: né"]
+    body = ("\r\n".join(http) + "\r\n\r\n<p>text</p>").encode()
+    heads = ["WARC/1.0", "WARC-Type: response", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date: 2024-01-01T00:00:00Z", "WARC-Block-Digest: sha1:ABC", "WARC-Protocol: h2", "WARC-Protocol: tls/1.3", f"Content-Length: {len(body)}"]
+    meta = op5.derivatives(("\r\n".join(heads) + "\r\n\r\n").encode() + body + b"\r\n\r\n")[0]
+    _, _, rest = op5.headers_of(meta["record"])
+    block = rest[: meta["content_length"]]
+    assert op5.digest(block) == meta["block_digest"]
+    lines = block.decode().split("\r\n")
+    kept = lambda prefix: [x[len(prefix) :] for x in lines if x.startswith(prefix)]
+    assert kept("source-http-header-") == [*http[1:7], "X-Folded: one two", http[9]]
+    assert kept("source-warc-header-") == heads[1:] and kept("source-http-status-line: ") == ["HTTP/1.1 200 All right"]
+
+
 def test_hashes_of_long_texts():
     import numpy as np
 
