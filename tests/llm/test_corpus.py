@@ -155,11 +155,27 @@ def test_language_model(spark):
         assert math.isclose(r["base_score"], sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w), rel_tol=1e-9)
         assert r["score"] < 0 and r["held_out"] == (k is not None and zlib.crc32(str(k).encode()) % 10 == 0)
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
-    # the same, but for the sampling, when frequent words are dealt over shards and blocks are small
     assert op1.scored(docs.limit(0)).collect() == []
     assert {r["score"] for r in op1.scored(docs.where("doc_id is null")).collect()} == {0.0}
 
 
+def test_dealt_restaurants(spark, monkeypatch):
+    """Frequent words dealt over parts of many shards: counts stay, scores but for the sampling."""
+    docs, data = rows(spark, corpus(13, 120))
+    exact = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")
+    out = []
+    for n, share in ((1, 1.0), (40, 0.005)):
+        monkeypatch.setattr(op1, "partitions", lambda *a, n=n: n)
+        monkeypatch.setattr(op1, "HOT_SHARE", share)
+        out.append(op1.scored(docs).collect())
+    hot = op1.frequent(docs, 40)
+    assert len(hot["word"]) and hot["parts"].max() > 1
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["base_score"])
+    one, many = (sorted(x, key=key) for x in out)
+    assert [[r[x] for x in exact[:4]] for r in one] == [[r[x] for x in exact[:4]] for r in many]
+    assert all(math.isclose(a["base_score"], b["base_score"], rel_tol=1e-9) and abs(a["score"] - b["score"]) < 0.2 * a["n_tokens"] for a, b in zip(one, many))
+
+
 def test_scores_hold_over_shards(spark, monkeypatch):
     """Perplexity by row; one shard and many, each with a parent of its own, score alike."""
     docs, _ = rows(spark, corpus(13, 120))
@@ -219,3 +235,120 @@ def test_pipeline(spark):
     assert 0.7 * n < len(rows_) < n and len({r["doc_id"] for r in rows_}) == len(rows_)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     assert hashlib.sha256(b"").hexdigest() not in {r["decoded_sha256"] for r in rows_}
+
+
+def in_good_language(data):
+    """Rows with a letter whose best language has a fifth of their n-grams; exact sets for filters."""
+    letters = bytes(range(97, 123)) + bytes(range(128, 256))
+
+    def grams(t):
+        b = b" " + bytes(x if x in letters else 32 for x in t.encode().lower()) + b" "
+        return [b[i : i + n] for n in (3, 4) for i in range(len(b) - n + 1) if 32 not in b[i + 1 : i + n - 1]]
+
+    count = {}
+    for k, t, lang, *_ in data:
+        if k is not None and t is not None and lang is not None and zlib.crc32(str(k).encode()) % 4 != 2:
+            for g in grams(t):
+                count.setdefault((lang, len(g)), Counter())[g] += 1
+    known = {}
+    for (lang, _), c in count.items():
+        often = {g: n for g, n in c.items() if n > 1}
+        known.setdefault(lang, set()).update(g for g, n in often.items() if n >= 2e-5 * sum(often.values()))
+    out = []
+    for r in data:
+        g = grams(r[1] or "")
+        if any(map(str.isalpha, r[1] or "")) and g:
+            share = max(sum(x in s for x in g) for s in known.values()) / len(g)
+            assert not 0.19 < share < 0.21, r  # filters may differ there
+            out += [r] if share >= 0.2 else []
+    return out
+
+
+def without_near_copies(data):
+    def shingles(t):
+        w = WORD.findall(low(t))
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)] if w else [])
+
+    data = list({(r[0], r[1]): r for r in data}.values())
+    sets = [shingles(r[1]) for r in data]
+    group = list(range(len(data)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 10 * min(len(a), len(b)) >= 8 * max(len(a), len(b)) and 100 * len(a & b) >= 80 * len(a | b) and group[i] != group[j]:
+                x, y = group[i], group[j]
+                group = [y if g == x else g for g in group]
+    least = {}
+    for r, g in zip(data, group):
+        least[g] = min(r[0], least.get(g, r[0]))
+    return [r for r, g in zip(data, group) if r[0] == least[g]]
+
+
+def without_passages(data):
+    first = {}
+    for k, t, *_ in data:
+        w = WORD.findall(t)
+        for i in range(len(w) - 49):
+            g = hash(tuple(w[i : i + 50]))
+            first[g] = min(k, first.get(g, k))
+    out = []
+    for k, t, *more in data:
+        w = WORD.findall(t)
+        gone = {j for i in range(len(w) - 49) if first[hash(tuple(w[i : i + 50]))] < k for j in range(i, i + 50)}
+        if len(gone) < len(w) or not gone:
+            out.append((k, " ".join(x for j, x in enumerate(w) if j not in gone) if gone else t, *more))
+    return out
+
+
+def without_items(data, items):
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {}
+    for t in items:
+        s = word.findall((t or "").encode().lower())
+        n = min(10, len(s))
+        windows.setdefault(n, set()).update(tuple(s[i : i + n]) for i in range(len(s) - n + 1) if n)
+    out = []
+    for k, t, *more in data:
+        at = list(word.finditer(t.encode().lower()))
+        w = [m[0] for m in at]
+        hit = {j for n, held in windows.items() for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in held for j in range(i, i + n)}
+        if 2 * len(hit) > len(w):
+            continue
+        raw, parts, z = t.encode(), [], 0
+        for j in sorted(hit):
+            if j - 1 not in hit:
+                parts.append(raw[z : at[j].start()])
+            z = at[j].end()
+        out.append((k, b"".join([*parts, raw[z:]]).decode(), *more))
+    return out
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    """run() against the five stages in plain Python, each of which must have work to do."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from lodestone.llm import op7_bpe
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    data = [tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()]
+    items = [r[0] for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("text").collect()]
+    long = sorted((r for r in data if len((r[1] or "").split()) > 150), key=lambda r: r[0])
+    some = long[0][1].split()
+    item = max((t for t in items if t), key=len)
+    more = [None, "", "12 34 !", " ".join([*long[1][1].split()[:90], *some[:60]]), item, " ".join([*long[2][1].split()[50:140], item]), " ".join(some[:-1])]
+    data += [(10**6 + k, t, long[0][2], "made", len(t or "")) for k, t in enumerate(more)] + [data[0]]
+    spark.createDataFrame(data, docs.select(*corpus_pipeline.COLUMNS).schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [data]
+    for stage in (in_good_language, without_near_copies, without_passages, lambda d: without_items(d, items)):
+        left.append(stage(left[-1]))
+    assert all(Counter(r[:2] for r in a) != Counter(r[:2] for r in b) for a, b in zip(left, left[1:]))
+    bpe = Tokenizer.from_file(op7_bpe.default_path())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = Counter()
+    for k, t, *_ in left[-1]:
+        ids = bpe.encode(t, add_special_tokens=False).ids
+        want[k, len(ids), sha(",".join(map(str, ids))), sha(bpe.decode(ids, skip_special_tokens=False))] += 1
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == want
