@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from lodestone.operators import search as R
 from lodestone.operators import sections as S
 from lodestone.operators.documents import blocks_of, chunk_texts
 from lodestone.operators.index import batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.sources.parsers.office import has_header, regions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -425,16 +427,40 @@ def signatures(spark, d):
 , g AS (SELECT *, sum(CASE WHEN full_row THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM r)
 SELECT user_id, min(event_id) AS start_row, max(event_id) AS end_row, count(*) AS n_rows, min(col) AS start_col, max(col) AS end_col FROM g WHERE full_row GROUP BY user_id, g""")
 def table_regions(spark, d):
-    """Runs of rows that are not empty: a user's events as a sheet."""
-    e = table(spark, d, "events").select("user_id", "event_id", (F.col("value") > 5).alias("full_row"), (F.length("event_type") % 4).cast("long").alias("col"))
-    g = e.withColumn("g", F.sum((~F.col("full_row")).cast("int")).over(Window.partitionBy("user_id").orderBy("event_id"))).where("full_row")
-    return g.groupBy("user_id", "g").agg(F.min("event_id").alias("start_row"), F.max("event_id").alias("end_row"), F.count(F.lit(1)).alias("n_rows"), F.min("col").alias("start_col"), F.max("col").alias("end_col")).drop("g")
+    """The regions of a user's events as a sheet: an event is a row, its cell in a column of
+    its own or the row empty. A sheet is read whole, as the decoder does."""
+    e = table(spark, d, "events").select("user_id", "event_id", F.coalesce(F.length("event_type") % 4, F.lit(0)).cast("long").alias("col"), F.coalesce(F.col("value") > 5, F.lit(False)).alias("full_row"))
+    kinds = dict(e.dtypes)
+    names = ("start_row", "end_row", "n_rows", "start_col", "end_col")
+
+    def run(sheet: pa.Table) -> pa.Table:
+        events = sheet.select(["event_id", "col", "full_row"]).to_pylist()
+        rows = [[None] * r["col"] + [(r["event_id"], r["col"])] if r["full_row"] else [] for r in sorted(events, key=lambda r: r["event_id"])]
+        out = []
+        for region in regions(rows):
+            cells = [(k, c) for r in region for k, c in enumerate(r) if c is not None]
+            # the region is cut to its columns: its first one is where a cell was, less where it is now
+            left = cells[0][1][1] - cells[0][0]
+            out.append((cells[0][1][0], cells[-1][1][0], len(region), left, left + max(map(len, region)) - 1))
+        cols = list(zip(*out)) if out else [()] * len(names)
+        users = pa.array([sheet["user_id"][0].as_py()] * len(out), sheet.schema.field("user_id").type)
+        return pa.table([users, *(pa.array(c, sheet.schema.field("event_id").type if n in names[:2] else pa.int64()) for n, c in zip(names, cols))], names=["user_id", *names])
+
+    return e.groupBy("user_id").applyInArrow(run, f"user_id {kinds['user_id']}, start_row {kinds['event_id']}, end_row {kinds['event_id']}, n_rows long, start_col long, end_col long")
 
 
 @query("SELECT n_regionkey, count(DISTINCT lower(n_name)) = count(n_name) OR bool_or(n_nationkey > 20) AS has_header, count(*) AS cells FROM nation GROUP BY n_regionkey")
 def header_rows(spark, d):
-    n = table(spark, d, "nation")
-    return n.groupBy("n_regionkey").agg(((F.countDistinct(F.lower("n_name")) == F.count("n_name")) | F.bool_or(F.col("n_nationkey") > 20)).alias("has_header"), F.count(F.lit(1)).alias("cells"))
+    """Whether the names of a region's nations head a sheet of two rows: below them are the
+    nations' keys, as numbers from 21 on and as text before."""
+    n = table(spark, d, "nation").select("n_regionkey", "n_nationkey", "n_name")
+
+    def run(sheet: pa.Table) -> pa.Table:
+        keys = [k if k is None or k > 20 else str(k) for k in sheet["n_nationkey"].to_pylist()]
+        head = has_header([sheet["n_name"].to_pylist(), keys])
+        return pa.table([sheet["n_regionkey"].slice(0, 1), pa.array([head]), pa.array([sheet.num_rows], pa.int64())], names=["n_regionkey", "has_header", "cells"])
+
+    return n.groupBy("n_regionkey").applyInArrow(run, f"n_regionkey {dict(n.dtypes)['n_regionkey']}, has_header boolean, cells long")
 
 
 @query("""WITH w AS (SELECT greatest(max(length(c_name)), 3) AS a, greatest(max(length(c_mktsegment)), 3) AS b FROM customer)

@@ -29,6 +29,24 @@ def test_oracle(spark, duck, name):
     assert got == sorted(repr(tuple(r[i] for i in at)) for r in want.fetchall())
 
 
+@pytest.mark.parametrize(
+    ("name", "rule", "wrong"),
+    [
+        ("header_rows", "has_header", lambda rows: not all(isinstance(c, str) for c in rows[1])),
+        ("table_regions", "regions", lambda rows: [[r] for r in rows if r]),
+        ("table_regions", "regions", lambda rows: [rows]),
+    ],
+)
+def test_sheet_queries_reach_the_decoder(spark, duck, monkeypatch, name, rule, wrong):
+    """An error in the decoder's rule shows in the query."""
+    from lodestone.plans import queries
+
+    want = duck.sql(SQL[name])
+    rows = sorted(map(repr, want.fetchall()))
+    monkeypatch.setattr(queries, rule, wrong)
+    assert sorted(repr(tuple(r)) for r in QUERIES[name](spark, DIR).select(want.columns).collect()) != rows
+
+
 def test_entry(spark):
     import __spark_entry__ as driver
 
