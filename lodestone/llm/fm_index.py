@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from lodestone.llm.suffix import adjacent_lcp, suffix_ranks
+from lodestone.llm.suffix import doubled
 
 
 class Bits:
@@ -31,7 +31,7 @@ class WaveletMatrix:
         self.depth = max(1, int(sigma - 1).bit_length())
         self.levels: list[Bits] = []
         self.zeros: list[int] = []
-        s = symbols
+        s = symbols.astype(np.int32)
         for k in range(self.depth - 1, -1, -1):
             bit = ((s >> k) & 1).astype(bool)
             self.levels.append(Bits(bit))
@@ -73,20 +73,34 @@ class FMIndex:
         text = np.zeros(n, np.int64)  # 0 ends a text
         text[np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes)] = coded + 1
         ends = np.cumsum(sizes + 1)[who]
-        order, levels = suffix_ranks((text,), ends, width)
-        lcp = adjacent_lcp(order, levels, ends)
-        del levels
+        # two suffixes share w symbols, h <= w <= 2 h, if they share h, and h from w - h on
+        h = 1 << max(0, (width - 1).bit_length() - 1)
+        for k, (order, rank) in enumerate(doubled((text,), ends, width)):
+            if 1 << k <= h:
+                held = rank
+        del rank
+
+        def cut(w: int) -> np.ndarray:
+            """Where suffixes with other first w symbols begin."""
+            a, b = order[:-1].astype(np.int64), order[1:].astype(np.int64)
+            same = held[a] == held[b]
+            d = w - h
+            same &= (a + d < ends[a]) & (b + d < ends[b])
+            a, b = np.minimum(a + d, n - 1), np.minimum(b + d, n - 1)
+            same &= held[a] == held[b]
+            return np.concatenate(([True], ~same))[:n]
+
         self.sigma = len(self.alphabet) + 1
         self.less = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=self.sigma))))
         self.bwt = WaveletMatrix(text[order - 1], self.sigma)
         # runs of suffixes with the same first `width` words: their smallest number
-        cut = np.concatenate(([True], lcp < width))[:n]
-        self.run = np.cumsum(cut) - 1
-        self.smallest = np.minimum.reduceat(number[who[order]], np.flatnonzero(cut)) if n else number[:0]
+        first = cut(width)
+        self.run = np.cumsum(first, dtype=np.int32) - 1
+        self.smallest = np.minimum.reduceat(number[who[order]], np.flatnonzero(first)) if n else number[:0]
         # those with one word less: where they begin and end
-        cut = np.concatenate(([True], lcp < width - 1))[:n]
-        self.wide = np.cumsum(cut) - 1
-        self.wide_begin = np.flatnonzero(cut)
+        first = cut(width - 1)
+        self.wide = np.cumsum(first, dtype=np.int32) - 1
+        self.wide_begin = np.flatnonzero(first)
         self.wide_end = np.append(self.wide_begin[1:], n)
 
     def code(self, words: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,21 +15,34 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where that is unset (a local
-    session), a temporary one, set for the session."""
+    """The folder named in spark.checkpoint.dir; where that is unset, a temporary one of the
+    session's own, if all of Spark runs in this machine's one process. A cluster must name
+    a folder that all its machines share: without one this raises ValueError."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        if held.isDefined():
+            return held.get()
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: a lost executor costs no
-    more than its own running tasks, and nothing is computed twice."""
+    more than its own running tasks, and nothing is computed twice. It goes with
+    `dropped`, or else when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
@@ -39,9 +53,8 @@ def dropped(*tables: DataFrame) -> None:
     """Remove tables that `written` made and nothing reads any more."""
     for t in tables:
         if path := getattr(t, "_written_to", None):
-            jvm = t.sparkSession.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            fs, p = _file_system(t.sparkSession, path)
+            fs.delete(p, True)
 
 
 def partitions(df: DataFrame, column: str, bytes_each: int, least: int = 8) -> int:
@@ -70,7 +83,7 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["part", "bytes"])
 
     found = np.zeros(max(1 << bits, _SLICE) // 8, np.uint8)
-    for part, raw in mapped(parts, packed, "part int, bytes binary").toLocalIterator():
+    for part, raw in mapped(parts, packed, "part int, bytes binary").collect():  # 2**bits bits at the most
         found[part * _SLICE // 8 : (part + 1) * _SLICE // 8] = np.frombuffer(raw, np.uint8)
     return found[: max(1, (1 << bits) // 8)]
 
@@ -81,10 +94,6 @@ def marked(found: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (found[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-#: Rows of an Arrow batch: texts may be long, and a batch is held whole on both sides.
-BATCH_ROWS = 1000
-
-
 def give_back() -> None:
     """Returns freed memory to the system, where the C library can: a Python worker lives on
     beside the tasks of other stages."""
@@ -95,10 +104,7 @@ def give_back() -> None:
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow in batches of at most BATCH_ROWS rows (a setting of the session)."""
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """mapInArrow; the functions work on slices of a batch, which Spark bounds in bytes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 
-def suffix_ranks(keys: tuple[np.ndarray, ...], ends: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Suffix array, and the rank of every suffix by its first 2^k symbols, k = 0, 1, ...
+def doubled(keys: tuple[np.ndarray, ...], ends: np.ndarray, depth: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The suffix array so far and the rank of every suffix by its first 2^k symbols, for
+    k = 0, 1, ... The array is sorted further in place; each rank array (32 bits) is a new one.
 
     keys: what a symbol is compared by, the most important last (as for np.lexsort);
     ends: for each place, the end of its string, beyond which a suffix has nothing.
@@ -14,36 +17,45 @@ def suffix_ranks(keys: tuple[np.ndarray, ...], ends: np.ndarray, depth: int | No
     but equal suffixes of two strings, which need keys that tell the strings apart.
     """
     n = len(ends)
-    order = np.lexsort(keys)
+    order = np.lexsort(keys).astype(np.int32)
     new = np.zeros(n, bool)
     new[:1] = True
     for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
     # the rank of a class is the place of its first member, so it stays while others split
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    levels, h = [rank], 1
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+    h = 1
+    yield order, rank
     while depth is None or h < depth:
         open_ = ~new
         open_[:-1] |= ~new[1:]
-        at = np.flatnonzero(open_)
+        at = np.flatnonzero(open_).astype(np.int32)
         if not len(at):
             break
         ids = order[at]
         nxt = ids + h
         second = np.where(nxt < ends[ids], rank[np.minimum(nxt, n - 1)] + 1, 0)
-        first = rank[ids]
-        re = np.argsort(first * (n + 2) + second, kind="stable")
-        ids, first, second = ids[re], first[re], second[re]
+        key = rank[ids].astype(np.int64) * (n + 2) + second
+        re = np.argsort(key, kind="stable")
+        ids, key = ids[re], key[re]
+        del re, second, nxt
         order[at] = ids
         split = np.ones(len(ids), bool)
-        split[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+        split[1:] = key[1:] != key[:-1]
         new[at] = split
         rank = rank.copy()
         rank[ids] = np.maximum.accumulate(np.where(split, at, 0))
-        levels.append(rank)
         h *= 2
+        yield order, rank
+
+
+def suffix_ranks(keys: tuple[np.ndarray, ...], ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Suffix array, and the ranks of all of its levels: 4 bytes for each symbol and level."""
+    order, levels = np.zeros(0, np.int32), []
+    for order, rank in doubled(keys, ends):
+        levels.append(rank)
     return order, levels
 
 
@@ -53,7 +65,7 @@ def adjacent_lcp(order: np.ndarray, levels: list[np.ndarray], ends: np.ndarray)
     n = len(order)
     if n < 2:
         return np.zeros(0, np.int64)
-    a, b = order[:-1].copy(), order[1:].copy()
+    a, b = order[:-1].astype(np.int64), order[1:].astype(np.int64)
     ea, eb = ends[a], ends[b]
     lcp = np.zeros(n - 1, np.int64)
     for k in range(len(levels) - 1, -1, -1):

@@ -147,6 +147,12 @@ def owner(firsts: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts)) if n else np.zeros(0, np.int64)
 
 
+def inside(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All places of some spans, one span after the other."""
+    size = ends - starts
+    return np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of n places lie in any of the spans."""
     d = np.zeros(n + 1, np.int64)

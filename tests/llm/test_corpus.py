@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -71,9 +72,9 @@ def test_fm_index():
         assert got.tolist() == want
 
 
-@pytest.mark.parametrize("hot", [20, 2])
-def test_substrings(spark, monkeypatch, hot):
-    monkeypatch.setattr(op6, "HOT_LEAST", hot)
+@pytest.mark.parametrize("heavy", [1 << 16, 3000, 300])
+def test_substrings(spark, monkeypatch, heavy):
+    monkeypatch.setattr(op6, "HEAVY_WORDS", heavy)
     docs, data = rows(spark, corpus(11))
     first = {}
     for k, t in data:
@@ -92,6 +93,55 @@ def test_substrings(spark, monkeypatch, hot):
     assert op6.deduplicated(docs.limit(0)).collect() == []
 
 
+def test_hot_passages_are_split(spark, monkeypatch):
+    """A passage in all documents, one in a twentieth, a text in a third: no anchor's group
+    grows with them."""
+    rng = random.Random(5)
+    fresh = iter(range(10**9))
+    passage, other, whole = ([f"p{k}_{i}" for i in range(n)] for k, n in enumerate((70, 60, 200)))
+    texts = []
+    for k in range(600):
+        words = [f"u{next(fresh)}" for _ in range(30)]
+        words[rng.randrange(30) : 0] = passage
+        texts.append(" ".join(whole if k % 3 == 0 else words + other if k % 20 == 1 else words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    largest = {}
+    for heavy in (1 << 30, 2000):
+        monkeypatch.setattr(op6, "HEAVY_WORDS", heavy)
+        monkeypatch.setattr(op6, "SHARD_WORDS", 500)
+        inner = op6._verdicts
+
+        def seen(segments, width, heavy=heavy, inner=inner):
+            largest[heavy] = segments.groupBy("shard").agg(F.sum(F.length("words") / 8).alias("n")).agg(F.max("n")).first()[0]
+            return inner(segments, width)
+
+        monkeypatch.setattr(op6, "_verdicts", seen)
+        out = {r[0]: r[1:] for r in op6.deduplicated(docs).select("doc_id", "n_removed", "kept_text").collect()}
+        monkeypatch.setattr(op6, "_verdicts", inner)
+        assert all(out[k][0] == (200 if k % 3 == 0 else 70 + 60 * (k % 20 == 1)) for k in range(70, 600))
+        assert out[0][0] == out[1][0] == 0
+    assert largest[2000] <= 3 * 2000 < largest[1 << 30], largest
+
+
+def test_many_equal_rows(spark):
+    """Rows equal in id and text share their verdict, and do not meet each other's."""
+    text = " ".join(f"w{k}" for k in range(300))
+    docs = spark.createDataFrame([(0, text)] + [(1, text)] * 2000, "doc_id long, text string").repartition(4)
+    began = time.time()
+    got = Counter(tuple(r) for r in op6.deduplicated(docs).select("doc_id", "n_words", "n_removed").collect())
+    assert got == {(0, 300, 0): 1, (1, 300, 300): 2000}
+    assert time.time() - began < 30
+
+
+def test_very_long_text(spark):
+    """A text of many words, beside a copy of it and one of its passages."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(50000)}" for _ in range(400_000)]
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words)), (2, " ".join(words[1000:1060])), (3, "a " * 300_000), (4, "b " * 10 + "a " * 100)], "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in op6.deduplicated(docs).select("doc_id", "n_words", "n_removed").collect()}
+    assert got == {0: (400_000, 0), 1: (400_000, 400_000), 2: (60, 60), 3: (300_000, 0), 4: (110, 100)}
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_neardup(spark, words):
     docs, data = rows(spark, corpus(12, 150))
