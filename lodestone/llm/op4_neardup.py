@@ -4,23 +4,25 @@ A document's set is that of its shingles of `words` words (A-Z lower-cased). Doc
 same set are one class at once: its smallest doc_id stands for it. Each class has
 `BANDS * ROWS` MinHash samples. Bands of `ROWS` samples give candidates: two sets with a
 Jaccard similarity of 0.8 miss all bands with a probability of 3e-6, the more similar
-ones far less. The samples are also folded into an odd sketch, a bitmap in which each
-(place, sample) flips a bit: the bits in which two sketches differ estimate how many
-samples do, and candidates that lie far below the threshold, by 6 standard errors,
-stop there. All others are confirmed on the full sets.
+ones far less. Each candidate is verified by odd sketches: the least shingle of each of `BINS`
+hashed bins is a MinHash sample too, and each (bin, sample) flips a bit of a bitmap. The
+bits in which two sketches differ estimate how many samples do, and with the sets' sizes
+how similar they are. Pairs below the threshold by more than `MISS` standard errors of
+samples, bins and bits together stop there: some 3e-6 of the pairs at 0.8, three in four at 0.7
+and all at 0.6, of sets of over a thousand shingles. All others are confirmed on the full sets.
 
 Within a bucket of a band not all pairs are made:
 1. each class is paired with the bucket's centre, the class that shares most buckets
    with others.
-2. where a bucket still holds two or more components, classes with the same pivot (the
-   greatest centre that they meet) are compared by what differs from it, through an
-   index of their rarest differences (`same_pivot`): exact, and not all pairs.
-3. what then is left in two components or more, and has different pivots, is paired
-   within its bucket, so no link that would connect anything is left out.
-Links within a component that is already connected change no result and are not made.
+2. the classes that meet one centre, in any bucket, are its group. Where one of them is not
+   linked to the centre, the group's classes are compared by what differs from the centre,
+   through an index of their rarest differences (`same_pivot`): exact, and not all pairs.
+Two classes of one bucket are in one group, so no link that would connect anything is left
+out. Links between classes that are both linked to their centre change no result and are not made.
 
 Hot classes meet in sums and in joins that split when skewed. A set is shipped once for
-each pair to confirm, never gathered by bucket.
+each pair to confirm, never gathered by bucket. A text of any length is one set, made in
+one task and shipped whole.
 
 Null, empty and wordless texts have no shingles: they are linked with nothing, and are
 their own component. A text of fewer words than a shingle is one shingle. Rows with the same doc_id are rows of their
@@ -44,22 +46,16 @@ from lodestone.llm.shared import bitmap, dropped, mapped, marked, written
 
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
+#: Bins of samples that are folded into a sketch, and its bits.
+BINS, SKETCH_BITS = 1024, 2048
+#: Standard errors by which an estimate must miss the threshold to drop a pair.
+MISS = 4.5
 FILTER_BITS = 25
 PERCENT = 80
 _A = tv.mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = tv.mix(np.arange(1001, SAMPLES + 1001, dtype=np.uint64))
 
 
-def sketch_limit(percent: int) -> int:
-    """The most bits in which two odd sketches may differ at this similarity, but for a
-    chance of 1e-9: 6 standard errors beyond the mean, of samples and of bits."""
-    s = percent / 100
-    differ = SAMPLES * (1 - s) + 6 * (SAMPLES * s * (1 - s)) ** 0.5
-    p = (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ)) / 2
-    return int(SKETCH_BITS * p + 6 * (SKETCH_BITS * p * (1 - p)) ** 0.5)
-
-
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct shingle hashes of each text, and where each text's begin. A
     text of fewer words is one shingle; without words it has none."""
@@ -93,15 +89,21 @@ def samples(code: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketch(drawn: np.ndarray) -> np.ndarray:
-    """The parity bitmaps of sets from their samples: 64-bit words, a row for each set."""
-    n = drawn.shape[1]
-    bit = (tv.mix(drawn.astype(np.uint64) * np.uint64(SAMPLES) + np.arange(SAMPLES, dtype=np.uint64)[:, None]) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    flips = np.bincount((bit + np.arange(n) * SKETCH_BITS).ravel(), minlength=n * SKETCH_BITS) & 1
-    return np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+def odd_sketch(code: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parity bitmaps of the sets (64-bit words, a row for each), and how many bins of each
+    have a sample."""
+    n = len(begin) - 1
+    who, h = tv.owner(begin, len(code)), tv.mix(code ^ np.uint64(0x0DD5))
+    cell = who * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
+    order = np.lexsort((h, cell))
+    first = order[np.concatenate(([True], np.diff(cell[order]) != 0))[: len(order)]]
+    bit = (tv.mix(h[first]) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    own = who[first]
+    flips = np.bincount(bit + own * SKETCH_BITS, minlength=n * SKETCH_BITS) & 1
+    return np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.int64), np.bincount(own, minlength=n)
 
 
-SIGNED = "doc_id long, row_key long, n_shingles long, class long, bands array<long>, sketch array<long>"
+SIGNED = "doc_id long, row_key long, n_shingles long, class long, bands array<long>, sketch array<long>, filled int"
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
@@ -116,15 +118,14 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                 for k in range(SAMPLES):
                     band[k // ROWS] = tv.pair_hash(band[k // ROWS] + np.uint64(k // ROWS), drawn[k].astype(np.uint64))
                 empty = n == 0
-                row = np.cumsum(~empty) - 1
-                row[empty] = -1
+                sketch, filled = odd_sketch(code, begin)
 
-                def lists(m: np.ndarray, row=row, empty=empty) -> pa.Array:
+                def lists(m: np.ndarray, empty=empty) -> pa.Array:
                     w = m.shape[1]
                     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(empty, 0, w)))).astype(np.int32)), pa.array(m.ravel()), mask=pa.array(empty))
 
                 cls = pa.array(set_id(code, begin).view(np.int64), mask=empty)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n), cls, lists(np.ascontiguousarray(band.T).view(np.int64)), lists(odd_sketch(drawn))], names=["doc_id", "row_key", "n_shingles", "class", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n), cls, lists(np.ascontiguousarray(band.T).view(np.int64)), lists(sketch[~empty]), pa.array(filled.astype(np.int32))], names=[x.split()[0] for x in SIGNED.split(", ")])
 
     return mapped(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text"), run, SIGNED)
 
@@ -152,9 +153,25 @@ def estimate(a: str, b: str) -> Column:
 
 
 def plausible(percent: int) -> Column:
-    """Whether pairs with sizes n_a, n_b and sketches may reach the similarity."""
+    """Whether pairs may reach the similarity, from their sizes n_a, n_b, the bins filled_a,
+    filled_b that have samples, and the bits `apart` in which their sketches differ.
+
+    At that similarity s the union has (n_a + n_b) / (1 + s) shingles, and a share s of the bins
+    it fills hold the same sample in both sets.
+    """
+    s, k = percent / 100, SKETCH_BITS
+    union = (F.col("n_a") + F.col("n_b")) / (1 + s)
+    load = union / BINS
+    bins = BINS * (1 - F.exp(-load))
+    # how the bins, the samples in them and the bits of a sketch vary
+    of_bins = F.greatest(BINS * (F.exp(-load) - (1 + load) * F.exp(-2 * load)), F.lit(0.0))
+    of_samples = s * (1 - s) * bins * F.greatest(1 - bins / union, F.lit(0.0))
+    differ = F.greatest(F.col("filled_a") + F.col("filled_b") - 2 * s * bins, F.lit(0.0))
+    kept = F.exp(-2 * differ / k)
+    of_bits = F.greatest(k / 4 * (1 - kept * kept) - differ * kept * kept, F.lit(0.0))
+    error = F.sqrt(kept * kept * 4 * (s * s * of_bins + of_samples) + of_bits + 1)
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return (100 * small >= percent * large) & (F.col("apart") <= sketch_limit(percent))
+    return (100 * small >= percent * large) & (F.col("apart") <= k / 2 * (1 - kept) + MISS * error)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,68 +223,51 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     held = written(deltas(members, sets), "deltas")
     e, width = F.size("delta"), F.col("n_pivot") * 0.06 + 1
     held_h = held.withColumn("h", e - g * F.col("n")).withColumn("bin", F.least(F.floor((F.col("h") + g * F.col("n_pivot")) / width), F.lit(11)).cast("int"))
-    nearest = held_h.groupBy("pivot").agg(F.min(F.struct("h", "class")).alias("m"), F.collect_set("bin").alias("bins"))
+    # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
+    nearest = written(held_h.groupBy("pivot").agg(F.min(F.struct("h", "class")).alias("m"), F.collect_set("bin").alias("bins")), "nearest")
     stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("class") != F.col("m.class"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"))
     each = held_h.select("class", "pivot", F.explode("delta").alias("part"))
-    common = each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    order = each.join(common, ["pivot", "part"]).groupBy("class").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared"))
+    common = written(each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common")
+    order = written(each.join(common, ["pivot", "part"]).groupBy("class", "pivot").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared")), "order")
     # the first e - k + 1 differences, without those that no other class has: the rarest
-    x = held_h.join(order, "class").join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
+    x = held_h.join(order, ["class", "pivot"]).join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
     low = F.col("other") * (F.col("n_pivot") * 0.06 + 1) - g * F.col("n_pivot")
     lone = F.col("e") - F.size("shared")
     take = F.least(F.size("shared"), F.col("e") - F.greatest(F.ceil((F.col("h") + low) / 2 - 1e-6), F.lit(1)) + 1 - lone).cast("int")
     x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", "h", "e", lone.alias("lone"), F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("place", "s"))
     # at the first common one of a pair, no more can be common than stand from there on in either
-    x = x.select("class", "of", "h", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"), F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
-    a, b = (x.select("at", F.col("class").alias(v), *(F.col(c).alias(f"{c}_{v}") for c in ("of", "h", "rest"))) for v in "ab")
-    pairs = a.join(b, "at").where("of_a < of_b and least(rest_a, rest_b) >= (h_a + h_b) / 2 - 1e-6").select("a", "b").distinct()
-    left, right = (held.select(F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
+    x = x.select("class", "pivot", "of", "h", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"), F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
+    a, b = (x.select("at", "pivot", F.col("class").alias(v), *(F.col(c).alias(f"{c}_{v}") for c in ("of", "h", "rest"))) for v in "ab")
+    pairs = a.join(b, ["at", "pivot"]).where("of_a < of_b and least(rest_a, rest_b) >= (h_a + h_b) / 2 - 1e-6").select("pivot", "a", "b").distinct()
+    left, right = (held.select("pivot", F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
     apart = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
     both = F.col("n_a") + F.col("n_b")
-    met = pairs.join(left, "a").join(right, "b").where(100 * (both - apart) >= percent * (both + apart)).select("a", "b")
+    met = pairs.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).where(100 * (both - apart) >= percent * (both + apart)).select("a", "b")
     return stars.unionByName(met)
 
 
 def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
     """(node, component) of the classes with links, from confirmed links enough to connect
     all that are linked."""
-    sides = classes.select("class", "n_shingles", "sketch")
     keys = classes.select("class", F.explode("bands").alias("key"))
-    # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
     full = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
     # only buckets of two or more, from here on
     buckets = written(keys.join(full, "key"), "buckets")
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
     centre = written(buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")), "centre")
-    named = written(buckets.join(centre, "key").select("key", "class", "c"), "centres")
-    pivot = named.groupBy("class").agg(F.max("c").alias("c")).select("class", F.col("c.class").alias("pivot"))
-    stars = named.select(F.col("class").alias("a"), F.col("c.class").alias("b")).where("a <> b").distinct()
-
-    def with_sides(pairs: DataFrame) -> DataFrame:
-        a, b = (sides.select(F.col("class").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
-        return pairs.join(a, "a").join(b, "b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent)).select("a", "b", "apart")
-
-    stars = written(with_sides(stars), "stars")
-    # sets of every class that stands in a bucket and could be asked for later
+    group = written(buckets.join(centre, "key").select("class", F.col("c.class").alias("pivot")).where("class <> pivot").distinct(), "group")
     sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS), words), "sets")
-    found = written(confirmed(stars.select("a", "b"), sets, percent), "links")
-
-    def mixed(part: DataFrame) -> DataFrame:
-        """Bucket rows (key, class, of) of the buckets with two components or more."""
-        own = named.select("key", "class").join(part.withColumnRenamed("node", "class"), "class", "left").select("key", "class", F.coalesce("component", "class").alias("of"))
-        two = written(own.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("key"), "two")
-        return own.join(two, "key")
-
-    members = mixed(components(found)).select("class", "of").distinct().join(pivot, "class").select("class", "pivot", "of")
-    found = written(found.unionByName(same_pivot(members, sets, percent)), "links")
-    part = components(found)
-    left = written(mixed(part).join(pivot, "class").join(sides, "class"), "mixed")
-    a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("class", "of", "pivot", "sketch")), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-    across = a.join(b, "key").where("of_a < of_b and pivot_a <> pivot_b").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
-    new = written(confirmed(across.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), sets, percent), "links")
-    if new.limit(1).count():
-        part = components(found.unionByName(new))
-    dropped(buckets, named, stars, sets, left)
+    dropped(full, buckets, centre)
+    sides = classes.select("class", "n_shingles", "filled", "sketch")
+    a, b = (sides.select(F.col("class").alias(k), F.col("n_shingles").alias(f"n_{x}"), F.col("filled").alias(f"filled_{x}"), F.col("sketch").alias(f"sketch_{x}")) for k, x in (("class", "a"), ("pivot", "b")))
+    stars = group.join(a, "class").join(b, "pivot").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
+    found = written(confirmed(stars.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, percent), "links")
+    # groups with two classes or more beside the centre, not all of them linked to it
+    met = found.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("b").alias("of"))
+    state = written(group.join(met, ["class", "pivot"], "left").select("class", "pivot", F.coalesce("of", "class").alias("of")), "state")
+    open_ = written(state.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("of") != F.col("pivot")).alias("apart")).where("n > 1 and apart > 0").select("pivot"), "open")
+    part = components(found.unionByName(same_pivot(state.join(open_, "pivot"), sets, percent)))
+    dropped(group, sets, state, open_)
     return part
 
 
@@ -275,8 +275,8 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     """doc_id, row_key (xxhash64 of doc_id and text), n_shingles, component_id and kept of
     each document."""
     rows = written(signed(docs, words), "signed")
-    one = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch"))
-    classes = written(rows.where("class is not null").groupBy("class").agg(one.alias("c"), F.min("doc_id").alias("least")).select("class", "least", "c.n_shingles", "c.bands", "c.sketch"), "classes")
+    one = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch", "filled"))
+    classes = written(rows.where("class is not null").groupBy("class").agg(one.alias("c"), F.min("doc_id").alias("least")).select("class", "least", "c.n_shingles", "c.bands", "c.sketch", "c.filled"), "classes")
     part = linked(docs, classes, percent, words)
     of = classes.select("class", "least").join(part.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # two steps: the smallest doc_id of each component, then of each class

@@ -175,6 +175,31 @@ def test_bucket_without_a_centre(spark):
     assert {r["component_id"] for r in op4.neighbours(docs).collect()} == {0}
 
 
+def test_odd_sketches(spark):
+    """Candidates at 0.8 pass, those at 0.7 and below stop, but for small sets and few."""
+    rng = np.random.default_rng(6)
+    pairs, rows_ = 2000, []
+    for percent in (60, 70, 80, 90):
+        for size in (40, 1200):
+            sets = []
+            for _ in range(pairs):
+                union = size + int(rng.integers(size))
+                both = -(-percent * union // 100)
+                code = np.unique(rng.integers(1, 1 << 63, union + 9, dtype=np.int64))[:union].astype(np.uint64)
+                rng.shuffle(code)
+                cut = both + (union - both) // 2
+                sets += [np.sort(code[:cut]), np.sort(np.concatenate((code[:both], code[cut:])))]
+            begin = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+            sketch, filled = op4.odd_sketch(np.concatenate(sets), begin)
+            for k in range(0, 2 * pairs, 2):
+                rows_.append((percent, size, *(len(x) for x in sets[k : k + 2]), *filled[k : k + 2].tolist(), *sketch[k : k + 2].tolist()))
+    df = spark.createDataFrame(rows_, "percent int, size int, n_a long, n_b long, filled_a int, filled_b int, sketch_a array<long>, sketch_b array<long>")
+    passed = df.withColumn("apart", op4.estimate("sketch_a", "sketch_b")).groupBy("percent", "size").agg(F.avg(op4.plausible(80).cast("int"))).collect()
+    share = {(p, n): x for p, n, x in passed}
+    assert all(share[p, n] >= 0.999 for p in (80, 90) for n in (40, 1200)), share
+    assert share[70, 1200] < 0.3 and share[60, 1200] == 0 and share[60, 40] < 0.2, share
+
+
 def test_components(spark):
     rng = random.Random(4)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000, k) for k in range(1001, 1200)] + [(k, k + 1) for k in range(2000, 2040)]
