@@ -94,11 +94,15 @@ def odd_sketch(code: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     have a sample."""
     n = len(begin) - 1
     who, h = tv.owner(begin, len(code)), tv.mix(code ^ np.uint64(0x0DD5))
-    cell = who * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
-    order = np.lexsort((h, cell))
-    first = order[np.concatenate(([True], np.diff(cell[order]) != 0))[: len(order)]]
-    bit = (tv.mix(h[first]) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    own = who[first]
+    cell = who.astype(np.uint64) * np.uint64(BINS) + (h & np.uint64(BINS - 1))
+    # a shingle's place above, the upper bits of its hash below
+    low = np.uint64(max(1, (n * BINS).bit_length()))
+    key = np.sort(cell << (np.uint64(64) - low) | h >> low)
+    cell = (key >> (np.uint64(64) - low)).astype(np.int64)
+    first = np.concatenate(([True], cell[1:] != cell[:-1]))[: len(key)]
+    own, bin_ = np.divmod(cell[first], BINS)
+    drawn = (key[first] << low) + bin_.astype(np.uint64)
+    bit = (tv.mix(drawn) % np.uint64(SKETCH_BITS)).astype(np.int64)
     flips = np.bincount(bit + own * SKETCH_BITS, minlength=n * SKETCH_BITS) & 1
     return np.packbits(flips.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.int64), np.bincount(own, minlength=n)
 
