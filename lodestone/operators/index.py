@@ -1,8 +1,10 @@
-"""The index: points (chunks with their vectors) in versioned Parquet, and postings of words."""
+"""The index: points (chunks with their vectors) in versioned buckets of Parquet, and postings of words."""
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,24 +58,49 @@ def batch_numbers(rows: DataFrame, order: str, size: int = BATCH) -> DataFrame:
 
 
 class Collection:
-    """A named index: versions of a points table under a folder, the current one marked.
+    """A named index: points in buckets by id under a folder, and a manifest that tells which
+    version of each bucket holds.
 
-    upsert() writes a whole new version and then moves the mark, so readers see the old
-    or the new index. Points are replaced by id and never deleted by an upsert.
+    upsert() rewrites the buckets that it touches, with the postings of their words, and then
+    adds a manifest, so readers see the old or the new index; of two writers at once the second
+    fails and changes nothing. Points are replaced by id and never deleted by an upsert. Versions
+    that neither the newest manifest nor the one before names are removed.
+
+    A bucket's points are sorted by document type and id, its postings by word, so that readers
+    pass over what they do not ask for. The postings of one word lie in all buckets.
     """
 
-    def __init__(self, spark: SparkSession, root: str, name: str, dimensions: int = 3072):
-        self.spark, self.path, self.dimensions = spark, f"{root.rstrip('/')}/{name}", dimensions
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
+    def __init__(self, spark: SparkSession, root: str, name: str, dimensions: int = 3072, buckets: int = 16):
+        self.spark, self.path, self.dimensions, self._buckets = spark, f"{root.rstrip('/')}/{name}", dimensions, buckets
+        self._jvm = spark.sparkContext._jvm
+        self._Path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self) -> str | None:
-        mark = self._Path(f"{self.path}/current")
-        if not self._fs.exists(mark):
-            return None
-        marks = [s.getPath().getName() for s in self._fs.listStatus(mark)]
-        return f"{self.path}/{max(marks).split('=', 1)[1]}" if marks else None
+    def _manifests(self) -> list[str]:
+        mark = self._Path(f"{self.path}/manifests")
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(mark)) if self._fs.exists(mark) else []
+
+    def _manifest(self, name: str) -> dict:
+        stream = self._fs.open(self._Path(f"{self.path}/manifests/{name}"))
+        try:
+            return json.loads(bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+        finally:
+            stream.close()
+
+    def _commit(self, number: int, held: dict) -> None:
+        """Adds a manifest; fails where another writer has added it."""
+        stream = self._fs.create(self._Path(f"{self.path}/manifests/{number:08d}"), False)
+        stream.write(bytearray(json.dumps(held).encode()))
+        stream.close()
+
+    def _held(self) -> tuple[int, dict]:
+        names = self._manifests()
+        return (int(names[-1]), self._manifest(names[-1])) if names else (-1, {"buckets": self._buckets, "at": {}})
+
+    def _read(self, what: str, buckets: Iterable[str] | None = None) -> DataFrame | None:
+        _, held = self._held()
+        at = [f"{self.path}/{v}/{what}/bucket={b}" for b, v in held["at"].items() if buckets is None or b in buckets]
+        return self.spark.read.parquet(*at) if at else None
 
     def exists(self) -> bool:
         return self._fs.exists(self._Path(self.path))
@@ -82,34 +109,62 @@ class Collection:
         """Makes the collection; False where it exists."""
         if self.exists():
             return False
-        return self._fs.mkdirs(self._Path(f"{self.path}/current"))
+        self._commit(0, {"buckets": self._buckets, "at": {}})
+        return True
 
     def read(self) -> DataFrame | None:
-        at = self._current()
-        return self.spark.read.parquet(f"{at}/points") if at else None
+        return self._read("points")
 
     def postings(self) -> DataFrame | None:
-        at = self._current()
-        return self.spark.read.parquet(f"{at}/postings") if at else None
+        return self._read("postings")
 
     def count(self) -> int:
         """Points; 0 where there is no table."""
         held = self.read() if self.exists() else None
         return 0 if held is None else held.count()
 
-    def upsert(self, new: DataFrame) -> None:
-        """Replaces points by id, partitioned by doc_type and sorted by doc_id for pruning;
-        full vectors must have the collection's dimensions."""
-        held = self.read()
+    def upsert(self, new: DataFrame, order: Sequence[str] = ("updated_at",)) -> None:
+        """Replaces points by id. Of new points with one id that with the greatest `order`
+        stands (columns that new has; all others in their order decide ties). Full vectors must
+        have the collection's dimensions. Without points nothing changes."""
         size = F.size("full_vector")
         new = new.withColumn("full_vector", F.when(size == self.dimensions, F.col("full_vector")).otherwise(F.raise_error(F.concat(F.lit("Wrong vector size: "), size.cast("string"))).cast("array<float>")))
-        new = new.dropDuplicates(["id"])
-        rows = new if held is None else held.select(*new.columns).join(new.select("id"), "id", "left_anti").unionByName(new)
-        version = f"v{0 if held is None else int(self._current().rsplit('/v', 1)[1].split('-')[0]) + 1:08d}-{uuid.uuid4().hex[:8]}"
-        rows.repartition("doc_type", "doc_id").sortWithinPartitions("doc_type", "doc_id").write.partitionBy("doc_type").parquet(f"{self.path}/{version}/points")
-        written = self.spark.read.parquet(f"{self.path}/{version}/points")
-        written.select("id", F.explode(words("text")).alias("word")).repartition("word").sortWithinPartitions("word").write.parquet(f"{self.path}/{version}/postings")
-        self._fs.create(self._Path(f"{self.path}/current/{version[:9]}={version}")).close()
+        number, held = self._held()
+        bucket = F.pmod(F.xxhash64("id"), F.lit(held["buckets"])).cast("int").alias("bucket")
+        first = [c for c in order if c in new.columns]
+        # maps cannot be compared: they follow what can
+        rest = [f.name for f in new.schema if f.name not in ("id", *first) and f.dataType.typeName() != "map"]
+        maps = [f.name for f in new.schema if f.dataType.typeName() == "map"]
+        one = F.max_by(F.struct(*[c for c in new.columns if c != "id"]), F.struct(*first, *rest)) if first or rest else F.first(F.struct(*maps))
+        version = f"v{number + 1:08d}-{uuid.uuid4().hex[:8]}"
+        rows = new.groupBy("id").agg(one.alias("p")).select("id", "p.*").select(*new.columns)
+        staged = f"{self.path}/{version}/new"
+        rows.write.parquet(staged)
+        rows = self.spark.read.schema(rows.schema).parquet(staged)
+        touched = [str(r[0]) for r in rows.select(bucket).distinct().collect()]  # as many as there are buckets
+        if touched:
+            old = self._read("points", touched)
+            if old is not None:
+                rows = old.select(*rows.columns).join(rows.select("id"), "id", "left_anti").unionByName(rows)
+            rows = rows.withColumn("bucket", bucket)
+            rows.repartition("bucket", "doc_id").sortWithinPartitions("bucket", "doc_type", "doc_id").write.partitionBy("bucket").parquet(f"{self.path}/{version}/points")
+            posted = self.spark.read.parquet(f"{self.path}/{version}/points").select("bucket", "id", F.explode(words("text")).alias("word"))
+            posted.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("bucket", "word").write.partitionBy("bucket").parquet(f"{self.path}/{version}/postings")
+            # a bucket whose points have no words has no folder of postings
+            for b in touched:
+                self._fs.mkdirs(self._Path(f"{self.path}/{version}/postings/bucket={b}"))
+            self._commit(number + 1, held | {"at": held["at"] | dict.fromkeys(touched, version)})
+        self._fs.delete(self._Path(staged if touched else f"{self.path}/{version}"), True)
+        self._clean()
+
+    def _clean(self) -> None:
+        names = self._manifests()[-2:]
+        used = {v for n in names for v in self._manifest(n)["at"].values()}
+        newest = names[-1] if names else ""
+        for s in self._fs.listStatus(self._Path(self.path)):
+            v = s.getPath().getName()
+            if v.startswith("v") and v not in used and v[1:9] < newest:
+                self._fs.delete(s.getPath(), True)
 
     def reset(self, force: bool = False) -> None:
         """Drops and makes the collection anew; one with points only with force."""

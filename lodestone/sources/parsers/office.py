@@ -212,8 +212,9 @@ def _dates(z: zipfile.ZipFile) -> list[bool]:
 
 
 def _sheet(root: ET.Element, strings: list[str], dates: list[bool], epoch: datetime) -> list[list[object]]:
-    """The rows of a sheet from its first used cell on; '' where a cell is empty."""
-    cells: dict[tuple[int, int], object] = {}
+    """Runs of a sheet's rows that hold cells, each from its first used column to its last, ''
+    where a cell is empty and an empty row after each run: no more than what the runs span."""
+    cells: dict[int, dict[int, object]] = {}
     for c in root.iter():
         if _tag(c) != "c" or not c.get("r"):
             continue
@@ -234,12 +235,25 @@ def _sheet(root: ET.Element, strings: list[str], dates: list[bool], epoch: datet
                 value = epoch + timedelta(days=value)
         else:
             continue
-        cells[_place(c.get("r"))] = value
-    if not cells:
-        return []
-    r0, c0 = min(r for r, _ in cells), min(c for _, c in cells)
-    r1, c1 = max(r for r, _ in cells), max(c for _, c in cells)
-    return [[cells.get((r, c), "") for c in range(c0, c1 + 1)] for r in range(r0, r1 + 1)]
+        if value not in ("", None):
+            row, col = _place(c.get("r"))
+            cells.setdefault(row, {})[col] = value
+    out: list[list[object]] = []
+    for run in _runs(sorted(cells)):
+        used = [c for r in run for c in cells[r]]
+        out += [[cells[r].get(c, "") for c in range(min(used), max(used) + 1)] for r in run]
+        out.append([])
+    return out
+
+
+def _runs(numbers: list[int]) -> list[list[int]]:
+    """Sorted numbers by runs without a gap."""
+    out: list[list[int]] = []
+    for n in numbers:
+        if not out or n > out[-1][-1] + 1:
+            out.append([])
+        out[-1].append(n)
+    return out
 
 
 def regions(rows: list[list[object]]) -> list[list[list[object]]]:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.config import Config
+from lodestone.functions import splitter
 from lodestone.functions import text as T
 from lodestone.operators import embed, index, search, sections
 from lodestone.operators.documents import chunk_files, chunks
@@ -206,3 +207,61 @@ def test_table_function(spark):
     spark.createDataFrame([(1, "# A\n\none\n\n# B\n\ntwo"), (2, None)], "k int, t string").createOrReplaceTempView("texts_to_chunk")
     got = spark.sql("SELECT k, c.* FROM texts_to_chunk, LATERAL chunk_text(t, 'md') c ORDER BY k, chunk_index").collect()
     assert [(r["k"], r["full_text"]) for r in got] == [(1, "A\n\none"), (1, "B\n\ntwo"), (2, "[Empty document]")]
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    held = index.Collection(spark, str(tmp_path), "b", 2, buckets=8)
+    assert held.create() and not held.create() and held.count() == 0
+
+    def rows(*points_):
+        return spark.createDataFrame([(i, [1.0, 2.0], t, "d", "txt", n) for i, t, n in points_], "id string, full_vector array<float>, text string, doc_id string, doc_type string, updated_at int")
+
+    held.upsert(rows(*((f"p{k}", f"first {k}", 0) for k in range(40))))
+    before = held._held()[1]["at"]
+    held.upsert(rows(("p1", "old", 1), ("p1", "new words", 3), ("p1", "older", 2)))
+    after = held._held()[1]["at"]
+    assert sum(after[b] != before[b] for b in before) == 1 and held.count() == 40
+    assert [r["text"] for r in held.read().where("id = 'p1'").collect()] == ["new words"]
+    assert {r["id"] for r in held.postings().where("word = 'words'").collect()} == {"p1"}
+    assert held.postings().where("word = 'first'").count() == 39
+    held.upsert(rows())
+    assert held._held()[1]["at"] == after
+    with pytest.raises(Exception, match="Wrong vector size"):
+        held.upsert(rows(("x", "t", 0)).withColumn("full_vector", F.expr("array(1f)")))
+    assert held.count() == 40
+    # a second writer that began from the same manifest fails
+    with pytest.raises(Exception, match="exist"):
+        held._commit(held._held()[0], {})
+    with pytest.raises(ValueError):
+        held.reset()
+    held.reset(force=True)
+    assert held.count() == 0 and held.read() is None
+
+
+def test_batch_search_of_odd_vectors(spark):
+    data = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0]), (5, [1.0, None])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    asked = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    got = search.vector_search_batch(df, asked, 1, "vec_id", "embedding").collect()
+    assert {(r["query_id"], r["vec_id"]) for r in got} == {(1, 1), (3, 3)}
+    assert search.vector_search_batch(df, asked, 0, "vec_id", "embedding").collect() == []
+    assert search.vector_search_batch(df.limit(0), asked, 3, "vec_id", "embedding").collect() == []
+
+
+def test_sparse_sheet():
+    from lodestone.sources.parsers import office
+
+    cells = "".join(f'<row><c r="{ref}" t="str"><v>{v}</v></c></row>' for ref, v in (("A1", "a"), ("XFD1048576", "z"), ("B2", "b")))
+    rows = office._sheet(office.ET.fromstring(f"<worksheet><sheetData>{cells}</sheetData></worksheet>"), [], [], office.datetime(1899, 12, 30))
+    assert rows == [["a", ""], ["", "b"], [], ["z"], []]
+    assert office.regions(rows) == [[["a", ""], ["", "b"]], [["z"]]]
+
+
+def test_fold_of_pieces_in_both_forms(spark):
+    rng = random.Random(2)
+    sentence = lambda: " ".join(["word"] * rng.randint(1, 30)) + rng.choice([". ", "! ", " ", "?\n"])
+    texts = ["", "  \n", "short", *("\n\n".join("".join(sentence() for _ in range(rng.randint(0, 25))) for _ in range(rng.randint(1, 8))) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", splitter.split_text("t", 60, 25).alias("a"), splitter.split_sentences("t", 60, 25).alias("b"))
+    for r in df.collect():
+        assert r["a"] == splitter.split(texts[r["k"]], 60, 25) and r["b"] == splitter.by_sentence(texts[r["k"]], 60, 25)
+    assert df.where("a is null").count() == 0
