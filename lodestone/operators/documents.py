@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -17,7 +18,7 @@ from lodestone.schema import CHUNK, EMPTY_SUMMARY, EMPTY_TEXT, names
 from lodestone.sources.parsers import parse
 
 _META = pa.map_(pa.string(), pa.string())
-_TYPES = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
+_TYPES = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
 
 
 def doc_id(path: str) -> str:
@@ -91,8 +92,8 @@ def _arrow(rows: list[dict], ddl: str) -> pa.RecordBatch:
 
 def chunk_files(files: DataFrame) -> DataFrame:
     """CHUNK rows of all files (FILE rows), and one row with `error` and no id for each
-    file that cannot be read or parsed; no file stops another."""
-    ddl = CHUNK + ", error string"
+    file that cannot be read or parsed; no file stops another. elapsed_ms is that of its file."""
+    ddl = CHUNK + ", error string, elapsed_ms long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -101,14 +102,17 @@ def chunk_files(files: DataFrame) -> DataFrame:
                 for f in b.slice(i, 64).to_pylist():
                     at = {"source_path": f["path"], "doc_type": f["doc_type"], "doc_id": doc_id(f["path"])}
                     if f["error"] is not None:
-                        rows.append(at | {"error": f["error"]})
+                        rows.append(at | {"error": f["error"], "elapsed_ms": 0})
                         continue
+                    began, first = time.perf_counter(), len(rows)
                     try:
                         blocks, meta = parse(f["content"] or b"", f["doc_type"])
                         stats = {"fileName": f["file_name"], "fileSize": f["file_size"], "createdAt": f["created"], "modifiedAt": f["modified"], "absolutePath": f["path"]}
                         rows += chunks(blocks, at["doc_id"], f["doc_type"], f["path"], {k: v for k, v in stats.items() if v is not None} | meta)
                     except Exception as e:  # a broken file is a row, not a failed job
                         rows.append(at | {"error": f"{type(e).__name__}: {e}"})
+                    elapsed = round((time.perf_counter() - began) * 1000)
+                    rows[first:] = [r | {"elapsed_ms": elapsed} for r in rows[first:]]
                 yield _arrow(rows, ddl)
 
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -132,7 +136,7 @@ def chunk_texts(docs: DataFrame, doc_type: str = "txt") -> DataFrame:
 
 
 def blocks_of(docs: DataFrame, doc_type: str) -> DataFrame:
-    """Block rows (doc_id, pos, ...) of texts held in a table (doc_id, text)."""
+    """Block rows (doc_id, pos, ...) of texts, or of files as binary, held in a table (doc_id, text)."""
     ddl = "pos int, type string, content string, level int, is_table boolean, is_code boolean, page_number int, slide_number int, sheet_name string, metadata map<string,string>"
     key = docs.schema["doc_id"].dataType.simpleString()
 
@@ -141,7 +145,7 @@ def blocks_of(docs: DataFrame, doc_type: str) -> DataFrame:
             for i in range(0, b.num_rows, 256):
                 rows, at = [], []
                 for k, text in enumerate(b.column(1).slice(i, 256).to_pylist()):
-                    found = parse((text or "").encode(), doc_type)[0]
+                    found = parse(text.encode() if isinstance(text, str) else text or b"", doc_type)[0]
                     rows += [x | {"pos": n} for n, x in enumerate(found)]
                     at += [i + k] * len(found)
                 r = _arrow(rows, ddl)

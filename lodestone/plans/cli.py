@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,15 @@ def summary(chunks: DataFrame) -> DataFrame:
 def chunk(spark: SparkSession, files: list[str], output: str | None = None, pretty: bool = False, quiet: bool = False) -> int:
     """Chunks of the files as a JSON array, to a file or printed; 1 if any file failed."""
     log = (lambda *_: None) if quiet else lambda *x: print(*x, file=sys.stderr)
-    rows = chunk_files(read_files(spark, files)).orderBy("source_path", "chunk_index").collect()  # what is printed
+    of: dict[str, list] = {}
+    for r in chunk_files(read_files(spark, list(dict.fromkeys(files)))).orderBy("source_path", "chunk_index").collect():  # what is printed
+        of.setdefault(r["source_path"], []).append(r)
+    # in the order of the arguments; a file that is given twice comes twice
+    rows = [r for f in files for r in of.get(os.path.abspath(f), [])]
     good, bad = [r for r in rows if r["error"] is None], [r for r in rows if r["error"] is not None]
+    for f in files:
+        if held := of.get(os.path.abspath(f)):
+            log(f"{f}: {held[0]['elapsed_ms']} ms")
     text = json_array(good, pretty)
     if output:
         with open(output, "w", encoding="utf-8") as f:
@@ -45,7 +53,7 @@ def chunk(spark: SparkSession, files: list[str], output: str | None = None, pret
         print(text)
     for r in bad:
         log(f"{r['source_path']}: {r['error']}")
-    done = len({r["source_path"] for r in good})
+    done = sum(of.get(os.path.abspath(f), [{"error": ""}])[0]["error"] is None for f in files)
     log(f"Processed {done}/{done + len(bad)} files, {len(good)} chunks, {len(bad)} errors")
     return 1 if bad else 0
 
@@ -59,7 +67,7 @@ def process(spark: SparkSession, root: str, config: Config, provider: Provider |
     chunks = chunk_files(read_directory(spark, root)).persist()
     try:
         counts = summary(chunks).first().asDict()
-        good = chunks.where("error is null").drop("error")
+        good = chunks.where("error is null").drop("error", "elapsed_ms")
         if counts["chunks"]:
             counts["tokens"] = good.agg(total_tokens()).first()[0]
             counts["cost"] = spark.range(1).select(T.embedding_cost(F.lit(counts["chunks"]))).first()[0]

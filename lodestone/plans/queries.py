@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -14,7 +16,9 @@ from lodestone.operators import plaintext as P
 from lodestone.operators import search as R
 from lodestone.operators import sections as S
 from lodestone.operators.documents import blocks_of, chunk_texts
-from lodestone.operators.index import batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.operators.embed import HashingProvider
+from lodestone.operators.index import Collection, batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.sources.parsers.common import text_table as aligned_table
 from lodestone.sources.parsers.office import has_header, regions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,7 +385,9 @@ def html_headings(spark, d):
 
 @query("SELECT page_id, @trim(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&quot;', '\"'), '&amp;', '&')) AS title FROM pages")
 def html_title(spark, d):
-    return table(spark, d, "pages").select("page_id", T.js_trim(F.replace(F.replace(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))).alias("title"))
+    docs = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("path"), F.col("html").alias("text"))
+    first = chunk_texts(docs, "html").where("chunk_index = 0")
+    return first.select(F.col("source_path").cast("long").alias("page_id"), F.coalesce(F.try_element_at("metadata", F.lit("title")), F.lit("")).alias("title"))
 
 
 @query(r"""SELECT page_id, @trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
@@ -463,14 +469,18 @@ def header_rows(spark, d):
     return n.groupBy("n_regionkey").applyInArrow(run, f"n_regionkey {dict(n.dtypes)['n_regionkey']}, has_header boolean, cells long")
 
 
-@query("""WITH w AS (SELECT greatest(max(length(c_name)), 3) AS a, greatest(max(length(c_mktsegment)), 3) AS b FROM customer)
-SELECT c_custkey, rpad(c_name, CAST(a AS INTEGER), ' ') || ' | ' || rpad(c_mktsegment, CAST(b AS INTEGER), ' ') AS line, repeat('-', a) || '-+-' || repeat('-', b) AS rule FROM customer, w""")
+@query("""WITH c AS (SELECT c_nationkey, c_custkey, c_name, c_mktsegment, CAST(greatest(max(length(c_name)) OVER w, 3) AS INTEGER) AS a, CAST(greatest(max(length(c_mktsegment)) OVER w, 3) AS INTEGER) AS b FROM customer WINDOW w AS (PARTITION BY c_nationkey))
+, l AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i, rpad(c_name, a, ' ') || ' | ' || rpad(c_mktsegment, b, ' ') AS line, repeat('-', a) || '-+-' || repeat('-', b) AS rule FROM c)
+SELECT c_nationkey, string_agg(CASE WHEN i = 1 THEN line || chr(10) || rule ELSE line END, chr(10) ORDER BY c_custkey) AS content FROM l GROUP BY c_nationkey HAVING count(*) > 1""")
 def text_table(spark, d):
-    """Rows of a text table: cells padded to their column's width, and its rule."""
-    c = table(spark, d, "customer")
-    w = c.agg(*(F.greatest(F.max(F.length(x)), F.lit(3)).cast("int").alias(n) for x, n in (("c_name", "a"), ("c_mktsegment", "b"))))
-    dash = lambda n: F.repeat(F.lit("-"), F.col(n))
-    return c.join(F.broadcast(w)).select("c_custkey", F.concat(T.pad_end(F.col("c_name"), F.col("a")), F.lit(" | "), T.pad_end(F.col("c_mktsegment"), F.col("b"))).alias("line"), F.concat(dash("a"), F.lit("-+-"), dash("b")).alias("rule"))
+    """The customers of a nation as a text table, by the decoders' own function."""
+    c = table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name", "c_mktsegment")
+
+    def run(nation: pa.Table) -> pa.Table:
+        rows = [r[1:] for r in sorted(zip(*(nation[c].to_pylist() for c in ("c_custkey", "c_name", "c_mktsegment"))))]
+        return pa.table([nation["c_nationkey"].slice(0, 1), pa.array([aligned_table(rows)])], names=["c_nationkey", "content"])
+
+    return c.groupBy("c_nationkey").applyInArrow(run, f"c_nationkey {dict(c.dtypes)['c_nationkey']}, content string").where(F.size(F.split("content", "\n")) > 2)
 
 
 # Retrieval -------------------------------------------------------------------------------
@@ -577,14 +587,43 @@ def points_payload(spark, d):
     return points(c, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).select("id", "chunk_id", "text", "doc_type", "source_path", "chunk_index", "updated_at")
 
 
-@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1")
+def event_index(spark: SparkSession, d: str) -> Collection:
+    """A collection of the users' events, upserted in two parts by user: the last event stands."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}"
+    held = Collection(spark, root, f"events-{uuid.uuid4().hex}", 1)
+    held.create()
+    e = table(spark, d, "events").where("user_id is not null")
+    rows = e.select(F.col("user_id").cast("string").alias("id"), F.array(F.col("value").cast("float")).alias("full_vector"), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("text"), "event_type", "value", "event_id", F.lit("txt").alias("doc_type"), F.col("user_id").cast("string").alias("doc_id"))
+    held.upsert(rows.where("event_id % 3 <> 0"), ["event_id"])
+    # an upsert replaces what is there: of the second part, what is newer
+    newest = latest(rows, "id", "event_id").where("event_id % 3 = 0")
+    held.upsert(newest, ["event_id"])
+    return held
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE user_id IS NOT NULL) WHERE n = 1")
 def upsert_latest(spark, d):
-    return latest(table(spark, d, "events").select("user_id", "event_id", "event_type", "value"), "user_id", "event_id")
+    """Points of an index after two upserts."""
+    return event_index(spark, d).read().select(F.col("id").cast("long").alias("user_id"), "event_id", "event_type", "value")
 
 
-@query("SELECT event_type, count(*) AS points FROM events GROUP BY event_type")
+@query("SELECT count(DISTINCT user_id) AS points FROM events")
 def point_count(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("points"))
+    return spark.createDataFrame([(event_index(spark, d).count(),)], "points long")
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS id, word FROM (SELECT user_id, unnest([lower(event_type), CAST(event_id AS VARCHAR)]) AS word FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE user_id IS NOT NULL) WHERE n = 1)
+WHERE word <> ''""")
+def index_postings(spark, d):
+    """The postings of that index."""
+    return event_index(spark, d).postings().select("id", "word")
+
+
+@query(f"SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM {_MATCH}) WHERE rank <= 5")
+def search_by_mode(spark, d):
+    """The dispatch of modes and limits: a limit that is no number is the default one."""
+    docs = table(spark, d, "documents").withColumn("id", F.col("doc_id"))
+    return R.search(docs, "the in", HashingProvider(8), "text", "many").select("doc_id", "rank")
 
 
 @query("SELECT vec_id // 50 AS batch, count(*) AS points, min(vec_id) AS first, max(vec_id) AS last FROM embeddings GROUP BY ALL")

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from lodestone.plans import decoders  # noqa: F401  registers its queries
 from lodestone.plans.queries import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
