@@ -1,9 +1,10 @@
 """Byte-level BPE by dynamic programming over prefixes.
 
 For every prefix of a piece of text exactly one token can come last in its encoding.
-An automaton with suffix links over the vocabulary's byte strings gives the tokens that
-end at each place; the one kept is that which the last token of the prefix before it may
-precede (`Vocabulary.fits`). Following the kept tokens back from the end gives the ids.
+A suffix automaton of the vocabulary's byte strings follows the text and holds, at each place,
+the state of the longest match that ends there; the tokens that end there are the states on
+its path of suffix links whose longest string is a token. The one kept is that which the last token
+of the prefix before it may precede (`Vocabulary.fits`). Following the kept tokens back from the end gives the ids.
 No list of merges is applied to the text.
 
 Two neighbours fit when no merge ever joins bytes of both. Each token is the last of a
@@ -26,7 +27,6 @@ import json
 from array import array
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.shared import mapped
+from lodestone.llm.suffix_automaton import SuffixAutomaton
 
 CACHE_PIECES, CACHE_PAIRS = 150_000, 300_000
 #: Fixed value: the pattern of byte-level pre-tokenizers.
@@ -69,11 +70,7 @@ class Vocabulary:
             pair = model["vocab"][a], model["vocab"][b]
             self.rank.setdefault(pair, k)
             self.halves.setdefault(model["vocab"][a + b], (*pair, k))
-        self.automaton = ahocorasick.Automaton()
-        for t, i in model["vocab"].items():
-            if len(raw[t]) == 1 or i in self.halves:
-                self.automaton.add_word(raw[t].decode("latin-1"), (i, len(raw[t])))
-        self.automaton.make_automaton()
+        self._automaton({raw[t]: i for t, i in model["vocab"].items() if len(raw[t]) == 1 or i in self.halves})
         self.never = len(model["merges"])
         self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
         self.fit: dict[int, bool] = {}
@@ -81,6 +78,33 @@ class Vocabulary:
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
+    def _automaton(self, tokens: dict[bytes, int]) -> None:
+        """step: where a state (shifted by 8 bits) and a byte lead; length and link of the states;
+        ends: of a state, the tokens on its path of links, the longest first, as nested (id, bytes, rest)."""
+        auto = SuffixAutomaton()
+        path, before = [0], b""
+        for t in sorted(tokens):
+            # states of what it shares with the one before stay as they are
+            k = 0
+            while k < len(before) and k < len(t) and before[k] == t[k]:
+                k += 1
+            del path[k + 1 :]
+            for c in t[k:]:
+                path.append(auto.add(path[-1], c))
+            before = t
+        self.step = {s << 8 | c: n for s, out in enumerate(auto.nxt) for c, n in out.items()}
+        self.length, self.link = auto.length, auto.link
+        of: dict[int, tuple[int, int]] = {}
+        for t, i in tokens.items():
+            s = 0
+            for c in t:
+                s = self.step[s << 8 | c]
+            of[s] = (i, len(t))
+        self.ends: list[tuple | None] = [None] * len(self.length)
+        for s in np.argsort(self.length, kind="stable").tolist()[1:]:
+            rest = self.ends[self.link[s]]
+            self.ends[s] = (*of[s], rest) if s in of else rest
+
     def edge(self, t: int, right: int) -> list[tuple[int, int]]:
         """(token, rank of the merge that takes it up) along an edge of t, from the byte up."""
         if (e := self.edges[right].get(t)) is None:
@@ -119,20 +143,27 @@ class Vocabulary:
 
     def piece(self, text: str) -> list[int]:
         """The ids of one piece."""
-        s = text.encode().decode("latin-1")
+        s = text.encode()
         n = len(s)
         last, size = [-1] * (n + 1), [0] * (n + 1)
-        get, fits = self.fit.get, self.fits
-        for end, (t, length) in self.automaton.iter(s):
-            end += 1
-            if last[end] < 0:  # else the prefix has its token
-                j = end - length
-                if j:
-                    a = last[j]
-                    ok = get(a << 20 | t)
-                    if not (fits(a, t) if ok is None else ok):
-                        continue
-                last[end], size[end] = t, length
+        get, fits, step, longest, link, ends = self.fit.get, self.fits, self.step, self.length, self.link, self.ends
+        state = match = 0
+        for end, c in enumerate(s, 1):
+            while (to := step.get(state << 8 | c)) is None:
+                state = link[state]
+                match = longest[state]
+            state, match = to, match + 1
+            # a match that is not its state's longest string is no token itself
+            found = ends[state] if match == longest[state] else ends[link[state]]
+            while True:
+                t, length, found = found
+                if length == end:
+                    break
+                a = last[end - length]
+                ok = get(a << 20 | t)
+                if fits(a, t) if ok is None else ok:
+                    break
+            last[end], size[end] = t, length
         ids, at = [], n
         while at:
             ids.append(last[at])

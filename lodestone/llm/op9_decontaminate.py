@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.shared import mapped, written
+from lodestone.llm.suffix_automaton import SuffixAutomaton
 
 WINDOW = 10
 #: Words of items in one automaton: near 100 MB in a Python worker at the most.
@@ -43,18 +44,15 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, firsts, tv.hash_spans(low, starts, ends)
 
 
-class Automaton:
-    """A generalised suffix automaton of word sequences.
-
-    nxt, link and length are those of the states; held[s] has the items with the
-    windows whose state is s, short[s] (words, item) of the short items that end every
-    match of s, the longest first.
+class Automaton(SuffixAutomaton):
+    """The suffix automaton of the items' words: held[s] has the items with the windows whose
+    state is s, short[s] (words, item) of the short items that end every match of s, the
+    longest first.
     """
 
     def __init__(self, items: list[tuple[str, list[int]]], window: int):
+        super().__init__()
         self.window = window
-        self.nxt: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
         vocabulary = np.unique(np.array([w for _, seq in items for w in seq], np.uint64))
         self.vocabulary = vocabulary
         coded = [(item, np.searchsorted(vocabulary, np.array(seq, np.uint64)).tolist()) for item, seq in items if seq]
@@ -64,7 +62,7 @@ class Automaton:
         for _, seq in coded:
             last = 0
             for w in seq:
-                last = self._add(last, w)
+                last = self.add(last, w)
         self.held: dict[int, set[str]] = {}
         own: dict[int, set[tuple[int, str]]] = {}
         for item, seq in coded:
@@ -80,33 +78,6 @@ class Automaton:
             self.short[s] = tuple(sorted(own.get(s, ()), reverse=True)) + self.short[self.link[s]]
         self.any_short = bool(own)
 
-    def _new(self, length: int, nxt: dict[int, int], link: int) -> int:
-        self.nxt.append(nxt)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.nxt) - 1
-
-    def _split(self, p: int, w: int, q: int) -> int:
-        """The state of the strings of q that p and w make; q keeps the longer ones."""
-        copy = self._new(self.length[p] + 1, dict(self.nxt[q]), self.link[q])
-        self.link[q] = copy
-        while p >= 0 and self.nxt[p].get(w) == q:
-            self.nxt[p][w] = copy
-            p = self.link[p]
-        return copy
-
-    def _add(self, last: int, w: int) -> int:
-        if (q := self.nxt[last].get(w)) is not None:
-            return q if self.length[q] == self.length[last] + 1 else self._split(last, w, q)
-        new, p = self._new(self.length[last] + 1, {}, 0), last
-        while p >= 0 and w not in self.nxt[p]:
-            self.nxt[p][w] = new
-            p = self.link[p]
-        if p >= 0:
-            q = self.nxt[p][w]
-            self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, w, q)
-        return new
-
     def at(self, s: int, n: int) -> int:
         """The state of the last n words of a string of state s."""
         while self.length[self.link[s]] >= n:
