@@ -8,7 +8,9 @@ not drop an element with over half of the page's prose, or with its marked artic
 no other is outside; those for comments, adverts and notices do unless nothing else is text.
 
 Pass 1 decides each remaining block by link density, length and stop-word density: good,
-bad, or, for short blocks, undecided; headings are undecided. Marks of an article
+bad, or undecided: short blocks, headings, and sentences without stop words. Where letters
+are not Latin, marks of sentences stand for stop words, and in scripts without spaces
+characters for words. Marks of an article
 (`article`, `main`, or a role, itemprop, class or id that says so) are evidence: they are
 believed where the marked part holds at least half of the words that pass 1 finds good (of
 the undecided ones, where none is good). Then a marked block without links is good, one
@@ -56,7 +58,7 @@ ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
-)
+) | {""}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY = frozenset("head nav header footer aside form button select option datalist dialog menu fieldset object audio video canvas map".split())
 #: Words in a class or id that mark what is no part of an article.
@@ -85,8 +87,16 @@ STOP_WORDS = frozenset(
     "el los las y del por con no su para al lo como más o pero sus "
     "di che è per non una il della sono con".split()
 )
+#: Containers, and tags whose end tags do not reach out of them.
+WALLS = ("td", "th", "table", "article", "main")
+BEHIND_WALLS = frozenset("p li div span a b i".split())
 _CLOSES_P = HEADINGS | frozenset("address article aside blockquote div dl fieldset footer form header hr main nav ol p pre section table ul".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_SENTENCE_END = re.compile(r"""[.!?…。！？]["'”’»)\]]*$""")
+_MARKS = re.compile("[.,;:!?…。、，！？；：،؟।]")
+#: Characters of scripts that are written without spaces.
+_SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
 MIN_WORDS, LONG_WORDS, STOP_LOW, STOP_HIGH, LINKS, ALL_LINKS = 10, 30, 0.10, 0.20, 0.33, 0.8
 
 
@@ -146,7 +156,10 @@ def blocks(page: str) -> list[Block]:
     """All blocks of a page with text, in page order."""
     out: list[Block] = []
     parts: list[str] = []
+    # open elements, those of each tag by their places, and the places of block-level ones
     stack: list[tuple[str, str]] = []
+    places: dict[str, list[int]] = {}
+    boxes: list[int] = []
     away = article = heading = item = link = 0
     linked = at = 0
     named_away: list[tuple[int, bool, int]] = []
@@ -179,10 +192,21 @@ def blocks(page: str) -> list[Block]:
 
     def pop() -> None:
         tag, what = stack.pop()
+        if tag:
+            places[tag].pop()
         if tag not in INLINE:
+            boxes.pop()
             flush()
         count(tag, what, -1)
 
+    def top(*tags: str) -> int:
+        """Where the innermost open element of some tags stands; -1 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    def close(k: int) -> None:
+        while len(stack) > k:
+            pop()
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
             parts.append(text := page[at : m.start()])
@@ -199,45 +223,30 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
                 continue
             # an end tag closes its element and what is open in it; one inside a container never closes that
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k][0] in ("td", "th", "table", "article", "main") and tag in ("p", "li", "div", "span", "a", "b", "i"):
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+            k, wall = top(tag), top(*WALLS) if tag in BEHIND_WALLS else -1
+            if k > wall:
+                close(k)
+            elif k < 0 and wall < 0 and tag not in INLINE:
+                flush()
             continue
         if m["attrs"] is None:  # cut off by the end of the page
             continue
         if tag not in INLINE:
             flush() if tag != "br" else parts.append(" ")
-            if tag in _CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        while len(stack) > k:
-                            pop()
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
-            if closed := _CLOSED_BY.get(tag):
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in closed:
-                        while len(stack) > k:
-                            pop()
-                        break
-                    if stack[k][0] in ("ul", "ol", "dl", "table", "select"):
-                        break
+            if tag in _CLOSES_P and boxes and stack[boxes[-1]][0] == "p":
+                close(boxes[-1])
+            if (closed := _CLOSED_BY.get(tag)) and (k := top(*closed)) > top("ul", "ol", "dl", "table", "select"):
+                close(k)
         elif tag == "a" and link:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "a":
-                    del stack[k]
-                    link -= 1
-                    break
+            # a link ends where the next begins; what its element is named holds on
+            k = places["a"].pop()
+            stack[k] = ("", stack[k][1])
+            link -= 1
         if tag not in VOID:
             what = kind(tag, m["attrs"])
+            places.setdefault(tag, []).append(len(stack))
+            if tag not in INLINE:
+                boxes.append(len(stack))
             stack.append((tag, what))
             count(tag, what, 1)
     if at < len(page):
@@ -248,29 +257,44 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def n_words(text: str) -> int:
+    """White-space words; of scripts without spaces, two characters count as one more."""
+    return len(text.split()) + (0 if text.isascii() else len(_SPACELESS.findall(text)) // 2)
+
+
+def stop_density(text: str, words: int) -> float:
+    """The share of stop words. Texts mostly in other scripts than Latin, of which no stop
+    words are known, have that of prose if one in 25 words has a mark of a sentence."""
+    if not text.isascii():
+        letters = [c for c in text if c.isalpha()]
+        if 2 * sum(c < "\u0250" for c in letters) < len(letters):
+            return STOP_HIGH if 25 * len(_MARKS.findall(text)) >= words else 0.0
+    return sum(_EDGES.sub("", w) in STOP_WORDS for w in text.lower().split()) / max(words, 1)
+
+
 def first_pass(b: Block) -> str:
     """'good', 'bad' or '?' of a block by its own text."""
-    words = b.text.lower().split()
-    links = b.linked / max(len(b.text), 1)
-    stops = sum(w.strip(".,;:!?()") in STOP_WORDS for w in words) / len(words)
-    if links > LINKS:
+    words = n_words(b.text)
+    if b.linked > LINKS * len(b.text):
         return "bad"
     if b.heading:
         return "?"
-    if len(words) < MIN_WORDS:
+    if words < MIN_WORDS:
         return "bad" if b.linked else "?"
+    stops = stop_density(b.text, words)
     if stops >= STOP_HIGH:
-        return "good" if len(words) >= LONG_WORDS or not b.linked else "?"
+        return "good" if words >= LONG_WORDS or not b.linked else "?"
     if stops >= STOP_LOW:
-        return "good" if len(words) >= LONG_WORDS else "?"
-    return "bad" if len(words) < LONG_WORDS or b.linked else "?"
+        return "good" if words >= LONG_WORDS else "?"
+    # what ends as a sentence does may be prose without stop words
+    return "?" if not b.linked and (words >= LONG_WORDS or _SENTENCE_END.search(b.text)) else "bad"
 
 
 def weights(found: list[Block]) -> list[int]:
     """The words of each block with the best label there is, 0 of the others."""
     labels = [first_pass(b) for b in found]
     best = next((x for x in ("good", "?") if x in labels), "bad")
-    return [len(b.text.split()) if x == best else 0 for b, x in zip(found, labels)]
+    return [n_words(b.text) if x == best else 0 for b, x in zip(found, labels)]
 
 
 def believed(found: list[Block]) -> bool:
@@ -286,7 +310,7 @@ def with_mark(b: Block, label: str) -> str:
         if b.linked > ALL_LINKS * len(b.text) and not b.heading:
             return "bad"
         return "?" if b.heading or b.linked and label == "bad" else "good"
-    return "?" if label == "good" and len(b.text.split()) < LONG_WORDS else label
+    return "?" if label == "good" and n_words(b.text) < LONG_WORDS else label
 
 
 def second_pass(labels: list[str], headings: list[bool], alone: str = "good", tied: str = "bad") -> list[str]:
@@ -320,7 +344,7 @@ def shown(page: str) -> list[Block]:
     marked = any(b.article for b in clear)
     text = marked or any(first_pass(b) == "good" for b in clear)
     # good and long undecided blocks tell where the text is; of all that is short, the words do
-    sizes = [len(b.text.split()) for b in found]
+    sizes = [n_words(b.text) for b in found]
     prose = [n * ((x := first_pass(b)) == "good" or x == "?" and n >= LONG_WORDS) for b, n in zip(found, sizes)]
     short = not clear and not any(prose)
     words: Counter[int] = Counter()

@@ -1,11 +1,11 @@
 """WARC derivatives: a metadata and a plain-text conversion record for each response.
 
-Input records are bytes (one WARC record each, without record compression). A response
-with a record id gives two records, in this order:
+Input rows hold the bytes of one WARC record or of several, plain or in gzip members, each
+member of one record or more. A response with a record id gives two records, in this order:
 
 - `metadata` (application/warc-fields): the source's content type, HTTP status and server,
-  length and digest of the payload, title and number of links of an HTML page, then the
-  source's own headers, in order and with repeats: each WARC header as
+  length and digest of the payload, title (character references decoded) and number of links
+  of an HTML page, then the source's own headers, in order and with repeats: each WARC header as
   `source-warc-header-NAME`, the HTTP status line, each HTTP header as
   `source-http-header-NAME`;
 - `conversion` (text/plain, UTF-8): all visible text of the page, one block a line.
@@ -16,22 +16,29 @@ name-based UUID of the response's id and the type, so a task that runs again aft
 executor makes the same records. The metadata record names the conversion in
 WARC-Concurrent-To.
 
-Records of other types give no rows. A record that is null, empty or cannot be parsed
-gives one row with `error` and no record. HTML is decoded by the charset of the HTTP
-header, else UTF-8, bad bytes as U+FFFD; payloads that are not text give a metadata record
-only. Chunked bodies are joined. Repeated responses give repeated derivatives. Payloads
-are converted whole.
+Records of other types give no rows. A row that is null or empty, and a record that cannot be
+parsed, give one row with `error` and no record; records after one whose length is known are
+read on. Chunked bodies are joined, and the content encodings gzip, deflate and zstd are undone;
+digests and lengths are of the payload as it was sent. Text is decoded by its byte order mark, the
+charset of the HTTP header or that of an early `meta`, else as UTF-8, bad bytes as U+FFFD.
+Payloads that are not text, or in an encoding that is not known or broken, give a metadata record
+only (`source-undecoded` tells why). Repeated responses give repeated derivatives. Payloads
+are converted whole. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
+import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +46,13 @@ from lodestone.llm.op3_extract import visible_text
 from lodestone.llm.shared import mapped
 
 VERSION = "WARC/1.1"
+#: Bytes of records in a batch of results.
+OUT_BYTES = 4 << 20
 CAPTURED = "2024-01-01T00:00:00Z"
 FIELDS = ("warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date", "payload_digest", "block_digest", "content_type")
 SCHEMA = ", ".join(["page_id long", *(f"{f} string" for f in FIELDS), "content_length long", "n_links long", "record binary", "error string"])
+CHARSET = re.compile(r"""charset\s*=\s*["']?([\w.:-]+)""", re.I)
+META = re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([\w.:-]+)""", re.I)
 TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
 LINK = re.compile(r"<a\s[^>]*\bhref\b", re.I)
 
@@ -93,35 +104,116 @@ def unchunked(body: bytes) -> bytes:
     return b"".join(out)
 
 
+def inflated(data: bytes) -> bytes:
+    """The bytes of one or more gzip members; what follows them, and is none, is left out."""
+    out = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            out += [member.decompress(data), member.flush()]
+        except zlib.error as e:
+            raise ValueError(f"broken gzip member: {e}") from e
+        if not member.eof:
+            raise ValueError("a gzip member is cut off")
+        data = member.unused_data
+    return b"".join(out)
+
+
+def records_in(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes] | ValueError]:
+    """(headers, block) of each WARC record, or what is wrong with it; nothing after that can be
+    read on where the record's end is not known."""
+    if data[:2] == b"\x1f\x8b":
+        try:
+            data = inflated(data)
+        except ValueError as e:
+            yield e
+            return
+    if not data.strip():
+        yield ValueError("no WARC version line")
+    data = data.lstrip(b"\r\n")
+    while data:
+        first, headers, rest = headers_in(data)
+        if not first.startswith("WARC/"):
+            yield ValueError("no WARC version line")
+            return
+        size = next((v for k, v in headers if k.lower() == "content-length"), None)
+        if size is None or not re.fullmatch("[0-9]+", size):
+            yield ValueError("no content-length" if size is None else f"content-length is {size}")
+            return
+        block, data = rest[: int(size)], rest[int(size) :].lstrip(b"\r\n")
+        yield (headers, block) if len(block) == int(size) else ValueError("the block is cut off")
+
+
+def unencoded(body: bytes, encodings: str) -> bytes:
+    """The payload without its content encodings, the last one first."""
+    for name in reversed([x.strip().lower() for x in encodings.split(",")]):
+        try:
+            if name in ("gzip", "x-gzip"):
+                body = inflated(body) if body else body
+            elif name == "deflate":
+                # by the standard with a header, but some send none
+                body = zlib.decompress(body, 15 if body[:1] and body[0] & 15 == 8 and int.from_bytes(body[:2]) % 31 == 0 else -15)
+            elif name == "zstd":
+                body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+            elif name not in ("", "identity"):
+                raise ValueError(f"content encoding {name}")
+        except (zlib.error, zstandard.ZstdError) as e:
+            raise ValueError(f"broken {name}: {e}") from e
+    return body
+
+
+def decoded(body: bytes, kind: str, is_html: bool) -> str:
+    """The text of a payload: by a byte order mark, the header's charset or a `meta`'s."""
+    for mark, name in ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be")):
+        if body.startswith(mark):
+            return body[len(mark) :].decode(name, "replace")
+    found = CHARSET.search(kind) or (META.search(body[:1024].decode("latin-1")) if is_html else None)
+    name = found[1].lower() if found else "utf-8"
+    # fixed values: labels that browsers read as windows-1252
+    name = "cp1252" if name in ("iso-8859-1", "latin1", "latin-1", "us-ascii", "ascii") else name
+    try:
+        return body.decode(name, "replace")
+    except LookupError:
+        return body.decode("utf-8", "replace")
+
+
 def derivatives(data: bytes) -> list[dict]:
+    return list(each_derivative(data))
+
+
+def each_derivative(data: bytes) -> Iterator[dict]:
+    """The rows of all records in some bytes: records derived from responses, and errors."""
+    for r in records_in(data):
+        try:
+            if isinstance(r, ValueError):
+                raise r
+            yield from derived_from(*r)
+        except (ValueError, KeyError) as e:
+            yield {"error": str(e) if isinstance(e, ValueError) else f"no {e.args[0]}"}
+
+
+def derived_from(warc_all: list[tuple[str, str]], block: bytes) -> list[dict]:
     """The records derived from one WARC record."""
-    first, warc_all, rest = headers_in(data)
     warc = {k.lower(): v for k, v in warc_all}
-    if not first.startswith("WARC/"):
-        raise ValueError("no WARC version line")
     if warc.get("warc-type") != "response":
         return []
     source = warc["warc-record-id"]
-    block = rest[: int(warc["content-length"])]
-    if len(block) < int(warc["content-length"]):
-        raise ValueError("the block is cut off")
     status, http_all, body = headers_in(block)
     http = {k.lower(): v for k, v in http_all}
     if http.get("transfer-encoding", "").lower() == "chunked":
         body = unchunked(body)
     kind = http.get("content-type", "")
     payload = warc.get("warc-payload-digest") or digest(body)
-    charset = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I)
+    is_html, undecoded = "html" in kind.lower() or not kind, ""
     try:
-        text = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        text = body.decode("utf-8", "replace")
-    is_html = "html" in kind.lower() or not kind
+        text = decoded(unencoded(body, ",".join(v for k, v in http_all if k.lower() == "content-encoding")), kind, is_html)
+    except ValueError as e:
+        text, undecoded = "", str(e)
     title = TITLE.search(text) if is_html else None
     links = len(LINK.findall(text)) if is_html else 0
     ids = {t: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, source + ' ' + t)}>" for t in ("metadata", "conversion")}
-    plain = (visible_text(text) if is_html else text) if is_html or kind.lower().startswith("text/") else None
-    fields = [("source-content-type", kind), ("source-http-status", " ".join(status.split()[1:2])), ("source-server", http.get("server", "")), ("source-length", str(len(body))), ("source-digest", payload), ("title", " ".join(title[1].split()) if title else ""), ("outlinks", str(links))]
+    plain = (visible_text(text) if is_html else text) if not undecoded and (is_html or kind.lower().startswith("text/")) else None
+    fields = [("source-content-type", kind), ("source-http-status", " ".join(status.split()[1:2])), ("source-server", http.get("server", "")), ("source-length", str(len(body))), ("source-digest", payload), ("title", " ".join(html.unescape(title[1]).split()) if title else ""), ("outlinks", str(links)), ("source-undecoded", undecoded)]
     # all headers of the source, in order and with repeats
     sources = [(f"source-warc-header-{k}", v) for k, v in warc_all] + [("source-http-status-line", status.strip())] + [(f"source-http-header-{k}", v) for k, v in http_all]
     lines = [f"{k}: {v}\r\n" for k, v in fields if v] + [f"{k}: {v}".rstrip() + "\r\n" for k, v in sources]
@@ -143,15 +235,17 @@ def derived(records: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = dict(zip(names, (pa.int64(), *[pa.string()] * len(FIELDS), pa.int64(), pa.int64(), pa.binary(), pa.string())))
+        table = lambda rows: pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], types[n]) for n in names], names=names)
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                rows = []
-                for page, data in zip(b.column(0).slice(i, 256), b.column(1).slice(i, 256)):
-                    try:
-                        rows += [{"page_id": page.as_py()} | r for r in derivatives(data.as_py() or b"")]
-                    except (ValueError, KeyError) as e:
-                        rows.append({"page_id": page.as_py(), "error": str(e) if isinstance(e, ValueError) else f"no {e.args[0]}"})
-                yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], types[n]) for n in names], names=names)
+            rows, size = [], 0
+            for page, data in zip(b.column(0), b.column(1)):
+                for r in each_derivative(data.as_py() or b""):
+                    rows.append({"page_id": page.as_py()} | r)
+                    size += len(r.get("record", b"")) + 500
+                    if size > OUT_BYTES:
+                        yield table(rows)
+                        rows, size = [], 0
+            yield table(rows)
 
     return mapped(records.select("page_id", "record"), run, SCHEMA)
 
@@ -174,7 +268,30 @@ def responses(pages: DataFrame) -> DataFrame:
     return mapped(pages.select("page_id", "url", "html"), run, "page_id long, record binary")
 
 
+def warc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the derivatives of every page hang together: ids, digest and date, without contents."""
+    out = derived(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return out.select("page_id", "warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date", "payload_digest", "content_type")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derivatives of a response made from every page; the record itself as its SHA-256."""
     out = derived(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     return out.withColumn("record_sha256", F.sha2("record", 256)).drop("record", "error")
+
+
+def _uuid(name: str) -> str:
+    """SQL of a name-based UUID of the URL namespace, as a record id."""
+    h = f"sha1(unhex('{uuid.NAMESPACE_URL.hex}') || encode({name}))"
+    variant = f"substr('89ab', (CAST('0x' || substr({h}, 17, 1) AS INTEGER) & 3) + 1, 1)"
+    return f"concat('<urn:uuid:', substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', {variant}, substr({h}, 18, 3), '-', substr({h}, 21, 12), '>')"
+
+
+#: The rows of warc_links in DuckDB. A digest is base 32: four letters for each five hex digits.
+LINKS_SQL = f"""
+WITH p AS (SELECT page_id, nullif(replace(replace(coalesce(url, ''), chr(13), ''), chr(10), ''), '') AS uri, {_uuid("page_id || ' ' || coalesce(url, 'None')")} AS source, sha1(encode(coalesce(html, ''))) AS h FROM pages
+), r AS (SELECT *, {_uuid("source || ' metadata'")} AS m, {_uuid("source || ' conversion'")} AS c,
+    'sha1:' || array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)), '') AS digest FROM p)
+SELECT page_id, 'metadata' AS warc_type, m AS record_id, source AS refers_to, c AS concurrent_to, uri AS target_uri, '{CAPTURED}' AS date, digest AS payload_digest, 'application/warc-fields' AS content_type FROM r
+UNION ALL SELECT page_id, 'conversion', c, source, NULL, uri, '{CAPTURED}', digest, 'text/plain; charset=utf-8' FROM r
+"""

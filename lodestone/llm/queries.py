@@ -14,10 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_extract": op3_extract.op3_extract,
     "op4_neardup": op4_neardup.op4_neardup,
     "op5_warc": op5_warc.op5_warc,
+    "warc_links": op5_warc.warc_links,
     "op6_substrings": op6_substrings.op6_substrings,
     "op7_bpe": op7_bpe.op7_bpe,
     "op8_language": op8_language.op8_language,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_repetition": op10_repetition.op10_repetition,
 }
-SQL: dict[str, str] = {"op2_reputation": op2_reputation.SQL, "op4_neardup": op4_neardup.SQL, "op6_substrings": op6_substrings.SQL, "op9_decontaminate": op9_decontaminate.SQL}
+SQL: dict[str, str] = {"op2_reputation": op2_reputation.SQL, "op4_neardup": op4_neardup.SQL, "warc_links": op5_warc.LINKS_SQL, "op6_substrings": op6_substrings.SQL, "op9_decontaminate": op9_decontaminate.SQL}

@@ -1,11 +1,16 @@
 """Operators that work document by document or page by page, against brute force."""
 
 import collections
+import gzip
 import hashlib
 import random
 import re
+import time
+import zlib
 
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lodestone.llm import op3_extract as op3
@@ -245,3 +250,109 @@ def test_hashes_of_long_texts():
     raw = np.frombuffer(b"ab cd " * 1000 + b"x" * 3_000_000 + b" ab cd" * 300_000, np.uint8)
     starts, ends, _ = tv.spans(raw, np.array([0, len(raw)]), tv.NOT_SPACE)
     assert len(set(tv.hash_spans(raw, starts, ends).tolist())) == 3
+
+
+def test_pages_without_marks():
+    """The two passes alone: pages without marks of an article give the same text nearly always."""
+    pages = [r for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist() if r]
+    plain = [re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", h) for h in pages]
+    same = sum(op3.main_text(a) == op3.main_text(b) for a, b in zip(pages, plain))
+    assert same >= 0.95 * len(pages), same
+
+
+def test_second_pass_against_brute_force():
+    rng = random.Random(7)
+    for _ in range(2000):
+        n = rng.randint(1, 9)
+        labels = [rng.choice(["good", "bad", "?", "?"]) for _ in range(n)]
+        headings = [rng.random() < 0.3 for _ in range(n)]
+        alone, tied = rng.choice(["good", "bad"]), rng.choice(["good", "bad"])
+        want = list(labels)
+        for k in range(n):
+            if labels[k] != "?":
+                continue
+            left = next(((labels[j], k - j) for j in range(k - 1, -1, -1) if labels[j] != "?"), None)
+            right = next(((labels[j], j - k) for j in range(k + 1, n) if labels[j] != "?"), None)
+            if not left and not right:
+                want[k] = alone
+            elif left and right and left[0] == right[0]:
+                want[k] = left[0]
+            elif headings[k] and right:
+                want[k] = right[0]
+            else:  # beyond the page's ends stands what is bad
+                a, z = left or ("bad", k + n + 2), right or ("bad", 2 * n - k + 1)
+                want[k] = a[0] if a[0] == z[0] else a[0] if a[1] < z[1] else z[0] if z[1] < a[1] else tied
+        assert op3.second_pass(labels, headings, alone, tied) == want, (labels, headings)
+
+
+def test_extraction_of_other_scripts_and_of_broken_pages():
+    russian = "Это длинный рассказ о том, как жили люди в старом городе, и о том, что они делали каждый день. " * 4
+    chinese = "这是一个关于古老城市的故事，人们每天在那里生活和工作。他们常常在河边散步，谈论天气和收成。" * 3
+    for prose in (russian, chinese):
+        text = op3.main_text(f"<ul><li><a href=/>首页 Дом</a></li><li><a href=/n>新闻 Вести</a></li></ul><div>{prose}</div><div><a href=/>more 更多</a></div>")
+        assert text == " ".join(prose.split())
+    began = time.time()
+    op3.main_text("<div>" * 20_000 + "</span></p>" * 20_000 + "<b>" * 20_000 + "<p>x</p>" * 20_000)
+    assert time.time() - began < 5
+
+
+def response(body, *http, warc=()):
+    block = "\r\n".join(["HTTP/1.1 200 OK", *http]).encode() + b"\r\n\r\n" + body
+    return op5.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>"), *warc], block)
+
+
+def converted(data):
+    rows = {r["warc_type"]: r for r in op5.derivatives(data) if r.get("record")}
+    return {k: op5.headers_of(r["record"])[2][: r["content_length"]].decode() for k, r in rows.items()}
+
+
+def test_warc_content_encodings():
+    page = "<title>Caf&eacute; &amp; bar</title><p>né</p>".encode()
+    raw = zlib.compressobj(wbits=-15)
+    sent = {"gzip": gzip.compress(page), "x-gzip": gzip.compress(page[:9]) + gzip.compress(page[9:]), "deflate": zlib.compress(page), "Deflate": raw.compress(page) + raw.flush(), "zstd": zstandard.compress(page), "gzip, zstd": zstandard.compress(gzip.compress(page)), "identity": page}
+    for name, body in sent.items():
+        got = converted(response(body, "Content-Type: text/html; charset=utf-8", f"Content-Encoding: {name}"))
+        assert got["conversion"] == "né" and "title: Café & bar\r\n" in got["metadata"], name
+        assert f"source-digest: {op5.digest(body)}\r\n" in got["metadata"] and f"source-length: {len(body)}\r\n" in got["metadata"]
+    for name, body in (("gzip", gzip.compress(page)[:-9]), ("br", page), ("zstd", b"no"), ("deflate", b"no")):
+        got = converted(response(body, "Content-Type: text/html", f"Content-Encoding: {name}"))
+        assert "conversion" not in got and "source-undecoded: " in got["metadata"]
+    assert converted(response(b"", "Content-Encoding: gzip"))["conversion"] == ""
+
+
+def test_warc_charsets():
+    text = "né – café"
+    page = lambda name, head="": f"<head>{head}</head><p>{text}</p>".encode(name)
+    for body, *http in (
+        (page("cp1252", "<meta charset=windows-1252>"),), (page("cp1252", '<meta http-equiv="Content-Type" content="text/html; charset=iso-8859-1">'),), (page("cp1252"), "Content-Type: text/html; charset=latin1"),
+        (page("utf-8", "<meta charset=koi8-r>"), "Content-Type: text/html; charset=UTF-8"), (b"\xef\xbb\xbf" + page("utf-8"), "Content-Type: text/html; charset=koi8-r"), (b"\xff\xfe" + page("utf-16-le"),), (page("utf-8", "<meta charset=nonsense>"),),
+    ):
+        assert converted(response(body, *(http or ["Content-Type: text/html"])))["conversion"] == text
+
+
+def test_warc_files_of_several_records():
+    one = [response(f"<p>text {k}</p>".encode(), "Content-Type: text/html", warc=[("WARC-Target-URI", f"http://x/{k}")]) for k in range(3)]
+    info = op5.record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:uuid:0>")], b"software: x\r\n")
+    cut = op5.record([("WARC-Type", "response"), ("WARC-Date", "now")], b"no id")
+    plain = b"".join([info, one[0], cut, *one[1:]])
+    for data in (plain, b"".join(gzip.compress(x) for x in (info, one[0], cut, *one[1:])), gzip.compress(plain)):
+        rows = op5.derivatives(data)
+        assert [(r.get("target_uri"), r.get("warc_type")) for r in rows] == [("http://x/0", "metadata"), ("http://x/0", "conversion"), (None, None), *((f"http://x/{k}", t) for k in (1, 2) for t in ("metadata", "conversion"))]
+        assert rows[2]["error"] == "no warc-record-id"
+    assert [r["error"] for r in op5.derivatives(gzip.compress(plain)[:-30])] == ["a gzip member is cut off"]
+
+
+def test_warc_tables(spark):
+    """Repeated rows, an empty table, columns with the results' names; links against SQL."""
+    data = bytearray(response(b"<p>x</p>", "Content-Type: text/html"))
+    df = spark.createDataFrame([(1, data), (1, data), (None, data)], "page_id long, record binary").withColumns({"error": F.lit("clash"), "warc_type": F.lit(1)})
+    out = op5.derived(df).collect()
+    assert len(out) == 6 and len({bytes(r["record"]) for r in out}) == 2 and not any(r["error"] for r in out)
+    assert op5.derived(df.limit(0)).collect() == []
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
+    want = con.sql(op5.LINKS_SQL)
+    got = op5.warc_links(spark, "/root/testdata/sf0.001").select(want.columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
