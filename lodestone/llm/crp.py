@@ -10,7 +10,8 @@ ONE = np.int32(1)
 
 
 def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: float, strength: float, copies: np.ndarray, burn: int, draws: int, seed: int) -> np.ndarray:
-    """The mean number of tables of each (context, dish) pair over some Gibbs samples.
+    """The tables of each (context, dish) pair in each of `draws` Gibbs samples, one row each
+    (one row of one table a pair where there are none).
 
     context, dish: codes from 0; count: customers of each pair, 1 or more. copies: for each
     context, over how many parts its restaurant is dealt (this is one of them).
@@ -21,10 +22,10 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
     change with the tables. A pair with one customer has one table. In a sweep each
     customer is seated anew; those of a large pair in 64 parts, a part's at one time.
     """
-    mean = np.ones(len(count))
+    drawn = np.ones((max(1, draws), len(count)), np.int64)
     at = np.flatnonzero(count > 1)
     if not len(at) or not draws:
-        return mean
+        return drawn
     rng = np.random.default_rng(seed)
     c = count[at]
     first = np.concatenate(([0], np.cumsum(c)))
@@ -45,7 +46,6 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
     turn = (np.arange(n) - first[pair]) * np.minimum(64, count[at])[pair] // count[at][pair]
     order = np.argsort(turn.astype(np.int8), kind="stable").astype(first.dtype)
     cuts = np.concatenate(([0], np.cumsum(np.bincount(turn, minlength=64))))
-    seen = np.zeros(len(at))
     mark = np.zeros(n, np.int32)
 
     def one_each(keys: np.ndarray) -> np.ndarray:
@@ -110,6 +110,5 @@ def seat(context: np.ndarray, dish: np.ndarray, count: np.ndarray, discount: flo
                 todo, q = todo[rest], q[rest]
                 k = first[q][:, None] + (rng.random((len(todo), TRIES)) * c[q][:, None]).astype(first.dtype)
         if sweep >= burn:
-            seen += tables
-    mean[at] = seen / draws
-    return mean
+            drawn[sweep - burn, at] = tables
+    return drawn

@@ -8,10 +8,8 @@ of unknown ones. With c customers and t tables of a pair (u, w), C and T of u:
     P(w | u) = (c - d t) / (theta + C) + (theta + d T) / (theta + C) * P(w)
     P(w) = (t_w - d0) / (theta0 + t) + (theta0 + d0 V) / (theta0 + t) / (V + 1)
 
-t_w counts the tables of w in all restaurants. Seatings are sampled by Gibbs (crp.py); the
-formula takes the means of t, T and t_w over the samples. That is not quite the mean of the
-predictive probabilities, as T and P(w) are multiplied and vary together. The root is not
-sampled: every dish has one table there, d0 and theta0 are fixed. d is n1 / (n1 + 2 n2) of
+t_w counts the tables of w in all restaurants. Seatings are sampled by Gibbs (crp.py); P(w | u)
+is the mean of the predictive probabilities of the samples. The root is not sampled: every dish has one table there, d0 and theta0 are fixed. d is n1 / (n1 + 2 n2) of
 each shard's pairs. Each shard samples with a parent of its own dishes, so seatings and d
 shift a little with the number of shards (the README has figures). perplexity is
 10 ** (-score / n_tokens).
@@ -20,14 +18,18 @@ How it is dealt out. A block is up to `BLOCK_BYTES` of texts of one input partit
 1. Blocks send their distinct pairs, with training counts, to the shards of the first
    word. A shard seats its restaurants, with a parent of its own for the sampling, and
    answers each block's pairs in their order; its tables go to the shards of the
-   second word. Restaurants of frequent words (by a bounded sample) are dealt over many
-   shards; a block asks all of them.
+   second word. Restaurants of words that would fill more than a quarter of a shard (by a
+   bounded sample) are dealt over many shards. A block asks those that have its pairs; the
+   totals of such restaurants, one row a word, are summed and broadcast.
 2. Blocks send their distinct words; the shards of words count customers and tables.
 3. Each block, packed, meets its answers and scores its texts.
-Nothing that grows with the corpus is collected or broadcast.
+A block sends a row to each shard that has contexts of its own: as many as there are shards,
+and never more than it has distinct words. Nothing that grows with the corpus is collected or
+broadcast: the frequent words are those of the sample, SAMPLE_WORDS at the most.
 
 Words are 64-bit hashes; within a restaurant 40 bits tell dishes apart. Texts with a null
-doc_id are scored, not learned from. Null and empty texts are one end. Repeated rows count
+doc_id are scored, not learned from. Null and empty texts are one end. A text of any length is
+one block at the most, of its own; it is not cut. Repeated rows count
 each time. Other columns are ignored. Without training texts all scores are 0, the only
 class being the unknown one; an empty table gives an empty result.
 """
@@ -47,12 +49,13 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.crp import seat
-from lodestone.llm.shared import grouped, mapped, partitions, written
+from lodestone.llm.shared import dropped, grouped, mapped, partitions, written
 
 BLOCK_BYTES = 4 << 20
 THETA, THETA0, DISCOUNT0 = 1.0, 1.0, 0.5
 BURN, DRAWS = 3, 3
-SAMPLE, HOT_SHARE = 20_000, 0.0005
+#: Documents that tell which words are frequent, how often one must stand in them, and the most words.
+SAMPLE, SAMPLE_LEAST, SAMPLE_WORDS = 20_000, 20, 500_000
 END = tv.mix(np.array([0x454E44], np.uint64))[0]
 LOW = np.uint64((1 << 40) - 1)
 _KINDS = "kind int, dest long, shard int, a binary, b binary, c binary, e binary, d double"
@@ -101,27 +104,25 @@ class Block:
         self.pair_count = np.bincount(self.pair_of[learn], minlength=len(pair))
 
     def asked(self, hot: dict[str, np.ndarray], shards: int) -> tuple[np.ndarray, ...]:
-        """Places where restaurants are: (shard, word code) sorted; how many pairs each
-        place has, and the pairs in that order. A hot word has one place a part."""
-        ctx = np.unique(self.left)
+        """Places where restaurants are: (shard, word code) sorted; over how many parts each is
+        dealt, how many pairs each place has, and the pairs in that order. A hot word has one
+        place for each part that has pairs."""
         parts = np.ones(len(self.word), np.int64)
         if len(hot["word"]):
             k = np.minimum(np.searchsorted(hot["word"], self.word), len(hot["word"]) - 1)
             parts = np.where(hot["word"][k] == self.word, hot["parts"][k], 1)
-        word = np.repeat(ctx, parts[ctx])
-        part = np.arange(len(word)) - np.repeat(np.concatenate(([0], np.cumsum(parts[ctx])))[:-1], parts[ctx])
-        place_of = lambda w, p: (tv.mix(self.word[w] + p.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-        shard = place_of(word, part)
+        own = ((tv.mix(self.word[self.right]) >> np.uint64(20)) % parts[self.left].astype(np.uint64)).astype(np.int64)
+        most = int(parts.max(initial=1))
+        place, of = np.unique(self.left * most + own, return_inverse=True)
+        word, part = np.divmod(place, most)
+        shard = (tv.mix(self.word[word] + part.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((part, word, shard))
-        shard, word, part = shard[order], word[order], part[order]
-        # the place of each pair
-        at = np.concatenate(([0], np.cumsum(parts)))
-        index = np.empty(int(at[-1]), np.int64)
-        index[at[word] + part] = np.arange(len(word))
-        own = (tv.mix(self.word[self.right]) >> np.uint64(20)) % parts[self.left].astype(np.uint64)
-        place = index[at[self.left] + own.astype(np.int64)]
-        pairs = np.argsort(place, kind="stable")
-        return shard, word, parts[word], np.bincount(place, minlength=len(word)), pairs
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        of = back[of]
+        pairs = np.argsort(of, kind="stable")
+        shard, word = shard[order], word[order]
+        return shard, word, parts[word], np.bincount(of, minlength=len(word)), pairs
 
 
 def blocks(b: pa.RecordBatch) -> Iterator[tuple[int, int, Block]]:
@@ -156,28 +157,34 @@ def rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in _KINDS.split(", ")])
 
 
+def runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    cut = np.flatnonzero(np.diff(x)) + 1
+    yield from zip([0, *cut.tolist()] if len(x) else [], [*cut.tolist(), len(x)])
+
+
 def block_of(b: pa.RecordBatch, i: int, j: int, pairs: bool) -> Block:
     data, offs = tv.column_bytes(b.column(1).slice(i, j - i))
     return Block(data, offs, b.column(0).slice(i, j - i).to_pylist(), pairs)
 
 
 def frequent(docs: DataFrame, shards: int) -> dict[str, np.ndarray]:
-    """Words with more than HOT_SHARE of the tokens of a bounded sample of documents, and
-    over how many shards each one's restaurant is dealt."""
+    """Words with more than a quarter of a shard's share of the tokens, by a bounded sample of
+    documents, and over how many shards each one's restaurant is dealt."""
     n = docs.count()
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < min(1.0, SAMPLE / max(n, 1)) * 1_000_003)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, b in blocks(batch):
-                n = np.bincount(b.code, minlength=len(b.word))
-                top = n > HOT_SHARE / 4 * len(b.code)
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(b.word[top], np.uint64(0)).astype(np.int64)), pa.array(np.append(n[top], len(b.code)))], names=["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(b.word.view(np.int64)), pa.array(np.bincount(b.code, minlength=len(b.word)))], names=["word", "n"])
 
     seen = mapped(sample.select("doc_id", "text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    held = {r[0]: r[1] for r in seen.orderBy(F.desc("n")).limit(int(4 / HOT_SHARE)).collect()}  # a bounded number of words
-    total = held.pop(0, 0)
-    top = sorted((w % (1 << 64), n / total) for w, n in held.items() if n > HOT_SHARE * total)
+    seen = written(seen, "frequent")
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    often = seen.where((F.col("n") >= SAMPLE_LEAST) & (4 * shards * F.col("n") > total))
+    top = sorted((w % (1 << 64), n / total) for w, n in often.orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect())
+    dropped(seen)
     return {"word": np.array([w for w, _ in top], np.uint64), "parts": np.array([max(1, math.ceil(4 * s * shards)) for _, s in top], np.int64)}
 
 
@@ -188,23 +195,21 @@ def pair_keys(docs: DataFrame, hot, shards: int) -> DataFrame:
         for k, batch, i, j in numbered(batches):
             b = block_of(batch, i, j, True)
             shard, word, parts, sizes, pairs = b.asked(hot.value, shards)
-            cut = np.searchsorted(shard, np.arange(shards + 1))
             at = np.concatenate(([0], np.cumsum(sizes)))
             out = []
-            for s in range(shards):
-                x, y = cut[s], cut[s + 1]
-                if x < y:
-                    p = pairs[at[x] : at[y]]
-                    # the number of parts goes along in the sizes' upper half
-                    out.append((0, k, s, pack5(b.word[word[x:y]]), (sizes[x:y] | (parts[x:y] << 32)).tobytes(), pack5(b.word[b.right[p]]), b.pair_count[p].astype(np.uint32).tobytes(), None))
+            for x, y in runs(shard):
+                p = pairs[at[x] : at[y]]
+                # the number of parts goes along in the sizes' upper half
+                out.append((0, k, int(shard[x]), pack5(b.word[word[x:y]]), (sizes[x:y] | (parts[x:y] << 32)).tobytes(), pack5(b.word[b.right[p]]), b.pair_count[p].astype(np.uint32).tobytes(), None))
             yield rows(out)
 
     return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
 
-def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFrame:
-    """Answers to the blocks (kind 0: customers and tables of contexts and pairs; tables in
-    eighths) and tables for the shards of second words (kind 1)."""
+def seated(keys: DataFrame, hot, word_shards: int, burn: int, draws: int) -> DataFrame:
+    """Answers to the blocks (kind 0: customers and tables of contexts and pairs), tables for the
+    shards of second words (kind 1), and customers, and tables times discount, of contexts that
+    are dealt out (kind 5). Tables are those of each draw, one draw after the other."""
 
     def run(table: pa.Table) -> pa.Table:
         r = table.to_pydict()
@@ -226,41 +231,59 @@ def seated(keys: DataFrame, word_shards: int, burn: int, draws: int) -> DataFram
         pu, pw = np.divmod(pair[real], max(len(dish), 1))
         n1, n2 = (c == 1).sum(), (c == 2).sum()
         d = min(0.95, max(0.3, float(n1 / (n1 + 2 * n2)) if n1 else 0.5))
-        tables = np.zeros(len(pair))
+        tables = np.zeros((max(1, draws), len(pair)), np.int64)
         if len(real):
             _, du = np.unique(pu, return_inverse=True)
             _, dw = np.unique(pw, return_inverse=True)
             part = np.ones(du.max() + 1)
             part[du] = copies[pu]
-            tables[real] = seat(du, dw, c[real], d, THETA, part, burn, draws, int(r["shard"][0]))
-        tables = np.round(tables * 8).astype(np.int64)
-        of_ctx = [np.bincount(pu, x[real], minlength=len(context)).astype(np.int64) for x in (c, tables)]
+            tables[:, real] = seat(du, dw, c[real], d, THETA, part, burn, draws, int(r["shard"][0]))
+        of_ctx = np.stack([np.bincount(pu, x[real], minlength=len(context)) for x in (c, *tables)]).astype(np.uint32)
+        answer = np.concatenate((c[None], tables)).astype(np.uint32)
         out, x, y = [], 0, 0
         for block, shard, ids, right_ in zip(r["dest"], r["shard"], ctx, right):
             at, p = code[x : x + len(ids)], of[y : y + len(right_)]
-            out.append((0, block, shard, of_ctx[0][at].astype(np.uint32).tobytes(), of_ctx[1][at].astype(np.uint32).tobytes(), c[p].astype(np.uint32).tobytes(), tables[p].astype(np.uint32).tobytes(), d))
+            out.append((0, block, shard, of_ctx[0, at].tobytes(), of_ctx[1:, at].tobytes(), answer[0, p].tobytes(), answer[1:, p].tobytes(), d))
             x, y = x + len(ids), y + len(right_)
-        t = np.bincount(pw, tables[real], minlength=len(dish)).astype(np.int64)
-        some = np.flatnonzero(t)
+        t = np.stack([np.bincount(pw, x[real], minlength=len(dish)) for x in tables]).astype(np.int64)
+        some = np.flatnonzero(t[0])
         dest = (tv.mix(dish[some]) % np.uint64(word_shards)).astype(np.int64)
         order = np.argsort(dest, kind="stable")
         some, dest = some[order], dest[order]
-        cut = np.flatnonzero(np.diff(dest, prepend=-1))
-        for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(dest)]):
-            out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), t[some[x:y]].tobytes(), None, None, None))
+        for x, y in runs(dest):
+            out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), t[:, some[x:y]].tobytes(), None, None, None))
+        if len(wide := np.flatnonzero(copies > 1)):
+            out.append((5, -1, r["shard"][0], pack5(context[wide]), of_ctx[0, wide].tobytes(), (d * of_ctx[1:, wide]).tobytes(), None, None))
         return pa.Table.from_batches([rows(out)])
 
     return grouped(keys.repartition(word_shards, "shard").groupBy("shard"), run, _KINDS)
 
 
+def of_frequent(answers: DataFrame, draws: int) -> dict[str, np.ndarray]:
+    """Customers, and tables times discounts of each draw, of the contexts that are dealt out:
+    sums over their parts, a bounded number of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for word, c, t in zip(*(x.to_pylist() for x in b.columns)):
+                word = unpack5(word)
+                t = np.frombuffer(t).reshape(-1, len(word)).T
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.frombuffer(c, np.uint32).astype(np.int64)), pa.array(t.tolist(), pa.list_(pa.float64()))], names=["word", "c", "t"])
+
+    each = mapped(answers.where("kind = 5").select("a", "b", "c"), run, "word long, c long, t array<double>")
+    sums = [F.sum(F.get("t", F.lit(k))) for k in range(draws)]
+    held = sorted(each.groupBy("word").agg(F.sum("c"), *sums).collect())
+    return {"word": np.array([r[0] for r in held], np.uint64), "c": np.array([r[1] for r in held], float), "t": np.array([r[2:] for r in held], float).reshape(len(held), draws).T}
+
+
 def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
     """A row for each block and shard of words: the block's words and training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch, i, j in numbered(batches):
             b = block_of(batch, i, j, False)
-            order, cut = word_order(b, word_shards)
-            yield rows([(2, s, 0, b.word[o].tobytes(), b.count[o].astype(np.uint32).tobytes(), k.to_bytes(8, "little"), None, None) for s in range(word_shards) if len(o := order[cut[s] : cut[s + 1]])])
+            order, dest = word_order(b, word_shards)
+            yield rows([(2, int(dest[x]), 0, b.word[order[x:y]].tobytes(), b.count[order[x:y]].astype(np.uint32).tobytes(), k.to_bytes(8, "little"), None, None) for x, y in runs(dest)])
 
     return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
@@ -268,12 +291,12 @@ def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
 def word_order(b: Block, word_shards: int) -> tuple[np.ndarray, np.ndarray]:
     dest = (tv.mix(b.word & LOW) % np.uint64(word_shards)).astype(np.int64)
     order = np.argsort(dest, kind="stable")
-    return order, np.searchsorted(dest[order], np.arange(word_shards + 1))
+    return order, dest[order]
 
 
-def counted(keys: DataFrame, tables: DataFrame, word_shards: int) -> DataFrame:
+def counted(keys: DataFrame, tables: DataFrame, word_shards: int, draws: int) -> DataFrame:
     """Answers to the blocks (kind 2: customers and tables of words) and each shard's
-    totals (kind 3: tokens, words, tables)."""
+    totals (kind 3: tokens, words, tables); tables are those of each draw."""
 
     def run(table: pa.Table) -> pa.Table:
         r = table.to_pydict()
@@ -284,23 +307,23 @@ def counted(keys: DataFrame, tables: DataFrame, word_shards: int) -> DataFrame:
         c = np.bincount(code, np.concatenate([*count, np.zeros(0)]), minlength=len(all_)).astype(np.int64)
         given = [k for k, x in enumerate(r["kind"]) if x == 1]
         short, back = np.unique(all_ & LOW, return_inverse=True)
-        t = np.zeros(len(short), np.int64)
+        t = np.zeros((draws, len(short)), np.int64)
         for k in given:
             w = unpack5(r["a"][k])
             at = np.minimum(np.searchsorted(short, w), max(len(short) - 1, 0))
             ok = short[at] == w if len(short) else np.zeros(len(w), bool)
-            np.add.at(t, at[ok], np.frombuffer(r["b"][k], np.int64)[ok])
+            t[:, at[ok]] += np.frombuffer(r["b"][k], np.int64).reshape(draws, -1)[:, ok]
         known = c > 0
         # words that share 40 bits share their tables; each one's part goes by its customers
         of_short = np.bincount(back, c, minlength=len(short))
-        t = np.round(t[back] * (c / np.maximum(of_short[back], 1))).astype(np.int64)
+        t = np.round(t[:, back] * (c / np.maximum(of_short[back], 1))).astype(np.int64)
         s = r["dest"][0]
-        out = [(3, -1, s, int(c.sum()).to_bytes(8, "little"), int(known.sum()).to_bytes(8, "little"), int(t.sum()).to_bytes(8, "little"), None, None)]
+        out = [(3, -1, s, int(c.sum()).to_bytes(8, "little"), int(known.sum()).to_bytes(8, "little"), t.sum(axis=1).tobytes(), None, None)]
         x = 0
         for k, w in zip(ask, word):
             at = code[x : x + len(w)]
             x += len(w)
-            out.append((2, int.from_bytes(r["c"][k], "little"), s, c[at].astype(np.uint32).tobytes(), t[at].astype(np.uint32).tobytes(), None, None, None))
+            out.append((2, int.from_bytes(r["c"][k], "little"), s, c[at].astype(np.uint32).tobytes(), t[:, at].astype(np.uint32).tobytes(), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
     return grouped(keys.unionByName(tables).repartition(word_shards, "dest").groupBy("dest"), run, _KINDS)
@@ -326,14 +349,15 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
     """SCORES of every row of docs (doc_id, text)."""
     shards = partitions(docs, "text", BLOCK_BYTES)
-    hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, shards))
-    answers = written(seated(pair_keys(docs, hot, shards), shards, burn, draws), "seated")
-    words = written(counted(word_keys(docs, shards), answers.where("kind = 1"), shards), "counted")
-    total = {"n": 0, "v": 0, "t": 0}
-    for r in words.where("kind = 3").select("a", "b", "c").toLocalIterator():  # a row for each shard
-        for name, raw in zip(total, r):
-            total[name] += int.from_bytes(raw, "little")
-    n_all, v_all, t_all = total["n"], total["v"], total["t"] / 8
+    context = docs.sparkSession.sparkContext
+    hot = context.broadcast(frequent(docs, shards))
+    n_draws = max(1, draws)
+    answers = written(seated(pair_keys(docs, hot, shards), hot, shards, burn, draws), "seated")
+    wide = context.broadcast(of_frequent(answers, n_draws))
+    words = written(counted(word_keys(docs, shards), answers.where("kind = 1"), shards, n_draws), "counted")
+    n_all, v_all, t_all = 0, 0, np.zeros(n_draws)
+    for a, b, c in words.where("kind = 3").select("a", "b", "c").toLocalIterator():  # a row for each shard
+        n_all, v_all, t_all = n_all + int.from_bytes(a, "little"), v_all + int.from_bytes(b, "little"), t_all + np.frombuffer(c, np.int64)
 
     def run(table: pa.Table) -> pa.Table:
         r = table.to_pydict()
@@ -344,21 +368,29 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
         none = np.unpackbits(np.frombuffer(r["e"][x], np.uint8), count=len(offs) - 1)
         ids = [None if z else i for i, z in zip(np.frombuffer(r["c"][x], np.int64).tolist(), none.tolist())]
         b = Block(np.frombuffer(raw, np.uint8), offs, ids)
-        gather = lambda col, kind: np.concatenate([np.frombuffer(r[col][x], np.uint32) for _, x in kinds[kind]]).astype(float)
+        gather = lambda col, kind, rows_: np.concatenate([np.frombuffer(r[col][x], np.uint32).reshape(rows_, -1) for _, x in kinds[kind]], axis=1).astype(float)
         order, _ = word_order(b, shards)
-        c, t = np.zeros(len(b.word)), np.zeros(len(b.word))
-        c[order], t[order] = gather("a", 2), gather("b", 2) / 8
+        c, t = np.zeros(len(b.word)), np.zeros((n_draws, len(b.word)))
+        c[order], t[:, order] = gather("a", 2, 1)[0], gather("b", 2, n_draws)
         base = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
-        single = np.maximum(t - DISCOUNT0, 0) * (c > 0) / (THETA0 + t_all) + (THETA0 + DISCOUNT0 * v_all) / (THETA0 + t_all) / (v_all + 1)
-        shard, word, _, sizes, pairs = b.asked(hot.value, shards)
+        shard, word, parts, sizes, pairs = b.asked(hot.value, shards)
         d_of = dict(zip((s for s, _ in kinds[0]), (r["d"][x] for _, x in kinds[0])))
         d_place = np.array([d_of[s] for s in shard.tolist()])
-        # a context's customers, and its tables times their discounts, over all its places
-        cu = np.bincount(word, gather("a", 0), minlength=len(b.word))
-        dt = np.bincount(word, d_place * gather("b", 0) / 8, minlength=len(b.word))
-        own = np.zeros(len(pairs))
-        own[pairs] = np.maximum(gather("c", 0) - np.repeat(d_place, sizes) * gather("e", 0) / 8, 0)
-        p = (own + (THETA + dt[b.left]) * single[b.right]) / (THETA + cu[b.left])
+        # a context's customers, and its tables times its discount; of one that is dealt out, the sums
+        held, alone = wide.value, parts == 1
+        cu, dt = np.zeros(len(b.word)), np.zeros((n_draws, len(b.word)))
+        cu[word[alone]], dt[:, word[alone]] = gather("a", 0, 1)[0, alone], d_place[alone] * gather("b", 0, n_draws)[:, alone]
+        if not alone.all():
+            k = np.searchsorted(held["word"], b.word[word[~alone]] & LOW)
+            cu[word[~alone]], dt[:, word[~alone]] = held["c"][k], held["t"][:, k]
+        customers, tables = gather("c", 0, 1)[0], gather("e", 0, n_draws)
+        d_pair = np.repeat(d_place, sizes)
+        p = np.zeros(len(pairs))
+        for j in range(n_draws):  # the mean of the predictive probabilities of the samples
+            single = np.maximum(t[j] - DISCOUNT0, 0) * (c > 0) / (THETA0 + t_all[j]) + (THETA0 + DISCOUNT0 * v_all) / (THETA0 + t_all[j]) / (v_all + 1)
+            own = np.zeros(len(pairs))
+            own[pairs] = np.maximum(customers - d_pair * tables[j], 0)
+            p += (own + (THETA + dt[j, b.left]) * single[b.right]) / (THETA + cu[b.left]) / n_draws
         log = np.log10(p)
         sums = lambda v: np.add.reduceat(v, b.first[:-1])
         score, size = sums(log[b.pair_of]), np.diff(b.first)

@@ -8,12 +8,13 @@ ends with the whole of it. Only runs of words whose every neighbouring pair stan
 some item are streamed: no other word can be part of a match of two words.
 
 The items are the small side. They are cut into automata of at most `block_words` words;
-one is broadcast at a time, and further ones pass over the documents in turn, each
-adding to the spans and items that the ones before it found. No item is left out.
+one is broadcast at a time. Each but the first passes over the documents and writes what it
+meets, one row a text with hits; a join adds that to what the first one meets. No item is left out.
 
 Null, empty and wordless texts have no words, no hits and no items; the digest is that
 of the empty string. Items without words match nothing; items with the same text, and
-rows with the same id, all count (an item id once in a document). Other columns are
+rows with the same id, all count (an item id once in a document); items with a null id mark
+their words, but are not counted or named. A text of any length is streamed whole, by its task alone. Other columns are
 ignored. With no items no document has hits; with no documents the result is empty.
 """
 
@@ -50,7 +51,7 @@ class Automaton(SuffixAutomaton):
     longest first.
     """
 
-    def __init__(self, items: list[tuple[str, list[int]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[int]]], window: int):
         super().__init__()
         self.window = window
         vocabulary = np.unique(np.array([w for _, seq in items for w in seq], np.uint64))
@@ -63,6 +64,7 @@ class Automaton(SuffixAutomaton):
             last = 0
             for w in seq:
                 last = self.add(last, w)
+        self.unnamed = False
         self.held: dict[int, set[str]] = {}
         own: dict[int, set[tuple[int, str]]] = {}
         for item, seq in coded:
@@ -70,9 +72,10 @@ class Automaton(SuffixAutomaton):
             for k, w in enumerate(seq, 1):
                 s = self.nxt[s][w]
                 if k >= window:
-                    self.held.setdefault(self.at(s, window), set()).add(item)
+                    self.held.setdefault(self.at(s, window), set()).update(() if item is None else (item,))
             if len(seq) < window:
-                own.setdefault(self.at(s, len(seq)), set()).add((len(seq), item))
+                own.setdefault(self.at(s, len(seq)), set()).add((len(seq), item or ""))
+                self.unnamed |= item is None
         self.short: list[tuple[tuple[int, str], ...]] = [()] * len(self.nxt)
         for s in sorted(range(1, len(self.nxt)), key=self.length.__getitem__):
             self.short[s] = tuple(sorted(own.get(s, ()), reverse=True)) + self.short[self.link[s]]
@@ -104,7 +107,7 @@ class Automaton(SuffixAutomaton):
                 if k <= n:
                     spans.append((i - k + 1, i))
                     items.add(item)
-        return spans, items
+        return spans, items - {""} if self.unnamed else items
 
     def runs(self, h: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of the words (-1: in no item), and the runs that may hold a window."""
@@ -131,7 +134,7 @@ class Automaton(SuffixAutomaton):
 
 def automata(bench: DataFrame, window: int, block_words: int) -> Iterator[Automaton]:
     """Automata of all items, each of at most `block_words` words or of one item."""
-    block: list[tuple[str, list[int]]] = []
+    block: list[tuple[str | None, list[int]]] = []
     n = 0
     for r in bench.select(F.col("item_id").cast("string"), "text").toLocalIterator():
         data, offs = tv.column_bytes(pa.array([r[1]], pa.string()))
@@ -139,7 +142,7 @@ def automata(bench: DataFrame, window: int, block_words: int) -> Iterator[Automa
         if block and n + len(seq) > block_words:
             yield Automaton(block, window)
             block, n = [], 0
-        block.append((r[0] or "", seq))
+        block.append((r[0], seq))
         n += len(seq)
     yield Automaton(block, window)
 
@@ -155,40 +158,79 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+HITS = "hits array<struct<first:int,last:int>>, items array<string>"
+#: Columns of its own, beside any that the documents have.
+_KEY, _HITS, _ITEMS = "_lodestone_key", "_lodestone_hits", "_lodestone_items"
+
+
+def hits_in(auto: Automaton, h: np.ndarray, firsts: np.ndarray) -> tuple[list[list[tuple[int, int]]], list[set[str]]]:
+    """Spans and items of each text, from the hashes of their words."""
+    spans: list[list[tuple[int, int]]] = [[] for _ in firsts[1:]]
+    items: list[set[str]] = [set() for _ in firsts[1:]]
+    code, begin, end = auto.runs(h, firsts)
+    who = np.searchsorted(firsts, begin, "right") - 1
+    for a, z, d in zip(begin.tolist(), end.tolist(), who.tolist()):
+        got, own = auto.stream(code[a:z].tolist())
+        base = a - int(firsts[d])
+        spans[d] += [(x + base, y + base) for x, y in got]
+        items[d] |= own
+    return spans, items
+
+
+def columns(spans: list[list[tuple[int, int]]], items: list[set[str]]) -> list[pa.Array]:
+    return [pa.array([[{"first": x, "last": y} for x, y in merged(s)] for s in spans], pa.list_(SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
+
+
+def _met(docs: DataFrame, auto: Automaton) -> DataFrame:
+    """(key, hits, items) of the texts that hold spans of one automaton's items."""
+    held = docs.sparkSession.sparkContext.broadcast(auto)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, data, offs in tv.text_slices(b.column(1)):
+                _, _, firsts, h = words(data, offs)
+                spans, items = hits_in(held.value, h, firsts)
+                some = [d for d, s in enumerate(spans) if s]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(some, pa.int64())), *columns([spans[d] for d in some], [items[d] for d in some])], names=["key", "hits", "items"])
+
+    return mapped(docs.select(F.xxhash64("text").alias("key"), "text"), run, f"key long, {HITS}")
+
+
 def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents, with columns n_words, hits (united spans of word places) and items
     (sorted as strings); columns of those names in the input are replaced."""
     docs = docs.drop("n_words", "hits", "items")
-    spark, out = docs.sparkSession, docs
+    spark = docs.sparkSession
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), FOUND])
     names = [*docs.columns, "n_words", "hits", "items"]
     at = docs.columns.index("text")
-    for k, auto in enumerate(automata(bench, window, block_words)):
-        held = spark.sparkContext.broadcast(auto)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held, k=k) -> Iterator[pa.RecordBatch]:
-            auto = held.value
-            for b in batches:
-                for i, j, data, offs in tv.text_slices(b.column(at)):
-                    _, _, firsts, h = words(data, offs)
-                    spans: list[list[tuple[int, int]]] = [[] for _ in range(i, j)]
-                    items: list[set[str]] = [set() for _ in range(i, j)]
-                    if k:
-                        for d, (hits, own) in enumerate(zip(b.column(len(names) - 2).slice(i, j - i).to_pylist(), b.column(len(names) - 1).slice(i, j - i).to_pylist())):
-                            spans[d], items[d] = [(x["first"], x["last"]) for x in hits], set(own)
-                    code, begin, end = auto.runs(h, firsts)
-                    who = np.searchsorted(firsts, begin, "right") - 1
-                    for a, z, d in zip(begin.tolist(), end.tolist(), who.tolist()):
-                        got, own = auto.stream(code[a:z].tolist())
-                        base = a - int(firsts[d])
-                        spans[d] += [(x + base, y + base) for x, y in got]
-                        items[d] |= own
-                    cols = [c.slice(i, j - i) for c in b.columns[: len(names) - 3]]
-                    cols += [pa.array(np.diff(firsts)), pa.array([[{"first": x, "last": y} for x, y in merged(s)] for s in spans], pa.list_(SPAN)), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
-
-        out = mapped((written(out, "decontaminate") if k else out), run, schema)
-    return out
+    blocks = automata(bench, window, block_words)
+    first = spark.sparkContext.broadcast(next(blocks))
+    # of further automata only what they met is written, and joined at last
+    further = [written(_met(docs, auto), "met") for auto in blocks]
+    if further:
+        every = further[0]
+        for x in further[1:]:
+            every = every.unionByName(x)
+        sums = every.groupBy(F.col("key").alias(_KEY)).agg(F.flatten(F.collect_set("hits")).alias(_HITS), F.flatten(F.collect_set("items")).alias(_ITEMS))
+        ready = docs.withColumn(_KEY, F.xxhash64("text")).join(sums, _KEY, "left").select(*docs.columns, _HITS, _ITEMS)
+    else:
+        none = F.lit(None)
+        ready = docs.select("*", none.cast("array<struct<first:int,last:int>>").alias(_HITS), none.cast("array<string>").alias(_ITEMS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(names) - 3
+        for b in batches:
+            for i, j, data, offs in tv.text_slices(b.column(at)):
+                _, _, firsts, h = words(data, offs)
+                spans, items = hits_in(first.value, h, firsts)
+                more = b.column(n).slice(i, j - i)
+                for d in np.flatnonzero(more.is_valid()).tolist():
+                    spans[d] += [(x["first"], x["last"]) for x in more[d].as_py()]
+                    items[d] |= set(b.column(n + 1)[i + d].as_py())
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:n]), pa.array(np.diff(firsts)), *columns(spans, items)], names=names)
+
+    return mapped(ready, run, schema)
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
@@ -249,7 +291,7 @@ WITH item AS (
 ), hit AS (
   SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT r, n, i FROM met)) GROUP BY r
 ), named AS (
-  SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM met) GROUP BY r
+  SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM met WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -239,9 +239,8 @@ def test_dealt_restaurants(spark, monkeypatch):
     docs, data = rows(spark, corpus(13, 120))
     exact = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")
     out = []
-    for n, share in ((1, 1.0), (40, 0.005)):
+    for n in (1, 40):
         monkeypatch.setattr(op1, "partitions", lambda *a, n=n: n)
-        monkeypatch.setattr(op1, "HOT_SHARE", share)
         out.append(op1.scored(docs).collect())
     hot = op1.frequent(docs, 40)
     assert len(hot["word"]) and hot["parts"].max() > 1
@@ -263,25 +262,80 @@ def test_scores_hold_over_shards(spark, monkeypatch):
     assert abs(total[0] - total[1]) < 0.05, total
 
 
-def test_model_is_a_distribution(spark):
-    """Texts of one word: the probabilities of all words, and of one unknown, add up to 1."""
-    words = [f"k{k}" for k in range(30)]
+def test_scores_against_a_plain_sampler(spark, monkeypatch):
+    """Held-out texts of two words score as by a sampler that seats one customer at a time, whose
+    probabilities after a context add up to 1; in one shard, and dealt over many."""
     rng = random.Random(8)
-    train = [(k, " ".join(rng.choices(words, weights=range(1, 31), k=20))) for k in range(1000, 1100)]
+    train = [(k, " ".join(rng.choices([f"k{j}" for j in range(30)], weights=range(1, 31), k=20))) for k in range(1000, 1100)]
     known = sorted({w for k, t in train if zlib.crc32(str(k).encode()) % 10 for w in t.split()})
-    asked = [k for k in range(5000) if zlib.crc32(str(k).encode()) % 10 == 0][: len(known) + 1]
-    docs = spark.createDataFrame([*train, *zip(asked, [*known, "never"])], "doc_id long, text string")
-    out = {r["doc_id"]: r["score"] for r in op1.scored(docs).collect()}
-    # P(text) = P(word | end) P(end | word); the pair texts "word word" are not needed: ends are scored too
-    ends = op1.scored(spark.createDataFrame(train, "doc_id long, text string"))
-    assert ends.count() == 100 and all(s < 0 for s in out.values())
-    assert sum(10 ** out[k] for k in asked) <= 1.0
+    asked = iter(k for k in range(10**6) if zlib.crc32(str(k).encode()) % 10 == 0)
+    texts = {next(asked): (u, w) for u in (known[5], "never") for w in [*known, "never"]}
+    data = [*((k, t) for k, t in train if k not in texts), *((k, " ".join(t)) for k, t in texts.items())]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    p = reference_model(data)
+    for u in (None, known[5], "never"):
+        assert math.isclose(sum(p(u, w) for w in [*known, None, "never"]), 1, rel_tol=1e-9)
+    # of 20 shards each has a parent of its own with one or two of the 31 restaurants below it
+    for shards, mean, most in ((1, 0.08, 0.3), (20, 0.25, 0.8)):
+        monkeypatch.setattr(op1, "partitions", lambda *a, n=shards: n)
+        got = {texts[r["doc_id"]]: r["score"] * math.log(10) for r in op1.scored(docs, 5, 24).where("held_out").collect() if r["doc_id"] in texts}
+        off = [abs(x - math.log(p(None, u) * p(u, w) * p(w, None))) for (u, w), x in got.items()]
+        assert len(off) == len(texts) and sum(off) / len(off) < mean and max(off) < most, (shards, sum(off) / len(off), max(off))
+
+
+def reference_model(data):
+    """P(w | u) of the model in plain Python, its seatings sampled one customer at a time."""
+    rng = random.Random(1)
+    count = Counter()
+    for k, t in data:
+        if k is not None and zlib.crc32(str(k).encode()) % 10:
+            w = [None, *WORD.findall(low(t)), None]
+            count.update(zip(w, w[1:]))
+    n1, n2 = (sum(c == x for c in count.values()) for x in (1, 2))
+    d = min(0.95, max(0.3, n1 / (n1 + 2 * n2) if n1 else 0.5))
+    tables = {p: [c] for p, c in count.items()}
+    of_u, of_w, total = Counter(u for u, _ in count), Counter(w for _, w in count), len(count)
+    dishes, draws = len(of_w), []
+    for sweep in range(30):
+        for (u, w), n in count.items():
+            t = tables[u, w]
+            for _ in range(n if n > 1 else 0):
+                j = rng.choices(range(len(t)), weights=t)[0]
+                t[j] -= 1
+                if not t[j]:
+                    t.pop(j)
+                    of_u[u] -= 1
+                    of_w[w] -= 1
+                    total -= 1
+                base = (max(of_w[w] - d, 0) + (1 + d * dishes) / dishes) / (1 + total)
+                j = rng.choices(range(len(t) + 1), weights=[*(x - d for x in t), (1 + d * of_u[u]) * base])[0]
+                if j < len(t):
+                    t[j] += 1
+                else:
+                    t.append(1)
+                    of_u[u] += 1
+                    of_w[w] += 1
+                    total += 1
+        if sweep >= 6:
+            draws.append(({p: len(t) for p, t in tables.items()}, Counter(of_u), Counter(of_w), total))
+    customers = Counter()
+    for (u, _), c in count.items():
+        customers[u] += c
+    v = dishes
+
+    def p(u, w):
+        out = 0
+        for t, tu, tw, all_ in draws:
+            single = max(tw[w] - 0.5, 0) / (1 + all_) + (1 + 0.5 * v) / (1 + all_) / (v + 1)
+            out += (max(count[u, w] - d * t.get((u, w), 0), 0) + (1 + d * tu[u]) * single) / (1 + customers[u])
+        return out / len(draws)
+
+    return p
 
 
 def test_seating():
     u, w, c = np.array([0, 0, 1, 2]), np.array([0, 1, 0, 2]), np.array([500, 1, 40, 1])
-    few = seat(u, w, c, 0.3, 1.0, np.ones(3), 3, 5, 1)
-    many = seat(u, w, c, 0.9, 1.0, np.ones(3), 3, 5, 1)
+    few, many = (seat(u, w, c, d, 1.0, np.ones(3), 3, 5, 1).mean(axis=0) for d in (0.3, 0.9))
     assert few[1] == few[3] == many[1] == 1 and (few <= c).all() and (few >= 1).all() and few[0] < many[0]
 
 
