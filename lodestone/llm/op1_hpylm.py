@@ -72,6 +72,16 @@ def unpack5(raw: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the greatest needs, which the first byte tells."""
+    size = np.min_scalar_type(int(x.max(initial=0))).itemsize
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 class Block:
     """The tokens of some texts, with their distinct words and, if asked for, pairs."""
 
@@ -199,8 +209,7 @@ def pair_keys(docs: DataFrame, hot, shards: int) -> DataFrame:
             out = []
             for x, y in runs(shard):
                 p = pairs[at[x] : at[y]]
-                # the number of parts goes along in the sizes' upper half
-                out.append((0, k, int(shard[x]), pack5(b.word[word[x:y]]), (sizes[x:y] | (parts[x:y] << 32)).tobytes(), pack5(b.word[b.right[p]]), b.pair_count[p].astype(np.uint32).tobytes(), None))
+                out.append((0, k, int(shard[x]), pack5(b.word[word[x:y]]), pack(np.concatenate((sizes[x:y], parts[x:y]))), pack5(b.word[b.right[p]]), pack(b.pair_count[p]), None))
             yield rows(out)
 
     return mapped(docs.select("doc_id", "text"), run, _KINDS)
@@ -214,12 +223,11 @@ def seated(keys: DataFrame, hot, word_shards: int, burn: int, draws: int) -> Dat
     def run(table: pa.Table) -> pa.Table:
         r = table.to_pydict()
         ctx = [unpack5(x) for x in r["a"]]
-        size = [np.frombuffer(x, np.int64) for x in r["b"]]
+        size = [unpack(x).reshape(2, -1) for x in r["b"]]
         right = [unpack5(x) for x in r["c"]]
-        count = np.concatenate([np.frombuffer(x, np.uint32) for x in r["e"]]).astype(np.int64)
+        count = np.concatenate([unpack(x) for x in r["e"]])
         all_ctx = np.concatenate(ctx)
-        both = np.concatenate(size)
-        number, parts = both & 0xFFFFFFFF, both >> 32
+        number, parts = np.concatenate(size, axis=1)
         context, code = np.unique(all_ctx, return_inverse=True)
         copies = np.ones(len(context))
         copies[code] = parts
@@ -238,12 +246,11 @@ def seated(keys: DataFrame, hot, word_shards: int, burn: int, draws: int) -> Dat
             part = np.ones(du.max() + 1)
             part[du] = copies[pu]
             tables[:, real] = seat(du, dw, c[real], d, THETA, part, burn, draws, int(r["shard"][0]))
-        of_ctx = np.stack([np.bincount(pu, x[real], minlength=len(context)) for x in (c, *tables)]).astype(np.uint32)
-        answer = np.concatenate((c[None], tables)).astype(np.uint32)
+        of_ctx = np.stack([np.bincount(pu, x[real], minlength=len(context)) for x in (c, *tables)]).astype(np.int64)
         out, x, y = [], 0, 0
         for block, shard, ids, right_ in zip(r["dest"], r["shard"], ctx, right):
             at, p = code[x : x + len(ids)], of[y : y + len(right_)]
-            out.append((0, block, shard, of_ctx[0, at].tobytes(), of_ctx[1:, at].tobytes(), answer[0, p].tobytes(), answer[1:, p].tobytes(), d))
+            out.append((0, block, shard, pack(of_ctx[0, at]), pack(of_ctx[1:, at]), pack(c[p]), pack(tables[:, p]), d))
             x, y = x + len(ids), y + len(right_)
         t = np.stack([np.bincount(pw, x[real], minlength=len(dish)) for x in tables]).astype(np.int64)
         some = np.flatnonzero(t[0])
@@ -251,9 +258,9 @@ def seated(keys: DataFrame, hot, word_shards: int, burn: int, draws: int) -> Dat
         order = np.argsort(dest, kind="stable")
         some, dest = some[order], dest[order]
         for x, y in runs(dest):
-            out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), t[:, some[x:y]].tobytes(), None, None, None))
+            out.append((1, int(dest[x]), r["shard"][0], pack5(dish[some[x:y]]), pack(t[:, some[x:y]]), None, None, None))
         if len(wide := np.flatnonzero(copies > 1)):
-            out.append((5, -1, r["shard"][0], pack5(context[wide]), of_ctx[0, wide].tobytes(), (d * of_ctx[1:, wide]).tobytes(), None, None))
+            out.append((5, -1, r["shard"][0], pack5(context[wide]), pack(of_ctx[0, wide]), (d * of_ctx[1:, wide]).tobytes(), None, None))
         return pa.Table.from_batches([rows(out)])
 
     return grouped(keys.repartition(word_shards, "shard").groupBy("shard"), run, _KINDS)
@@ -268,7 +275,7 @@ def of_frequent(answers: DataFrame, draws: int) -> dict[str, np.ndarray]:
             for word, c, t in zip(*(x.to_pylist() for x in b.columns)):
                 word = unpack5(word)
                 t = np.frombuffer(t).reshape(-1, len(word)).T
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.frombuffer(c, np.uint32).astype(np.int64)), pa.array(t.tolist(), pa.list_(pa.float64()))], names=["word", "c", "t"])
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(unpack(c)), pa.array(t.tolist(), pa.list_(pa.float64()))], names=["word", "c", "t"])
 
     each = mapped(answers.where("kind = 5").select("a", "b", "c"), run, "word long, c long, t array<double>")
     sums = [F.sum(F.get("t", F.lit(k))) for k in range(draws)]
@@ -283,7 +290,7 @@ def word_keys(docs: DataFrame, word_shards: int) -> DataFrame:
         for k, batch, i, j in numbered(batches):
             b = block_of(batch, i, j, False)
             order, dest = word_order(b, word_shards)
-            yield rows([(2, int(dest[x]), 0, b.word[order[x:y]].tobytes(), b.count[order[x:y]].astype(np.uint32).tobytes(), k.to_bytes(8, "little"), None, None) for x, y in runs(dest)])
+            yield rows([(2, int(dest[x]), 0, b.word[order[x:y]].tobytes(), pack(b.count[order[x:y]]), k.to_bytes(8, "little"), None, None) for x, y in runs(dest)])
 
     return mapped(docs.select("doc_id", "text"), run, _KINDS)
 
@@ -302,7 +309,7 @@ def counted(keys: DataFrame, tables: DataFrame, word_shards: int, draws: int) ->
         r = table.to_pydict()
         ask = [k for k, x in enumerate(r["kind"]) if x == 2]
         word = [np.frombuffer(r["a"][k], np.uint64) for k in ask]
-        count = [np.frombuffer(r["b"][k], np.uint32) for k in ask]
+        count = [unpack(r["b"][k]) for k in ask]
         all_, code = np.unique(np.concatenate([*word, np.zeros(0, np.uint64)]), return_inverse=True)
         c = np.bincount(code, np.concatenate([*count, np.zeros(0)]), minlength=len(all_)).astype(np.int64)
         given = [k for k, x in enumerate(r["kind"]) if x == 1]
@@ -312,7 +319,7 @@ def counted(keys: DataFrame, tables: DataFrame, word_shards: int, draws: int) ->
             w = unpack5(r["a"][k])
             at = np.minimum(np.searchsorted(short, w), max(len(short) - 1, 0))
             ok = short[at] == w if len(short) else np.zeros(len(w), bool)
-            t[:, at[ok]] += np.frombuffer(r["b"][k], np.int64).reshape(draws, -1)[:, ok]
+            t[:, at[ok]] += unpack(r["b"][k]).reshape(draws, -1)[:, ok]
         known = c > 0
         # words that share 40 bits share their tables; each one's part goes by its customers
         of_short = np.bincount(back, c, minlength=len(short))
@@ -323,7 +330,7 @@ def counted(keys: DataFrame, tables: DataFrame, word_shards: int, draws: int) ->
         for k, w in zip(ask, word):
             at = code[x : x + len(w)]
             x += len(w)
-            out.append((2, int.from_bytes(r["c"][k], "little"), s, c[at].astype(np.uint32).tobytes(), t[:, at].astype(np.uint32).tobytes(), None, None, None))
+            out.append((2, int.from_bytes(r["c"][k], "little"), s, pack(c[at]), pack(t[:, at]), None, None, None))
         return pa.Table.from_batches([rows(out)])
 
     return grouped(keys.unionByName(tables).repartition(word_shards, "dest").groupBy("dest"), run, _KINDS)
@@ -368,7 +375,7 @@ def scored(docs: DataFrame, burn: int = BURN, draws: int = DRAWS) -> DataFrame:
         none = np.unpackbits(np.frombuffer(r["e"][x], np.uint8), count=len(offs) - 1)
         ids = [None if z else i for i, z in zip(np.frombuffer(r["c"][x], np.int64).tolist(), none.tolist())]
         b = Block(np.frombuffer(raw, np.uint8), offs, ids)
-        gather = lambda col, kind, rows_: np.concatenate([np.frombuffer(r[col][x], np.uint32).reshape(rows_, -1) for _, x in kinds[kind]], axis=1).astype(float)
+        gather = lambda col, kind, rows_: np.concatenate([unpack(r[col][x]).reshape(rows_, -1) for _, x in kinds[kind]], axis=1).astype(float)
         order, _ = word_order(b, shards)
         c, t = np.zeros(len(b.word)), np.zeros((n_draws, len(b.word)))
         c[order], t[:, order] = gather("a", 2, 1)[0], gather("b", 2, n_draws)

@@ -15,10 +15,12 @@ Within a bucket of a band not all pairs are made:
 1. each class is paired with the bucket's centre, the class that shares most buckets
    with others.
 2. the classes that meet one centre, in any bucket, are its group. Where one of them is not
-   linked to the centre, the group's classes are compared by what differs from the centre,
-   through an index of their rarest differences (`same_pivot`): exact, and not all pairs.
+   yet connected to the centre, the group's classes are compared by what differs from the centre,
+   through an index of their rarest differences (`same_pivot`): exact, and not all pairs. That
+   is done with each class in the group of its greatest centre alone, then in the groups
+   that are still apart with all of their classes.
 Two classes of one bucket are in one group, so no link that would connect anything is left
-out. Links between classes that are both linked to their centre change no result and are not made.
+out. Links within a component that is already connected change no result and are not made.
 
 Hot classes meet in sums and in joins that split when skewed. A set is shipped once for
 each pair to confirm, never gathered by bucket. A text of any length is one set, made in
@@ -250,6 +252,17 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stars.unionByName(met)
 
 
+def open_groups(group: DataFrame, part: DataFrame) -> DataFrame:
+    """(class, pivot, of) of the groups (class, pivot) that two components meet in, with two
+    classes or more beside the pivot."""
+    of_class = part.select(F.col("node").alias("class"), F.col("component").alias("of"))
+    of_pivot = part.select(F.col("node").alias("pivot"), F.col("component").alias("of_pivot"))
+    state = group.join(of_class, "class", "left").join(of_pivot, "pivot", "left")
+    state = written(state.select("class", "pivot", F.coalesce("of", "class").alias("of"), F.coalesce("of_pivot", "pivot").alias("of_pivot")), "state")
+    mixed = state.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("of") != F.col("of_pivot")).alias("apart")).where("n > 1 and apart > 0")
+    return written(state.join(written(mixed.select("pivot"), "open"), "pivot").select("class", "pivot", "of"), "members")
+
+
 def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
     """(node, component) of the classes with links, from confirmed links enough to connect
     all that are linked."""
@@ -259,19 +272,23 @@ def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Dat
     buckets = written(keys.join(full, "key"), "buckets")
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
     centre = written(buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")), "centre")
-    group = written(buckets.join(centre, "key").select("class", F.col("c.class").alias("pivot")).where("class <> pivot").distinct(), "group")
-    sets = written(sets_of(docs, bitmap(buckets, "class", FILTER_BITS), words), "sets")
+    meets = written(buckets.join(centre, "key").select("class", "c.weight", F.col("c.class").alias("pivot")).distinct(), "meets")
+    sets = written(sets_of(docs, bitmap(meets, "class", FILTER_BITS), words), "sets")
     dropped(full, buckets, centre)
+    group = meets.where("class <> pivot").select("class", "pivot")
     sides = classes.select("class", "n_shingles", "filled", "sketch")
     a, b = (sides.select(F.col("class").alias(k), F.col("n_shingles").alias(f"n_{x}"), F.col("filled").alias(f"filled_{x}"), F.col("sketch").alias(f"sketch_{x}")) for k, x in (("class", "a"), ("pivot", "b")))
     stars = group.join(a, "class").join(b, "pivot").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
     found = written(confirmed(stars.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, percent), "links")
-    # groups with two classes or more beside the centre, not all of them linked to it
-    met = found.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("b").alias("of"))
-    state = written(group.join(met, ["class", "pivot"], "left").select("class", "pivot", F.coalesce("of", "class").alias("of")), "state")
-    open_ = written(state.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("of") != F.col("pivot")).alias("apart")).where("n > 1 and apart > 0").select("pivot"), "open")
-    part = components(found.unionByName(same_pivot(state.join(open_, "pivot"), sets, percent)))
-    dropped(group, sets, state, open_)
+    part = components(found)
+    # first the groups of each class's greatest centre, then what is still apart in any
+    own = meets.groupBy("class").agg(F.max(F.struct("weight", "pivot")).alias("c")).select("class", "c.pivot").where("class <> pivot")
+    for groups in (own, group):
+        members = open_groups(groups, part)
+        if members.limit(1).count():
+            found = written(found.unionByName(same_pivot(members, sets, percent)), "links")
+            part = components(found)
+    dropped(meets, sets)
     return part
 
 
