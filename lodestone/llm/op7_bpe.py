@@ -13,8 +13,9 @@ edge of the right one in the order of their merges, they fit if no merge across
 before both edges' next one.
 
 Pieces are the vocabulary's own: special tokens first, then the byte-level pattern.
-Encoded pieces are kept for a worker's life, up to `CACHE_PIECES` of at most 64 characters;
-further ones are encoded anew each time.
+The new pieces of a slice of texts are encoded in sorted order, so that a prefix that several
+of them share is worked out once. Encoded pieces of at most 64 characters are kept; beyond
+`CACHE_PIECES` of them those of the last slice, up to half as many, stay.
 
 Null and empty texts give no ids and decode to the empty text. Texts of any length are
 encoded whole. Repeated rows are encoded row by row; other columns are ignored; an
@@ -25,7 +26,8 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.shared import mapped
 from lodestone.llm.suffix_automaton import SuffixAutomaton
 
-CACHE_PIECES, CACHE_PAIRS = 150_000, 300_000
+CACHE_PIECES, CACHE_PAIRS = 400_000, 500_000
 #: Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -74,7 +76,9 @@ class Vocabulary:
         self.never = len(model["merges"])
         self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
         self.fit: dict[int, bool] = {}
-        self.cache = Pieces(self)
+        self.size = {i: len(t) for i, t in self.bytes_of.items()}
+        self.special_ids = {t: array("i", [i]).tobytes() for t, i in self.special.items()}
+        self.cache: dict[str, bytes] = dict(self.special_ids)
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
@@ -141,66 +145,84 @@ class Vocabulary:
             self.fit[a << 20 | b] = ok
         return ok
 
-    def piece(self, text: str) -> list[int]:
-        """The ids of one piece."""
-        s = text.encode()
-        n = len(s)
-        last, size = [-1] * (n + 1), [0] * (n + 1)
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text, special tokens among them: no other piece holds one."""
+        find = self.pattern.findall
+        if self.cut is None or not self.cut.search(text):
+            return find(text)
+        out, z = [], 0
+        for m in self.cut.finditer(text):
+            out += find(text[z : m.start()])
+            out.append(m[0])
+            z = m.end()
+        return out + find(text[z:])
+
+    def learn(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces, sorted, with their ids as int32 bytes. What is stored for the prefixes that a
+        piece shares with the one before it stands."""
         get, fits, step, longest, link, ends = self.fit.get, self.fits, self.step, self.length, self.link, self.ends
-        state = match = 0
-        for end, c in enumerate(s, 1):
-            while (to := step.get(state << 8 | c)) is None:
-                state = link[state]
-                match = longest[state]
-            state, match = to, match + 1
-            # a match that is not its state's longest string is no token itself
-            found = ends[state] if match == longest[state] else ends[link[state]]
-            while True:
-                t, length, found = found
-                if length == end:
+        size, before = self.size, b""
+        # of each prefix: its last token, and the longest match that ends there
+        last, states, matches = [-1], [0], [0]
+        for text in sorted(pieces):
+            s, k = text.encode(), 0
+            for x, y in zip(s, before):
+                if x != y:
                     break
-                a = last[end - length]
-                ok = get(a << 20 | t)
-                if fits(a, t) if ok is None else ok:
-                    break
-            last[end], size[end] = t, length
-        ids, at = [], n
-        while at:
-            ids.append(last[at])
-            at -= size[at]
-        ids.reverse()
-        return ids
+                k += 1
+            del last[k + 1 :], states[k + 1 :], matches[k + 1 :]
+            state, match, end, before = states[k], matches[k], k, s
+            for c in s[k:]:
+                end += 1
+                while (to := step.get(state << 8 | c)) is None:
+                    state = link[state]
+                    match = longest[state]
+                state, match = to, match + 1
+                # a match that is not its state's longest string is no token itself
+                found = ends[state] if match == longest[state] else ends[link[state]]
+                while True:
+                    t, length, found = found
+                    if length == end:
+                        break
+                    a = last[end - length]
+                    ok = get(a << 20 | t)
+                    if fits(a, t) if ok is None else ok:
+                        break
+                last.append(t)
+                states.append(state)
+                matches.append(match)
+            ids, at = array("i"), end
+            while at:
+                ids.append(last[at])
+                at -= size[last[at]]
+            ids.reverse()
+            yield text, ids.tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as int32."""
+        parts = [self.pieces(t) for t in texts]
+        used, cache = set(chain.from_iterable(parts)), self.cache
+        cache.update(self.learn(used.difference(cache)))
+        get = cache.__getitem__
+        out = [np.frombuffer(b"".join(map(get, p)), np.int32) for p in parts]
+        for p in used:
+            if len(p) > 64:
+                del cache[p]
+        if len(cache) > CACHE_PIECES:  # those in use stay
+            cache = {p: cache[p] for p in islice((p for p in used if p in cache), CACHE_PIECES // 2)}
+            self.cache = cache
+        cache.update(self.special_ids)  # whatever their length
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, as int32."""
-        get, find = self.cache.__getitem__, self.pattern.findall
-        if self.cut is None or not self.cut.search(text):
-            return np.frombuffer(b"".join(map(get, find(text))), np.int32)
-        out, z = [], 0
-        for m in self.cut.finditer(text):
-            out += map(get, find(text[z : m.start()]))
-            out.append(np.int32(self.special[m[0]]).tobytes())
-            z = m.end()
-        return np.frombuffer(b"".join([*out, *map(get, find(text[z:]))]), np.int32)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-class Pieces(dict):
-    """Ids of pieces, as int32 bytes, made when first asked for."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("i", self.vocabulary.piece(piece)).tobytes()
-        if len(self) < CACHE_PIECES and len(piece) <= 64:
-            self[piece] = ids
-        return ids
-
-
 _held: dict[str, Vocabulary] = {}
 
 
@@ -219,12 +241,13 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             texts, i = b.column(1), 0
             while i < len(texts):
-                ids, decoded, j, size = [], [], i, 0
+                held, j, size = [], i, 0
                 while j < len(texts) and size < 1 << 21:
-                    ids.append(v.encode(texts[j].as_py() or ""))
-                    decoded.append(v.decode(ids[-1]))
-                    size += len(decoded[-1])
+                    held.append(texts[j].as_py() or "")
+                    size += len(held[-1])
                     j += 1
+                ids = v.encode_all(held)
+                decoded = [v.decode(x) for x in ids]
                 offs = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 flat = pa.array(np.concatenate(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offs), flat), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])

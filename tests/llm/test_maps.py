@@ -129,6 +129,20 @@ def test_bpe_equals_the_library(spark, docs):
     assert op7.digests(op7.encoded(docs.limit(0), path)).collect() == []
 
 
+def test_bpe_of_slices_with_a_small_cache(monkeypatch):
+    """Pieces that share prefixes, longer ones than are kept, and more than the cache holds."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(op7, "CACHE_PIECES", 40)
+    path = op7.default_path()
+    want, v, rng = Tokenizer.from_file(path), op7.Vocabulary(path), random.Random(5)
+    word = lambda: rng.choice([" ", ""]) + "".join(rng.choice(["an", "ti", "on", "é", "the", "s", "q"]) for _ in range(rng.choice([1, 2, 3, 5, 60])))
+    for _ in range(60):
+        texts = ["".join(rng.choice([word(), "<|endoftext|>"] if rng.random() < 0.1 else [word()]) for _ in range(30)) for _ in range(rng.randint(0, 5))] + [""]
+        assert [x.tolist() for x in v.encode_all(texts)] == [x.ids for x in want.encode_batch(texts, add_special_tokens=False)]
+        assert len(v.cache) <= 40 + len(v.special) and all(len(p) <= 64 for p in v.cache)
+
+
 def test_language(spark, docs):
     d = "/root/testdata/sf0.01/documents.parquet"
     known = spark.read.parquet(d)
