@@ -35,15 +35,15 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: int) -> DataFrame:
     """Write a table to the shared folder and read it again: a lost executor costs no
     more than its own running tasks, and nothing is computed twice. It goes with
-    `dropped`, or else when the driver ends."""
+    `dropped`, or else when the driver ends. options: of the writer."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     fs, p = _file_system(spark, path)
     fs.deleteOnExit(p)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
