@@ -204,7 +204,9 @@ def phrases(found: DataFrame, least: int) -> DataFrame:
     ranges = max(1, -(-found.count() // RANGE_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches))  # a range, RANGE_ROWS or so
+        if not (parts := list(batches)):
+            return
+        held = pa.Table.from_batches(parts)  # a range, RANGE_ROWS or so
         words = np.array([held.column(w).to_numpy() for w in WORDS])
         rows, n = grown(words, held.column("n").to_numpy(), least)
         yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(n)], names=[*WORDS, "n"])
