@@ -41,13 +41,15 @@ MAP_BITS = 25
 AT = "struct<file:string,row:long>"
 SLIM = f"doc_id long, at {AT}, n_chars long, sha binary, key binary, mark long"
 STORE = "spark.sql.streaming.stateStore."
-#: Settings of the state: on disk, and only changes go to the checkpoint.
+#: Settings of the state: on disk, and only changes go to the checkpoint. Its number of stores is its own,
+#: as it holds as long as the state, and a store takes 4 MB of disk even if it is empty.
 STATE_CONF = {
     STORE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     STORE + "rocksdb.changelogCheckpointing.enabled": "true",
     STORE + "rocksdb.boundedMemoryUsage": "true",
     STORE + "rocksdb.maxMemoryUsageMB": "300",
 }
+STORES = "spark.sql.streaming.internal.stateStore.partitions"
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -87,12 +89,14 @@ def _first():
     return F.min(F.struct((-F.col("n_chars")).alias("short"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "at")).alias("first")
 
 
-def see(stream: DataFrame, checkpoint: str, key_bytes: int = 32) -> None:
-    """Bring the state under `checkpoint` up to all documents that the stream has by now."""
+def see(stream: DataFrame, checkpoint: str, key_bytes: int = 32, stores: int | None = None) -> None:
+    """Bring the state under `checkpoint` up to all documents that the stream has by now. stores: how many
+    parts a new state has; none: one for each core of the cluster."""
     conf = stream.sparkSession.conf
-    before = {k: conf.get(k, None) for k in STATE_CONF}
+    asked = STATE_CONF | {STORES: str(stores or stream.sparkSession.sparkContext.defaultParallelism)}
+    before = {k: conf.get(k, None) for k in asked}
     try:
-        for k, v in STATE_CONF.items():
+        for k, v in asked.items():
             conf.set(k, v)
         state = digests(located(stream), key_bytes).groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n"), _first())
         state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
