@@ -187,6 +187,12 @@ def xlsx_tables(spark, d):
     return blocks(spark, d, "xlsx").where("is_table").select("doc_id", "pos", "content", "sheet_name")
 
 
+@query(expected(XLSX))
+def xls_blocks(spark, d):
+    """Legacy workbooks: the blocks of their twins in the newer format."""
+    return shape(blocks_of(files(spark, d, "xls"), "xlsx"))
+
+
 @query(expected(PPTX))
 def pptx_blocks(spark, d):
     return shape(blocks(spark, d, "pptx"))

@@ -128,6 +128,54 @@ def msg(key: int, name: str, segment: str, nation: int) -> bytes:
     })
 
 
+def biff(kind: int, body: bytes = b"") -> bytes:
+    """A record of a legacy workbook."""
+    return struct.pack("<HH", kind, len(body)) + body
+
+
+def biff_text(text: str, count: str = "H") -> bytes:
+    wide = max(map(ord, text), default=0) > 255
+    return struct.pack(f"<{count}B", len(text.encode("utf-16-le")) // 2, wide) + text.encode("utf-16-le" if wide else "latin-1")
+
+
+def workbook(sheets: dict[str, bytes], strings: list[str], head: bytes = b"", cut: int = 8000) -> bytes:
+    """A legacy workbook of sheets of records; the table of strings goes on in a further record after `cut` bytes."""
+    parts = [struct.pack("<II", len(strings), len(strings))]
+    for text in strings:
+        raw = biff_text(text)
+        if len(parts[-1]) + 3 > cut:
+            parts.append(b"")
+        parts[-1] += raw[:3]
+        wide, raw = raw[2], raw[3:]
+        while raw:
+            room = (cut - len(parts[-1])) // (1 + wide) * (1 + wide)
+            if room <= 0:  # what goes on tells anew whether it is wide
+                parts.append(bytes([wide]))
+            else:
+                parts[-1] += raw[:room]
+                raw = raw[room:]
+    begin = biff(0x809, struct.pack("<HHHH", 0x600, 5, 0, 0)) + head + biff(0xFC, parts[0]) + b"".join(biff(0x3C, p) for p in parts[1:])
+    at = len(begin) + sum(4 + 6 + len(biff_text(n, "B")) for n in sheets) + 4
+    index = data = b""
+    for name, records in sheets.items():
+        index += biff(0x85, struct.pack("<IBB", at + len(data), 0, 0) + biff_text(name, "B"))
+        data += biff(0x809, struct.pack("<HHHH", 0x600, 0x10, 0, 0)) + records + biff(0xA)
+    return compound({("Workbook",): begin + index + biff(0xA) + data})
+
+
+def xls(key: int, name: str, segment: str, nation: int) -> bytes:
+    """The sheet of `xlsx` as a legacy workbook."""
+    at = lambda row, col, style=0: struct.pack("<HHH", row, col, style)
+    whole = lambda n: (n << 2 | 2) & 0xFFFFFFFF
+    formula = biff(0x06, at(6, 3) + b"\0" * 6 + b"\xff\xff" + b"\0" * 8) + biff(0x207, biff_text(segment))
+    cells = (
+        biff(0xFD, at(1, 1) + struct.pack("<I", 0)) + biff(0xFD, at(1, 2) + struct.pack("<I", 1)) + biff(0x203, at(2, 1) + struct.pack("<d", key + 0.5)) + biff(0x27E, at(2, 2, 1) + struct.pack("<I", whole(45292 + nation)))
+        + biff(0xFD, at(4, 1) + struct.pack("<I", 2)) + formula + biff(0x204, at(6, 4) + biff_text(segment)) + biff(0x204, at(7, 3) + biff_text("x")) + biff(0x205, at(7, 4) + b"\1\0")
+    )
+    styles = biff(0xE0, struct.pack("<HH", 0, 0) + b"\0" * 16) + biff(0xE0, struct.pack("<HH", 0, 14) + b"\0" * 16)
+    return workbook({name: cells}, ["Name", "When", segment * 8], styles)
+
+
 def pdf(key: int, name: str, segment: str, nation: int) -> bytes:
     """Two pages, their streams deflated."""
     page = lambda lines: zlib.compress(("BT /F1 12 Tf 14 TL 50 700 Td " + " ".join(f"({x}) Tj T*" if x else "T*" for x in lines) + " ET").encode())
@@ -155,4 +203,4 @@ def html(key: int, name: str, segment: str, nation: int) -> bytes:
     ).encode()
 
 
-MAKERS = {"docx": docx, "xlsx": xlsx, "pptx": pptx, "eml": eml, "eml_of_html": eml_of_html, "msg": msg, "pdf": pdf, "md": md, "html": html}
+MAKERS = {"docx": docx, "xlsx": xlsx, "xls": xls, "pptx": pptx, "eml": eml, "eml_of_html": eml_of_html, "msg": msg, "pdf": pdf, "md": md, "html": html}

@@ -1,4 +1,4 @@
-"""Word, Excel and PowerPoint files: zip archives of XML parts."""
+"""Word, Excel and PowerPoint files: zip archives of XML parts; and legacy Excel files."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from xml.etree import ElementTree as ET
 
 from lodestone.functions.splitter import trim, units
 from lodestone.functions.text import WS
+from lodestone.sources.parsers import xls
 from lodestone.sources.parsers.common import Block, block, text_table
 
 _CAPS = re.compile(rf"[A-Z][A-Z0-9{WS}\-_&:]+\Z")
@@ -207,8 +208,15 @@ def _place(ref: str) -> tuple[int, int]:
 def _dates(z: zipfile.ZipFile) -> list[bool]:
     """Of each cell style: whether its number format is one of dates."""
     root = _part(z, "xl/styles.xml")
-    own = {n.get("numFmtId"): bool(re.search("[ymdhs]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", n.get("formatCode", "").lower()))) for n in _each(_at(root, "numFmts"), "numFmt")} if root is not None else {}
-    return [own.get(x.get("numFmtId"), int(x.get("numFmtId") or 0) in DATE_FORMATS) for x in _each(_at(root, "cellXfs"), "xf")]
+    own = {int(n.get("numFmtId") or 0): n.get("formatCode", "") for n in _each(_at(root, "numFmts"), "numFmt")} if root is not None else {}
+    return [_dated(int(x.get("numFmtId") or 0), own) for x in _each(_at(root, "cellXfs"), "xf")]
+
+
+def _dated(number: int, own: dict[int, str]) -> bool:
+    """Whether a number format is one of dates: of a file's own formats by its letters."""
+    if number in own:
+        return bool(re.search("[ymdhs]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", own[number].lower())))
+    return number in DATE_FORMATS
 
 
 def _sheet(root: ET.Element, strings: list[str], dates: list[bool], epoch: datetime) -> list[list[object]]:
@@ -238,6 +246,11 @@ def _sheet(root: ET.Element, strings: list[str], dates: list[bool], epoch: datet
         if value not in ("", None):
             row, col = _place(c.get("r"))
             cells.setdefault(row, {})[col] = value
+    return _laid(cells)
+
+
+def _laid(cells: dict[int, dict[int, object]]) -> list[list[object]]:
+    """Runs of rows that hold cells (see _sheet)."""
     out: list[list[object]] = []
     for run in _runs(sorted(cells)):
         used = [c for r in run for c in cells[r]]
@@ -285,6 +298,12 @@ def sheet_table(rows: list[list[object]]) -> str:
 
 def parse_xlsx(data: bytes) -> tuple[list[Block], dict]:
     out: list[Block] = []
+    if data[:4] == b"\xd0\xcf\x11\xe0":
+        sheets = xls.read(data, _dated)
+        for name, cells in sheets:
+            out.append(block("heading", name, 1, sheet_name=name))
+            out += [block("table", t, sheet_name=name) for r in regions(_laid(cells)) if (t := sheet_table(r))]
+        return out, {"sheetNames": [n for n, _ in sheets], "sheetCount": len(sheets)}
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         book = _part(z, "xl/workbook.xml")
         paths = _targets(z, "xl/workbook.xml")

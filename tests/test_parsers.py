@@ -200,3 +200,45 @@ def test_pdf():
     assert [b["page_number"] for b in blocks] == [1, 1, 1, 1, 2]
     with pytest.raises(ValueError):
         parse(b"no pdf", "pdf")
+
+
+def test_xls_equals_its_twin():
+    """A legacy workbook gives the blocks of the same sheet in the newer format."""
+    from lodestone.plans import samples
+
+    for args in ((1, "Customer#1", "BUILDING", 3), (77, "Ünï — 表", "HOUSEHOLD CÔ", 24)):
+        old, meta = parse(samples.xls(*args), "xlsx")
+        assert (old, meta) == parse(samples.xlsx(*args), "xlsx") and len(old) == 4
+
+
+def test_xls_strings_over_records():
+    """Shared strings that a record's end cuts anywhere, narrow and wide ones."""
+    from lodestone.plans.samples import biff, workbook
+
+    strings = ["", "plain text of some length", "wide — " * 5, "é" * 40, "", "x"]
+    cells = b"".join(biff(0xFD, struct.pack("<HHHI", k, 0, 0, k)) for k in range(len(strings)))
+    for cut in range(12, 90):
+        data = workbook({"S": cells}, strings, cut=cut)
+        shown = [r[0] for t in parse(data, "xlsx")[0] if t["type"] == "table" for r in [x.split(" | ") for x in t["content"].split("\n")]]
+        want = [x if len(x) <= 50 else x[:47] + "..." for x in strings if x]
+        assert [x.strip() for x in shown if set(x) != {"-"}] == [x.strip() for x in want], cut
+
+
+def test_xls_numbers_and_formats():
+    from lodestone.plans.samples import biff, biff_text, workbook
+    from lodestone.sources.parsers.xls import rk
+
+    assert [rk(n) for n in (0x3FF00000, 0x3FF00001, 5 << 2 | 2, (5 << 2 | 3), (-7 << 2 | 2) & 0xFFFFFFFF)] == [1.0, 0.01, 5.0, 0.05, -7.0]
+    xf = lambda f: biff(0xE0, struct.pack("<HH", 0, f) + b"\0" * 16)
+    head = biff(0x22, b"\1\0") + biff(0x41E, struct.pack("<H", 164) + biff_text("yyyy-mm")) + biff(0x41E, struct.pack("<H", 165) + biff_text('0 "days"')) + xf(0) + xf(164) + xf(165)
+    many = biff(0xBD, struct.pack("<HH", 0, 1) + b"".join(struct.pack("<HI", k, 10 << 2 | 2) for k in range(3)) + struct.pack("<H", 3))
+    formula = lambda row, result: biff(0x06, struct.pack("<HHH", row, 1, 0) + result + b"\0" * 8)
+    cells = many + formula(1, struct.pack("<d", 2.5)) + formula(2, b"\1\0\1\0\0\0\xff\xff") + formula(3, b"\2\0\7\0\0\0\xff\xff") + biff(0x205, struct.pack("<HHHBB", 4, 1, 0, 0x2A, 1))
+    chart = biff(0x809, b"\0\6\x20\0") + biff(0x203, struct.pack("<HHHd", 1, 9, 0, 9.0)) + biff(0xA)
+    blocks, _ = parse(workbook({"N": cells + chart + biff(0x201, b"\5\0\1\0\0\0")}, [], head), "xlsx")
+    assert [[c.strip() for c in x.split(" | ")] for x in blocks[1]["content"].split("\n")] == [["10", "1/11/1904", "10"], ["2.5", "", ""], ["true", "", ""], ["#DIV/0!", "", ""], ["#N/A", "", ""]]
+    from lodestone.plans.samples import compound as make
+
+    for streams in ({("Workbook",): biff(0x809, b"\0\6\5\0") + biff(0x2F, b"\0\0") + biff(0xA)}, {("EncryptedPackage",): b"x"}, {("Book",): b"old"}):
+        with pytest.raises(ValueError, match="Encrypted|BIFF8"):
+            parse(make(streams), "xlsx")
