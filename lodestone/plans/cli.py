@@ -79,6 +79,14 @@ def process(spark: SparkSession, root: str, config: Config, provider: Provider |
         chunks.unpersist()
 
 
+def filters(given: list[str]) -> dict[str, list[object]]:
+    """Values by name of `name=value` arguments; several of one name are alternatives."""
+    out: dict[str, list[object]] = {}
+    for name, _, value in (x.partition("=") for x in given):
+        out.setdefault(name, []).append(value.lower() == "true" if name.startswith("is_") else value)
+    return out
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="lodestone")
     p.add_argument("-V", "--version", action="version", version=VERSION)
@@ -94,6 +102,7 @@ def main(args: list[str] | None = None) -> int:
     c.add_argument("query")
     c.add_argument("-m", "--mode", default="hybrid")
     c.add_argument("-n", "--limit", default="5")
+    c.add_argument("-f", "--filter", action="append", default=[], metavar="NAME=VALUE")
     c = sub.add_parser("reset")
     c.add_argument("--force", action="store_true")
     a = p.parse_args(args)
@@ -109,9 +118,9 @@ def main(args: list[str] | None = None) -> int:
     if a.command == "reset":
         index.reset(a.force)
         return 0
-    held = index.read() if index.exists() else None
+    held = index.read(filters(a.filter)) if index.exists() else None
     if held is None:
-        print(f"No collection {config.collection}", file=sys.stderr)
+        print(f"No points in {config.collection}", file=sys.stderr)
         return 1
     for r in display(search(held, a.query, HashingProvider(config.dimensions), a.mode, a.limit)).collect():
         print(r.asDict())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +17,7 @@ from lodestone.operators import sections as S
 from lodestone.operators.documents import blocks_of, chunk_texts
 from lodestone.operators.embed import HashingProvider
 from lodestone.operators.index import Collection, batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.scratch import scratch
 from lodestone.sources.parsers.common import text_table as aligned_table
 from lodestone.sources.parsers.office import has_header, regions
 
@@ -589,11 +589,10 @@ def points_payload(spark, d):
 
 def event_index(spark: SparkSession, d: str) -> Collection:
     """A collection of the users' events, upserted in two parts by user: the last event stands."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}"
-    held = Collection(spark, root, f"events-{uuid.uuid4().hex}", 1)
+    held = Collection(spark, scratch(spark, "events"), "events", 1)
     held.create()
     e = table(spark, d, "events").where("user_id is not null")
-    rows = e.select(F.col("user_id").cast("string").alias("id"), F.array(F.col("value").cast("float")).alias("full_vector"), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("text"), "event_type", "value", "event_id", F.lit("txt").alias("doc_type"), F.col("user_id").cast("string").alias("doc_id"))
+    rows = e.select(F.col("user_id").cast("string").alias("id"), F.array(F.col("value").cast("float")).alias("full_vector"), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("text"), "event_type", "value", "event_id", F.col("event_type").alias("doc_type"), F.col("user_id").cast("string").alias("doc_id"), (F.col("event_id") % 2 == 0).alias("is_table"))
     held.upsert(rows.where("event_id % 3 <> 0"), ["event_id"])
     # an upsert replaces what is there: of the second part, what is newer
     newest = latest(rows, "id", "event_id").where("event_id % 3 = 0")
@@ -619,6 +618,25 @@ def index_postings(spark, d):
     return event_index(spark, d).postings().select("id", "word")
 
 
+_NEWEST = "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE user_id IS NOT NULL) WHERE n = 1"
+
+
+@query(f"SELECT * FROM ({_NEWEST}) WHERE event_type IN ('click', 'view') AND event_id % 2 = 0")
+def filtered_points(spark, d):
+    """Points by the indexes of their payload: files are passed over by their statistics."""
+    where = {"doc_type": ["click", "view"], "is_table": True}
+    return event_index(spark, d).read(where).select(F.col("id").cast("long").alias("user_id"), "event_id", "event_type")
+
+
+@query(f"SELECT * FROM ({_NEWEST}) WHERE event_id % 5 <> 0")
+def points_left(spark, d):
+    """What an index holds when points have been dropped, and again when it is one segment."""
+    held = event_index(spark, d)
+    held.delete(held.read().where("event_id % 5 = 0").select("id"))
+    held.compact()
+    return held.read().select(F.col("id").cast("long").alias("user_id"), "event_id", "event_type")
+
+
 @query(f"SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM {_MATCH}) WHERE rank <= 5")
 def search_by_mode(spark, d):
     """The dispatch of modes and limits: a limit that is no number is the default one."""

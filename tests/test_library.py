@@ -209,29 +209,41 @@ def test_table_function(spark):
     assert [(r["k"], r["full_text"]) for r in got] == [(1, "A\n\none"), (1, "B\n\ntwo"), (2, "[Empty document]")]
 
 
-def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
-    held = index.Collection(spark, str(tmp_path), "b", 2, buckets=8)
-    assert held.create() and not held.create() and held.count() == 0
+def bytes_of(folder):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names)
 
-    def rows(*points_):
-        return spark.createDataFrame([(i, [1.0, 2.0], t, "d", "txt", n) for i, t, n in points_], "id string, full_vector array<float>, text string, doc_id string, doc_type string, updated_at int")
 
-    held.upsert(rows(*((f"p{k}", f"first {k}", 0) for k in range(40))))
-    before = held._held()[1]["at"]
+def index_rows(spark, *points_):
+    return spark.createDataFrame([(i, [1.0, 2.0], t, "d", "txt", n) for i, t, n in points_], "id string, full_vector array<float>, text string, doc_id string, doc_type string, updated_at int")
+
+
+def test_upsert_writes_what_is_new(spark, tmp_path):
+    held = index.Collection(spark, str(tmp_path), "b", 2)
+    assert held.create() and not held.create() and held.count() == 0 and held.read() is None
+    rows = lambda *x: index_rows(spark, *x)
+    assert held.upsert(rows(*((f"p{k}", f"first {k}", 0) for k in range(40)))) == 1
+    before = held.segments()
     held.upsert(rows(("p1", "old", 1), ("p1", "new words", 3), ("p1", "older", 2)))
-    after = held._held()[1]["at"]
-    assert sum(after[b] != before[b] for b in before) == 1 and held.count() == 40
+    after = held.segments()
+    assert after[:1] == before and [s["rows"] for s in after] == [40, 1] and held.count() == 40
     assert [r["text"] for r in held.read().where("id = 'p1'").collect()] == ["new words"]
     assert {r["id"] for r in held.postings().where("word = 'words'").collect()} == {"p1"}
     assert held.postings().where("word = 'first'").count() == 39
-    held.upsert(rows())
-    assert held._held()[1]["at"] == after
-    with pytest.raises(Exception, match="Wrong vector size"):
+    assert held.upsert(rows()) == 0 and held.segments() == after
+    with pytest.raises(RuntimeError, match="Failed to upsert batch 1: .*Wrong vector size"):
         held.upsert(rows(("x", "t", 0)).withColumn("full_vector", F.expr("array(1f)")))
     assert held.count() == 40
+    held.delete(rows(("p1", "", 0), ("p2", "", 0), ("none", "", 0)).select("id"))
+    assert held.count() == 38 and held.read().where("id in ('p1', 'p2')").count() == 0 and held.postings().where("id = 'p1'").count() == 0
+    held.upsert(rows(("p2", "back", 9)))
+    assert [r["text"] for r in held.read().where("id = 'p2'").collect()] == ["back"] and held.count() == 39
+    want = sorted(map(repr, held.read().collect()))
+    held.compact()
+    assert [s["rows"] for s in held.segments()] == [39] and sorted(map(repr, held.read().collect())) == want
+    assert "Join" not in held.read()._jdf.queryExecution().toString()
     # a second writer that began from the same manifest fails
     with pytest.raises(Exception, match="exist"):
-        held._commit(held._held()[0], {})
+        held._commit(held._held()[0], [])
     with pytest.raises(ValueError):
         held.reset()
     held.reset(force=True)
@@ -265,3 +277,49 @@ def test_fold_of_pieces_in_both_forms(spark):
     for r in df.collect():
         assert r["a"] == splitter.split(texts[r["k"]], 60, 25) and r["b"] == splitter.by_sentence(texts[r["k"]], 60, 25)
     assert df.where("a is null").count() == 0
+
+
+def test_upsert_of_few_points_writes_little(spark, tmp_path):
+    held = index.Collection(spark, str(tmp_path), "b", 2)
+    many = spark.range(40_000).selectExpr("cast(id as string) id", "array(float(id), float(rand(1))) full_vector", "concat('some words of ', id, ' ', uuid()) text", "concat('d', id % 100) doc_id", "'txt' doc_type", "0 updated_at")
+    held.upsert(many)
+    before = bytes_of(tmp_path)
+    few = many.where("cast(id as int) % 100 = 7")
+    held.upsert(few.withColumn("updated_at", F.lit(1)))
+    assert bytes_of(tmp_path) - before < 0.05 * before and held.read().where("updated_at = 1").count() == 400 and held.count() == 40_000
+    # upserts again and again become one segment in time
+    for k in range(2, 5):
+        held.upsert(many.where(f"cast(id as int) % 5 = {k}").withColumn("updated_at", F.lit(k)))
+    assert len(held.segments()) <= 3 and held.count() == 40_000
+
+
+def test_upsert_batches(spark, tmp_path):
+    """Batches before one that fails stay, and the index can be read."""
+    held = index.Collection(spark, str(tmp_path), "b", 2, compact_share=9.0)
+    rows = index_rows(spark, *((f"p{k}", f"first {k}", 0) for k in range(60)))
+    assert held.upsert(rows, batch_size=20) == 3 and held.count() == 60 and len(held.segments()) == 3
+    broken = rows.withColumn("text", F.lit("second")).withColumn("full_vector", F.when(F.pmod(F.xxhash64("id"), F.lit(3)) == 1, F.expr("array(1f)")).otherwise(F.col("full_vector")))
+    with pytest.raises(RuntimeError, match="Failed to upsert batch 2"):
+        held.upsert(broken, batch_size=20)
+    first = rows.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 0).count()
+    assert held.count() == 60 and held.read().where("text = 'second'").count() == first > 0
+    assert not [x for x in os.listdir(tmp_path / "b") if x.startswith("staged")]
+
+
+def test_filters_read_matching_files_only(spark, tmp_path):
+    held = index.Collection(spark, str(tmp_path), "f", 1, compact_share=9.0)
+    rows = spark.range(4000).selectExpr("cast(id as string) id", "array(1f) full_vector", "'t' text", "format_string('d%04d', id) doc_id", "element_at(array('pdf', 'txt', 'md', 'html'), cast(1 + id div 1000 as int)) doc_type", "id >= 2000 is_table", "id < 10 is_code")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held.upsert(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held.upsert(rows.where("id = '5'").withColumn("doc_type", F.lit("md")))
+    every = len([f for f in held.read().inputFiles() if "/points/" in f])
+    for where, n in (({"doc_type": "pdf"}, 999), ({"doc_type": ["md"], "is_table": False}, 1), ({"doc_id": "d0007"}, 1), ({"is_code": True}, 10), ({"doc_type": "eml"}, 0)):
+        got = held.read(where)
+        assert (0 if got is None else got.count()) == n, where
+        files = [] if got is None else [f for f in got.inputFiles() if "/points/" in f]
+        assert len(files) < every, where
+    with pytest.raises(ValueError, match="No index on text"):
+        held.read({"text": "t"})
