@@ -17,6 +17,7 @@ from lodestone.operators import sections as S
 from lodestone.operators.documents import blocks_of, chunk_texts
 from lodestone.operators.embed import HashingProvider
 from lodestone.operators.index import Collection, batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.operators.vectors import VectorIndex
 from lodestone.scratch import scratch
 from lodestone.sources.parsers.common import text_table as aligned_table
 from lodestone.sources.parsers.office import has_header, regions
@@ -637,6 +638,30 @@ def points_left(spark, d):
     return held.read().select(F.col("id").cast("long").alias("user_id"), "event_id", "event_type")
 
 
+def vector_index(spark: SparkSession, d: str) -> tuple[VectorIndex, DataFrame]:
+    """An index of all embeddings, and the stated queries: every vector whose id is divisible by 50."""
+    rows = table(spark, d, "embeddings")
+    held = VectorIndex(spark, scratch(spark, "vectors"), 64)
+    held.build(rows, "vec_id", "embedding")
+    return held, rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+@query(None)
+def vector_index_topk(spark, d):
+    """The ten nearest vectors of each query by the index."""
+    held, asked = vector_index(spark, d)
+    return held.search(asked, 10).select("query_id", F.col("key").alias("vec_id"), F.round("score", 6).alias("score"), "rank")
+
+
+@query("SELECT count(*) AS queries, true AS enough FROM embeddings WHERE vec_id % 50 = 0")
+def vector_index_recall(spark, d):
+    """Whether the index finds 95 of 100 exact neighbours."""
+    held, asked = vector_index(spark, d)
+    exact = held.search(asked, 10, exact=True).select("query_id", "key")
+    found = held.search(asked, 10).select("query_id", "key").join(exact, ["query_id", "key"])
+    return asked.agg(F.count(F.lit(1)).alias("queries")).crossJoin(found.agg(F.count(F.lit(1)).alias("found"))).crossJoin(exact.agg(F.count(F.lit(1)).alias("exact"))).select("queries", (F.col("found") >= 0.95 * F.col("exact")).alias("enough"))
+
+
 @query(f"SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM {_MATCH}) WHERE rank <= 5")
 def search_by_mode(spark, d):
     """The dispatch of modes and limits: a limit that is no number is the default one."""
