@@ -34,8 +34,9 @@ def vector_search(points: DataFrame, vector: Sequence[float], limit: int = LIMIT
 def vector_search_batch(points: DataFrame, queries: DataFrame, limit: int = LIMIT, key: str = "id", column: str = "full_vector") -> DataFrame:
     """(query_id, key, score, rank) for rows (query_id, vector): the query side is a stated
     set, sent in blocks of QUERY_BLOCK; each task keeps `limit` points a query before
-    anything moves. Points and queries whose vector is null, or of another length than that of most, are
-    like none: such points are no results, such queries have none. No results for a limit below 1."""
+    anything moves. Points and queries without a vector, or with a null component, are
+    like none: such points are no results, such queries have none. Queries of two lengths raise ValueError, and points of another
+    length than the queries fail the query with `Wrong vector size`. No results for a limit below 1."""
     import numpy as np
     import pyarrow as pa
 
@@ -44,14 +45,20 @@ def vector_search_batch(points: DataFrame, queries: DataFrame, limit: int = LIMI
     if limit < 1:
         return points.limit(0).select(F.lit(None).cast(query_kind).alias("query_id"), key, F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
     asked = [(r[0], r[1]) for r in queries.where("vector is not null").select("query_id", "vector").toLocalIterator()]
-    sizes = [len(v) for _, v in asked]
-    width = max(set(sizes), key=sizes.count, default=0)
-    asked = [(q, v) for q, v in asked if len(v) == width and None not in v]
-    points = points.where(F.col(column).isNotNull() & (F.size(column) == width) & ~F.exists(column, F.isnull))
+    asked = [(q, v) for q, v in asked if None not in v]
+    sizes = {len(v) for _, v in asked}
+    if len(sizes) > 1:
+        raise ValueError(f"Wrong vector size: queries of {', '.join(map(str, sorted(sizes)))} components")
+    width = max(sizes, default=0)
+    points = points.where(F.col(column).isNotNull() & ~F.exists(column, F.isnull))
+    if asked:
+        size = F.size(column)
+        wrong = F.raise_error(F.concat(F.lit("Wrong vector size: "), size.cast("string"))).cast(points.schema[column].dataType)
+        points = points.withColumn(column, F.when(size == width, F.col(column)).otherwise(wrong))
     out = None
     for i in range(0, max(len(asked), 1), QUERY_BLOCK):
         block = asked[i : i + QUERY_BLOCK]
-        held = points.sparkSession.sparkContext.broadcast(([q for q, _ in block], np.array([v for _, v in block], np.float64).reshape(len(block), -1)))
+        held = points.sparkSession.sparkContext.broadcast(([q for q, _ in block], np.array([v for _, v in block], np.float64).reshape(len(block), width)))
 
         def run(batches, held=held):
             ids, q = held.value

@@ -8,7 +8,7 @@ the first ones the whole vectors are read and compared exactly. How many cells t
 measured at building, against an exact search for some of the vectors.
 
 Vectors that are null, of another length than `dimensions`, of no length or with a null or non-finite component are not in the
-index, nor are those without a key. Equal vectors share a cell, however many they are; a cell's
+index, nor are those without a key; queries like that have no results, but those of another length raise ValueError. Equal vectors share a cell, however many they are; a cell's
 rows are dealt over tasks by key, so one cell does not become one task. Rows of one key are rows of their own.
 """
 
@@ -160,7 +160,10 @@ class VectorIndex:
         probes: cells that a query reads, by default those measured at building; rerank: how many times `limit` rows are compared exactly; exact: all rows are."""
         if exact or limit < 1:
             return vector_search_batch(self.read(), queries, limit, "key", "vector")
-        asked = [(r["query_id"], r["vector"]) for r in queries.where("vector is not null").toLocalIterator() if len(r["vector"]) == self.dimensions and None not in r["vector"] and np.isfinite(r["vector"]).all() and np.any(r["vector"])]
+        asked = [(r["query_id"], r["vector"]) for r in queries.where("vector is not null").toLocalIterator()]
+        if wrong := sorted({len(v) for _, v in asked} - {self.dimensions}):
+            raise ValueError(f"Wrong vector size: {wrong[0]}")
+        asked = [(q, v) for q, v in asked if None not in v and np.isfinite(v).all() and np.any(v)]
         probes, model = probes or self.settings()["probes"], self._model()
         out = None
         for i in range(0, max(1, len(asked)), QUERY_BLOCK):

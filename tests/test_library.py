@@ -251,13 +251,20 @@ def test_upsert_writes_what_is_new(spark, tmp_path):
 
 
 def test_batch_search_of_odd_vectors(spark):
-    data = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0]), (5, [1.0, None])]
+    data = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (5, [1.0, None])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     asked = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     got = search.vector_search_batch(df, asked, 1, "vec_id", "embedding").collect()
     assert {(r["query_id"], r["vec_id"]) for r in got} == {(1, 1), (3, 3)}
     assert search.vector_search_batch(df, asked, 0, "vec_id", "embedding").collect() == []
     assert search.vector_search_batch(df.limit(0), asked, 3, "vec_id", "embedding").collect() == []
+    assert search.vector_search_batch(df, asked.limit(0), 3, "vec_id", "embedding").collect() == []
+    # another length is an error, for queries and points, never a row that is left out
+    short = spark.createDataFrame([(4, [1.0])], "vec_id long, embedding array<float>")
+    with pytest.raises(ValueError, match="Wrong vector size"):
+        search.vector_search_batch(df, asked.unionByName(short.toDF("query_id", "vector")), 1, "vec_id", "embedding")
+    with pytest.raises(Exception, match="Wrong vector size: 1"):
+        search.vector_search_batch(df.unionByName(short), asked, 1, "vec_id", "embedding").collect()
 
 
 def test_sparse_sheet():

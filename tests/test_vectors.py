@@ -76,7 +76,9 @@ def test_vectors_added_later(spark, built):
 
 def test_odd_queries_and_nothing(spark, tmp_path, built):
     held, _ = built
-    odd = spark.createDataFrame([(1, None), (2, [1.0]), (3, [None] * 24), (4, [0.0] * 24)], "query_id int, vector array<float>")
+    with pytest.raises(ValueError, match="Wrong vector size: 1"):
+        held.search(spark.createDataFrame([(2, [1.0])], "query_id int, vector array<float>"))
+    odd = spark.createDataFrame([(1, None), (3, [None] * 24), (4, [0.0] * 24)], "query_id int, vector array<float>")
     assert held.search(odd).collect() == [] and held.search(odd, 0).collect() == []
     empty = VectorIndex(spark, f"file://{tmp_path}/e", 3)
     empty.build(spark.createDataFrame([], KIND))
