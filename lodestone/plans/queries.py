@@ -17,6 +17,7 @@ from lodestone.operators import sections as S
 from lodestone.operators.documents import blocks_of, chunk_texts
 from lodestone.operators.embed import HashingProvider
 from lodestone.operators.index import Collection, batch_numbers, embedded, latest, missing_embeddings, points, words
+from lodestone.operators.sparse import SparseIndex, counted
 from lodestone.operators.vectors import VectorIndex
 from lodestone.scratch import scratch
 from lodestone.sources.parsers.common import text_table as aligned_table
@@ -662,6 +663,24 @@ def vector_index_recall(spark, d):
     return asked.agg(F.count(F.lit(1)).alias("queries")).crossJoin(found.agg(F.count(F.lit(1)).alias("found"))).crossJoin(exact.agg(F.count(F.lit(1)).alias("exact"))).select("queries", (F.col("found") >= 0.95 * F.col("exact")).alias("enough"))
 
 
+def sparse_index(spark: SparkSession, d: str) -> tuple[SparseIndex, DataFrame]:
+    """The words of all documents as sparse vectors, and the benchmark's items as queries."""
+    held = SparseIndex(spark, scratch(spark, "sparse"))
+    held.build(counted(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
+    return held, counted(table(spark, d, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "query_id")
+
+
+_TERMS = "SELECT {0} AS key, w AS term, count(*) AS weight FROM (SELECT {0}, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM {1}) WHERE w <> '' GROUP BY ALL"
+
+
+@query(f"""SELECT * FROM (SELECT q.key AS query_id, d.key AS doc_id, CAST(sum(q.weight * d.weight) AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY q.key ORDER BY sum(q.weight * d.weight) DESC, d.key) AS INTEGER) AS rank
+FROM ({_TERMS.format("item_id", "benchmark")}) q JOIN ({_TERMS.format("doc_id", "documents")}) d USING (term) GROUP BY q.key, d.key) WHERE rank <= 5""")
+def sparse_topk(spark, d):
+    """The five documents with the greatest inner product with each item, in the sparse space."""
+    held, asked = sparse_index(spark, d)
+    return held.search(asked, 5).withColumnRenamed("key", "doc_id")
+
+
 @query(f"SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM {_MATCH}) WHERE rank <= 5")
 def search_by_mode(spark, d):
     """The dispatch of modes and limits: a limit that is no number is the default one."""
