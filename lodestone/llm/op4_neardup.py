@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.components import components
-from lodestone.llm.shared import bitmap, dropped, mapped, marked, written
+from lodestone.llm.shared import bitmap, bucketed, dropped, mapped, marked, written
 
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
@@ -180,8 +180,9 @@ def plausible(percent: int) -> Column:
     return (100 * small >= percent * large) & (F.col("apart") <= k / 2 * (1 - kept) + MISS * error)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose full sets are as similar as asked."""
+def confirmed(pairs: DataFrame, sets: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of classes whose full sets are as similar as asked. sets: of all a, in buckets by
+    class, so that they do not move to be found; centres: those of all b, which are few, as a join that can split a hot one needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,14 +193,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 same.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    left, right = sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
+    left, right = sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), centres.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
     return mapped(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), run, "a long, b long")
 
 
 DELTA = "class long, pivot long, of long, n long, n_pivot long, delta array<long>"
 
 
-def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
+def deltas(members: DataFrame, sets: DataFrame, centres: DataFrame) -> DataFrame:
     """DELTA rows of members (class, pivot, of): the shingles in which a class and its pivot differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +210,11 @@ def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
             sizes = [pa.array([len(v) for v in side], pa.int64()) for side in (x, y)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *sizes, pa.array(d, pa.list_(pa.int64()))], names=["class", "pivot", "of", "n", "n_pivot", "delta"])
 
-    own = members.join(sets, "class").join(sets.select(F.col("class").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
+    own = members.join(sets, "class").join(centres.select(F.col("class").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
     return mapped(own.select("class", "pivot", "of", "set", "pivot_set"), run, DELTA)
 
 
-def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
     """All links (a, b) between classes of one pivot that connect components (`of`), without
     pairing the classes of a pivot.
 
@@ -223,10 +224,11 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     certain; then both are linked to the class of the pivot with the least h, so a star
     around it stands for them. All others have at least k = (h_x + h_y) / 2 common
     differences: of the rarest e - k + 1 differences of each, one is common. Classes meet
-    on those, by bins of h, and are confirmed on their differences.
+    on those, by bins of h, and are confirmed on their differences. made: gets the tables
+    that the links are read from.
     """
     g = (100 - percent) / (100 + percent)
-    held = written(deltas(members, sets), "deltas")
+    held = written(deltas(members, sets, centres), "deltas")
     e, width = F.size("delta"), F.col("n_pivot") * 0.06 + 1
     held_h = held.withColumn("h", e - g * F.col("n")).withColumn("bin", F.least(F.floor((F.col("h") + g * F.col("n_pivot")) / width), F.lit(11)).cast("int"))
     # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
@@ -235,6 +237,7 @@ def same_pivot(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     each = held_h.select("class", "pivot", F.explode("delta").alias("part"))
     common = written(each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common")
     order = written(each.join(common, ["pivot", "part"]).groupBy("class", "pivot").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared")), "order")
+    made += [held, nearest, common, order]
     # the first e - k + 1 differences, without those that no other class has: the rarest
     x = held_h.join(order, ["class", "pivot"]).join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
     low = F.col("other") * (F.col("n_pivot") * 0.06 + 1) - g * F.col("n_pivot")
@@ -260,7 +263,10 @@ def open_groups(group: DataFrame, part: DataFrame) -> DataFrame:
     state = group.join(of_class, "class", "left").join(of_pivot, "pivot", "left")
     state = written(state.select("class", "pivot", F.coalesce("of", "class").alias("of"), F.coalesce("of_pivot", "pivot").alias("of_pivot")), "state")
     mixed = state.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("of") != F.col("of_pivot")).alias("apart")).where("n > 1 and apart > 0")
-    return written(state.join(written(mixed.select("pivot"), "open"), "pivot").select("class", "pivot", "of"), "members")
+    opened = written(mixed.select("pivot"), "open")
+    members = written(state.join(opened, "pivot").select("class", "pivot", "of"), "members")
+    dropped(state, opened)
+    return members
 
 
 def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
@@ -273,22 +279,25 @@ def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Dat
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
     centre = written(buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")), "centre")
     meets = written(buckets.join(centre, "key").select("class", "c.weight", F.col("c.class").alias("pivot")).distinct(), "meets")
-    sets = written(sets_of(docs, bitmap(meets, "class", FILTER_BITS), words), "sets")
+    sets = bucketed(sets_of(docs, bitmap(meets, "class", FILTER_BITS), words), "sets", "class")
+    centres = written(sets.join(meets.select(F.col("pivot").alias("class")).distinct(), "class", "left_semi"), "centres")
     dropped(full, buckets, centre)
     group = meets.where("class <> pivot").select("class", "pivot")
     sides = classes.select("class", "n_shingles", "filled", "sketch")
     a, b = (sides.select(F.col("class").alias(k), F.col("n_shingles").alias(f"n_{x}"), F.col("filled").alias(f"filled_{x}"), F.col("sketch").alias(f"sketch_{x}")) for k, x in (("class", "a"), ("pivot", "b")))
     stars = group.join(a, "class").join(b, "pivot").withColumn("apart", estimate("sketch_a", "sketch_b")).where(plausible(percent))
-    found = written(confirmed(stars.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, percent), "links")
+    found = written(confirmed(stars.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, centres, percent), "links")
     part = components(found)
     # first the groups of each class's greatest centre, then what is still apart in any
     own = meets.groupBy("class").agg(F.max(F.struct("weight", "pivot")).alias("c")).select("class", "c.pivot").where("class <> pivot")
     for groups in (own, group):
-        members = open_groups(groups, part)
+        members, made = open_groups(groups, part), []
         if members.limit(1).count():
-            found = written(found.unionByName(same_pivot(members, sets, percent)), "links")
-            part = components(found)
-    dropped(meets, sets)
+            more = written(found.unionByName(same_pivot(members, sets, centres, percent, made)), "links")
+            dropped(found)
+            found, part = more, components(more)
+        dropped(members, *made)
+    dropped(meets, sets, centres, found)
     return part
 
 
@@ -304,6 +313,7 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     of = written(of, "of")
     smallest = written(of.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     by_class = written(of.join(smallest, "component").select("class", "component_id"), "by_class")
+    dropped(classes, of, smallest)
     judged = rows.select("doc_id", "row_key", "n_shingles", "class").join(by_class, "class", "left").select("doc_id", "row_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

@@ -49,9 +49,25 @@ def written(df: DataFrame, name: str, **options: int) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """As `written`, dealt into buckets by a column: joins on it need not move the table again."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{table}"
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").options(compression="zstd", path=path).bucketBy(n, column).sortBy(column).saveAsTable(table)
+    out = spark.table(table)
+    out._written_to, out._named = path, table
+    return out
+
+
 def dropped(*tables: DataFrame) -> None:
-    """Remove tables that `written` made and nothing reads any more."""
+    """Remove tables that `written` or `bucketed` made and nothing reads any more."""
     for t in tables:
+        if name := getattr(t, "_named", None):
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
         if path := getattr(t, "_written_to", None):
             fs, p = _file_system(t.sparkSession, path)
             fs.delete(p, True)
