@@ -119,29 +119,116 @@ def inflated(data: bytes) -> bytes:
     return b"".join(out)
 
 
+#: Bytes that a file is read on by at a time.
+STEP = 1 << 18
+
+
+def _steps(data: bytes) -> Iterator[bytes]:
+    """The bytes of a file, those of gzip members inflated, in parts; ValueError where a member is broken."""
+    view, at = memoryview(data), 0
+    if data[:2] != b"\x1f\x8b":
+        for at in range(0, len(view), STEP):
+            yield bytes(view[at : at + STEP])
+        return
+    while bytes(view[at : at + 2]) == b"\x1f\x8b":  # what follows the members, and is none, is left out
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            part = member.unconsumed_tail or bytes(view[at : at + STEP])
+            if not part:
+                raise ValueError("a gzip member is cut off")
+            at += 0 if member.unconsumed_tail else len(part)
+            try:
+                out = member.decompress(part, STEP)
+            except zlib.error as e:
+                raise ValueError(f"broken gzip member: {e}") from e
+            if out:
+                yield out
+        at -= len(member.unused_data)
+
+
+class _Reader:
+    """Reads on in a file's parts; what is behind is let go."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.held, self.at = parts, bytearray(), 0
+
+    def more(self) -> bool:
+        if self.at > STEP:
+            del self.held[: self.at]
+            self.at = 0
+        part = next(self.parts, None)
+        self.held += part or b""
+        return part is not None
+
+    def skip_breaks(self) -> bool:
+        """To the next byte that ends no line; False at the end."""
+        while True:
+            while self.at < len(self.held) and self.held[self.at] in b"\r\n":
+                self.at += 1
+            if self.at < len(self.held):
+                return True
+            if not self.more():
+                return False
+
+    def head(self) -> bytes:
+        """All up to an empty line, or the end."""
+        seen = 0
+        while True:
+            end = self.held.find(b"\r\n\r\n", self.at + seen)
+            bare = self.held.find(b"\n\n", self.at + seen, end if end >= 0 else len(self.held))
+            end, mark = (bare, 2) if bare >= 0 else (end, 4)
+            if end >= 0:
+                break
+            seen = max(0, len(self.held) - self.at - 3)
+            if not self.more():
+                end, mark = len(self.held), 0
+                break
+        out = bytes(self.held[self.at : end])
+        self.at = end + mark
+        return out
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) - self.at < n and self.more():
+            pass
+        out = bytes(self.held[self.at : self.at + n])
+        self.at += len(out)
+        return out
+
+    def to_record(self) -> bool:
+        """To the next line that begins a record; False if there is none."""
+        while True:
+            k = self.held.find(b"\nWARC/", self.at)
+            if k >= 0:
+                self.at = k + 1
+                return True
+            self.at = max(self.at, len(self.held) - 5)
+            if not self.more():
+                return False
+
+
 def records_in(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes] | ValueError]:
-    """(headers, block) of each WARC record, or what is wrong with it; nothing after that can be
-    read on where the record's end is not known."""
-    if data[:2] == b"\x1f\x8b":
-        try:
-            data = inflated(data)
-        except ValueError as e:
-            yield e
-            return
-    if not data.strip():
-        yield ValueError("no WARC version line")
-    data = data.lstrip(b"\r\n")
-    while data:
-        first, headers, rest = headers_in(data)
-        if not first.startswith("WARC/"):
+    """(headers, block) of each WARC record, or what is wrong with it. One pass that holds a record at a time;
+    where a record's end is not known, reading goes on at the next line that begins one."""
+    r = _Reader(_steps(data))
+    try:
+        if not r.skip_breaks():
             yield ValueError("no WARC version line")
-            return
-        size = next((v for k, v in headers if k.lower() == "content-length"), None)
-        if size is None or not re.fullmatch("[0-9]+", size):
-            yield ValueError("no content-length" if size is None else f"content-length is {size}")
-            return
-        block, data = rest[: int(size)], rest[int(size) :].lstrip(b"\r\n")
-        yield (headers, block) if len(block) == int(size) else ValueError("the block is cut off")
+        while r.skip_breaks():
+            first, headers, _ = headers_in(r.head() + b"\r\n\r\n")
+            size = next((v for k, v in headers if k.lower() == "content-length"), None)
+            if not first.startswith("WARC/"):
+                yield ValueError("no WARC version line")
+            elif size is None or not re.fullmatch("[0-9]+", size):
+                yield ValueError("no content-length" if size is None else f"content-length is {size}")
+            else:
+                block = r.take(int(size))
+                yield (headers, block) if len(block) == int(size) else ValueError("the block is cut off")
+                continue
+            r.at = max(0, r.at - 4)  # the line may come right after the head
+            if not r.to_record():
+                return
+    except ValueError as e:
+        yield e
 
 
 def unencoded(body: bytes, encodings: str) -> bytes:

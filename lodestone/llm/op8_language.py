@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
-from lodestone.llm.shared import mapped
+from lodestone.llm.shared import dropped, mapped, written
 
 HASHES = 3
 SIZES = (3, 4)
@@ -158,14 +158,12 @@ def fitted(docs: DataFrame, train: Column, train_docs: int = TRAIN_DOCS, min_sha
         for (lang, size), (code, count) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(np.full(len(code), size, np.int32)), pa.array(code.astype(np.int64)), pa.array(count.astype(np.int64))], names=["lang", "size", "code", "n"])
 
-    counts = mapped(sample.select("lang", "text"), run, "lang string, size int, code long, n long").groupBy("lang", "size", "code").agg(F.sum("n").alias("n"))
-    held: dict[tuple[str, int], list[tuple[int, int]]] = defaultdict(list)
-    for r in counts.where("n > 1").collect():  # bounded by the sample
-        held[r[0], r[1]].append((r[2], r[3]))
+    counts = written(mapped(sample.select("lang", "text"), run, "lang string, size int, code long, n long").groupBy("lang", "size", "code").agg(F.sum("n").alias("n")), "grams")
+    total = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))  # a row for each language and size
     contents: dict[str, dict[int, list[int]]] = {lang: {} for lang in sizes}
-    for (lang, size), rows in held.items():
-        least = min_share * sum(n for _, n in rows)
-        contents[lang][size] = [c for c, n in rows if n >= least]
+    for r in counts.join(F.broadcast(total), ["lang", "size"]).where(F.col("n") >= min_share * F.col("total")).collect():  # 1 / min_share for each
+        contents[r["lang"]].setdefault(r["size"], []).append(r["code"])
+    dropped(counts)
     return Filters(contents, sizes, bits)
 
 

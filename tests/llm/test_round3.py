@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.llm import op5_warc as op5
+from lodestone.llm import op8_language as op8
 from lodestone.llm import op11_hard_negatives as op11
 from lodestone.llm import op12_exact_dedup as op12
 from lodestone.llm import op13_phrases as op13
@@ -204,3 +206,52 @@ def test_growth_is_whole_over_ranges():
 def test_phrases_of_nothing(spark):
     assert op13.collocations(spark.createDataFrame([], "text string, lang string")).collect() == []
     assert op13.collocations(spark.createDataFrame([("a b", "en"), (None, None)], "text string, lang string"), 2).collect() == []
+
+
+def warc(k, size=3000):
+    return op5.record([("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:{k}>")], bytes([97 + k % 26]) * size)
+
+
+def blocks_in(data):
+    return [r if isinstance(r, ValueError) else r[1] for r in op5.records_in(data)]
+
+
+@pytest.mark.parametrize("form", ["plain", "each", "whole"])
+def test_warc_files_are_read_in_one_pass(form):
+    """Time grows with the file, not its square, and blocks of any size stay whole over the parts that are read."""
+    import gzip
+    import time
+
+    rng = random.Random(4)
+    sizes = [rng.choice([0, 1, 10, 3000, op5.STEP - 1, op5.STEP * 2 + 7]) for _ in range(40)]
+    made = [warc(k, n) for k, n in enumerate(sizes)]
+    pack = {"plain": b"".join, "each": lambda x: b"".join(gzip.compress(r, 1) for r in x), "whole": lambda x: gzip.compress(b"".join(x), 1)}[form]
+    assert blocks_in(pack(made)) == [bytes([97 + k % 26]) * n for k, n in enumerate(sizes)]
+    took = []
+    for n in (4000, 16000):
+        data = pack([warc(k) for k in range(n)])
+        began = time.process_time()
+        assert sum(1 for _ in op5.records_in(data)) == n
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0] + 1
+
+
+def test_warc_reading_goes_on_after_what_is_broken():
+    lf = b"WARC/1.0\nContent-Length: 2\n\nok\n\n"
+    data = warc(0, 3) + b"WARC/1.0\r\nContent-Length: x\r\n\r\nabc\r\n\r\n" + warc(1, 3) + b"junk\r\n\r\n" + lf + b"WARC/1.0\r\n\r\n" + warc(2, 3) + b"end"
+    assert [str(x) if isinstance(x, ValueError) else x for x in blocks_in(data)] == [b"aaa", "content-length is x", b"bbb", "no WARC version line", b"ok", "no content-length", b"ccc", "no WARC version line"]
+    import gzip
+
+    packed = gzip.compress(warc(0, 3)) + gzip.compress(warc(1, 50_000))
+    got = blocks_in(packed[:-20])
+    assert got[0] == b"aaa" and [str(x) for x in got[1:]] == ["a gzip member is cut off"]
+
+
+def test_language_learns_rare_n_grams_too(spark):
+    """What makes up the least share of a small table counts, once seen or more often."""
+    docs = spark.createDataFrame([(0, "xq", "a"), (1, "vw", "b"), (4, None, "a"), (5, "zz", None)], "doc_id long, text string, lang string")
+    told = op8.identified(docs.select("doc_id", "text"), op8.fitted(docs, F.lit(True))).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in told if r["doc_id"] < 4} == {0: "a", 1: "b"}
+    none = docs.limit(0)
+    assert op8.identified(none, op8.fitted(none, F.lit(True))).collect() == []
+    assert {r["lang_pred"] for r in op8.identified(docs, op8.fitted(none, F.lit(True))).collect()} == {"und"}
