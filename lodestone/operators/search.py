@@ -149,6 +149,20 @@ def previews(results: DataFrame, most: int = 10) -> DataFrame:
     return results.limit(most).select("score", T.filename("source_path").alias("file"), T.truncate_text(title, 50).alias("title"))
 
 
+def hybrid_lists(points: DataFrame, query: str, vector: Sequence[float], limit: int = LIMIT, most: int = 10) -> list[str]:
+    """Lines for a reader of the two lists that a hybrid search fuses: the head of each, and how many more there are."""
+    n, out = limit * OVERFETCH, []
+    for name, found in (("Vector", vector_search(points, vector, n)), ("Text", text_search(points, query, n))):
+        rows = previews(found, n).collect()  # n at the most
+        out.append(f"{name} search: {len(rows)} results")
+        for k, r in enumerate(rows[:most], 1):
+            score = f"Score: {r['score']:.4f} | " if name == "Vector" and r["score"] is not None else ""
+            out.append(f"  [{k}] {score}{r['file']} | {r['title']}")
+        if len(rows) > most:
+            out.append(f"  ... and {len(rows) - most} more")
+    return out if rows else [*out, "  No keyword matches found"]
+
+
 def parse_limit(given: str | int | None) -> int:
     """A whole number at the head of the text; 5 for 0, nothing and what is none."""
     import re

@@ -20,7 +20,7 @@ from lodestone.functions import text as T
 from lodestone.operators.documents import chunk_files
 from lodestone.operators.embed import HashingProvider, Provider, embed_chunks, total_tokens
 from lodestone.operators.index import Collection, embedded, points
-from lodestone.operators.search import display, search
+from lodestone.operators.search import display, hybrid_lists, parse_limit, search
 from lodestone.sources.files import read_directory, read_files
 from lodestone.sources.sinks import json_array
 
@@ -122,7 +122,10 @@ def main(args: list[str] | None = None) -> int:
     if held is None:
         print(f"No points in {config.collection}", file=sys.stderr)
         return 1
-    for r in display(search(held, a.query, HashingProvider(config.dimensions), a.mode, a.limit)).collect():
+    provider, hybrid = HashingProvider(config.dimensions), a.mode not in ("vector", "text")
+    if hybrid and a.query.strip():
+        print("\n".join(hybrid_lists(held, a.query, provider.embed([a.query])[0].tolist(), max(parse_limit(a.limit), 0))))
+    for r in display(search(held, a.query, provider, a.mode, a.limit), 150 if hybrid else 200).collect():
         print(r.asDict())
     return 0
 

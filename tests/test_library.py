@@ -330,3 +330,20 @@ def test_filters_read_matching_files_only(spark, tmp_path):
         assert len(files) < every, where
     with pytest.raises(ValueError, match="No index on text"):
         held.read({"text": "t"})
+
+
+def test_hybrid_lists(spark, tmp_path, capsys, monkeypatch):
+    """The heads of both lists with what is left of them, and a hybrid preview of 150 characters."""
+    held = index.Collection(spark, str(tmp_path), "dev_docs", 32)
+    text = "apple " + "long words here " * 20
+    rows = spark.range(14).selectExpr("cast(id as string) id", f"'{text}' text", "concat('/d/', id, '.txt') source_path", "'txt' doc_type", "'d' doc_id", "concat('Title ', id) title_text", "'' summary_text", "false is_table", "false is_code", "cast(null as int) page_number", "cast(null as int) slide_number", "cast(null as string) sheet_name", "array_repeat(float(id + 1), 32) full_vector")
+    held.upsert(rows)
+    lines = search.hybrid_lists(held.read(), "apple", [1.0] * 32, 2)
+    assert lines[0] == "Vector search: 14 results" and lines[1].startswith("  [1] Score: 1.0000 | ") and lines[13] == "  [1] 0.txt | Title 0" and lines[11] == "  ... and 4 more" and lines[12] == "Text search: 14 results" and lines[-1] == "  ... and 4 more"
+    assert search.hybrid_lists(held.read(), "pear", [1.0] * 32, 1)[-2:] == ["Text search: 0 results", "  No keyword matches found"]
+    monkeypatch.setenv("INDEX_DIR", str(tmp_path))
+    monkeypatch.setenv("DIMENSIONS", "32")
+    assert cli.main(["search", "apple", "-n", "1", "-f", "doc_type=txt", "-f", "is_table=false"]) == 0
+    shown = capsys.readouterr().out
+    assert "Text search: 10 results" in shown and len(eval(shown.splitlines()[-1])["preview"]) <= 153
+    assert cli.main(["search", "apple", "-f", "doc_type=pdf"]) == 1
