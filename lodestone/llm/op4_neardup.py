@@ -16,7 +16,8 @@ Within a bucket of a band not all pairs are made:
    with others.
 2. the classes that meet one centre, in any bucket, are its group. Where one of them is not
    yet connected to the centre, the group's classes are compared by what differs from the centre,
-   through an index of their rarest differences (`same_pivot`): exact, and not all pairs. That
+   through an index of their rarest differences (`same_pivot`): exact, first with one class of
+   each entry of the index, then between components that this leaves apart. That
    is done with each class in the group of its greatest centre alone, then in the groups
    that are still apart with all of their classes.
 Two classes of one bucket are in one group, so no link that would connect anything is left
@@ -153,9 +154,9 @@ def sets_of(docs: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
     return mapped(docs.select("text"), run, "class long, set binary").dropDuplicates(["class"])
 
 
-def estimate(a: str, b: str) -> Column:
+def estimate(a: str, b: str, bits: int = SKETCH_BITS) -> Column:
     """Bits in which two sketches differ."""
-    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(SKETCH_BITS // 64)), F.lit(0))
+    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(bits // 64)), F.lit(0))
 
 
 def plausible(percent: int) -> Column:
@@ -197,26 +198,33 @@ def confirmed(pairs: DataFrame, sets: DataFrame, centres: DataFrame, percent: in
     return mapped(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), run, "a long, b long")
 
 
-DELTA = "class long, pivot long, of long, n long, n_pivot long, delta array<long>"
+#: Bits of a bitmap of differences.
+DELTA_BITS = 256
+DELTA = "class long, pivot long, of long, n long, n_pivot long, delta array<long>, bits array<long>"
 
 
 def deltas(members: DataFrame, sets: DataFrame, centres: DataFrame) -> DataFrame:
-    """DELTA rows of members (class, pivot, of): the shingles in which a class and its pivot differ."""
+    """DELTA rows of members (class, pivot, of): the shingles in which a class and its pivot differ,
+    and a parity bitmap of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in b.column(k)] for k in (3, 4))
             d = [np.setxor1d(p, q, assume_unique=True).view(np.int64) for p, q in zip(x, y)]
             sizes = [pa.array([len(v) for v in side], pa.int64()) for side in (x, y)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *sizes, pa.array(d, pa.list_(pa.int64()))], names=["class", "pivot", "of", "n", "n_pivot", "delta"])
+            own = np.repeat(np.arange(len(d)), [len(v) for v in d])
+            bit = (tv.mix(np.concatenate([*d, np.zeros(0, np.int64)]).view(np.uint64)) % np.uint64(DELTA_BITS)).astype(np.int64)
+            flips = (np.bincount(bit + own * DELTA_BITS, minlength=len(d) * DELTA_BITS) & 1).astype(np.uint8)
+            bits = np.packbits(flips.reshape(len(d), DELTA_BITS), axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *sizes, pa.array(d, pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64()))], names=["class", "pivot", "of", "n", "n_pivot", "delta", "bits"])
 
     own = members.join(sets, "class").join(centres.select(F.col("class").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
     return mapped(own.select("class", "pivot", "of", "set", "pivot_set"), run, DELTA)
 
 
 def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
-    """All links (a, b) between classes of one pivot that connect components (`of`), without
-    pairing the classes of a pivot.
+    """Links (a, b) between classes of one pivot, enough to connect all components (`of`) that
+    links between them connect, without pairing the classes of a pivot.
 
     With x and y at e_x and e_y shingles from the pivot and s of them in common, the sets
     differ in e_x + e_y - 2 s; they are linked if that is at most g (n_x + n_y). With
@@ -224,35 +232,59 @@ def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent:
     certain; then both are linked to the class of the pivot with the least h, so a star
     around it stands for them. All others have at least k = (h_x + h_y) / 2 common
     differences: of the rarest e - k + 1 differences of each, one is common. Classes meet
-    on those, by bins of h, and are confirmed on their differences. made: gets the tables
-    that the links are read from.
+    on those, by bins of h, and are confirmed on their differences.
+
+    Where classes of several components meet, all are compared with the one of least h
+    first, which connects those that are alike. Only those then still apart are compared with
+    each other. Parity bitmaps of differences go before both: two sets differ in at
+    least as many shingles as bits. made: gets the tables that the links are read from.
     """
     g = (100 - percent) / (100 + percent)
     held = written(deltas(members, sets, centres), "deltas")
     e, width = F.size("delta"), F.col("n_pivot") * 0.06 + 1
     held_h = held.withColumn("h", e - g * F.col("n")).withColumn("bin", F.least(F.floor((F.col("h") + g * F.col("n_pivot")) / width), F.lit(11)).cast("int"))
     # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
-    nearest = written(held_h.groupBy("pivot").agg(F.min(F.struct("h", "class")).alias("m"), F.collect_set("bin").alias("bins")), "nearest")
-    stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("class") != F.col("m.class"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"))
+    nearest = written(held_h.groupBy("pivot").agg(F.min(F.struct("h", "class", "of")).alias("m"), F.collect_set("bin").alias("bins")), "nearest")
+    stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("class") != F.col("m.class"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"), F.col("of").alias("of_a"), F.col("m.of").alias("of_b"))
     each = held_h.select("class", "pivot", F.explode("delta").alias("part"))
     common = written(each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common")
     order = written(each.join(common, ["pivot", "part"]).groupBy("class", "pivot").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared")), "order")
-    made += [held, nearest, common, order]
     # the first e - k + 1 differences, without those that no other class has: the rarest
-    x = held_h.join(order, ["class", "pivot"]).join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n_pivot", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
+    x = held_h.join(order, ["class", "pivot"]).join(nearest.select("pivot", "bins"), "pivot").select("class", "pivot", "of", "h", "n", "n_pivot", "bits", "bin", e.alias("e"), "shared", F.explode("bins").alias("other"))
     low = F.col("other") * (F.col("n_pivot") * 0.06 + 1) - g * F.col("n_pivot")
     lone = F.col("e") - F.size("shared")
     take = F.least(F.size("shared"), F.col("e") - F.greatest(F.ceil((F.col("h") + low) / 2 - 1e-6), F.lit(1)) + 1 - lone).cast("int")
-    x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", "h", "e", lone.alias("lone"), F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("place", "s"))
+    x = x.withColumn("take", take).where("take > 0").select("class", "pivot", "of", "h", "n", "bits", "e", lone.alias("lone"), F.least("bin", "other").alias("p"), F.greatest("bin", "other").alias("q"), F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("place", "s"))
     # at the first common one of a pair, no more can be common than stand from there on in either
-    x = x.select("class", "pivot", "of", "h", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"), F.xxhash64("pivot", "p", "q", "s.part").alias("at"))
-    a, b = (x.select("at", "pivot", F.col("class").alias(v), *(F.col(c).alias(f"{c}_{v}") for c in ("of", "h", "rest"))) for v in "ab")
-    pairs = a.join(b, ["at", "pivot"]).where("of_a < of_b and least(rest_a, rest_b) >= (h_a + h_b) / 2 - 1e-6").select("pivot", "a", "b").distinct()
-    left, right = (held.select("pivot", F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
-    apart = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
-    both = F.col("n_a") + F.col("n_b")
-    met = pairs.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).where(100 * (both - apart) >= percent * (both + apart)).select("a", "b")
-    return stars.unionByName(met)
+    x = x.select(F.xxhash64("pivot", "p", "q", "s.part").alias("at"), "pivot", "class", "of", "h", "n", "bits", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"))
+    least = F.min(F.struct("h", "class", "of", "rest", "n", "bits")).alias("c")
+    hubs = written(x.groupBy("at", "pivot").agg(least, F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("at", "pivot", "c"), "hubs")
+    # only entries where components meet, from here on
+    meet = written(x.join(hubs.select("at", "pivot"), ["at", "pivot"]), "meet")
+    may = (F.least("rest_a", "rest_b") >= (F.col("h_a") + F.col("h_b")) / 2 - 1e-6) & (estimate("bits_a", "bits_b", DELTA_BITS) <= g * (F.col("n_a") + F.col("n_b")) + 1e-6)
+    names = ("class", "of", "h", "rest", "n", "bits")
+
+    def side(rows: DataFrame, v: str, of: str = "") -> DataFrame:
+        return rows.select("at", "pivot", *(F.col(of + c).alias(v if c == "class" else f"{c}_{v}") for c in names))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.where(may).select("pivot", "a", "b", "of_a", "of_b").distinct()
+        left, right = (held.select("pivot", F.col("class").alias(v), F.col("n").alias(f"n_{v}"), F.col("delta").alias(f"delta_{v}")) for v in "ab")
+        apart = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
+        both = F.col("n_a") + F.col("n_b")
+        return pairs.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).where(100 * (both - apart) >= percent * (both + apart)).select("a", "b", "of_a", "of_b")
+
+    with_hub = alike(side(meet, "a").join(side(hubs, "b", "c."), ["at", "pivot"]).where("of_a <> of_b"))
+    first = written(stars.unionByName(with_hub), "first")
+    dropped(common, order, nearest)
+    now = components(first.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).select(F.col("node").alias("of"), "component")
+    still = meet.join(now, "of", "left").withColumn("of", F.coalesce("component", "of")).drop("component")
+    mixed = still.groupBy("at", "pivot").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("at", "pivot")
+    still = written(still.join(mixed, ["at", "pivot"]), "still")
+    dropped(meet, hubs)
+    made += [held, first, still]
+    rest = alike(side(still, "a").join(side(still, "b"), ["at", "pivot"]).where("of_a < of_b"))
+    return first.select("a", "b").unionByName(rest.select("a", "b"))
 
 
 def open_groups(group: DataFrame, part: DataFrame) -> DataFrame:

@@ -481,3 +481,20 @@ def test_pipeline_against_plain_python(spark, tmp_path):
         want[k, len(ids), sha(",".join(map(str, ids))), sha(bpe.decode(ids, skip_special_tokens=False))] += 1
     got = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == want
+
+
+def test_same_pivot_links_grow_with_classes(spark):
+    """Classes that are all alike, each its own component, 41 shingles from their pivot: a star, not all pairs."""
+    n = 400
+    pivot = np.arange(1, 301, dtype=np.uint64)
+    near = [np.sort(np.concatenate((pivot[20:], np.arange(1001, 1021), [5000 + k])).astype(np.uint64)) for k in range(n)]
+    far = [np.arange(10_000 + 500 * k, 10_000 + 500 * k + 200, dtype=np.uint64) for k in range(3)]
+    sets = spark.createDataFrame([(0, pivot.tobytes())] + [(k + 1, s.tobytes()) for k, s in enumerate(near + far)], "class long, set binary")
+    members = spark.createDataFrame([(k + 1, 0, k + 1) for k in range(n + 3)], "class long, pivot long, of long")
+    made = []
+    links = [tuple(r) for r in op4.same_pivot(members, sets, sets.where("class = 0"), 80, made).distinct().collect()]
+    assert n - 1 <= len(links) < 3 * n
+    seen = {1}
+    while grown := {x for ab in links if seen & set(ab) for x in ab} - seen:
+        seen |= grown
+    assert seen == set(range(1, n + 1))
