@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import struct
 import zipfile
 import zlib
+from collections.abc import Callable
 from email.message import EmailMessage
 from xml.sax.saxutils import escape
 
+from lodestone.sources.parsers import crypt
+
 
 def archive(parts: dict[str, str]) -> bytes:
     """A zip file of text parts."""
@@ -176,16 +180,50 @@ def xls(key: int, name: str, segment: str, nation: int) -> bytes:
     return workbook({name: cells}, ["Name", "When", segment * 8], styles)
 
 
-def pdf(key: int, name: str, segment: str, nation: int) -> bytes:
-    """Two pages, their streams deflated."""
+def encryption(r: int, first_id: bytes) -> tuple[str, Callable[[int, bytes], bytes]]:
+    """The entries of an encryption dictionary of revision r for an empty password, and what encrypts an object's data."""
+    v = {2: 1, 3: 2, 4: 4}.get(r, 5)
+    text = f"/Filter /Standard /V {v} /R {r} /P -44 /Length 128"
+    if v < 5:
+        owner = bytes(range(32))
+        key = crypt.early_key({"V": v, "R": r, "O": owner, "P": -44, "Length": 128}, first_id)
+        text += f" /O <{owner.hex()}> /U <{crypt.early_check(key, r, first_id).ljust(32, bytes(1)).hex()}>"
+    else:
+        key = bytes(range(100, 132))
+        user = crypt.hardened(b"validate", r) + b"validate" + b"key salt"
+        text += f" /O <{bytes(48).hex()}> /OE <{bytes(32).hex()}> /U <{user.hex()}> /UE <{crypt.cbc_encrypt(crypt.hardened(b'key salt', r), bytes(16), key).hex()}>"
+    if v >= 4:
+        text += f" /CF << /StdCF << /CFM /{'AESV2' if v == 4 else 'AESV3'} >> >> /StmF /StdCF /StrF /StdCF"
+
+    def seal(number: int, data: bytes) -> bytes:
+        salted = key + struct.pack("<I", number)[:3] + bytes(2) + (b"sAlT" if v == 4 else b"")
+        own = key if v == 5 else hashlib.md5(salted).digest()[: min(len(key) + 5, 16)]
+        fill = 16 - len(data) % 16
+        return crypt.rc4(own, data) if v < 4 else bytes(16) + crypt.cbc_encrypt(own, bytes(16), data + bytes([fill]) * fill)
+
+    return text, seal
+
+
+def pdf(key: int, name: str, segment: str, nation: int, revision: int = 0) -> bytes:
+    """Two pages, their streams deflated; encrypted by a revision of the standard handler."""
+    entries, seal = encryption(revision, b"id of file") if revision else ("", lambda _, data: data)
     page = lambda lines: zlib.compress(("BT /F1 12 Tf 14 TL 50 700 Td " + " ".join(f"({x}) Tj T*" if x else "T*" for x in lines) + " ET").encode())
     first = [f"{nation}. Intro {name}", f"some text \\({segment}\\)", f"goes on {key}", f"a   b   {key}", "d   e   f", "end of it", "", f"Chapter {nation}: {segment}", f"- item {key}", "- item two"]
     streams = [page(first), page([f"Second page of {name}"])]
     objects = ["<< /Type /Catalog /Pages 2 0 R >>", "<< /Type /Pages /Kids [3 0 R 4 0 R] /Count 2 >>", "<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>", "<< /Type /Page /Parent 2 0 R /Contents [6 0 R] >>"]
     data = b"%PDF-1.4\n" + b"".join(f"{k} 0 obj {o} endobj\n".encode() for k, o in enumerate(objects, 1))
     for k, s in enumerate(streams, 5):
+        s = seal(k, s)
         data += f"{k} 0 obj << /Length {len(s)} /Filter /FlateDecode >> stream\n".encode() + s + b"\nendstream endobj\n"
-    return data + f"7 0 obj << /Title ({segment}) >> endobj\ntrailer << /Root 1 0 R /Info 7 0 R >>\n%%EOF".encode()
+    data += f"7 0 obj << /Title <{seal(7, segment.encode()).hex()}> >> endobj\n".encode()
+    if revision:
+        return data + f"8 0 obj << {entries} >> endobj\ntrailer << /Root 1 0 R /Info 7 0 R /Encrypt 8 0 R /ID [(id of file) (x)] >>\n%%EOF".encode()
+    return data + b"trailer << /Root 1 0 R /Info 7 0 R >>\n%%EOF"
+
+
+def pdf_encrypted(key: int, name: str, segment: str, nation: int) -> bytes:
+    """The same file, encrypted by one of the revisions 2 to 5."""
+    return pdf(key, name, segment, nation, 2 + nation % 4)
 
 
 def md(key: int, name: str, segment: str, nation: int) -> bytes:
@@ -203,4 +241,4 @@ def html(key: int, name: str, segment: str, nation: int) -> bytes:
     ).encode()
 
 
-MAKERS = {"docx": docx, "xlsx": xlsx, "xls": xls, "pptx": pptx, "eml": eml, "eml_of_html": eml_of_html, "msg": msg, "pdf": pdf, "md": md, "html": html}
+MAKERS = {"docx": docx, "xlsx": xlsx, "xls": xls, "pptx": pptx, "eml": eml, "eml_of_html": eml_of_html, "msg": msg, "pdf": pdf, "pdf_encrypted": pdf_encrypted, "md": md, "html": html}

@@ -1,7 +1,7 @@
 """PDF: the text layer of pages, then headings, tables and paragraphs by their shape.
 
 Streams are plain or Flate-compressed; object streams, character maps of fonts and nested
-forms are read. Encrypted files give an error.
+forms are read, as are files that are encrypted but open without a password; others give an error.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import zlib
 
 from lodestone.functions.splitter import trim, units
 from lodestone.functions.text import WS
+from lodestone.sources.parsers import crypt
 from lodestone.sources.parsers.common import Block, block, is_list, paragraphs, runs
 
 _NUMBER = re.compile(rf"([0-9]+(?:\.[0-9]+)*\.?)[{WS}]+([^\n\r\u2028\u2029]+)\Z")
@@ -121,10 +122,12 @@ class File:
         self.objects: dict[int, object] = {}
         self.streams: dict[int, bytes] = {}
         self.trailer: dict = {}
-        for m in re.finditer(rb"(?<![0-9])([0-9]+)\s+[0-9]+\s+obj\b", data):
+        self.generations: dict[int, int] = {}
+        self.handler: crypt.Handler | None = None
+        for m in re.finditer(rb"(?<![0-9])([0-9]+)\s+([0-9]+)\s+obj\b", data):
             s = Scanner(data, m.end())
             value = s.next()
-            self.objects[int(m[1])] = value
+            self.objects[int(m[1])], self.generations[int(m[1])] = value, int(m[2])
             if isinstance(value, dict) and (b := re.compile(rb"\s*stream\r?\n").match(data, s.at)):
                 n = value.get("Length")
                 end = b.end() + n if isinstance(n, int) and data[b.end() + n :].lstrip()[:9] == b"endstream" else data.find(b"endstream", b.end())
@@ -135,7 +138,7 @@ class File:
             t = Scanner(data, m.end()).next()
             self.trailer |= t if isinstance(t, dict) else {}
         if "Encrypt" in self.trailer:
-            raise ValueError("the file is encrypted")
+            self._open(self.trailer["Encrypt"])
         for n in [k for k, v in self.objects.items() if isinstance(v, dict) and v.get("Type") == "ObjStm"]:
             head, raw = self.objects[n], self.stream(n)
             s = Scanner(raw)
@@ -143,6 +146,20 @@ class File:
             for number, at in pairs:
                 self.objects.setdefault(number, Scanner(raw, self.get(head["First"]) + at).next())
 
+    def _open(self, entry) -> None:
+        """Decrypts strings, and lets streams be decrypted as they are read."""
+        ids = self.get(self.trailer.get("ID")) or [b""]
+        held = {k: self.get(v) for k, v in (self.get(entry) or {}).items()}
+        self.handler = crypt.Handler(held, bytes(self.get(ids[0])))
+        for n, value in self.objects.items():
+            if not (isinstance(entry, Ref) and entry[0] == n):
+                self.objects[n] = self.handler.strings(value, n, self.generations[n])
+
+    def _raw(self, number: int, head: dict) -> bytes:
+        raw, h = self.streams.get(number, b""), self.handler
+        clear = h is None or head.get("Type") == "XRef" or head.get("Type") == "Metadata" and h.plain_metadata
+        return raw if clear else h.decrypted(raw, number, self.generations.get(number, 0), h.of_streams)
+
     def get(self, v):
         seen = 0
         while isinstance(v, Ref) and seen < 50:
@@ -150,7 +167,8 @@ class File:
         return v
 
     def stream(self, number: int) -> bytes:
-        raw, head = self.streams.get(number, b""), self.objects.get(number) or {}
+        head = self.objects.get(number) or {}
+        raw = self._raw(number, head)
         filters = self.get(head.get("Filter")) or []
         for f in filters if isinstance(filters, list) else [filters]:
             if self.get(f) in ("FlateDecode", "Fl"):

@@ -1,6 +1,7 @@
 """Format decoders on small documents made here."""
 
 import io
+import re
 import struct
 import zipfile
 import zlib
@@ -9,7 +10,8 @@ from email.message import EmailMessage
 import pytest
 
 from lodestone.operators.documents import chunks
-from lodestone.sources.parsers import parse
+from lodestone.plans import samples
+from lodestone.sources.parsers import crypt, parse
 
 
 def shapes(blocks):
@@ -202,6 +204,30 @@ def test_pdf():
         parse(b"no pdf", "pdf")
 
 
+def test_ciphers():
+    """Vectors of the published standards: AES of 128 and 256 bits, RC4."""
+    plain, key = bytes.fromhex("00112233445566778899aabbccddeeff"), bytes(range(32))
+    for k, coded in ((key[:16], "69c4e0d86a7b0430d8cdb78070b4c55a"), (key, "8ea2b7ca516745bfeafc49904b496089")):
+        assert crypt.cbc_encrypt(k, bytes(16), plain).hex() == coded
+        assert crypt.cbc_decrypt(k, bytes(16), bytes.fromhex(coded)) == plain
+    long = bytes(range(256)) * 3
+    assert crypt.cbc_decrypt(key, plain, crypt.cbc_encrypt(key, plain, long)) == long
+    assert crypt.rc4(b"Key", b"Plaintext").hex() == "bbf316e8d940af0ad3"
+
+
+@pytest.mark.parametrize("revision", [2, 3, 4, 5, 6])
+def test_encrypted_pdf(revision):
+    args = (7, "Name", "SEGMENT", 3)
+    plain, sealed = samples.pdf(*args), samples.pdf(*args, revision)
+    assert b"SEGMENT" not in sealed and parse(sealed, "pdf") == parse(plain, "pdf")
+    u = re.search(rb"/U <(..)", sealed)
+    other = sealed[: u.start(1)] + (b"00" if u[1] != b"00" else b"01") + sealed[u.end(1) :]
+    with pytest.raises(ValueError, match="password"):
+        parse(other, "pdf")
+    with pytest.raises(ValueError, match="unknown"):
+        parse(sealed.replace(b"/Standard", b"/Elsewhere"), "pdf")
+
+
 def test_xls_equals_its_twin():
     """A legacy workbook gives the blocks of the same sheet in the newer format."""
     from lodestone.plans import samples
