@@ -37,6 +37,29 @@ def js_length(x: Column | str) -> Column:
     return (F.length(c) + F.length(F.regexp_replace(c, r"[^\x{10000}-\x{10FFFF}]", ""))).cast("int")
 
 
+def js_fits(x: Column | str, most: int) -> Column:
+    """Whether a text has at most `most` UTF-16 units; looks at no more of it."""
+    return js_length(F.substring(_c(x), 1, most + 1)) <= most
+
+
+def js_prefix(x: Column | str, most: int) -> Column:
+    """The first `most` UTF-16 units of a text, one less where that would split a pair."""
+    head = F.substring(_c(x), 1, most)
+    raw = F.substring(F.encode(head, "UTF-16LE"), 1, 2 * most)
+    # the upper byte of the last unit tells the first of a pair
+    split = F.hex(F.substring(raw, 2 * most, 1)).isin("D8", "D9", "DA", "DB")
+    whole = F.when(split, F.substring(raw, 1, 2 * most - 2)).otherwise(raw)
+    return F.when(js_length(head) == F.length(head), head).otherwise(F.decode(whole, "UTF-16LE"))
+
+
+def _cut_head(head: Column, beyond: int) -> Column:
+    """A head cut at its last blank if that stands beyond a number of UTF-16 units, with '...'."""
+    at = _last_index(head, " ")
+    before = F.substring(head, F.lit(1), at)
+    units = F.when(at < 0, -1).otherwise(js_length(before))
+    return F.concat(F.when(units > beyond, before).otherwise(head), F.lit("..."))
+
+
 def blank(x: Column | str) -> Column:
     return js_trim(x) == ""
 
@@ -57,18 +80,12 @@ def _last_index(x: Column, what: str) -> Column:
 
 
 def generate_summary(x: Column | str) -> Column:
-    """The first sentence if it has at most 200 characters, else the text if it has, else
-    its first 200 characters, cut at a blank beyond the 150th if there is one, with '...'."""
+    """The first sentence if it has at most 200 UTF-16 units, else the text if it has, else
+    its first 200 units, cut at a blank beyond the 150th if there is one, with '...'."""
     t = js_trim(F.coalesce(_c(x), F.lit("")))
     sentence = F.regexp_extract(t, rf"(?s)^(.*?[.!?])(?:[{WS}]|\z)", 1)
-    head = F.substring(t, 1, SUMMARY_CHARS)
-    cut = _last_index(head, " ")
-    return (
-        F.when((sentence != "") & (F.length(sentence) <= SUMMARY_CHARS), sentence)
-        .when(F.length(t) <= SUMMARY_CHARS, t)
-        .when(cut > SUMMARY_LEAST, F.concat(F.substring(head, F.lit(1), cut), F.lit("...")))
-        .otherwise(F.concat(head, F.lit("...")))
-    )
+    short = F.when((sentence != "") & js_fits(sentence, SUMMARY_CHARS), sentence).when(js_fits(t, SUMMARY_CHARS), t)
+    return short.otherwise(_cut_head(js_prefix(t, SUMMARY_CHARS), SUMMARY_LEAST))
 
 
 def estimate_tokens(x: Column | str) -> Column:
@@ -160,11 +177,9 @@ def filename(path: Column | str) -> Column:
 
 
 def truncate_text(x: Column | str, most: int) -> Column:
-    """At most `most` characters, cut at a blank in the last 50 if there is one, with '...'."""
+    """At most `most` UTF-16 units, cut at a blank in the last 50 if there is one, with '...'."""
     t = _c(x)
-    head = F.substring(t, 1, most)
-    cut = _last_index(head, " ")
-    return F.when(F.length(t) <= most, t).when(cut > most - 50, F.concat(F.substring(head, F.lit(1), cut), F.lit("..."))).otherwise(F.concat(head, F.lit("...")))
+    return F.when(js_fits(t, most) | t.isNull(), t).otherwise(_cut_head(js_prefix(t, most), most - 50))
 
 
 def format_count(n: Column | str) -> Column:

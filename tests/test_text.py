@@ -10,7 +10,7 @@ from lodestone.sources.parsers import common, mail, txt
 
 TEXTS = [
     "", " ", " x﻿", "One. Two", "No end", "a" * 201, "w " * 150, "b" * 160 + " " + "c" * 80, "x!", "3.14 is pi. Yes", "line sep. z", "\x00a\x07\t \tb\n\n\n\nc\r\n",
-    "a😀b", "|a|b|\n|c|d|", "a\tb\nc\td", "a  b  c\nd  e  f", "- a\n- b\nc", "1) a\n2) b", "x\n    y\n    z\n    u\n    v", "  p\n    q", "--\nJoe", "Best,\n", "On May 1 she wrote:", "> q", "From: a Sent: b To: c", "---- Original Message ----",
+    "a😀b", "😀" * 100, "😀" * 101, "x" + "😀" * 150, "😀" * 76 + " " + "y" * 90, "😀" * 75 + " " + "y" * 90, "😀 " * 60 + "end.", "😀" * 99 + ".. z", "y" * 199 + "😀. " + "z" * 60, "|a|b|\n|c|d|", "a\tb\nc\td", "a  b  c\nd  e  f", "- a\n- b\nc", "1) a\n2) b", "x\n    y\n    z\n    u\n    v", "  p\n    q", "--\nJoe", "Best,\n", "On May 1 she wrote:", "> q", "From: a Sent: b To: c", "---- Original Message ----",
 ]
 
 
@@ -43,6 +43,8 @@ def test_known_values(spark, rows):
     assert get(T.filename(F.lit("/a/b.txt"))) == "b.txt" and get(T.filename(F.lit("a/"))) == "a/"
     assert [get(T.extension(F.lit(p))) for p in ("/a.b/c", "/x/.txt", "/x/a.TXT", "/x/a.tar.gz")] == ["", "", "txt", "gz"]
     assert get(T.truncate_text(F.lit("aaaa bbbb"), 6)) == "aaaa..." and get(T.truncate_text(F.lit("abc"), 3)) == "abc"
+    assert get(T.truncate_text(F.lit("😀" * 60), 101)) == "😀" * 50 + "..." and get(T.truncate_text(F.lit("😀" * 60), 120)) == "😀" * 60
+    assert W.summary("x" + "😀" * 150) == "x" + "😀" * 99 + "..." and W.summary("😀" * 76 + " " + "y" * 90) == "😀" * 76 + "..."
     assert [get(T.format_size(F.lit(n))) for n in (0, 5, 1024, 1 << 20)] == ["unknown size", "5 B", "1.0 KB", "1.0 MB"] == [mail.size_text(n) for n in (0, 5, 1024, 1 << 20)]
     assert get(T.join_heading_path(F.array(F.lit("A"), F.lit(" "), F.lit("B")))) == "A > B"
     assert get(T.embedding_cost(F.lit(5432))) == "$0.71" and get(T.format_count(F.lit(1234567))) == "1,234,567"
