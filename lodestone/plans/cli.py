@@ -22,7 +22,7 @@ from lodestone.operators.embed import HashingProvider, Provider, embed_chunks, t
 from lodestone.operators.index import Collection, embedded, points
 from lodestone.operators.search import display, hybrid_lists, parse_limit, search
 from lodestone.sources.files import read_directory, read_files
-from lodestone.sources.sinks import json_array
+from lodestone.sources.sinks import json_array, write_json_array
 
 VERSION = "1.0.0"
 
@@ -34,27 +34,29 @@ def summary(chunks: DataFrame) -> DataFrame:
 
 
 def chunk(spark: SparkSession, files: list[str], output: str | None = None, pretty: bool = False, quiet: bool = False) -> int:
-    """Chunks of the files as a JSON array, to a file or printed; 1 if any file failed."""
+    """Chunks of the files as a JSON array, to a file or printed; 1 if any file failed. The array has the order of
+    the arguments, which tasks read in turn, and a file that is given twice comes twice."""
     log = (lambda *_: None) if quiet else lambda *x: print(*x, file=sys.stderr)
-    of: dict[str, list] = {}
-    for r in chunk_files(read_files(spark, list(dict.fromkeys(files)))).orderBy("source_path", "chunk_index").collect():  # what is printed
-        of.setdefault(r["source_path"], []).append(r)
-    # in the order of the arguments; a file that is given twice comes twice
-    rows = [r for f in files for r in of.get(os.path.abspath(f), [])]
-    good, bad = [r for r in rows if r["error"] is None], [r for r in rows if r["error"] is not None]
-    for f in files:
-        if held := of.get(os.path.abspath(f)):
-            log(f"{f}: {held[0]['elapsed_ms']} ms")
-    text = json_array(good, pretty)
-    if output:
-        with open(output, "w", encoding="utf-8") as f:
-            f.write(text)
-    else:
-        print(text)
+    rows = chunk_files(read_files(spark, files)).persist()
+    try:
+        good = rows.where("error is null")
+        if output:
+            write_json_array(good, output, pretty)
+        else:
+            for piece in json_array(good.toLocalIterator(), pretty):
+                sys.stdout.write(piece)
+            print()
+        per_file = rows.groupBy("source_path").agg(F.count("id").alias("n"), F.max("error").alias("error"), F.max("elapsed_ms").alias("ms"))
+        of = {r["source_path"]: r for r in per_file.collect()}  # a row for each argument
+    finally:
+        rows.unpersist()
+    told = [(f, of[os.path.abspath(f)]) for f in files]
+    for f, r in told:
+        log(f"{f}: {r['ms']} ms")
+    bad = [r for _, r in told if r["error"] is not None]
     for r in bad:
         log(f"{r['source_path']}: {r['error']}")
-    done = sum(of.get(os.path.abspath(f), [{"error": ""}])[0]["error"] is None for f in files)
-    log(f"Processed {done}/{done + len(bad)} files, {len(good)} chunks, {len(bad)} errors")
+    log(f"Processed {len(told) - len(bad)}/{len(told)} files, {sum(r['n'] for r in of.values())} chunks, {len(bad)} errors")
     return 1 if bad else 0
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import stat
+import time
 from collections.abc import Iterator
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from lodestone.functions import text as T
 from lodestone.functions.text import DOC_TYPES, SCANNED
@@ -49,47 +50,88 @@ class Group(InputPartition):
         self.paths = paths
 
 
+def grouped(paths: list[str]) -> list[Group]:
+    """Groups of GROUP_BYTES or of one larger file, in the order of the paths."""
+    groups: list[list[str]] = []
+    size = 0
+    for p in paths:
+        n = os.path.getsize(p) if os.path.isfile(p) else 0
+        if not groups or size + n > GROUP_BYTES:
+            groups.append([])
+            size = 0
+        groups[-1].append(p)
+        size += n
+    return [Group(g) for g in groups]
+
+
+def file_row(p: str) -> tuple:
+    """The FILE row of a path, with `error` where it cannot be read."""
+    kind = DOC_TYPES.get(extension(p))
+    row: tuple = (p, os.path.basename(p), None, None, None, kind, None)
+    try:
+        s = os.stat(p)
+        if not stat.S_ISREG(s.st_mode):
+            return (*row, f"Not a file: {p}")
+        if kind is None:
+            return (*row, f"Unsupported file extension: .{extension(p)}")
+        with open(p, "rb") as f:
+            content = f.read()
+        born = getattr(s, "st_birthtime", s.st_ctime)
+        at = [datetime.fromtimestamp(t, UTC) for t in (born, s.st_mtime)]
+        return (p, os.path.basename(p), s.st_size, *at, kind, content, None)
+    except FileNotFoundError:
+        return (*row, f"File not found: {p}")
+    except OSError as e:
+        return (*row, str(e))
+
+
 class DocumentReader(DataSourceReader):
     def __init__(self, paths: list[str]):
         self.paths = paths
 
     def partitions(self) -> list[Group]:
-        groups: list[list[str]] = []
-        size = GROUP_BYTES
-        for p in self.paths:
-            n = os.path.getsize(p) if os.path.isfile(p) else 0
-            if size + n > GROUP_BYTES:
-                groups.append([])
-                size = 0
-            groups[-1].append(p)
-            size += n
-        return [Group(g) for g in groups]
+        return grouped(self.paths)
 
     def read(self, partition: Group) -> Iterator[tuple]:
-        for p in partition.paths:
-            kind = DOC_TYPES.get(extension(p))
-            row: tuple = (p, os.path.basename(p), None, None, None, kind, None)
+        return map(file_row, partition.paths)
+
+
+class DocumentStream(DataSourceStreamReader):
+    """Documents below a directory as they arrive. An offset is a time in nanoseconds: a batch has the files
+    whose status changed after its start and up to its end, so a file comes once for each time that it is
+    written, replaced or moved in, and a restart goes on from the time in the checkpoint.
+
+    Files that changed less than `settle` seconds ago wait, for all of one time must be there before that
+    time is passed; set it above the difference of the clocks of the machines that write. A whole folder
+    that is moved in does not change the times of its files: move files, or write them."""
+
+    def __init__(self, root: str, settle: float):
+        self.root, self.settle = root, settle
+
+    def _changed(self) -> Iterator[tuple[int, str]]:
+        for p in find_documents(self.root):
             try:
-                s = os.stat(p)
-                if not stat.S_ISREG(s.st_mode):
-                    yield (*row, f"Not a file: {p}")
-                    continue
-                if kind is None:
-                    yield (*row, f"Unsupported file extension: .{extension(p)}")
-                    continue
-                with open(p, "rb") as f:
-                    content = f.read()
-                born = getattr(s, "st_birthtime", s.st_ctime)
-                at = [datetime.fromtimestamp(t, UTC) for t in (born, s.st_mtime)]
-                yield (p, os.path.basename(p), s.st_size, *at, kind, content, None)
-            except FileNotFoundError:
-                yield (*row, f"File not found: {p}")
-            except OSError as e:
-                yield (*row, str(e))
+                yield os.stat(p).st_ctime_ns, p
+            except OSError:  # gone since the directory was listed
+                continue
+
+    def initialOffset(self) -> dict:
+        return {"ns": 0}
+
+    def latestOffset(self) -> dict:
+        until = time.time_ns() - round(self.settle * 1e9)
+        return {"ns": max((at for at, _ in self._changed() if at <= until), default=0)}
+
+    def partitions(self, start: dict, end: dict) -> list[Group]:
+        return grouped([p for at, p in self._changed() if start["ns"] < at <= end["ns"]])
+
+    def read(self, partition: Group) -> Iterator[tuple]:
+        return map(file_row, partition.paths)
 
 
 class DocumentSource(DataSource):
-    """Options: path, a directory to scan; or paths, files one a line, taken as they are."""
+    """Options: path, a directory to scan; or paths, files one a line, taken as they are. As a stream: path,
+    and settle, the seconds that a file must have stood unchanged (1)."""
 
     @classmethod
     def name(cls) -> str:
@@ -103,6 +145,9 @@ class DocumentSource(DataSource):
             return DocumentReader([os.path.abspath(p) for p in given.split("\n") if p])
         return DocumentReader(find_documents(self.options["path"]))
 
+    def streamReader(self, schema) -> DocumentStream:
+        return DocumentStream(self.options["path"], float(self.options.get("settle", "1")))
+
 
 def read_store(spark: SparkSession, root: str) -> DataFrame:
     """FILE rows of a folder in any store that Spark reads. Its reader passes over empty
@@ -129,3 +174,9 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     not supported."""
     spark.dataSource.register(DocumentSource)
     return spark.read.format("documents").option("paths", "\n".join(paths)).load()
+
+
+def stream_directory(spark: SparkSession, root: str, settle: float = 1) -> DataFrame:
+    """FILE rows of the documents below a directory, as they arrive and change (DocumentStream)."""
+    spark.dataSource.register(DocumentSource)
+    return spark.readStream.format("documents").option("settle", str(settle)).load(root)

@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ from lodestone.operators import embed, index, search, sections
 from lodestone.operators.documents import chunk_files, chunks
 from lodestone.plans import cli
 from lodestone.sources.files import find_documents, read_directory, read_files
-from lodestone.sources.sinks import chunk_dict, write_json_lines
+from lodestone.sources.sinks import chunk_dict, json_array, write_json_array, write_json_lines
 
 BLOCKS = "doc_id string, pos int, type string, content string, level int, is_table boolean, is_code boolean, page_number int, slide_number int, sheet_name string, metadata map<string,string>"
 
@@ -81,6 +82,9 @@ def test_cli(spark, tree, tmp_path, capsys):
     assert [c["fullText"] for c in held] == ["HEAD\n\nBody text."] and "pageNumber" not in held[0] and held[0]["sectionTitle"] == "HEAD"
     assert "1/2 files" in capsys.readouterr().err
     assert cli.main(["chunk", str(tree / "a.txt"), "-q"]) == 0
+    assert [c["chunkIndex"] for c in json.loads(capsys.readouterr().out)] == [0]
+    assert cli.main(["chunk", *(str(tree / n) for n in ("sub/f.txt", ".c.html", "a.txt", "sub/f.txt")), "-o", str(out)]) == 0
+    assert [os.path.basename(c["sourcePath"]) for c in json.loads(out.read_text())] == ["f.txt", ".c.html", "a.txt", "f.txt"] and "4/4 files, 4 chunks, 0 errors" in capsys.readouterr().err
     config = Config(index_dir=str(tmp_path / "index"), collection="c", dimensions=32)
     counts = cli.process(spark, str(tree), config)
     assert (counts["files"], counts["failed"], counts["chunks"], counts["points"]) == (5, 1, 4, 4) and counts["cost"].startswith("$")
@@ -178,6 +182,59 @@ def test_stream(spark, tmp_path):
     assert got == {"/a": "Second text here.", "/F": "First text here.", "/S": "Second text here."}
 
 
+def test_stream_of_files(spark, tmp_path):
+    """Each file comes once over restarts, and again when it changes; broken ones do not stop the rest."""
+    from lodestone.streaming.ingest import ingest_directory
+
+    held = index.Collection(spark, str(tmp_path / "ix"), "s", 8)
+    held.create()
+    root, sizes = tmp_path / "in", []
+    (root / "sub").mkdir(parents=True)
+
+    def run():
+        time.sleep(0.3)
+        q = ingest_directory(spark, str(root), held, embed.HashingProvider(8), str(tmp_path / "cp"), str(tmp_path / "bad"), settle=0.1)
+        q.awaitTermination()
+        sizes.append(sum(p["numInputRows"] for p in q.recentProgress))
+        now = held.read()
+        return {os.path.relpath(r["source_path"], root): r["text"] for r in now.collect()} if now is not None else {}
+
+    assert run() == {} and sizes == [0]
+    (root / "a.txt").write_text("First text here.")
+    (root / "b.md").write_text("Words of b.")
+    (root / "broken.pdf").write_text("no such thing")
+    (root / "other.exe").write_text("passed over")
+    assert run() == {"a.txt": "First text here.", "b.md": "Words of b."}
+    old = tmp_path / "c.txt"
+    old.write_text("Moved in, written long ago.")
+    os.utime(old, (1, 1))
+    os.rename(old, root / "sub" / "c.txt")
+    (root / "b.md").write_text("Other words of b.")
+    (root / "broken.pdf").unlink()
+    got = {"a.txt": "First text here.", "b.md": "Other words of b.", "sub/c.txt": "Moved in, written long ago."}
+    assert run() == got and run() == got
+    bad = spark.read.json(str(tmp_path / "bad")).collect()
+    assert [os.path.basename(r["source_path"]) for r in bad] == ["broken.pdf"] and "not a PDF" in bad[0]["error"]
+    assert sizes[1:] == [3, 2, 0]
+
+
+@pytest.mark.parametrize("pretty", [False, True])
+def test_json_array(spark, tmp_path, pretty):
+    """Parts of all tasks, empty ones too, give the bytes of one array; an error leaves what was there."""
+    rows = [(f"d::{i}", "d", i, f'line\n"{i}" \u00e9\U0001f600', "s", "", ["h"] * (i % 3), None, False, False, "txt", "/p", None, i if i % 2 else None, None, {"k": "v"} if i % 4 else {}) for i in range(23)]
+    ddl = "id string, doc_id string, chunk_index int, full_text string, summary_text string, title_text string, heading_path array<string>, section_title string, is_table boolean, is_code boolean, doc_type string, source_path string, page_number int, slide_number int, sheet_name string, metadata map<string,string>"
+    c = spark.createDataFrame(rows, ddl).repartitionByRange(5, "chunk_index").sortWithinPartitions("chunk_index")
+    out = tmp_path / "o.json"
+    for kept in (c, c.where("chunk_index % 9 = 8"), c.where("false")):
+        expected = json.dumps([chunk_dict(r) for r in kept.collect()], ensure_ascii=False, indent=2 if pretty else None, separators=None if pretty else (",", ":"))
+        assert "".join(json_array(kept.toLocalIterator(), pretty)) == expected
+        write_json_array(kept, str(out), pretty)
+        assert out.read_bytes() == expected.encode() and os.listdir(tmp_path) == ["o.json"]
+    with pytest.raises(Exception, match="stop here"):
+        write_json_array(c.withColumn("full_text", F.expr("if(chunk_index = 20, raise_error('stop here'), full_text)")), str(out), pretty)
+    assert out.read_bytes() == b"[]" and os.listdir(tmp_path) == ["o.json"]
+
+
 def test_sinks(spark, tmp_path):
     c = spark.sql("SELECT 'i' id, 'd' doc_id, 0 chunk_index, 'f' full_text, 's' summary_text, '' title_text, array('h') heading_path, CAST(NULL AS string) section_title, false is_table, false is_code, 'txt' doc_type, '/p' source_path, 3 page_number, CAST(NULL AS int) slide_number, CAST(NULL AS string) sheet_name, map('k', 'v') metadata")
     assert chunk_dict(c.first()) == {"id": "i", "docId": "d", "chunkIndex": 0, "fullText": "f", "summaryText": "s", "titleText": "", "headingPath": ["h"], "sectionTitle": None, "isTable": False, "isCode": False, "docType": "txt", "sourcePath": "/p", "pageNumber": 3, "metadata": {"k": "v"}}
