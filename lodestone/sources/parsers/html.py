@@ -9,23 +9,52 @@ from html.parser import HTMLParser
 from lodestone.functions.splitter import trim
 from lodestone.sources.parsers.common import Block, block, decoded, text_table
 
-# Element names of HTML.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Element names of HTML, in the groups of the standard's tree construction.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style nav footer header aside noscript iframe".split())
 THROUGH = frozenset("div article section main span".split())
-CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
-SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tfoot", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
-SCOPES = frozenset("table ul ol dl td th caption button html".split())
-INLINE_AGAIN = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OF_HEAD = frozenset("base link meta noframes noscript script style template title".split())
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+MARKED = frozenset("applet caption marquee object td template th".split())
+BLOCKS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form header hgroup listing main menu nav ol p pre search section summary ul".split())
+ENDS_BLOCK = (BLOCKS - {"p"}) | {"button", "applet", "marquee", "object"}
+IMPLIED = frozenset("dd dt li optgroup option p rb rp rt rtc".split())
+OF_TABLE = frozenset("caption col colgroup tbody td tfoot th thead tr".split())
+ROW_GROUPS = frozenset("tbody tfoot thead".split())
+FOSTERING = ROW_GROUPS | {"table", "tr"}
+SPECIAL = BLOCKS | HEADINGS | OF_TABLE | OF_HEAD | VOID - {"track"} | frozenset("applet body button dd dt frame frameset head html iframe li marquee noembed object plaintext select table textarea xmp".split())
+SCOPE = frozenset("applet caption html marquee object table td template th".split())
+ITEM_SCOPE, BUTTON_SCOPE, TABLE_SCOPE = SCOPE | {"ol", "ul"}, SCOPE | {"button"}, frozenset("html table template".split())
 
 
 class Node:
-    """An element; children are nodes and strings."""
+    """An element; children are nodes and strings. `open`: it is on the stack of open elements."""
 
-    __slots__ = ("attrs", "children", "name")
+    __slots__ = ("attrs", "children", "name", "open", "parent")
 
     def __init__(self, name: str, attrs: dict[str, str] | None = None):
-        self.name, self.attrs, self.children = name, attrs or {}, []
+        self.name, self.attrs, self.children, self.parent, self.open = name, attrs or {}, [], None, False
+
+    def put(self, x: Node | str, before: Node | None = None) -> None:
+        """Adds a child or text, at the end or before a child; text joins the text that it follows."""
+        at = len(self.children)
+        if before is not None:  # a table that takes in stray content is among the last children
+            at = next(k for k in range(at - 1, -1, -1) if self.children[k] is before)
+        if isinstance(x, Node):
+            x.leave()
+            x.parent = self
+            self.children.insert(at, x)
+        elif at and isinstance(self.children[at - 1], str):
+            self.children[at - 1] += x
+        else:
+            self.children.insert(at, x)
+
+    def leave(self) -> None:
+        if self.parent is not None:
+            siblings = self.parent.children
+            del siblings[next(k for k in range(len(siblings) - 1, -1, -1) if siblings[k] is self)]
+            self.parent = None
 
     def all(self, *names: str) -> Iterator[Node]:
         stack = list(reversed(self.children))
@@ -48,66 +77,367 @@ class Node:
 
 
 class Tree(HTMLParser):
-    """Builds the tree; end tags may be missing. Formatting elements that a paragraph's
-    end cuts off are opened again in what follows, as browsers do."""
+    """The tree that browsers build: html, head and body always there, end tags implied, formatting elements that
+    are closed out of turn split by the adoption agency and opened again where they still hold, and content that
+    strays into a table put before it. Not followed: frames, raw text but of scripts and styles, and the rules that
+    take markup out of svg and math, whose elements are nested as written."""
 
     def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root")
-        self.stack = [self.root]
-        self.again: list[Node] = []
+        self.root, self.html, self.head, self.body = Node("#root"), Node("html"), Node("head"), Node("body")
+        self.root.put(self.html)
+        self.html.put(self.head)
+        self.html.put(self.body)
+        self.stack: list[Node] = []
+        self.counts: dict[str, int] = {}
+        #: Formatting elements that hold, and the elements that part them from those outside.
+        self.formatting: list[Node] = []
+        self.quirks = True
+        self._push(self.html)
+        self._push(self.head)
         self.feed(page)
         self.close()
 
-    def _close(self, names: set[str] | frozenset[str], scopes: frozenset[str]) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].name in names:
-                lost = [x for x in self.stack[k + 1 :] if x.name in INLINE_AGAIN]
-                del self.stack[k:]
-                self.again = [Node(x.name, x.attrs) for x in lost]
-                return
-            if self.stack[k].name in scopes:
+    # the stack of open elements
+
+    def _push(self, node: Node) -> None:
+        self.stack.append(node)
+        node.open = True
+        self.counts[node.name] = self.counts.get(node.name, 0) + 1
+
+    def _take(self, node: Node) -> None:
+        node.open = False
+        self.counts[node.name] -= 1
+        if node.name in MARKED and node in self.formatting:
+            del self.formatting[self.formatting.index(node) :]
+
+    def _pop_to(self, node: Node) -> None:
+        """Pops the node and all above it."""
+        while node.open:
+            self._take(self.stack.pop())
+
+    def _above(self, names: frozenset[str]) -> None:
+        """Pops what stands above the nearest of the names."""
+        while self.stack[-1].name not in names:
+            self._take(self.stack.pop())
+
+    def _within(self, names: frozenset[str], scope: frozenset[str]) -> Node | None:
+        """The nearest open element of the names, if nothing of the scope's bounds lies between."""
+        if any(self.counts.get(n) for n in names):
+            for x in reversed(self.stack):
+                if x.name in names:
+                    return x
+                if x.name in scope:
+                    return None
+        return None
+
+    def _imply_ends(self, but: str = "") -> None:
+        while self.stack[-1].name in IMPLIED and self.stack[-1].name != but:
+            self._take(self.stack.pop())
+
+    def _close_p(self) -> None:
+        if p := self._within(frozenset({"p"}), BUTTON_SCOPE):
+            self._pop_to(p)
+
+    # insertion
+
+    def _put(self, x: Node | str, target: Node | None = None) -> None:
+        """Into the target, the current node; what tables do not hold goes before the innermost table."""
+        target = target or self.stack[-1]
+        if target.name in FOSTERING and not (isinstance(x, Node) and x.name in OF_TABLE):
+            table = next((t for t in reversed(self.stack) if t.name == "table"), None)
+            if table is not None and table.parent is not None:
+                table.parent.put(x, table)
                 return
+        target.put(x)
+
+    def _open(self, tag: str, attrs: dict[str, str], inside: bool = False) -> Node:
+        node = Node(tag, attrs)
+        if inside:
+            self.stack[-1].put(node)
+        else:
+            self._put(node)
+        if tag not in VOID:
+            self._push(node)
+            if tag in MARKED:
+                self.formatting.append(node)
+        return node
+
+    # formatting elements
 
     def _reopen(self) -> None:
-        for x in self.again:
-            self.stack[-1].children.append(x)
-            self.stack.append(x)
-        self.again = []
+        k = len(self.formatting)
+        while k and not self.formatting[k - 1].open and self.formatting[k - 1].name not in MARKED:
+            k -= 1
+        for k in range(k, len(self.formatting)):
+            self.formatting[k] = self._open(self.formatting[k].name, self.formatting[k].attrs)
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in CLOSES_P:
-            self._close({"p"}, SCOPES)
-        if tag in SIBLINGS:
-            self._close(SIBLINGS[tag], frozenset({"table"}) if tag[0] == "t" else SCOPES)
-        if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", self.stack[-1].name):
-            self.stack.pop()
-        if tag not in CLOSES_P and tag not in SIBLINGS:
+    def _holding(self, tag: str) -> Node | None:
+        for x in reversed(self.formatting):
+            if x.name in MARKED:
+                return None
+            if x.name == tag:
+                return x
+        return None
+
+    def _format(self, tag: str, attrs: dict[str, str]) -> None:
+        """Opens an element that holds; of more than three alike the first no longer does."""
+        alike: list[Node] = []
+        for x in reversed(self.formatting):
+            if x.name in MARKED:
+                break
+            if x.name == tag and x.attrs == attrs:
+                alike.append(x)
+        if len(alike) >= 3:
+            self.formatting.remove(alike[-1])
+        self.formatting.append(self._open(tag, attrs))
+
+    def _adopt(self, tag: str) -> None:
+        """The adoption agency: ends a formatting element though blocks that began in it are still open."""
+        if self.stack[-1].name == tag and self.stack[-1] not in self.formatting:
+            self._pop_to(self.stack[-1])
+            return
+        for _ in range(8):
+            ended = self._holding(tag)
+            if ended is None:
+                self._end_other(tag)
+                return
+            if not ended.open:
+                self.formatting.remove(ended)
+                return
+            if self._within(frozenset({tag}), SCOPE) is None:
+                return
+            at = self.stack.index(ended)
+            far = next((k for k in range(at + 1, len(self.stack)) if self.stack[k].name in SPECIAL), None)
+            if far is None:
+                self._pop_to(ended)
+                self.formatting.remove(ended)
+                return
+            block, mark, last = self.stack[far], self.formatting.index(ended), self.stack[far]
+            for steps, k in enumerate(range(far - 1, at, -1), 1):
+                node = self.stack[k]
+                if node in self.formatting and steps > 3:
+                    mark -= self.formatting.index(node) < mark
+                    self.formatting.remove(node)
+                if node not in self.formatting:
+                    del self.stack[k]
+                    self._take(node)
+                    continue
+                copy = Node(node.name, node.attrs)
+                self.formatting[self.formatting.index(node)] = self.stack[k] = copy
+                copy.open, node.open = True, False
+                if last is block:
+                    mark = self.formatting.index(copy) + 1
+                copy.put(last)
+                last = copy
+            last.leave()
+            self._put(last, self.stack[at - 1])
+            copy = Node(ended.name, ended.attrs)
+            copy.children, block.children = block.children, []
+            for x in copy.children:
+                if isinstance(x, Node):
+                    x.parent = copy
+            block.put(copy)
+            mark -= self.formatting.index(ended) < mark
+            self.formatting.remove(ended)
+            self.formatting.insert(mark, copy)
+            self.stack.remove(ended)
+            ended.open, copy.open = False, True
+            self.stack.insert(self.stack.index(block) + 1, copy)
+
+    # tokens
+
+    def handle_decl(self, decl: str) -> None:
+        if decl.lower().startswith("doctype"):
+            self.quirks = False
+
+    def _begin_body(self) -> None:
+        if not self.body.open:
+            self._pop_to(self.head)
+            self._push(self.body)
+
+    def handle_data(self, data: str) -> None:
+        if not self.body.open and self.stack[-1] is self.head:
+            if not trim(data):
+                return
+            self._begin_body()
+        now = self.stack[-1]
+        if now.name == "colgroup" and trim(data):
+            self._pop_to(now)
+            now = self.stack[-1]
+        if now.name in FOSTERING and not trim(data):
+            now.put(data)
+            return
+        if self.body.open and now.name not in ("script", "style", "title", "textarea", "select", "option"):
             self._reopen()
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.stack[-1].children.append(node)
-        if tag not in VOID:
-            self.stack.append(node)
+        self._put(data)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
+        if (self.counts.get("svg") or self.counts.get("math")) and self.stack[-1].name == tag:
+            self._pop_to(self.stack[-1])
 
-    def handle_endtag(self, tag: str) -> None:
-        if any(x.name == tag for x in self.again):
-            self.again = [x for x in self.again if x.name != tag]
-        elif tag == "p" and not any(x.name == "p" for x in self.stack):
-            self.stack[-1].children.append(Node("p"))
-        elif tag not in VOID:
-            self._close({tag}, frozenset({"table"}) if tag not in ("table", "body", "html") else frozenset())
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        given = {k: v or "" for k, v in reversed(attrs)}  # the first of a name counts
+        if tag in ("html", "head", "body"):
+            node = {"html": self.html, "head": self.head, "body": self.body}[tag]
+            node.attrs = given | node.attrs
+            if tag == "body":
+                self._begin_body()
+            return
+        if not self.body.open:
+            if tag in OF_HEAD:
+                self._open(tag, given, inside=True)
+                return
+            if self.stack[-1] is self.head:
+                self._begin_body()
+        if self.counts.get("select") and self._start_in_select(tag, given):
+            return
+        if tag in OF_TABLE:
+            self._start_of_table(tag, given)
+            return
+        if self.stack[-1].name == "colgroup" and tag != "template":
+            self._pop_to(self.stack[-1])
+        strays = self.stack[-1].name in FOSTERING
+        if tag in OF_HEAD or (strays and tag == "input" and given.get("type", "").lower() == "hidden"):
+            self._open(tag, given, inside=True)
+            return
+        if tag == "form":
+            if self.counts.get("form"):
+                return
+            if strays:
+                return
+        if tag == "table":
+            if self._within(FOSTERING, SCOPE - {"table"} | {"caption"}):  # not in a cell of the one that is open
+                self._end_of_table("table")
+            elif not self.quirks:
+                self._close_p()
+            self._open(tag, given)
+            return
+        self._start_in_body(tag, given)
 
-    def handle_data(self, data: str) -> None:
-        if self.again and trim(data):
+    def _start_in_body(self, tag: str, given: dict[str, str]) -> None:
+        if tag in BLOCKS or tag == "hr" or tag in HEADINGS:
+            self._close_p()
+            if tag in HEADINGS and self.stack[-1].name in HEADINGS:
+                self._pop_to(self.stack[-1])
+            self._open(tag, given)
+        elif tag in ("li", "dd", "dt"):
+            ends = {"li"} if tag == "li" else {"dd", "dt"}
+            for x in reversed(self.stack):
+                if x.name in ends:
+                    self._pop_to(x)
+                    break
+                if x.name in SPECIAL and x.name not in ("address", "div", "p"):
+                    break
+            self._close_p()
+            self._open(tag, given)
+        elif tag in FORMATTING:
+            if tag == "a" and (held := self._holding("a")):
+                self._adopt("a")
+                if held in self.formatting:
+                    self.formatting.remove(held)
+                if held.open:
+                    self.stack.remove(held)
+                    self._take(held)
             self._reopen()
-        children = self.stack[-1].children
-        if children and isinstance(children[-1], str):
-            children[-1] += data
+            if tag == "nobr" and self._within(frozenset({"nobr"}), SCOPE):
+                self._adopt("nobr")
+                self._reopen()
+            self._format(tag, given)
+        elif tag in ("rb", "rtc", "rp", "rt"):
+            if self._within(frozenset({"ruby"}), SCOPE):
+                self._imply_ends("rtc" if tag in ("rp", "rt") else "")
+            self._open(tag, given)
+        else:
+            if tag == "button" and (x := self._within(frozenset({"button"}), SCOPE)):
+                self._pop_to(x)
+            if tag in ("option", "optgroup") and self.stack[-1].name == "option":
+                self._pop_to(self.stack[-1])
+            if tag not in ("param", "source", "track"):
+                self._reopen()
+            self._open("img" if tag == "image" else tag, given)
+
+    def _start_in_select(self, tag: str, given: dict[str, str]) -> bool:
+        """True if the tag has been dealt with: lists of choices hold choices, scripts and templates alone."""
+        select = self._within(frozenset({"select"}), frozenset({"html", "template"}))
+        if select is None or self._within(frozenset({"td", "th", "caption"}), frozenset({"select", "html"})):
+            return False
+        if tag in ("input", "textarea", "select", "keygen") or (tag in OF_TABLE | {"table"} and self.counts.get("table")):
+            self._pop_to(select)
+            return tag == "select"
+        if tag in ("option", "optgroup", "hr"):
+            for name in ("option",) if tag == "option" else ("option", "optgroup"):
+                if self.stack[-1].name == name:
+                    self._pop_to(self.stack[-1])
+            self._open(tag, given)
+        elif tag in ("script", "template"):
+            self._open(tag, given)
+        return True
+
+    def _start_of_table(self, tag: str, given: dict[str, str]) -> None:
+        """Parts of a table open the parts that they need around them and end those that they follow; outside of
+        tables they are nothing."""
+        if not self._within(frozenset({"table"}), TABLE_SCOPE - {"table"}):
+            return
+        if tag == "col" and self.stack[-1].name == "colgroup":
+            self._open(tag, given, inside=True)
+            return
+        if inner := self._within(frozenset({"td", "th", "caption"}), TABLE_SCOPE):
+            self._pop_to(inner)
+        if tag in ("td", "th"):
+            if not self._within(frozenset({"tr"}), TABLE_SCOPE):
+                self._start_of_table("tr", {})
+            self._above(frozenset({"tr"}) | TABLE_SCOPE)
+        elif tag == "tr":
+            if not self._within(ROW_GROUPS, TABLE_SCOPE):
+                self._start_of_table("tbody", {})
+            self._above(ROW_GROUPS | TABLE_SCOPE)
         else:
-            children.append(data)
+            self._above(TABLE_SCOPE)
+            if tag == "col":
+                self._open("colgroup", {}, inside=True)
+        self._open(tag, given, inside=True)
+
+    def _end_of_table(self, tag: str) -> None:
+        if x := self._within(frozenset({tag}), TABLE_SCOPE):
+            self._pop_to(x)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in ("html", "head", "body"):
+            return  # what follows still belongs to the body, or to the head if it is of it
+        if tag == "br":
+            self.handle_starttag("br", [])
+        elif tag in VOID:
+            return
+        elif not self.body.open:
+            if x := self._within(frozenset({tag}), frozenset({"head"})):
+                self._pop_to(x)
+        elif tag in OF_TABLE or tag == "table":
+            self._end_of_table(tag)
+        elif tag == "p":
+            if not self._within(frozenset({"p"}), BUTTON_SCOPE):
+                self._open("p", {})
+            self._close_p()
+        elif tag in FORMATTING:
+            self._adopt(tag)
+        elif tag in HEADINGS or tag in ENDS_BLOCK or tag in ("li", "dd", "dt"):
+            names = HEADINGS if tag in HEADINGS else frozenset({tag})
+            if x := self._within(names, ITEM_SCOPE if tag == "li" else SCOPE):
+                self._pop_to(x)
+        elif tag == "select":
+            if x := self._within(frozenset({"select"}), TABLE_SCOPE):
+                self._pop_to(x)
+        else:
+            self._end_other(tag)
+
+    def _end_other(self, tag: str) -> None:
+        for x in reversed(self.stack):
+            if x.name == tag:
+                self._pop_to(x)
+                return
+            if x.name in SPECIAL:
+                return
 
 
 def _drop(node: Node) -> None:
@@ -184,7 +514,8 @@ def _blocks(top: Node) -> list[Block]:
 
 
 def parse(data: bytes) -> tuple[list[Block], dict]:
-    root = Tree(decoded(data)).root
+    tree = Tree(decoded(data))
+    root = tree.root
     _drop(root)
     metadata = {}
     if title := trim("".join(x.text() for x in root.all("title"))):
@@ -193,9 +524,4 @@ def parse(data: bytes) -> tuple[list[Block], dict]:
         if x.attrs.get("name") == "description" and x.attrs.get("content"):
             metadata["description"] = x.attrs["content"]
             break
-    body = next(root.all("body"), None)
-    if body is None:  # a tree without a body tag: all but what belongs in the head
-        body = root
-        for x in [root, *root.all("html")]:
-            x.children = [c for c in x.children if isinstance(c, str) or c.name not in ("head", "title", "meta", "link", "base")]
-    return _blocks(body), metadata
+    return _blocks(tree.body), metadata

@@ -1,8 +1,10 @@
 """Format decoders on small documents made here."""
 
 import io
+import random
 import re
 import struct
+import time
 import zipfile
 import zlib
 from email.message import EmailMessage
@@ -11,7 +13,7 @@ import pytest
 
 from lodestone.operators.documents import chunks
 from lodestone.plans import samples
-from lodestone.sources.parsers import crypt, parse
+from lodestone.sources.parsers import crypt, html, parse
 
 
 def shapes(blocks):
@@ -268,3 +270,76 @@ def test_xls_numbers_and_formats():
     for streams in ({("Workbook",): biff(0x809, b"\0\6\5\0") + biff(0x2F, b"\0\0") + biff(0xA)}, {("EncryptedPackage",): b"x"}, {("Book",): b"old"}):
         with pytest.raises(ValueError, match="Encrypted|BIFF8"):
             parse(make(streams), "xlsx")
+
+
+def shown(node):
+    return "".join(c if isinstance(c, str) else f"<{c.name}>{shown(c)}</{c.name}>" for c in node.children)
+
+
+# the standard's own examples of misnested markup, and cases of the published tests of tree construction
+TREES = {
+    "<p>1<b>2<i>3</b>4</i>5</p>": "<p>1<b>2<i>3</i></b><i>4</i>5</p>",
+    "<b>1<p>2</b>3</p>": "<b>1</b><p><b>2</b>3</p>",
+    "<table><b><tr><td>aaa</td></tr>bbb</table>ccc": "<b></b><b>bbb</b><table><tbody><tr><td>aaa</td></tr></tbody></table><b>ccc</b>",
+    "<a>1<p>2</a>3</p>": "<a>1</a><p><a>2</a>3</p>",
+    "<a href=x>1<a href=y>2": "<a>1</a><a>2</a>",
+    "<font><p>hello<b>cruel</font>world": "<font></font><p><font>hello<b>cruel</b></font><b>world</b></p>",
+    "<b><em><foo><foob><fooc><aside></b></em>": "<b><em><foo><foob><fooc></fooc></foob></foo></em></b><aside><b></b></aside>",
+    "<b>1<div>2<div>3</b>4</div>5</div>": "<b>1</b><div><b>2</b><div><b>3</b>4</div>5</div>",
+    "<a><table><td><a><table></table><a></tr><a></table><b>X</b>C<a>Y": "<a><a></a><table><tbody><tr><td><a><table></table></a><a></a></td></tr></tbody></table></a><a><b>X</b>C</a><a>Y</a>",
+    "<table>x<tr><td>y</table>z": "x<table><tbody><tr><td>y</td></tr></tbody></table>z",
+    "<table><tr><p>a</p><td>b<table><td>c</table>d</table>": "<p>a</p><table><tbody><tr><td>b<table><tbody><tr><td>c</td></tr></tbody></table>d</td></tr></tbody></table>",
+    "<table><td>a<td>b<tr><th>c<caption>d": "<table><tbody><tr><td>a</td><td>b</td></tr><tr><th>c</th></tr></tbody><caption>d</caption></table>",
+    "<table><tr><td><b>a</td><td>c</table>d": "<table><tbody><tr><td><b>a</b></td><td>c</td></tr></tbody></table>d",
+    "<p>a<table><tr><td>b</table>c": "<p>a<table><tbody><tr><td>b</td></tr></tbody></table>c</p>",
+    "<!doctype html><p>a<table><tr><td>b</table>c": "<p>a</p><table><tbody><tr><td>b</td></tr></tbody></table>c",
+    "<ul><li>a<ul><li>b</ul><li>c</ul>": "<ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>",
+    "<dl><dt>a<dd>b<p>c<dt>d</dl>e": "<dl><dt>a</dt><dd>b<p>c</p></dd><dt>d</dt></dl>e",
+    "<select><option>a<p>b<option>c</select>d": "<select><option>ab</option><option>c</option></select>d",
+    "<title>t</title>x</body>y</html>z": "xyz",
+    "<td>orphan</td> t</p>": "orphan t<p></p>",
+    "<h1>a<h2>b</h1>c": "<h1>a</h1><h2>b</h2>c",
+    "<p>a<svg><g><path/><path/></g></svg>b": "<p>a<svg><g><path></path><path></path></g></svg>b</p>",
+    "": "",
+}
+
+
+@pytest.mark.parametrize("page", TREES)
+def test_html_trees(page):
+    tree = html.Tree(page)
+    assert shown(tree.body) == TREES[page] and [c.name for c in tree.html.children] == ["head", "body"]
+
+
+def test_html_strays():
+    blocks, meta = html.parse(b"<title>T</title><table><tr>Stray words of a row<td>a<td>b</table><b>Bold <p>inside of it</b> and after it</p>")
+    assert [(b["type"], b["content"]) for b in blocks] == [("paragraph", "Stray words of a row"), ("table", "a   | b  "), ("paragraph", "Bold"), ("paragraph", "inside of it and after it")]
+    assert meta == {"title": "T"}
+
+
+def test_html_of_any_nesting():
+    """Random tags leave a tree in which each node has one parent and no text is lost."""
+    rng = random.Random(5)
+    names = "p b i a div table tr td th tbody caption ul li h1 h2 select option form button span em svg br hr nobr object dl dd".split()
+    for _ in range(300):
+        page, words = [], []
+        for k in range(rng.randint(1, 40)):
+            page.append(rng.choice([f"<{rng.choice(names)}>", f"</{rng.choice(names)}>", f" w{k} "]))
+            words += [page[-1].strip()] if page[-1][0] == " " else []
+        tree = html.Tree("".join(page))
+        seen, todo = set(), [tree.root]
+        while todo:
+            x = todo.pop()
+            assert id(x) not in seen
+            seen.add(id(x))
+            for c in x.children:
+                if not isinstance(c, str):
+                    assert c.parent is x
+                    todo.append(c)
+        assert sorted(tree.root.text().split()) == sorted(words)
+
+
+def test_deep_html_is_read_in_linear_time():
+    for part in ("<div><p>x", "<div><b>x", "<div class=a>"):
+        began = time.perf_counter()
+        html.Tree(part * 40_000)
+        assert time.perf_counter() - began < 10
