@@ -2,7 +2,7 @@
 
     python -m lodestone.plans.cli chunk FILE... [-o OUT] [-p] [-q]
     python -m lodestone.plans.cli process [DIRECTORY]
-    python -m lodestone.plans.cli search QUERY [-m MODE] [-n LIMIT]
+    python -m lodestone.plans.cli search [QUERY] [-m MODE] [-n LIMIT]     without a query: asks for them in turn
     python -m lodestone.plans.cli reset [--force]
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,37 @@ def filters(given: list[str]) -> dict[str, list[object]]:
     return out
 
 
+def show(held: DataFrame, query: str, provider: Provider, mode: str, limit: str | int | None) -> None:
+    """Prints what a search finds; of a hybrid one also the heads of the two lists that it fuses."""
+    hybrid = mode not in ("vector", "text")
+    if hybrid and query.strip():
+        print("\n".join(hybrid_lists(held, query, provider.embed([query])[0].tolist(), max(parse_limit(limit), 0))))
+    for r in display(search(held, query, provider, mode, limit), 150 if hybrid else 200).collect():
+        print(r.asDict())
+
+
+def ask(held: DataFrame, provider: Provider, read: Callable[[str], str] | None = None) -> None:
+    """Searches for what is typed, each with its own limit and mode, until exit, quit or the end of the input. A
+    search that fails is told and does not end the rest."""
+    read = read or input
+    print("Search modes: vector, text, hybrid (default); exit ends")
+    try:
+        while (query := read("Search query: ")).lower() not in ("exit", "quit"):
+            try:
+                if not query.strip():
+                    print("Please enter a query.")
+                    continue
+                limit = read("Number of results (default: 5): ")
+                show(held, query, provider, read("Search mode [vector/text/hybrid] (default: hybrid): ").lower() or "hybrid", limit)
+            except EOFError:
+                raise
+            except Exception as e:
+                print(f"Search error: {e}", file=sys.stderr)
+    except EOFError:
+        print()
+    print("Goodbye!")
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="lodestone")
     p.add_argument("-V", "--version", action="version", version=VERSION)
@@ -101,7 +133,7 @@ def main(args: list[str] | None = None) -> int:
     c = sub.add_parser("process")
     c.add_argument("directory", nargs="?")
     c = sub.add_parser("search")
-    c.add_argument("query")
+    c.add_argument("query", nargs="?")
     c.add_argument("-m", "--mode", default="hybrid")
     c.add_argument("-n", "--limit", default="5")
     c.add_argument("-f", "--filter", action="append", default=[], metavar="NAME=VALUE")
@@ -124,11 +156,11 @@ def main(args: list[str] | None = None) -> int:
     if held is None:
         print(f"No points in {config.collection}", file=sys.stderr)
         return 1
-    provider, hybrid = HashingProvider(config.dimensions), a.mode not in ("vector", "text")
-    if hybrid and a.query.strip():
-        print("\n".join(hybrid_lists(held, a.query, provider.embed([a.query])[0].tolist(), max(parse_limit(a.limit), 0))))
-    for r in display(search(held, a.query, provider, a.mode, a.limit), 150 if hybrid else 200).collect():
-        print(r.asDict())
+    provider = HashingProvider(config.dimensions)
+    if a.query is None:
+        ask(held, provider)
+    else:
+        show(held, a.query, provider, a.mode, a.limit)
     return 0
 
 

@@ -404,3 +404,27 @@ def test_hybrid_lists(spark, tmp_path, capsys, monkeypatch):
     shown = capsys.readouterr().out
     assert "Text search: 10 results" in shown and len(eval(shown.splitlines()[-1])["preview"]) <= 153
     assert cli.main(["search", "apple", "-f", "doc_type=pdf"]) == 1
+    # typed searches: a blank one asks again, one that fails is told, and both ways to end
+    capsys.readouterr()
+    typed = iter(["  ", "apple", "2", "TEXT", "apple", "x", "", "apple", "1", "vector", "Quit"])
+    monkeypatch.setattr("builtins.input", lambda prompt: next(typed))
+    assert cli.main(["search"]) == 0
+    shown = capsys.readouterr().out.splitlines()
+    assert shown[1] == "Please enter a query." and [x[0] for x in shown[2:4]] == ["{", "{"] and shown[4] == "Vector search: 14 results"
+    assert sum(x[0] == "{" for x in shown) == 2 + 5 + 1 and shown[-1] == "Goodbye!"
+
+    class Broken(embed.HashingProvider):
+        def embed(self, texts):
+            raise RuntimeError("no vectors")
+
+    typed = iter(["apple", "", "vector", "apple", "1", "text"])
+
+    def read(prompt):
+        try:
+            return next(typed)
+        except StopIteration:
+            raise EOFError from None
+
+    cli.ask(held.read(), Broken(32), read)
+    told = capsys.readouterr()
+    assert "Search error: no vectors" in told.err and sum(x[:1] == "{" for x in told.out.splitlines()) == 1 and told.out.endswith("Goodbye!\n")
