@@ -120,6 +120,12 @@ def chunk_files(files: DataFrame) -> DataFrame:
     return ready.mapInArrow(run, ddl)
 
 
+def run_summary(chunks: DataFrame) -> DataFrame:
+    """files, failed, chunks of a result of chunk_files."""
+    per_file = chunks.groupBy("source_path").agg(F.count("id").alias("n"), F.max("error").alias("error"))
+    return per_file.agg(F.count(F.lit(1)).alias("files"), F.count("error").alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("chunks"))
+
+
 def chunk_texts(docs: DataFrame, doc_type: str = "txt") -> DataFrame:
     """CHUNK rows of texts held in a table (path, text): as files of one type."""
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lodestone.config import Config
 from lodestone.functions import text as T
-from lodestone.operators.documents import chunk_files
+from lodestone.operators.documents import chunk_files, run_summary
 from lodestone.operators.embed import HashingProvider, Provider, embed_chunks, total_tokens
 from lodestone.operators.index import Collection, embedded, points
 from lodestone.operators.search import display, hybrid_lists, parse_limit, search
@@ -28,12 +28,6 @@ from lodestone.sources.sinks import json_array, write_json_array
 VERSION = "1.0.0"
 
 
-def summary(chunks: DataFrame) -> DataFrame:
-    """files, failed, chunks of a result of chunk_files."""
-    per_file = chunks.groupBy("source_path").agg(F.count("id").alias("n"), F.max("error").alias("error"))
-    return per_file.agg(F.count(F.lit(1)).alias("files"), F.count("error").alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("chunks"))
-
-
 def chunk(spark: SparkSession, files: list[str], output: str | None = None, pretty: bool = False, quiet: bool = False) -> int:
     """Chunks of the files as a JSON array, to a file or printed; 1 if any file failed. The array has the order of
     the arguments, which tasks read in turn, and a file that is given twice comes twice."""
@@ -69,7 +63,7 @@ def process(spark: SparkSession, root: str, config: Config, provider: Provider |
     index.create()
     chunks = chunk_files(read_directory(spark, root)).persist()
     try:
-        counts = summary(chunks).first().asDict()
+        counts = run_summary(chunks).first().asDict()
         good = chunks.where("error is null").drop("error", "elapsed_ms")
         if counts["chunks"]:
             counts["tokens"] = good.agg(total_tokens()).first()[0]

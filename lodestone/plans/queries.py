@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as T
@@ -14,7 +14,7 @@ from lodestone.functions.splitter import SPLIT_ABOVE, split_sentences, split_tex
 from lodestone.operators import plaintext as P
 from lodestone.operators import search as R
 from lodestone.operators import sections as S
-from lodestone.operators.documents import blocks_of, chunk_texts
+from lodestone.operators.documents import blocks_of, chunk_files, chunk_texts, run_summary
 from lodestone.operators.embed import HashingProvider
 from lodestone.operators.index import Collection, batch_numbers, embedded, latest, missing_embeddings, points, words
 from lodestone.operators.sparse import SparseIndex, counted
@@ -82,10 +82,14 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").withColumn("path", F.concat(F.lit("/corpus/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit("."), ext))
 
 
+def structure() -> Column:
+    """A text as a plain-text file with a chapter, a numbered part and blank lines."""
+    return F.concat(F.lit("CHAPTER "), (F.col("doc_id") % 7).cast("string"), F.lit("\n=========\n\n1."), (F.col("doc_id") % 5).cast("string"), F.lit(". Part\n\n"), F.replace("text", F.lit(NL), F.lit(NL + NL)))
+
+
 def structured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as plain-text files with a chapter, a numbered part and blank lines."""
-    text = F.concat(F.lit("CHAPTER "), (F.col("doc_id") % 7).cast("string"), F.lit("\n=========\n\n1."), (F.col("doc_id") % 5).cast("string"), F.lit(". Part\n\n"), F.replace("text", F.lit(NL), F.lit(NL + NL)))
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", text.alias("text"))
+    """documents with structure."""
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", structure().alias("text"))
 
 
 # Identifiers and scalars -----------------------------------------------------------------
@@ -706,3 +710,23 @@ def processing_summary(spark, d):
 def error_rows(spark, d):
     p = paths(spark, d).where(T.doc_type("path").isNull())
     return p.select(F.col("path").alias("file"), F.concat(F.lit("Unsupported file extension: ."), T.extension("path")).alias("error"))
+
+
+def run_of_files(spark: SparkSession, d: str) -> DataFrame:
+    """What chunk_files makes of the structured texts as files, a tenth of which are of a type that it cannot read."""
+    files = paths(spark, d).withColumn("content", F.encode(structure(), "UTF-8")).select(
+        "path", T.filename("path").alias("file_name"), F.length("content").cast("long").alias("file_size"), F.lit(None).cast("timestamp").alias("created_at"), F.lit(None).cast("timestamp").alias("modified_at"),
+        F.when(T.doc_type("path").isNotNull(), F.lit("txt")).alias("doc_type"), "content", F.lit(None).cast("string").alias("error"),
+    )
+    return chunk_files(files)
+
+
+@query(f"WITH RECURSIVE {_CHUNKS} SELECT (SELECT count(*) FROM documents) AS files, (SELECT count(*) FROM documents WHERE NOT ({_KNOWN})) AS failed, count(*) AS chunks FROM chunk WHERE key % 10 <> 9")
+def run_counts(spark, d):
+    """Files that fail are counted and do not stop the rest."""
+    return run_summary(run_of_files(spark, d))
+
+
+@query(f"SELECT @path AS file, 'ValueError: Unsupported document type: None' AS error FROM documents WHERE NOT ({_KNOWN})")
+def failed_files(spark, d):
+    return run_of_files(spark, d).where("error is not null").select(F.col("source_path").alias("file"), "error")
