@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the white space of ECMAScript, for a character class.
 WS = "\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: The same characters, one by one.
+SPACE = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 SUMMARY_CHARS, SUMMARY_LEAST = 200, 150
 CHARS_PER_TOKEN = 4
 USD_PER_1K_TOKENS = 0.00013
@@ -28,13 +30,14 @@ def _c(x: Column | str) -> Column:
 
 
 def js_trim(x: Column | str) -> Column:
-    return F.regexp_replace(_c(x), rf"^[{WS}]+|[{WS}]+\z", "")
+    return F.trim(_c(x), F.lit(SPACE))
 
 
 def js_length(x: Column | str) -> Column:
     """Length in UTF-16 units: characters beyond U+FFFF count twice."""
     c = _c(x)
-    return (F.length(c) + F.length(F.regexp_replace(c, r"[^\x{10000}-\x{10FFFF}]", ""))).cast("int")
+    # most texts need no second look: each character is a byte
+    return F.when(F.octet_length(c) == F.length(c), F.length(c)).otherwise((F.octet_length(F.encode(c, "UTF-16LE")) / 2).cast("int"))
 
 
 def js_fits(x: Column | str, most: int) -> Column:
@@ -61,7 +64,7 @@ def _cut_head(head: Column, beyond: int) -> Column:
 
 
 def blank(x: Column | str) -> Column:
-    return js_trim(x) == ""
+    return F.ltrim(_c(x), F.lit(SPACE)) == ""
 
 
 def count_matches(x: Column | str, pattern: str) -> Column:
