@@ -30,8 +30,9 @@ def terms(text: Column | str) -> Column:
 
 
 def counted(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, weight): how often each word of a text occurs."""
-    return rows.select(key, F.explode(terms(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    """(key, term, weight): how often each word of a text occurs. Texts move, once, and not their many more words;
+    so a table that is read as one part is work for all tasks."""
+    return rows.select(key, text).repartition(key).select(key, F.explode(terms(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 class SparseIndex:
@@ -50,9 +51,10 @@ class SparseIndex:
         # rows of a task are numbered from a multiple of 2^33 on, so pages do not cross tasks
         rows.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key").select("key", F.floor(F.monotonically_increasing_id() / PAGE).cast("long").alias("page")).write.parquet(f"{self.path}/pages")
         paged = rows.join(self.spark.read.parquet(f"{self.path}/pages"), "key")
-        entry = F.struct("key", "weight")
-        blocks = paged.groupBy("term", "page").agg(F.max("weight").alias("most"), F.collect_list(entry).alias("entries"))  # PAGE at the most
-        blocks.repartitionByRange("term", "page").sortWithinPartitions("term", "page").write.parquet(f"{self.path}/blocks")
+        # ranges of terms and pages are groups of them too: postings move once, as rows, and blocks stay where they are made
+        ranged = paged.select("term", "page", "key", "weight").repartitionByRange("term", "page")
+        blocks = ranged.groupBy("term", "page").agg(F.max("weight").alias("most"), F.collect_list(F.struct("key", "weight")).alias("entries"))  # PAGE at the most
+        blocks.sortWithinPartitions("term", "page").write.parquet(f"{self.path}/blocks")
 
     def blocks(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/blocks")

@@ -99,3 +99,15 @@ def test_sample_messages_are_those_of_the_mail_package():
         h = EmailMessage()
         h.set_content(f"<style>x</style><p>A &amp; S</p><p>C<br>{key}</p>", subtype="html")
         assert eml_of_html(key, "N", "S", nation) == h.as_bytes()
+
+
+def test_texts_move_and_words_do_not(spark):
+    """Words are counted where their text lies, and the shuffle comes before they are made."""
+    from lodestone.operators.sparse import counted
+
+    docs = spark.createDataFrame([(1, "A b a"), (2, "b"), (1, "b, c"), (3, None), (4, " ")], "id long, text string")
+    df = counted(docs, "id", "text")
+    executed = df._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange") == 1
+    assert executed.index("Generate") < executed.index("Exchange")  # the plan is printed from its end
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "a", 2.0), (1, "b", 2.0), (1, "c", 1.0), (2, "b", 1.0)]
