@@ -245,7 +245,7 @@ def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent:
     held_h = held.withColumn("h", e - g * F.col("n")).withColumn("bin", F.least(F.floor((F.col("h") + g * F.col("n_pivot")) / width), F.lit(11)).cast("int"))
     # sums are written before they are joined: a join splits a hot key only where both sides are exchanges
     nearest = written(held_h.groupBy("pivot").agg(F.min(F.struct("h", "class", "of")).alias("m"), F.collect_set("bin").alias("bins")), "nearest")
-    stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("class") != F.col("m.class"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"), F.col("of").alias("of_a"), F.col("m.of").alias("of_b"))
+    stars = held_h.join(nearest, "pivot").where((F.col("h") + F.col("m.h") <= -1e-9) & (F.col("of") != F.col("m.of"))).select(F.col("class").alias("a"), F.col("m.class").alias("b"), F.col("of").alias("of_a"), F.col("m.of").alias("of_b"))
     each = held_h.select("class", "pivot", F.explode("delta").alias("part"))
     common = written(each.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common")
     order = written(each.join(common, ["pivot", "part"]).groupBy("class", "pivot").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("shared")), "order")
@@ -259,8 +259,9 @@ def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent:
     x = x.select(F.xxhash64("pivot", "p", "q", "s.part").alias("at"), "pivot", "class", "of", "h", "n", "bits", (F.col("e") - F.col("lone") - F.col("place")).alias("rest"))
     least = F.min(F.struct("h", "class", "of", "rest", "n", "bits")).alias("c")
     hubs = written(x.groupBy("at", "pivot").agg(least, F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("at", "pivot", "c"), "hubs")
-    # only entries where components meet, from here on
-    meet = written(x.join(hubs.select("at", "pivot"), ["at", "pivot"]), "meet")
+    # only entries where components meet, from here on, and only what may be alike with some class of its entry: none has less h than the hub
+    near = F.col("rest") >= (F.col("h") + F.col("least")) / 2 - 1e-6
+    meet = written(x.join(hubs.select("at", "pivot", F.col("c.h").alias("least")), ["at", "pivot"]).where(near).drop("least"), "meet")
     may = (F.least("rest_a", "rest_b") >= (F.col("h_a") + F.col("h_b")) / 2 - 1e-6) & (estimate("bits_a", "bits_b", DELTA_BITS) <= g * (F.col("n_a") + F.col("n_b")) + 1e-6)
     names = ("class", "of", "h", "rest", "n", "bits")
 
@@ -278,10 +279,12 @@ def same_pivot(members: DataFrame, sets: DataFrame, centres: DataFrame, percent:
     first = written(stars.unionByName(with_hub), "first")
     dropped(common, order, nearest)
     now = components(first.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).select(F.col("node").alias("of"), "component")
-    still = meet.join(now, "of", "left").withColumn("of", F.coalesce("component", "of")).drop("component")
-    mixed = still.groupBy("at", "pivot").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("at", "pivot")
-    still = written(still.join(mixed, ["at", "pivot"]), "still")
+    # written, as it is read twice
+    again = written(meet.join(now, "of", "left").withColumn("of", F.coalesce("component", "of")).drop("component"), "again")
     dropped(meet, hubs)
+    mixed = again.groupBy("at", "pivot").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("at", "pivot")
+    still = written(again.join(mixed, ["at", "pivot"]), "still")
+    dropped(again)
     made += [held, first, still]
     rest = alike(side(still, "a").join(side(still, "b"), ["at", "pivot"]).where("of_a < of_b"))
     return first.select("a", "b").unionByName(rest.select("a", "b"))

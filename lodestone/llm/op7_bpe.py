@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import mapped
+from lodestone.llm.shared import kept, mapped
 from lodestone.llm.suffix_automaton import SuffixAutomaton
 
 CACHE_PIECES, CACHE_PAIRS = 400_000, 500_000
@@ -223,14 +223,9 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-_held: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of a file, read once in a process."""
-    if path not in _held:
-        _held[path] = Vocabulary(path)
-    return _held[path]
+    """The vocabulary of a file, read once in a process as long as no task of another kind comes."""
+    return kept(path, lambda: Vocabulary(path))
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -253,7 +248,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offs), flat), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
                 i = j
 
-    return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, decoded string")
+    return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, decoded string", keeps=path)
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -119,10 +119,27 @@ def give_back() -> None:
         trim(0)
 
 
-def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow; the functions work on slices of a batch, which Spark bounds in bytes."""
+_kept: dict[str, object] = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What `make` gives, made once in a Python worker and kept for tasks that are `mapped` with `keeps=key`."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go(keeps: str | None = None) -> None:
+    """Drops what tasks of other kinds have kept in this worker, which lives on beside them."""
+    for key in [k for k in _kept if k != keeps]:
+        del _kept[key]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: str | None = None) -> DataFrame:
+    """mapInArrow; the functions work on slices of a batch, which Spark bounds in bytes. keeps: see `kept`."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
         yield from run(batches)
         give_back()
 
@@ -133,6 +150,7 @@ def grouped(groups: GroupedData, run: Callable[[pa.Table], pa.Table], schema: st
     """applyInArrow of a function over groups of bounded size."""
 
     def group(table: pa.Table) -> pa.Table:
+        let_go()
         out = run(table)
         give_back()
         return out

@@ -498,3 +498,35 @@ def test_same_pivot_links_grow_with_classes(spark):
     while grown := {x for ab in links if seen & set(ab) for x in ab} - seen:
         seen |= grown
     assert seen == set(range(1, n + 1))
+
+
+def test_same_pivot_makes_nothing_within_a_component_and_meets_once(spark, monkeypatch):
+    """Classes of one component get no links; the join that tells components anew is not made twice."""
+    plans, write = {}, op4.written
+    monkeypatch.setattr(op4, "written", lambda df, name, **k: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and write(df, name, **k))
+    pivot = np.arange(1, 301, dtype=np.uint64)
+    near = [np.sort(np.concatenate((pivot[20:], np.arange(1001, 1021), [5000 + k])).astype(np.uint64)) for k in range(30)]
+    sets = spark.createDataFrame([(0, pivot.tobytes())] + [(k + 1, s.tobytes()) for k, s in enumerate(near)], "class long, set binary")
+    members = spark.createDataFrame([(k + 1, 0, 7) for k in range(30)], "class long, pivot long, of long")
+    assert op4.same_pivot(members, sets, sets.where("class = 0"), 80, []).count() == 0
+    assert "LeftOuter" not in plans["still"]
+
+
+def test_workers_let_go_of_what_other_tasks_kept():
+    from lodestone.llm import shared
+
+    class Rows:
+        def mapInArrow(self, task, schema):
+            return task
+
+    seen = []
+
+    def run(batches):
+        seen.append(sorted(shared._kept))
+        yield from batches
+
+    shared.let_go()
+    shared.kept("a", list)
+    list(shared.mapped(Rows(), run, "", keeps="a")(iter(())))
+    list(shared.mapped(Rows(), run, "")(iter(())))
+    assert seen == [["a"], []]
