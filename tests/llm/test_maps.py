@@ -370,3 +370,25 @@ def test_warc_tables(spark):
     want = con.sql(op5.LINKS_SQL)
     got = op5.warc_links(spark, "/root/testdata/sf0.001").select(want.columns).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
+
+
+def plain_stop_density(text, words):
+    """Every letter counted, every word stripped."""
+    letters = [c for c in text if c.isalpha()]
+    if not text.isascii() and 2 * sum(c < "ɐ" for c in letters) < len(letters):
+        return op3.STOP_HIGH if 25 * len(op3._MARKS.findall(text)) >= words else 0.0
+    return sum(op3._EDGES.sub("", w) in op3.STOP_WORDS for w in text.lower().split()) / max(words, 1)
+
+
+def test_blocks_are_judged_once(monkeypatch):
+    rng = random.Random(11)
+    parts = [*"aé1_²٣.«»“ßжи你", "the", "für", " ", " ", ", ", "(the)", "à", "_of_", "THE.", "١and"]
+    for _ in range(3000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        n = op3.n_words(t)
+        assert op3.stop_density(t, n) == plain_stop_density(t, n), t
+    seen, judge = [], op3.first_pass
+    monkeypatch.setattr(op3, "first_pass", lambda b: seen.append(b.text) or judge(b))
+    page = f"<div class=sidebar><p>{PROSE} one</p></div><article><p>{PROSE} two</p><p>{PROSE} three</p></article>"
+    assert op3.main_text(page).endswith("three")
+    assert len(seen) == len(set(seen)) > 1
