@@ -27,7 +27,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.shared import kept, mapped
 from lodestone.llm.suffix_automaton import SuffixAutomaton
 
-CACHE_PIECES, CACHE_PAIRS = 400_000, 500_000
+CACHE_PIECES, CACHE_PAIRS = 100_000, 100_000
 #: Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -60,34 +60,50 @@ class Vocabulary:
         model, letters = spec["model"], byte_letters()
         if model.get("byte_fallback") or model.get("dropout") or spec.get("normalizer"):
             raise ValueError(f"{path}: not a plain byte-level BPE vocabulary")
-        raw = {t: bytes(letters[c] for c in t) for t in model["vocab"]}
-        self.bytes_of: dict[int, bytes] = {i: raw[t] for t, i in model["vocab"].items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.rank: dict[tuple[int, int], int] = {}
-        #: of a token: the halves of the merge that makes it, and that merge's rank
-        self.halves: dict[int, tuple[int, int, int]] = {}
+        vocab, never = model["vocab"], len(model["merges"])
+        top = 1 + max(chain(vocab.values(), self.special.values()), default=0)
+        #: of a token: the halves of the merge that makes it (-1: none), and that merge's rank
+        self.halves, self.up = (array("i", [-1]) * top, array("i", [-1]) * top), array("i", [never]) * top
+        pairs = array("q")
         for k, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            pair = model["vocab"][a], model["vocab"][b]
+            x, y, made = vocab[a], vocab[b], vocab[a + b]
+            pairs.append(x << 20 | y)
+            if self.halves[0][made] < 0:
+                self.halves[0][made], self.halves[1][made], self.up[made] = x, y, k
+        raw = sorted((bytes(letters[c] for c in t), i) for t, i in vocab.items())
+        sizes, ids, flat = array("i", (len(t) for t, _ in raw)), array("i", (i for _, i in raw)), b"".join(t for t, _ in raw)
+        # what is read and the states as they are built go before what stays is made, which else lies scattered among them
+        del spec, model, vocab, raw
+        ends = list(accumulate(sizes))
+        tokens = [(flat[z - n : z], i) for z, n, i in zip(ends, sizes, ids)]
+        self._automaton([(t, i) for t, i in tokens if len(t) == 1 or self.halves[0][i] >= 0])
+        self.never = never
+        self.rank: dict[int, int] = {}
+        for k, pair in enumerate(pairs):
             self.rank.setdefault(pair, k)
-            self.halves.setdefault(model["vocab"][a + b], (*pair, k))
-        self._automaton({raw[t]: i for t, i in model["vocab"].items() if len(raw[t]) == 1 or i in self.halves})
-        self.never = len(model["merges"])
-        self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
-        self.fit: dict[int, bool] = {}
-        self.size = {i: len(t) for i, t in self.bytes_of.items()}
+        self.bytes_of: list[bytes] = [b""] * top
+        for t, i in chain(tokens, ((t.encode(), i) for t, i in self.special.items())):
+            self.bytes_of[i] = t
+        self.size = array("i", map(len, self.bytes_of))
         self.special_ids = {t: array("i", [i]).tobytes() for t, i in self.special.items()}
-        self.cache: dict[str, bytes] = dict(self.special_ids)
+        self.forget()
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
-    def _automaton(self, tokens: dict[bytes, int]) -> None:
-        """step: where a state (shifted by 8 bits) and a byte lead; length and link of the states;
+    def forget(self) -> None:
+        """Drops what earlier texts have left: encoded pieces, edges and which tokens fit."""
+        self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
+        self.fit: dict[int, bool] = {}
+        self.cache: dict[str, bytes] = dict(self.special_ids)
+
+    def _automaton(self, tokens: list[tuple[bytes, int]]) -> None:
+        """Of tokens, sorted. step: where a state (shifted by 8 bits) and a byte lead; length and link of the states;
         ends: of a state, the tokens on its path of links, the longest first, as nested (id, bytes, rest)."""
         auto = SuffixAutomaton()
         path, before = [0], b""
-        for t in sorted(tokens):
+        for t, _ in tokens:
             # states of what it shares with the one before stay as they are
             k = 0
             while k < len(before) and k < len(t) and before[k] == t[k]:
@@ -96,10 +112,13 @@ class Vocabulary:
             for c in t[k:]:
                 path.append(auto.add(path[-1], c))
             before = t
-        self.step = {s << 8 | c: n for s, out in enumerate(auto.nxt) for c, n in out.items()}
-        self.length, self.link = auto.length, auto.link
+        keys = array("q", (s << 8 | c for s, out in enumerate(auto.nxt) for c in out))
+        leads = array("i", chain.from_iterable(out.values() for out in auto.nxt))
+        length, link = array("i", auto.length), array("i", auto.link)
+        del auto, path
+        self.length, self.link, self.step = list(length), list(link), dict(zip(keys, leads))
         of: dict[int, tuple[int, int]] = {}
-        for t, i in tokens.items():
+        for t, i in tokens:
             s = 0
             for c in t:
                 s = self.step[s << 8 | c]
@@ -115,10 +134,9 @@ class Vocabulary:
             e, at, up = [], t, self.never
             while True:
                 e.append((at, up))
-                if at not in self.halves:
+                if self.halves[0][at] < 0:
                     break
-                up = self.halves[at][2]
-                at = self.halves[at][right]
+                at, up = self.halves[right][at], self.up[at]
             e.reverse()
             self.edges[right][t] = e
         return e
@@ -130,7 +148,7 @@ class Vocabulary:
         i = j = 0
         while True:
             (x, up_x), (y, up_y) = left[i], right[j]
-            m = rank.get((x, y), never)
+            m = rank.get(x << 20 | y, never)
             if m < never and m < up_x and m <= up_y:
                 ok = False
                 break
@@ -237,7 +255,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
             texts, i = b.column(1), 0
             while i < len(texts):
                 held, j, size = [], i, 0
-                while j < len(texts) and size < 1 << 21:
+                while j < len(texts) and size < 1 << 20:
                     held.append(texts[j].as_py() or "")
                     size += len(held[-1])
                     j += 1
@@ -247,6 +265,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 flat = pa.array(np.concatenate(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offs), flat), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
                 i = j
+        v.forget()  # a worker waits beside those of other tasks
 
     return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, decoded string", keeps=path)
 

@@ -20,7 +20,7 @@ ignored. With no items no document has hits; with no documents the result is emp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -196,14 +196,16 @@ def _met(docs: DataFrame, auto: Automaton) -> DataFrame:
     return mapped(docs.select(F.xxhash64("text").alias("key"), "text"), run, f"key long, {HITS}")
 
 
-def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The documents, with columns n_words, hits (united spans of word places) and items
-    (sorted as strings); columns of those names in the input are replaced."""
-    docs = docs.drop("n_words", "hits", "items")
+#: Of some rows: their columns, bytes and offsets of their texts, starts and ends of the words,
+#: the first word of each text, and its spans and items; gives the columns of a result.
+Finish = Callable[[list[pa.Array], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[tuple[int, int]]], list[set[str]]], list[pa.Array]]
+
+
+def _judged(docs: DataFrame, bench: DataFrame, window: int, block_words: int, schema: str, names: list[str], finish: Finish) -> DataFrame:
+    """What `finish` makes of the documents and their hits, in the task that finds them: with a
+    second function behind it each task would hold two Python workers."""
     spark = docs.sparkSession
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), FOUND])
-    names = [*docs.columns, "n_words", "hits", "items"]
-    at = docs.columns.index("text")
+    at, n = docs.columns.index("text"), len(docs.columns)
     blocks = automata(bench, window, block_words)
     first = spark.sparkContext.broadcast(next(blocks))
     # of further automata only what they met is written, and joined at last
@@ -219,47 +221,60 @@ def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words:
         ready = docs.select("*", none.cast("array<struct<first:int,last:int>>").alias(_HITS), none.cast("array<string>").alias(_ITEMS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(names) - 3
         for b in batches:
             for i, j, data, offs in tv.text_slices(b.column(at)):
-                _, _, firsts, h = words(data, offs)
+                starts, ends, firsts, h = words(data, offs)
                 spans, items = hits_in(first.value, h, firsts)
                 more = b.column(n).slice(i, j - i)
                 for d in np.flatnonzero(more.is_valid()).tolist():
                     spans[d] += [(x["first"], x["last"]) for x in more[d].as_py()]
                     items[d] |= set(b.column(n + 1)[i + d].as_py())
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:n]), pa.array(np.diff(firsts)), *columns(spans, items)], names=names)
+                cols = [c.slice(i, j - i) for c in b.columns[:n]]
+                yield pa.RecordBatch.from_arrays(finish(cols, data, offs, starts, ends, firsts, spans, items), names=names)
 
     return mapped(ready, run, schema)
 
 
+def found(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents, with columns n_words, hits (united spans of word places) and items
+    (sorted as strings); columns of those names in the input are replaced."""
+    docs = docs.drop("n_words", "hits", "items")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), FOUND])
+
+    def finish(cols, data, offs, starts, ends, firsts, spans, items) -> list[pa.Array]:
+        return [*cols, pa.array(np.diff(firsts)), *columns(spans, items)]
+
+    return _judged(docs, bench, window, block_words, schema, [*docs.columns, "n_words", "hits", "items"], finish)
+
+
 def decontaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """The documents without test items: every span found is cut out of the text, from
     its first word to its last, and documents of which such spans are more than
     `max_coverage` of the words go. n_chars follows the text; other columns stay, but n_words, hits and items."""
     docs = docs.drop("n_words", "hits", "items")
     names, types = docs.columns, {f.name: f.dataType.simpleString() for f in docs.schema}
-    hit = found(docs, bench, window).where(F.aggregate("hits", F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1) <= max_coverage * F.col("n_words"))
     schema = ", ".join(f"`{n}` {types[n]}" for n in names)
     at = names.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(at).to_pylist()
-            for d, hits in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                if hits:
-                    raw = texts[d].encode()
-                    starts, ends, _, _ = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                    parts, z = [], 0
-                    for x in hits:
-                        parts.append(raw[z : starts[x["first"]]])
-                        z = ends[x["last"]]
-                    texts[d] = b"".join([*parts, raw[z:]]).decode()
-            cols = list(b.columns[:-1])
+    def finish(cols, data, offs, starts, ends, firsts, spans, items) -> list[pa.Array]:
+        stay = np.ones(len(spans), bool)
+        cut: dict[int, str] = {}
+        for d in (d for d, s in enumerate(spans) if s):
+            hits, own, of = merged(spans[d]), int(firsts[d]), int(firsts[d + 1] - firsts[d])
+            stay[d] = sum(y - x + 1 for x, y in hits) <= max_coverage * of
+            parts, z = [], offs[d]
+            for x, y in hits:
+                parts.append(data[z : starts[own + x]])
+                z = ends[own + y]
+            cut[d] = np.concatenate([*parts, data[z : offs[d + 1]]]).tobytes().decode()
+        if cut:
+            texts = cols[at].to_pylist()
+            for d, t in cut.items():
+                texts[d] = t
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+        return [c.filter(pa.array(stay)) for c in cols]
 
-    out = mapped(hit.select(*names, "hits"), run, schema)
+    out = _judged(docs, bench, window, BLOCK_WORDS, schema, names, finish)
     return out.withColumn("n_chars", F.length("text").cast(types["n_chars"])).select(*names) if "n_chars" in names else out
 
 

@@ -372,6 +372,22 @@ def test_warc_tables(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
 
 
+def test_decontamination_and_encoding_leave_few_workers(spark):
+    """Cut texts come from one function over the tables, so a task holds one Python worker; what encoding has
+    gathered does not stay in a worker that waits."""
+    docs = spark.createDataFrame([(1, "a b c", 5)], "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame([("x", "b")], "item_id string, text string")
+    out = op9.decontaminated(docs, bench)
+    assert [tuple(r) for r in out.collect()] == [(1, "a  c", 4)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    v = op7.Vocabulary(op7.default_path())
+    ids = v.encode("some words that are kept").tolist()
+    assert len(v.cache) > len(v.special) and v.fit
+    v.forget()
+    assert len(v.cache) == len(v.special) and not v.fit and v.encode("some words that are kept").tolist() == ids
+
+
 def plain_stop_density(text, words):
     """Every letter counted, every word stripped."""
     letters = [c for c in text if c.isalpha()]
