@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import op4_neardup, op6_substrings, op7_bpe, op8_language, op9_decontaminate
-from lodestone.llm.shared import written
+from lodestone.llm.shared import bitmap, dropped, is_marked, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Least share of a text's n-grams that its language must account for.
 MIN_SCORE = 0.2
+#: Bits of the map of rows that are dropped or repeated.
+FILTER_BITS = 25
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +41,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Wordless texts (null, empty) are linked with nothing and stay, one of rows that are equal. A row
     with a null id stays if its group has no other id. Rows of one id that is its group's smallest
     stay if their texts differ."""
-    judged = op4_neardup.neighbours(docs.select("doc_id", "text"), words=5).where("kept")
-    kept = written(judged.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")), "kept")
+    judged = op4_neardup.neighbours(docs.select("doc_id", "text"), words=5)
+    told = written(judged.groupBy("row_key").agg(F.count_if("kept").alias("n")), "told")
+    # rows that stay as they are, which most do, don't move: a map marks all others, and some of them
+    odd = is_marked(spark, bitmap(told.where("n <> 1"), "row_key", FILTER_BITS))
+    few = written(told.where(odd("row_key") & (F.col("n") > 0)), "few")
+    dropped(told)
     keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
-    once = keyed.join(kept.where("n = 1"), "row_key", "left_semi")
+    rest = keyed.where(odd("row_key"))
+    once = keyed.where(~odd("row_key")).unionByName(rest.join(few.where("n = 1"), "row_key", "left_semi"))
     # few rows, or copies that a task unites before they move
-    repeated = keyed.join(kept.where("n > 1"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    repeated = rest.join(few.where("n > 1"), "row_key", "left_semi").dropDuplicates(["row_key"])
     return once.unionByName(repeated).select(*COLUMNS)
 
 

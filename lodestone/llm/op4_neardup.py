@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import textvec as tv
 from lodestone.llm.components import components
-from lodestone.llm.shared import bitmap, bucketed, dropped, mapped, marked, written
+from lodestone.llm.shared import bitmap, bucketed, dropped, is_marked, mapped, marked, written
 
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
@@ -309,8 +309,9 @@ def linked(docs: DataFrame, classes: DataFrame, percent: int, words: int) -> Dat
     all that are linked."""
     keys = classes.select("class", F.explode("bands").alias("key"))
     full = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
-    # only buckets of two or more, from here on
-    buckets = written(keys.join(full, "key"), "buckets")
+    # only buckets of two or more, from here on: most others stay where they are
+    shared = is_marked(docs.sparkSession, bitmap(full, "key", FILTER_BITS))
+    buckets = written(keys.where(shared("key")).join(full, "key"), "buckets")
     weight = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
     centre = written(buckets.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("c")), "centre")
     meets = written(buckets.join(centre, "key").select("class", "c.weight", F.col("c.class").alias("pivot")).distinct(), "meets")
@@ -342,6 +343,9 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     rows = written(signed(docs, words), "signed")
     one = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch", "filled"))
     classes = written(rows.where("class is not null").groupBy("class").agg(one.alias("c"), F.min("doc_id").alias("least")).select("class", "least", "c.n_shingles", "c.bands", "c.sketch", "c.filled"), "classes")
+    # samples and sketches of all rows are read no more
+    named = written(rows.select("doc_id", "row_key", "n_shingles", "class"), "named")
+    dropped(rows)
     part = linked(docs, classes, percent, words)
     of = classes.select("class", "least").join(part.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # two steps: the smallest doc_id of each component, then of each class
@@ -349,7 +353,7 @@ def neighbours(docs: DataFrame, percent: int = PERCENT, words: int = 2) -> DataF
     smallest = written(of.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     by_class = written(of.join(smallest, "component").select("class", "component_id"), "by_class")
     dropped(classes, of, smallest)
-    judged = rows.select("doc_id", "row_key", "n_shingles", "class").join(by_class, "class", "left").select("doc_id", "row_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    judged = named.join(by_class, "class", "left").select("doc_id", "row_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

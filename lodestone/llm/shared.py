@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -110,6 +110,18 @@ def marked(found: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (found[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def is_marked(spark: SparkSession, found: np.ndarray) -> Callable[[str], Column]:
+    """As `marked`, of a long column: a filter that moves no row. What is not marked is surely not
+    among the values that the map was made of."""
+    held = spark.sparkContext.broadcast(found)
+
+    @F.arrow_udf("boolean")
+    def test(values: pa.Array) -> pa.Array:
+        return pa.array(marked(held.value, values.to_numpy(zero_copy_only=False)))
+
+    return test
+
+
 def give_back() -> None:
     """Returns freed memory to the system, where the C library can: a Python worker lives on
     beside the tasks of other stages."""
