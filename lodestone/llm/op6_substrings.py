@@ -273,9 +273,8 @@ def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) ->
     found = written(hits(plain, width, anchor), "hits")
     # rows equal in id and text have the same hits: a set holds them once
     lost = found.groupBy(F.col("row_key").alias(_KEY)).agg(F.collect_set(F.struct("start", "size", "gone")).alias(_LOST))
-    hit = is_marked(docs.sparkSession, bitmap(found, "row_key", FILTER_BITS))(_KEY)
-    whole = keyed.where(~hit).withColumn(_LOST, F.lit(None).cast(lost.schema[_LOST].dataType))
-    judged = keyed.where(hit).join(lost, _KEY, "left").unionByName(whole)
+    hit = bitmap(found, "row_key", FILTER_BITS)
+    held = docs.sparkSession.sparkContext.broadcast(hit)
     names = [*docs.columns, "n_words", "n_removed", "kept_text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_words long, n_removed long, kept_text string"])
     at = docs.columns.index("text")
@@ -303,7 +302,15 @@ def deduplicated(docs: DataFrame, width: int = WINDOW, anchor: int = ANCHOR) ->
                 cols = [*(c.slice(i, j - i) for c in b.columns[:-1]), pa.array(size), pa.array(removed), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return mapped(judged.select(*docs.columns, _LOST), run, schema)
+    def run_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """As run, for rows with their keys, of those that lose nothing."""
+        for b in batches:
+            stay = b.filter(pa.array(~marked(held.value, b.column(b.num_columns - 1).to_numpy())))
+            yield from run(iter([pa.RecordBatch.from_arrays([*stay.columns[:-1], pa.nulls(stay.num_rows)], names=[*names[:-3], _LOST])]))
+
+    # one Python function in each stage, as an executor keeps a worker for each that a task runs: what is joined moves first
+    moved = keyed.where(is_marked(docs.sparkSession, hit)(_KEY)).join(lost.hint("merge"), _KEY, "left")
+    return mapped(moved.select(*docs.columns, _LOST), run, schema).unionByName(mapped(keyed.select(*docs.columns, _KEY), run_whole, schema))
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
