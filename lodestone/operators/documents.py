@@ -90,6 +90,29 @@ def _arrow(rows: list[dict], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=names(ddl))
 
 
+def _of_file(f: dict) -> list[dict]:
+    """What chunk_files gives of one file."""
+    at = {"source_path": f["path"], "doc_type": f["doc_type"], "doc_id": doc_id(f["path"])}
+    if f["error"] is not None:
+        return [at | {"error": f["error"], "elapsed_ms": 0}]
+    began = time.perf_counter()
+    try:
+        blocks, meta = parse(f["content"] or b"", f["doc_type"])
+        stats = {"fileName": f["file_name"], "fileSize": f["file_size"], "createdAt": f["created"], "modifiedAt": f["modified"], "absolutePath": f["path"]}
+        rows = chunks(blocks, at["doc_id"], f["doc_type"], f["path"], {k: v for k, v in stats.items() if v is not None} | meta)
+    except Exception as e:  # a broken file is a row, not a failed job
+        rows = [at | {"error": f"{type(e).__name__}: {e}"}]
+    elapsed = round((time.perf_counter() - began) * 1000)
+    for r in rows:
+        r["elapsed_ms"] = elapsed
+    return rows
+
+
+def _ready(files: DataFrame) -> DataFrame:
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return files.select("path", "file_name", "file_size", iso("created_at").alias("created"), iso("modified_at").alias("modified"), "doc_type", "content", "error")
+
+
 def chunk_files(files: DataFrame) -> DataFrame:
     """CHUNK rows of all files (FILE rows), and one row with `error` and no id for each
     file that cannot be read or parsed; no file stops another. elapsed_ms is that of its file."""
@@ -98,26 +121,26 @@ def chunk_files(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 64):
-                rows: list[dict] = []
+                yield _arrow([r for f in b.slice(i, 64).to_pylist() for r in _of_file(f)], ddl)
+
+    return _ready(files).mapInArrow(run, ddl)
+
+
+def file_outcomes(files: DataFrame) -> DataFrame:
+    """(source_path, chunks, error, elapsed_ms): how each file (FILE row) fares in chunk_files. All chunks of a file are
+    made where it is read, so they are counted there: no chunk leaves its task and nothing is shuffled."""
+    ddl = "source_path string, chunks int, error string, elapsed_ms long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 64):
+                rows = []
                 for f in b.slice(i, 64).to_pylist():
-                    at = {"source_path": f["path"], "doc_type": f["doc_type"], "doc_id": doc_id(f["path"])}
-                    if f["error"] is not None:
-                        rows.append(at | {"error": f["error"], "elapsed_ms": 0})
-                        continue
-                    began, first = time.perf_counter(), len(rows)
-                    try:
-                        blocks, meta = parse(f["content"] or b"", f["doc_type"])
-                        stats = {"fileName": f["file_name"], "fileSize": f["file_size"], "createdAt": f["created"], "modifiedAt": f["modified"], "absolutePath": f["path"]}
-                        rows += chunks(blocks, at["doc_id"], f["doc_type"], f["path"], {k: v for k, v in stats.items() if v is not None} | meta)
-                    except Exception as e:  # a broken file is a row, not a failed job
-                        rows.append(at | {"error": f"{type(e).__name__}: {e}"})
-                    elapsed = round((time.perf_counter() - began) * 1000)
-                    rows[first:] = [r | {"elapsed_ms": elapsed} for r in rows[first:]]
+                    made = _of_file(f)
+                    rows.append(made[0] | {"chunks": sum(r.get("id") is not None for r in made)})
                 yield _arrow(rows, ddl)
 
-    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    ready = files.select("path", "file_name", "file_size", iso("created_at").alias("created"), iso("modified_at").alias("modified"), "doc_type", "content", "error")
-    return ready.mapInArrow(run, ddl)
+    return _ready(files).mapInArrow(run, ddl)
 
 
 def run_summary(chunks: DataFrame) -> DataFrame:
