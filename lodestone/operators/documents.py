@@ -62,9 +62,10 @@ def chunks(blocks: Iterable[dict], doc: str, doc_type: str, path: str, metadata:
         meta = dict(metadata)
         for b in held:
             meta |= b.get("metadata") or {}
-        parts = split(text) if tokens(text) > SPLIT_ABOVE else [text]
+        long = tokens(text) > SPLIT_ABOVE
+        parts = split(text) if long else [text]
         for k, part in enumerate(parts, 1):
-            more = {"splitPart": k, "totalParts": len(parts)} if tokens(text) > SPLIT_ABOVE else {}
+            more = {"splitPart": k, "totalParts": len(parts)} if long else {}
             out.append(
                 base | where | {
                     "id": f"{doc}::{len(out)}", "chunk_index": len(out), "full_text": f"{title}\n\n{part}" if title else part, "summary_text": summary(part), "title_text": title,
@@ -126,21 +127,29 @@ def chunk_files(files: DataFrame) -> DataFrame:
     return _ready(files).mapInArrow(run, ddl)
 
 
+#: How a file fares in chunk_files.
+OUTCOME = "source_path string, chunks int, error string, elapsed_ms long"
+
+
+def outcomes(files: Iterable[dict]) -> pa.RecordBatch:
+    """OUTCOME rows of files at hand in a task: dicts of the columns of FILE, with its times as text."""
+    rows = []
+    for f in files:
+        made = _of_file(f)
+        rows.append(made[0] | {"chunks": sum(r.get("id") is not None for r in made)})
+    return _arrow(rows, OUTCOME)
+
+
 def file_outcomes(files: DataFrame) -> DataFrame:
-    """(source_path, chunks, error, elapsed_ms): how each file (FILE row) fares in chunk_files. All chunks of a file are
-    made where it is read, so they are counted there: no chunk leaves its task and nothing is shuffled."""
-    ddl = "source_path string, chunks int, error string, elapsed_ms long"
+    """OUTCOME rows of files (FILE rows). All chunks of a file are made where it is read, so they are counted there:
+    no chunk leaves its task and nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 64):
-                rows = []
-                for f in b.slice(i, 64).to_pylist():
-                    made = _of_file(f)
-                    rows.append(made[0] | {"chunks": sum(r.get("id") is not None for r in made)})
-                yield _arrow(rows, ddl)
+                yield outcomes(b.slice(i, 64).to_pylist())
 
-    return _ready(files).mapInArrow(run, ddl)
+    return _ready(files).mapInArrow(run, OUTCOME)
 
 
 def run_summary(chunks: DataFrame) -> DataFrame:
